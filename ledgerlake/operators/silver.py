@@ -111,12 +111,7 @@ def flatten_candles(raw: DataFrame) -> DataFrame:
 
 
 def silver_market(raw: DataFrame) -> DataFrame:
-    """Candles of all polls, the newest version of each (ticker, ts).
-
-    All compared values have a fixed width, so the aggregate hashes instead of sorting. The
-    tie break on equal ingested_at is the whole candle, taken as one struct by `latest_version`
-    only where two polls share an ingestion time.
-    """
+    """Candles of all polls, the newest version of each (ticker, ts)."""
     return latest_version(flatten_candles(raw), ["ticker", "ts"], ["ingested_at"])
 
 
