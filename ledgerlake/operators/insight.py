@@ -140,7 +140,7 @@ def movers_with_news(
     """The n worst movers with the k articles about each that best match a question."""
     worst = movers(latest, n).where("side = 'loser'")
     queries = worst.select(F.col("ticker").alias("query_id"), "ticker", F.lit(question).alias("query"))
-    found = search(index, queries, k, columns, same_ticker=True)
+    found = search(index, queries, k, columns)
     keep = [c for c in found.columns if c not in ("query_id", "rank", "ticker")]
     return worst.select("ticker", "pct").join(
         found.select(F.col("query_id").alias("ticker"), F.col("rank").alias("news_rank"), *keep), "ticker", "left"

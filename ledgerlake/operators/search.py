@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerlake.functions.tokens import tokens
@@ -16,23 +16,35 @@ B = 0.75
 
 @dataclass(frozen=True)
 class Index:
-    """postings: (news_id, term, tf); docs: attributes and length `dl` per news_id."""
+    """postings: (news_id, ticker, dl, term, tf); docs: attributes and length `dl` per news_id."""
 
     postings: DataFrame
     docs: DataFrame
 
 
 def build_index(news: DataFrame, text_col: str = "body") -> Index:
-    """Postings placed by article, so one article's terms meet in one task while scoring."""
-    docs = news.withColumn("_tokens", tokens(F.col(text_col)))
+    """Cut every text once; the text is placed by article so that counting needs no second shuffle."""
+    placed = news.repartition("news_id").withColumn("_tokens", tokens(F.col(text_col))).withColumn(
+        "dl", F.size("_tokens")
+    )
     postings = (
-        news.select("news_id", text_col)
-        .repartition("news_id")
-        .select("news_id", F.explode(tokens(F.col(text_col))).alias("term"))
-        .groupBy("news_id", "term")
+        placed.select("news_id", "ticker", "dl", F.explode("_tokens").alias("term"))
+        .groupBy("news_id", "ticker", "dl", "term")
         .agg(F.count("*").alias("tf"))
     )
-    return Index(postings, docs.withColumn("dl", F.size("_tokens")).drop("_tokens"))
+    return Index(postings, placed.drop("_tokens"))
+
+
+def write_index(index: Index, path: str, part: str = "batch_id=0") -> None:
+    index.postings.write.mode("overwrite").parquet(f"{path}/postings/{part}")
+    index.docs.write.mode("overwrite").parquet(f"{path}/docs/{part}")
+
+
+def read_index(spark: SparkSession, path: str) -> Index:
+    return Index(
+        spark.read.parquet(f"{path}/postings").drop("batch_id"),
+        spark.read.parquet(f"{path}/docs").drop("batch_id"),
+    )
 
 
 def query_terms(queries: DataFrame) -> DataFrame:
@@ -44,35 +56,32 @@ def query_terms(queries: DataFrame) -> DataFrame:
 def score(index: Index, queries: DataFrame, max_query_terms: int = 200_000) -> DataFrame:
     """(query_id, news_id, score) for every article that shares a term with the query.
 
-    Query terms are broadcast while their number stays within `max_query_terms`; a larger batch
-    is joined by shuffle with hot terms spread over salts. Postings never move for scoring in
-    the first case.
+    Postings of queried terms are placed by article. Query terms are broadcast while their
+    number stays within `max_query_terms`, so an article meets all queries in one task and its
+    scores are summed without a further shuffle; a larger batch is joined by shuffle with hot
+    terms spread over salts. With a `ticker` in the queries only articles of it are scored.
     """
     wanted = query_terms(queries)
-    small = fits(wanted, max_query_terms)
     terms = wanted.select("term").distinct()
-    postings = index.postings
+    small = fits(wanted, max_query_terms)
+    relevant = index.postings.join(F.broadcast(terms) if small else terms, "term", "left_semi")
+    placed = relevant.repartition("news_id")
     # Document frequency of the queried terms only; counts combine map-side.
-    if small:
-        relevant = postings.join(F.broadcast(terms), "term", "left_semi")
-    else:
-        relevant = postings.join(terms, "term", "left_semi")
-    df = relevant.groupBy("term").agg(F.count("*").alias("df"))
+    df = placed.groupBy("term").agg(F.count("*").alias("df"))
     corpus = index.docs.agg(F.count("*").alias("n"), F.avg("dl").alias("avgdl"))
     n, avgdl = corpus.select("n").scalar(), corpus.select("avgdl").scalar()
     idf = F.log(F.lit(1.0) + (n - F.col("df") + 0.5) / (F.col("df") + 0.5))
     weighted = wanted.join(df, "term").withColumn("idf", idf).drop("df")
 
-    lengths = postings.groupBy("news_id").agg(F.sum("tf").alias("dl"))
-    scored = postings.join(lengths, "news_id")
+    on = ["term", "ticker"] if "ticker" in wanted.columns else ["term"]
+    rows = placed if "ticker" in wanted.columns else placed.drop("ticker")
     if small:
-        pairs = scored.join(F.broadcast(weighted), "term")
+        pairs = rows.join(F.broadcast(weighted), on)
     else:
-        pairs = lookup_join(scored, weighted, ["term"], spread_by="news_id", max_broadcast_rows=max_query_terms)
+        pairs = lookup_join(rows, weighted, on, spread_by="news_id", max_broadcast_rows=max_query_terms)
     norm = F.lit(K1) * (F.lit(1 - B) + F.lit(B) * F.col("dl") / avgdl)
     part = F.col("idf") * F.col("tf") * F.lit(K1 + 1) / (F.col("tf") + norm)
-    keys = [c for c in wanted.columns if c != "term"]
-    return pairs.groupBy("news_id", *keys).agg(F.round(F.sum(part), 6).alias("score"))
+    return pairs.groupBy("news_id", "query_id").agg(F.round(F.sum(part), 6).alias("score"))
 
 
 def search(
@@ -80,17 +89,13 @@ def search(
     queries: DataFrame,
     k: int = 5,
     columns: list[str] | None = None,
-    same_ticker: bool = False,
 ) -> DataFrame:
     """Top k articles per query with the chosen attributes.
 
-    `queries` has (query_id, query); with `same_ticker` also a `ticker` the article must carry.
+    `queries` has (query_id, query) and optionally a `ticker` the article must carry.
     """
     columns = columns if columns is not None else ["headline", "ticker"]
     ranked = score(index, queries)
-    if same_ticker:
-        of = index.docs.select("news_id", F.col("ticker").alias("_t"))
-        ranked = ranked.join(of, "news_id").where(F.col("_t") == F.col("ticker")).drop("_t", "ticker")
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), F.asc("news_id"))
     top = ranked.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
     attributes = index.docs.select("news_id", *columns)

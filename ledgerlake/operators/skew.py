@@ -84,3 +84,15 @@ def lookup_join(
     salted_rows = rows.withColumn("_salt", F.pmod(F.xxhash64(spread_by), F.lit(salts)).cast("int"))
     copies = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return salted_rows.join(copies, [*keys, "_salt"], how).drop("_salt")
+
+
+def spread(scan: DataFrame) -> DataFrame:
+    """Deal out the rows of a scan that has fewer splits than there are cores.
+
+    A single row group cannot be split, so heavy per-row work would run in one task. A scan with
+    enough splits is returned as it is, without a shuffle.
+    """
+    if scan.isStreaming:
+        return scan
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan

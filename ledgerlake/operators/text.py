@@ -38,12 +38,15 @@ def topic_of(
     _checked([w for ws in keywords.values() for w in ws])
     scored = []
     for i, label in enumerate(labels):
-        by_weight: dict[int, list[str]] = {}
-        for word, weight in keywords.get(label, {}).items():
-            by_weight.setdefault(weight, []).append(word)
-        score = F.lit(0)
-        for weight, words in sorted(by_weight.items()):
-            score = score + F.size(hits(token_array, sorted(words))) * weight
+        pairs = [F.lit(x) for word, weight in sorted(keywords.get(label, {}).items()) for x in (word, weight)]
+        weights = F.create_map(*pairs) if pairs else None
+        score = (
+            F.aggregate(
+                token_array, F.lit(0), lambda s, t: s + F.coalesce(F.try_element_at(weights, t), F.lit(0))
+            )
+            if pairs
+            else F.lit(0)
+        )
         scored.append(F.struct(score.alias("s"), F.lit(-i).alias("i"), F.lit(label).alias("label")))
     best = F.array_max(F.array(*scored))
     return F.when(token_array.isNull(), F.lit(None)).when(best["s"] > 0, best["label"]).otherwise(fallback)

@@ -3,15 +3,22 @@
 from __future__ import annotations
 
 import hashlib
+import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerlake.functions.tokens import tokens
 
+# The batch functions travel with their code, so executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 DIMS = 768
 # Targets compared in one scan; more are taken in further scans of at most this many.
 TARGETS_PER_SCAN = 1024
@@ -37,28 +44,33 @@ def _slot(token: str, dims: int) -> tuple[int, float]:
     return head % dims, (1.0 if (head // dims) % 2 == 0 else -1.0)
 
 
+def _as_matrix(column: pa.Array) -> np.ndarray:
+    """List column of equal lengths to a matrix without touching single values."""
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
+
+
 def embed(df: DataFrame, text_col: str, dims: int = DIMS) -> DataFrame:
     """Adds `embedding`: signed token counts hashed into `dims` slots, with length 1.
 
-    Tokens are cut JVM-side; the Arrow-batched function scatters a batch at a time and hashes
-    each distinct token of the batch once.
+    Tokens are cut JVM-side; the Arrow function scatters a batch at a time and hashes each
+    distinct token of the batch once.
     """
 
-    @F.pandas_udf("array<float>")
-    def scatter(batch: pd.Series) -> pd.Series:
-        lists = [[] if x is None else x for x in batch]
-        flat = np.array([t for x in lists for t in x], dtype=object)
-        out = np.zeros((len(lists), dims))
-        if len(flat):
-            row = np.repeat(np.arange(len(lists)), [len(x) for x in lists])
-            code, names = pd.factorize(flat)
-            slots = np.array([_slot(t, dims) for t in names])
+    @F.arrow_udf("array<float>")
+    def scatter(batch: pa.Array) -> pa.Array:
+        out = np.zeros((len(batch), dims))
+        row = pc.list_parent_indices(batch).to_numpy()
+        if len(row):
+            coded = batch.flatten().dictionary_encode()
+            slots = np.array([_slot(t, dims) for t in coded.dictionary.to_pylist()])
+            code = coded.indices.to_numpy(zero_copy_only=False)
             np.add.at(out, (row, slots[code, 0].astype(int)), slots[code, 1])
         norm = np.linalg.norm(out, axis=1, keepdims=True)
-        unit = np.divide(out, norm, out=np.zeros_like(out), where=norm > 0).astype(np.float32)
-        return pd.Series(list(unit))
+        unit = np.divide(out, norm, out=out, where=norm > 0).astype(np.float32)
+        offsets = np.arange(len(batch) + 1, dtype=np.int32) * dims
+        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(unit.ravel()))
 
-    return df.withColumn("embedding", scatter(tokens(F.col(text_col))))
+    return df.withColumn("embedding", scatter(tokens(F.coalesce(F.col(text_col), F.lit("")))))
 
 
 def cosine(a: Column, b: Column) -> Column:
@@ -93,15 +105,17 @@ def _nearest_in_parts(vectors: DataFrame, targets: list, k: int, id_type: str) -
     length = np.linalg.norm(m, axis=1)
     m = np.divide(m, length[:, None], out=np.full_like(m, np.nan), where=length[:, None] > 0)
 
-    def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best: pd.DataFrame | None = None
-        for pdf in batches:
-            v = np.stack(pdf["vec"].to_numpy()).astype(np.float64)
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            v = _as_matrix(batch.column("vec")).astype(np.float64)
             size = np.linalg.norm(v, axis=1)
             with np.errstate(invalid="ignore", divide="ignore"):
                 sims = np.round((v @ m.T) / size[:, None], 6)
-            rows = _top_of_part(pdf["id"].to_numpy(), sims, names, k)
-            part = pd.DataFrame(rows, columns=["target_id", "id", "similarity"])
+            ids = batch.column("id").to_numpy(zero_copy_only=False)
+            part = pd.DataFrame(_top_of_part(ids, sims, names, k), columns=["target_id", "id", "similarity"])
             best = part if best is None else pd.concat([best, part])
             best = (
                 best.sort_values(["target_id", "similarity", "id"], ascending=[True, False, True])
@@ -109,9 +123,9 @@ def _nearest_in_parts(vectors: DataFrame, targets: list, k: int, id_type: str) -
                 .head(k)
             )
         if best is not None and len(best):
-            yield best
+            yield pa.RecordBatch.from_pandas(best, preserve_index=False)
 
-    return vectors.select("id", "vec").mapInPandas(
+    return vectors.select("id", "vec").mapInArrow(
         scan, f"target_id {id_type}, id {id_type}, similarity double"
     )
 
@@ -161,19 +175,18 @@ def register_similar_function(spark: SparkSession, vectors: DataFrame, k: int =
     """SQL table function similar_txns(target_id) over the given vectors."""
     vectors.createOrReplaceTempView("txn_vectors")
     dot = "aggregate(zip_with({0}, {1}, (p, q) -> double(p) * double(q)), 0D, (s, v) -> s + v)"
-    aa, bb, ab = dot.format("a", "a"), dot.format("b", "b"), dot.format("a", "b")
+    a = "(SELECT first(embedding) FROM txn_vectors WHERE txn_id = target_id)"
+    aa, bb, ab = dot.format(a, a), dot.format("embedding", "embedding"), dot.format(a, "embedding")
+    similarity = f"round({ab} / nullif(sqrt({aa}) * sqrt({bb}), 0D), 6)"
     spark.sql(
         f"""
         CREATE OR REPLACE TEMPORARY FUNCTION similar_txns(target_id STRING)
         RETURNS TABLE (txn_id STRING, similarity DOUBLE, txn_text STRING, amount DOUBLE,
                        category STRING, is_fraud_label BOOLEAN)
         RETURN
-          SELECT txn_id, round({ab} / nullif(sqrt({aa}) * sqrt({bb}), 0D), 6) AS similarity,
-                 txn_text, amount, category, is_fraud_label
-          FROM (SELECT *, embedding AS b,
-                       (SELECT first(embedding) FROM txn_vectors WHERE txn_id = target_id) AS a
-                FROM txn_vectors WHERE txn_id <> target_id)
-          WHERE a IS NOT NULL
+          SELECT txn_id, {similarity} AS similarity, txn_text, amount, category, is_fraud_label
+          FROM txn_vectors
+          WHERE txn_id <> target_id
           ORDER BY similarity DESC NULLS LAST, txn_id
           LIMIT {k}
         """

@@ -9,8 +9,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake.functions.scalars import case_map, joined_text
+from ledgerlake.operators.skew import spread
 
 TXN_AS_OF = "2024-01-31"
+# The last trading day itself, so that the latest and the previous close differ.
+MARKET_AS_OF = "2024-01-30"
 LONG_AS_OF = "2001-08-01"
 
 # Event types in name order, used as tickers for the news lane.
@@ -28,9 +31,12 @@ def _k() -> Column:
 
 
 def txn(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Card transactions from `events`."""
-    e = read(spark, sf_dir, "events").withColumn("k", _k())
-    return e.select(
+    return txn_from_events(read(spark, sf_dir, "events"))
+
+
+def txn_from_events(events: DataFrame) -> DataFrame:
+    """Card transactions from `events`, batch or stream."""
+    return events.withColumn("k", _k()).select(
         F.col("event_id").cast("string").alias("txn_id"),
         joined_text("ACCT", F.col("user_id").cast("string")).alias("account_id"),
         F.col("ts").alias("txn_ts"),
@@ -77,20 +83,27 @@ def bars(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.max_by("user_id", "event_id").alias("user_id"),
         F.max_by("ts", "event_id").alias("ingested_at"),
     )
+    return _candle(last)
+
+
+def raw_bars(events: DataFrame) -> DataFrame:
+    """One candle per event with its full time stamp, batch or stream."""
+    named = events.withColumnsRenamed({"event_type": "ticker", "value": "open"})
+    return _candle(named.withColumn("ingested_at", F.col("ts"))).drop("ingested_at", "event_id")
+
+
+def _candle(df: DataFrame) -> DataFrame:
     step = ((F.col("event_id") % 7) - 3) / F.lit(100.0)
-    return (
-        last.withColumn("close", F.round(F.col("open") * (1 + step), 4))
-        .select(
-            "ticker",
-            "ts",
-            "open",
-            F.greatest("open", "close").alias("high"),
-            F.least("open", "close").alias("low"),
-            "close",
-            (F.col("user_id") + 1).alias("volume"),
-            "ingested_at",
-            "event_id",
-        )
+    return df.withColumn("close", F.round(F.col("open") * (1 + step), 4)).select(
+        "ticker",
+        "ts",
+        "open",
+        F.greatest("open", "close").alias("high"),
+        F.least("open", "close").alias("low"),
+        "close",
+        (F.col("user_id") + 1).alias("volume"),
+        "ingested_at",
+        "event_id",
     )
 
 
@@ -100,9 +113,12 @@ def prices(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def news(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return news_from_documents(spread(read(spark, sf_dir, "documents")))
+
+
+def news_from_documents(documents: DataFrame) -> DataFrame:
     """Articles from `documents`; the headline is the text's first line, the body all of it."""
-    d = read(spark, sf_dir, "documents")
-    return d.select(
+    return documents.select(
         F.col("doc_id").cast("string").alias("news_id"),
         F.timestamp_add("DAY", (F.col("doc_id") % 30).cast("int"), F.lit("2024-01-01").cast("timestamp_ntz"))
         .cast("timestamp_ntz")

@@ -39,14 +39,15 @@ def reload(df: DataFrame, table: str) -> DataFrame:
 
 
 def overwrite_partitions(df: DataFrame, path: str, by: str) -> None:
-    """Rewrite only the partitions that occur in the frame."""
+    """Rewrite only the partitions that occur in the frame.
+
+    Rebalancing by the partition column gives a small partition one file and lets AQE cut a
+    large one into several, instead of one file per task and partition.
+    """
     (
-        df.write.mode("overwrite")
+        df.hint("rebalance", by)
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(by)
         .parquet(path)
     )
-
-
-def read_partitioned(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    return spark.read.schema(schema).parquet(path)
