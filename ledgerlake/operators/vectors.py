@@ -175,19 +175,18 @@ def register_similar_function(spark: SparkSession, vectors: DataFrame, k: int =
     """SQL table function similar_txns(target_id) over the given vectors."""
     vectors.createOrReplaceTempView("txn_vectors")
     dot = "aggregate(zip_with({0}, {1}, (p, q) -> double(p) * double(q)), 0D, (s, v) -> s + v)"
-    a = "(SELECT first(embedding) FROM txn_vectors WHERE txn_id = target_id)"
-    aa, bb, ab = dot.format(a, a), dot.format("embedding", "embedding"), dot.format(a, "embedding")
-    similarity = f"round({ab} / nullif(sqrt({aa}) * sqrt({bb}), 0D), 6)"
+    aa, bb, ab = (dot.format(x, y) for x, y in (("a.embedding", "a.embedding"), ("b.embedding", "b.embedding"), ("a.embedding", "b.embedding")))
+    # `a` is the one row of the target, so the inequality join has a single row on one side.
     spark.sql(
         f"""
         CREATE OR REPLACE TEMPORARY FUNCTION similar_txns(target_id STRING)
         RETURNS TABLE (txn_id STRING, similarity DOUBLE, txn_text STRING, amount DOUBLE,
                        category STRING, is_fraud_label BOOLEAN)
         RETURN
-          SELECT txn_id, {similarity} AS similarity, txn_text, amount, category, is_fraud_label
-          FROM txn_vectors
-          WHERE txn_id <> target_id
-          ORDER BY similarity DESC NULLS LAST, txn_id
+          SELECT b.txn_id, round({ab} / nullif(sqrt({aa}) * sqrt({bb}), 0D), 6) AS similarity,
+                 b.txn_text, b.amount, b.category, b.is_fraud_label
+          FROM txn_vectors a JOIN txn_vectors b ON a.txn_id = target_id AND b.txn_id <> a.txn_id
+          ORDER BY similarity DESC NULLS LAST, b.txn_id
           LIMIT {k}
         """
     )
