@@ -78,7 +78,8 @@ def news_themes(enriched: DataFrame) -> DataFrame:
         "ticker", "news_id", "published_at", "headline",
         F.array_distinct(tokens(F.col("headline"))).alias("words"),
     )
-    placed = lookup_join(heads, terms, ["ticker"], spread_by="news_id")
+    tickers = enriched.select("ticker").distinct()
+    placed = lookup_join(heads, terms, ["ticker"], spread_by="news_id", size_of=tickers)
     shared = F.filter("terms", lambda t: F.array_contains("words", t["term"]))
     central = F.round(F.aggregate(shared, F.lit(0.0), lambda s, t: s + t["weight"]), 6)
     rank = Window.partitionBy("ticker").orderBy(

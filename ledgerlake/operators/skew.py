@@ -73,13 +73,15 @@ def lookup_join(
     how: str = "inner",
     max_broadcast_rows: int = 200_000,
     salts: int = 32,
+    size_of: DataFrame | None = None,
 ) -> DataFrame:
     """Join a lookup table whose keys may be hot on the row side.
 
     A lookup of checked size is broadcast. A larger one is joined by shuffle with the row side
-    split over `salts` parts and the lookup copied to each part.
+    split over `salts` parts and the lookup copied to each part. `size_of` is a frame with at
+    least as many rows as the lookup that is cheaper to count.
     """
-    if fits(lookup, max_broadcast_rows):
+    if fits(lookup if size_of is None else size_of, max_broadcast_rows):
         return rows.join(F.broadcast(lookup), keys, how)
     salted_rows = rows.withColumn("_salt", F.pmod(F.xxhash64(spread_by), F.lit(salts)).cast("int"))
     copies = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))

@@ -94,7 +94,7 @@ def _top_of_part(ids: np.ndarray, sims: np.ndarray, targets: list[str], k: int)
         if len(pick) > k:
             floor = np.partition(s[pick], len(pick) - k)[len(pick) - k]
             pick = pick[s[pick] >= floor]
-        order = sorted(pick, key=lambda i: (-s[i], ids[i]))[:k]
+        order = pick[np.lexsort((ids[pick], -s[pick]))][:k]
         found += [(target, ids[i], float(s[i])) for i in order]
     return found
 
@@ -140,23 +140,30 @@ def similar(
 ) -> DataFrame:
     """Exact top k neighbours of each target by cosine over all vectors, the target excluded.
 
-    One block of targets (at most TARGETS_PER_SCAN) meets every partition of the vectors as a
-    matrix product; a task keeps k rows per target, so only those are shuffled. Further targets
-    are handled by further scans, none is left out.
+    Targets are ids of `vectors`, or bring their own `vec_col`. One block of targets (at most
+    TARGETS_PER_SCAN) meets every partition of the vectors as a matrix product; a task keeps k
+    rows per target, so only those are shuffled. Further targets are handled by further scans,
+    none is left out.
     """
     id_type = vectors.schema[id_col].dataType.simpleString()
     src = vectors.select(F.col(id_col).alias("id"), F.col(vec_col).alias("vec")).where("vec is not null")
-    wanted = targets.select(F.col(id_col).alias("id")).distinct()
-    chosen = src.join(wanted, "id", "left_semi")
-    count = wanted.count()
-    scans = max(1, -(-count // (TARGETS_PER_SCAN // 2))) if count > TARGETS_PER_SCAN else 1
-    found: DataFrame | None = None
-    for i in range(scans):
+    if vec_col in targets.columns:
+        chosen = targets.select(F.col(id_col).alias("id"), F.col(vec_col).alias("vec")).where("vec is not null")
+    else:
+        chosen = src.join(targets.select(F.col(id_col).alias("id")).distinct(), "id", "left_semi")
+    head = chosen.limit(TARGETS_PER_SCAN + 1).collect()
+    if len(head) <= TARGETS_PER_SCAN:
+        blocks = iter([head])
+    else:
         # A hash bucket is half a block on average; one that still overflows is cut into blocks.
-        bucket = chosen if scans == 1 else chosen.where(F.pmod(F.xxhash64("id"), F.lit(scans)) == i)
-        rows = [(r["id"], r["vec"]) for r in bucket.toLocalIterator()]
+        scans = -(-chosen.count() // (TARGETS_PER_SCAN // 2))
+        bucket = F.pmod(F.xxhash64("id"), F.lit(scans))
+        blocks = (list(chosen.where(bucket == i).toLocalIterator()) for i in range(scans))
+    found: DataFrame | None = None
+    for rows in blocks:
         for at in range(0, len(rows), TARGETS_PER_SCAN):
-            part = _nearest_in_parts(src, rows[at : at + TARGETS_PER_SCAN], k, id_type)
+            block = [(r["id"], r["vec"]) for r in rows[at : at + TARGETS_PER_SCAN]]
+            part = _nearest_in_parts(src, block, k, id_type)
             found = part if found is None else found.unionByName(part)
     if found is None:
         found = src.sparkSession.createDataFrame([], f"target_id {id_type}, id {id_type}, similarity double")

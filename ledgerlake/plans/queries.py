@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from ledgerlake.functions import lexicons
 from ledgerlake.functions import scalars as S
 from ledgerlake.operators import fraud, gold, insight, search, series, silver, text, vectors, views
+from ledgerlake.operators.skew import spread
 from ledgerlake.plans import jobs, metrics
 from ledgerlake.session import prepare, scratch_dir
 from ledgerlake.sources import adapters as A
@@ -59,6 +60,11 @@ def _features(spark, d):
     return gold.txn_features(A.txn(spark, d))
 
 
+def _dealt_features(spark, d):
+    """Features over a scan dealt out to all cores, ahead of heavy per-row work."""
+    return gold.txn_features(A.txn_from_events(spread(A.read(spark, d, "events"))))
+
+
 def _candidates(spark, d):
     return fraud.rule_score(_features(spark, d))
 
@@ -475,9 +481,16 @@ def theme_stats(spark, d):
     return insight.theme_stats(_mood(spark, d))
 
 
+def _stored_mood(spark, d):
+    """The enriched articles as a written table, for operators that read it several times."""
+    path = f"{scratch_dir(spark, 'enriched')}/news"
+    _mood(spark, d).drop("body").write.parquet(path)
+    return spark.read.parquet(path)
+
+
 @query
 def news_themes(spark, d):
-    return insight.news_themes(_mood(spark, d))
+    return insight.news_themes(_stored_mood(spark, d))
 
 
 # ---- search -----------------------------------------------------------------
@@ -517,7 +530,7 @@ def vector_pool(spark, d):
 @query
 def embed_text(spark, d):
     """Embedding of every transaction text, reduced to comparable numbers."""
-    e = vectors.embed(_features(spark, d).select("txn_id", "txn_text"), "txn_text")
+    e = vectors.embed(_dealt_features(spark, d).select("txn_id", "txn_text"), "txn_text")
     x = F.col("embedding")
     top = F.array_max(x)
     return e.select(
@@ -541,9 +554,9 @@ def similar_vectors(spark, d):
 @query
 def similar_transactions(spark, d):
     """Look-alikes of every suspicious transaction among all transactions."""
-    f = _features(spark, d).select("txn_id", "txn_text", "amount", "category", "is_fraud_label")
-    flagged = _scored(spark, d).where("ai_fraud_class = 'Suspicious'").select("txn_id")
-    return vectors.similar(vectors.embed(f, "txn_text"), flagged, 5,
+    f = _dealt_features(spark, d).select("txn_id", "txn_text", "amount", "category", "is_fraud_label")
+    flagged = _scored(spark, d).where("ai_fraud_class = 'Suspicious'").select("txn_id", "txn_text")
+    return vectors.similar(vectors.embed(f, "txn_text"), vectors.embed(flagged, "txn_text"), 5,
                            columns=["txn_text", "amount", "category", "is_fraud_label"])
 
 
@@ -571,7 +584,7 @@ def spend_insight(spark, d):
 def daily_brief(spark, d):
     return insight.daily_brief(
         _latest(spark, d), views.spend_kpis(_spend(spark, d), A.LONG_AS_OF), _explained(spark, d),
-        insight.news_themes(_mood(spark, d)),
+        insight.news_themes(_stored_mood(spark, d)),
     )
 
 

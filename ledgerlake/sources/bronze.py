@@ -20,7 +20,7 @@ def read_json_text(spark: SparkSession, path: str, layout: str = "lines") -> Dat
 
 def with_source_file(raw: DataFrame) -> DataFrame:
     return raw.select(F.col("value").alias("text"), F.col("_metadata.file_path").alias("src_file")).where(
-        F.length(F.trim("text")) > 0
+        F.col("text").rlike(r"\S")
     )
 
 
