@@ -2,12 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import sys
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import cloudpickle
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlake.functions import lexicons
 from ledgerlake.functions.tokens import hits, sentences, tokens
 
+# The batch function travels with its code, so executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # Word lists travel as literals inside the plan, so their size is bounded here.
 MAX_WORDS = 20_000
 
@@ -52,28 +61,53 @@ def topic_of(
     return F.when(token_array.isNull(), F.lit(None)).when(best["s"] > 0, best["label"]).otherwise(fallback)
 
 
-def summarize(news: DataFrame, n: int = 1) -> DataFrame:
-    """(news_id, summary): the n sentences with the highest mean term frequency, in text order.
+def _best_sentences(n: int):
+    """Arrow function: token lists per sentence to the positions of the n best sentences.
 
-    The text moves once, by article; counting and ranking then stay inside that partitioning.
+    A sentence's score is the mean count of its tokens within the article; ties go to the
+    earlier sentence. The counts of a whole batch are taken at once.
     """
-    parts = news.repartition("news_id").select(
-        "news_id", F.posexplode(sentences(F.col("body"))).alias("pos", "sentence")
-    )
-    words = parts.select("news_id", "pos", F.explode(tokens(F.col("sentence"))).alias("term"))
-    same_term = Window.partitionBy("news_id", "term")
-    scores = (
-        words.withColumn("tf", F.count("*").over(same_term))
-        .groupBy("news_id", "pos")
-        .agg(F.round(F.avg("tf"), 6).alias("score"))
-    )
-    rank = Window.partitionBy("news_id").orderBy(F.desc("score"), F.asc("pos"))
-    best = scores.withColumn("r", F.row_number().over(rank)).where(F.col("r") <= n)
-    chosen = parts.join(best.select("news_id", "pos"), ["news_id", "pos"])
-    text = F.array_sort(F.collect_list(F.struct("pos", F.trim("sentence").alias("s"))))
-    return chosen.groupBy("news_id").agg(
-        F.array_join(F.transform(text, lambda x: x["s"]), " ").alias("summary")
-    )
+
+    @F.arrow_udf("array<int>")
+    def best(batch: pa.Array) -> pa.Array:
+        words = pc.list_flatten(batch)
+        doc_of = pc.list_parent_indices(batch).to_numpy()
+        sent_of = pc.list_parent_indices(words).to_numpy()
+        coded = pc.list_flatten(words).dictionary_encode()
+        code = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        pair = doc_of[sent_of] * max(len(coded.dictionary), 1) + code
+        _, at, count = np.unique(pair, return_inverse=True, return_counts=True)
+        length = np.bincount(sent_of, minlength=len(doc_of))
+        total = np.bincount(sent_of, weights=count[at], minlength=len(doc_of))
+        kept = np.flatnonzero(length)
+        score = np.round(total[kept] / length[kept], 6)
+        order = kept[np.lexsort((kept, -score, doc_of[kept]))]
+        # Rows are grouped by article; the rank restarts where the article changes.
+        doc = doc_of[order]
+        first = np.searchsorted(doc, doc)
+        order = np.sort(order[np.arange(len(order)) - first < n])
+        start = np.searchsorted(doc_of, np.arange(len(batch)))
+        chosen = (order - start[doc_of[order]]).astype(np.int32)
+        offsets = np.searchsorted(doc_of[order], np.arange(len(batch) + 1)).astype(np.int32)
+        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(chosen))
+
+    return best
+
+
+def summary_of(text: Column, n: int = 1) -> Column:
+    """The n sentences with the highest mean term frequency, in text order; row-local.
+
+    With explode and grouping the texts and all their tokens would be shuffled by article; here
+    sentences and tokens are cut JVM-side and only the counting runs in Arrow batches.
+    """
+    parts = F.coalesce(sentences(text), F.array().cast("array<string>"))
+    chosen = _best_sentences(n)(F.transform(parts, tokens))
+    joined = F.array_join(F.transform(chosen, lambda i: F.trim(F.get(parts, i))), " ")
+    return F.when(F.size(chosen) > 0, joined)
+
+
+def summarize(news: DataFrame, n: int = 1) -> DataFrame:
+    return news.select("news_id", summary_of(F.col("body"), n).alias("summary"))
 
 
 def news_sentiment(
@@ -96,8 +130,7 @@ def news_sentiment(
 
 
 def enrich_news(news: DataFrame, **lexicon) -> DataFrame:
-    """All enrichment columns; the summary comes back by news_id, on which both sides are placed."""
-    scored = news_sentiment(news, **lexicon)
-    return scored.join(summarize(news), "news_id", "left").select(
+    """All enrichment columns without moving a text between tasks."""
+    return news_sentiment(news, **lexicon).withColumn("summary", summary_of(F.col("body"))).select(
         *news.columns, "sentiment_score", "topic", "summary", "sentiment_label"
     )
