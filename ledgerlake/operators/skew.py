@@ -27,7 +27,9 @@ def attach_group_stats(
     reducer receives a hot key whole. All other keys take an ordinary equi-join.
     """
     values = [c for c in stats.columns if c not in keys and c != count_col]
-    total = stats.agg(F.sum(count_col)).scalar()
+    # All uses of `stats` ask for the same columns, so they share one aggregation.
+    sums = F.struct(F.sum(count_col).alias("rows"), *[F.count(v) for v in values])
+    total = stats.agg(sums.alias("t")).scalar()["rows"]
     hot = stats.where(F.col(count_col) * HOT_SHARE > total).select(
         *[F.col(k).alias(f"_h_{k}") for k in keys],
         *[F.col(v).alias(f"_h_{v}") for v in values],
@@ -43,7 +45,8 @@ def attach_group_stats(
     cold = stats.select(
         *[F.col(k).alias(f"_c_{k}") for k in keys],
         *[F.col(v).alias(f"_c_{v}") for v in values],
-        F.lit(-1).cast("long").alias("_c_salt"),
+        # -1 for every key that has rows. A plain literal would be folded out of the join key.
+        F.when(F.col(count_col) > 0, F.lit(-1)).otherwise(F.lit(-2)).cast("long").alias("_c_salt"),
     )
     on_cold = reduce(
         lambda a, b: a & b,

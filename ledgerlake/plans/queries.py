@@ -649,8 +649,7 @@ def stream_ingest(spark, d):
 
 
 def _event_stream(spark, d):
-    schema = A.read(spark, d, "events").schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(d)
+    return A.read_stream(spark, d, "events")
 
 
 def _stream_txn(spark, d):
@@ -699,9 +698,7 @@ def stream_medallion(spark, d):
 @query
 def stream_index(spark, d):
     """The search index refreshed by a stream of documents, then queried."""
-    docs = spark.readStream.schema(A.read(spark, d, "documents").schema).option(
-        "pathGlobFilter", "documents.parquet"
-    ).parquet(d)
+    docs = A.read_stream(spark, d, "documents")
     root = scratch_dir(spark, "stream-index")
     _done(marts.refresh_index(spark, A.news_from_documents(docs), f"{root}/index", f"{root}/cp"))
     index = search.read_index(spark, f"{root}/index")

@@ -26,6 +26,21 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def is_folder(spark: SparkSession, path: str) -> bool:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    return fs.exists(p) and fs.getFileStatus(p).isDirectory()
+
+
+def read_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """The same table as a file stream, whether it is one file or a folder of files."""
+    path = f"{sf_dir}/{name}.parquet"
+    reader = spark.readStream.schema(spark.read.parquet(path).schema)
+    if is_folder(spark, path):
+        return reader.parquet(path)
+    return reader.option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
+
+
 def _k() -> Column:
     return F.get_json_object("props", "$.k").cast("int")
 

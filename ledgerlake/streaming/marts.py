@@ -10,6 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ledgerlake.operators import gold, search, silver
 from ledgerlake.sources import bronze
+from ledgerlake.sources.adapters import is_folder
 from ledgerlake.sources.tables import overwrite_partitions
 from ledgerlake.streaming.ingest import read_stream, trigger_args
 
@@ -102,11 +103,6 @@ def read_spend_by_category(spark: SparkSession, m: Medallion) -> DataFrame:
     return spark.read.schema(schema).parquet(m.spend_by_category).where("txn_count > 0")
 
 
-def _has_rows(spark: SparkSession, path: str) -> bool:
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
-
-
 def refresh(batch: DataFrame, m: Medallion) -> None:
     """Fold new typed records into silver and rebuild the marts of the touched days only.
 
@@ -118,7 +114,7 @@ def refresh(batch: DataFrame, m: Medallion) -> None:
         "dt", F.to_date("txn_ts")
     )
     touched = fresh.select("dt")
-    if _has_rows(spark, m.silver):
+    if is_folder(spark, m.silver):
         known = spark.read.schema(SILVER_SCHEMA).parquet(m.silver)
         moved_from = known.where("live").select("txn_id", "dt").join(fresh.select("txn_id"), "txn_id", "left_semi")
         touched = touched.union(moved_from.select("dt"))
