@@ -13,11 +13,11 @@ from pyspark.sql import functions as F
 from ledgerlake.functions import lexicons
 from ledgerlake.functions import scalars as S
 from ledgerlake.operators import fraud, gold, insight, search, series, silver, text, vectors, views
-from ledgerlake.operators.skew import spread
+from ledgerlake.operators.skew import lookup_join, spread
 from ledgerlake.plans import jobs, metrics
 from ledgerlake.session import prepare, scratch_dir
 from ledgerlake.sources import adapters as A
-from ledgerlake.sources import bronze
+from ledgerlake.sources import bronze, tables
 from ledgerlake.streaming import ingest, marts
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,6 +28,8 @@ PROSE = {
     "negative": lexicons.PROSE_NEGATIVE,
     "keywords": lexicons.PROSE_TOPICS,
 }
+# Leaves 20 days of the event month for training and 10 for evaluation.
+JOBS_AS_OF = "2024-02-20"
 # Fixed value: the question of the evidence join, in words of the test prose.
 QUESTION = "that the market was on for which it is"
 
@@ -428,6 +430,25 @@ def history_and_forecast(spark, d):
     )
 
 
+@query
+def series_split(spark, d):
+    """Days of each series before and after the cutoff, for spend, volume and price."""
+    daily = gold.ohlc_daily(A.prices(spark, d))
+    parts = {
+        "spend": (series.spend_series(_spend(spark, d)), A.LONG_AS_OF),
+        "volume": (series.volume_series(daily), JOBS_AS_OF),
+        "price": (series.price_series(daily), JOBS_AS_OF),
+    }
+    out = None
+    for kind, (points, as_of) in parts.items():
+        for side, df in zip(("train", "eval"), series.split_series(points, as_of)):
+            one = df.groupBy(F.lit(kind).alias("kind"), F.lit(side).alias("side"), "series").agg(
+                F.count("*").alias("n"), F.min("ts").alias("first_ts"), F.round(F.sum("y"), 2).alias("total")
+            )
+            out = one if out is None else out.unionByName(one)
+    return out
+
+
 # ---- news -------------------------------------------------------------------
 
 
@@ -572,6 +593,15 @@ def similar_tvf(spark, d):
     return spark.sql("SELECT * FROM similar_txns((SELECT max(txn_id) FROM newest_suspicious))")
 
 
+@query
+def cosine_to_exemplar(spark, d):
+    """Cosine of every vector with the first vector of its label."""
+    e = A.read(spark, d, "embeddings")
+    first = e.groupBy("label").agg(F.min_by("embedding", "vec_id").alias("exemplar"))
+    j = lookup_join(e, first, ["label"], spread_by="vec_id", size_of=e.select("label").distinct())
+    return j.select("vec_id", "label", F.round(vectors.cosine(F.col("embedding"), F.col("exemplar")), 6).alias("similarity"))
+
+
 # ---- insight ----------------------------------------------------------------
 
 
@@ -705,6 +735,53 @@ def stream_index(spark, d):
     return search.search(index, _questions(spark, d), 3, ["ticker"])
 
 
+# ---- tables and jobs --------------------------------------------------------
+
+
+def _database(spark, purpose) -> str:
+    """A fresh database stored in the shared scratch folder."""
+    where = scratch_dir(spark, purpose)
+    name = "ledgerlake_" + where.rsplit("-", 1)[1]
+    spark.sql(f"CREATE DATABASE {name} LOCATION '{where}'")
+    return name
+
+
+@query
+def table_sinks(spark, d):
+    """Row counts and sums after append with defaults, reload, and create-as-select."""
+    db = _database(spark, "sinks")
+    t = A.txn(spark, d).select("txn_id", "amount", "category")
+    defaults = {"source": F.lit("feed")}
+    tables.append_by_name(t, f"{db}.appended", defaults)
+    tables.append_by_name(t.select("category", "amount", "txn_id").where("amount > 1000"), f"{db}.appended", defaults)
+    tables.overwrite(t, f"{db}.reloaded")
+    tables.reload(t.select("category", "txn_id", "amount").where("amount <= 1000"), f"{db}.reloaded")
+    tables.ctas(spark, f"{db}.made", f"SELECT * FROM {db}.appended WHERE category = 'view'")
+
+    def state(name: str) -> DataFrame:
+        return spark.table(f"{db}.{name}").agg(
+            F.count("*").alias("n"), F.round(F.sum("amount"), 2).alias("amount")
+        ).select(F.lit(name).alias("name"), "n", "amount")
+
+    return state("appended").unionByName(state("reloaded")).unionByName(state("made"))
+
+
+@query
+def serving_views(spark, d):
+    """Raw tables through the silver, gold and model jobs to the rows of each serving view."""
+    db = _database(spark, "jobs")
+    stamp = F.lit("2024-02-01").cast("timestamp_ntz").alias("ingested_at")
+    t, n = A.txn(spark, d), A.news(spark, d)
+    tables.overwrite(bronze.land_market(_market_polls(spark, d)), f"{db}.raw_market")
+    tables.overwrite(t.select(F.parse_json(bronze.transaction_json(t)).alias("record"), stamp), f"{db}.raw_transactions")
+    tables.overwrite(n.select(F.parse_json(bronze.news_json(n)).alias("record"), stamp), f"{db}.raw_news")
+    jobs.build_silver(spark, f"{db}.raw_market", f"{db}.raw_transactions", f"{db}.raw_news", schema=db)
+    jobs.build_gold(spark, silver_schema=db, schema=db)
+    jobs.build_models(spark, JOBS_AS_OF, schema=db, **PROSE)
+    names = jobs.register_views(spark, JOBS_AS_OF, silver_schema=db, schema=db)
+    return views.audit_counts({name: spark.table(name) for name in names})
+
+
 # ---- audit and scalars ------------------------------------------------------
 
 

@@ -33,6 +33,7 @@ _TOPIC = (
 
 # Two-sided normal quantiles for 0.95 and 0.90.
 Z95, Z90 = "1.959963984540054", "1.6448536269514722"
+JOBS = "DATE '2024-02-20'"
 LONG, TXN, MARKET = "DATE '2001-08-01'", "DATE '2024-01-31'", "DATE '2024-01-30'"
 
 
@@ -142,6 +143,12 @@ RELATIONS: dict[str, tuple[list[str], str]] = {
     "ship_tr": (["ship_y"], f"SELECT * FROM ship_y WHERE ts < {LONG} - 30"),
     "spend_ev": (["spend_y"], f"SELECT * FROM spend_y WHERE ts >= {LONG} - 30"),
     "ship_ev": (["ship_y"], f"SELECT * FROM ship_y WHERE ts >= {LONG} - 30"),
+    "d": ([], "SELECT DISTINCT ts::DATE AS day FROM events"),
+    "vol_y": (["ohlc"], "SELECT ticker AS series, trade_date::TIMESTAMP AS ts, volume::DOUBLE AS y FROM ohlc"),
+    "vol_tr": (["vol_y"], f"SELECT * FROM vol_y WHERE ts < {JOBS} - 30"),
+    "vol_ev": (["vol_y"], f"SELECT * FROM vol_y WHERE ts >= {JOBS} - 30"),
+    **_model("wa", "vol_tr"),
+    "wa_out": (["wa_m", "vol_ev"], f"SELECT *, y < lower_bound OR y > upper_bound AS is_anomaly FROM ({_predict('wa', 'vol_ev', Z95)})"),
     **_model("sa", "spend_tr"),
     **_model("va", "ship_tr"),
     **_model("sf", "spend_y"),
@@ -362,6 +369,33 @@ _STATEMENTS: dict[str, tuple[list[str], str]] = {
     "similar_tvf": (["vlen", "pool"], f"""
       SELECT n.txn_id, n.similarity, f.txn_text, f.amount, f.category, f.is_fraud_label
       FROM ({_near("(SELECT txn_id AS target_id FROM scored WHERE ai_fraud_class = 'Suspicious' ORDER BY txn_ts DESC, txn_id LIMIT 1)", "pool")}) n JOIN feat f USING (txn_id)"""),
+    "cosine_to_exemplar": ([], """
+      SELECT e.vec_id, e.label, round(list_cosine_similarity(e.embedding::DOUBLE[], x.embedding::DOUBLE[]), 6) AS similarity
+      FROM embeddings e JOIN embeddings x ON x.label = e.label AND x.vec_id = (SELECT min(vec_id) FROM embeddings y WHERE y.label = e.label)"""),
+    "series_split": (["spend_y", "vol_y", "price_y"], f"""
+      SELECT kind, side, series, count(*) AS n, min(ts) AS first_ts, round(sum(y), 2) AS total
+      FROM (SELECT 'spend' AS kind, CASE WHEN ts < {LONG} - 30 THEN 'train' ELSE 'eval' END AS side, * FROM spend_y
+            UNION ALL SELECT 'volume', CASE WHEN ts < {JOBS} - 30 THEN 'train' ELSE 'eval' END, * FROM vol_y
+            UNION ALL SELECT 'price', CASE WHEN ts < {JOBS} - 30 THEN 'train' ELSE 'eval' END, * FROM price_y)
+      GROUP BY kind, side, series"""),
+    "table_sinks": (["txn"], """
+      SELECT 'appended' AS name, count(*) AS n, round(sum(amount), 2) AS amount FROM (SELECT amount FROM txn UNION ALL SELECT amount FROM txn WHERE amount > 1000)
+      UNION ALL SELECT 'reloaded', count(*), round(sum(amount), 2) FROM txn WHERE amount <= 1000
+      UNION ALL SELECT 'made', count(*), round(sum(amount), 2) FROM (SELECT * FROM txn UNION ALL SELECT * FROM txn WHERE amount > 1000) WHERE category = 'view'"""),
+    "serving_views": (["ohlc", "explained", "wa_out", "d"], f"""
+      SELECT 'v_market_latest' AS t, count(DISTINCT ticker) AS n_rows FROM bars UNION ALL SELECT 'v_market_intraday', count(*) FROM bars
+      UNION ALL SELECT 'v_spend_kpis', 1 UNION ALL SELECT 'v_spend_trend', count(*) FROM d
+      UNION ALL SELECT 'v_category_share', count(DISTINCT category) FROM txn WHERE txn_ts::DATE >= {JOBS} - 30
+      UNION ALL SELECT 'v_spend_series', count(*) FROM d UNION ALL SELECT 'v_volume_series', count(*) FROM ohlc
+      UNION ALL SELECT 'v_price_series', count(*) FROM ohlc
+      UNION ALL SELECT 'v_spend_train', count(*) FROM d WHERE day < {JOBS} - 30 UNION ALL SELECT 'v_spend_eval', count(*) FROM d WHERE day >= {JOBS} - 30
+      UNION ALL SELECT 'v_volume_train', count(*) FROM vol_tr UNION ALL SELECT 'v_volume_eval', count(*) FROM vol_ev
+      UNION ALL SELECT 'v_spend_anomalies', count(*) FROM d WHERE day >= {JOBS} - 30
+      UNION ALL SELECT 'v_volume_anomalies', count(*) FROM wa_out WHERE is_anomaly
+      UNION ALL SELECT 'v_fraud_flagged', count(*) FROM explained UNION ALL SELECT 'v_spend_forecast', 14
+      UNION ALL SELECT 'v_price_forecast', 7 * count(DISTINCT ticker) FROM bars UNION ALL SELECT 'v_news_feed', count(*) FROM documents
+      UNION ALL SELECT 'v_price_vs_sentiment', count(*) FROM ohlc UNION ALL SELECT 'v_spend_insight', 1
+      UNION ALL SELECT 'v_news_themes', count(DISTINCT doc_id % 5) FROM documents"""),
     "spend_insight": (["cand"], f"""
       SELECT *, '- ' || top_category || ' leads with ' || printf('%.1f', top_share_pct) || '% of spend.' || chr(10) || '- ' || riser_category
              || ' moved most against the week before: ' || printf('%.2f', riser_change) || '.' || chr(10) || '- ' || risky_txns

@@ -193,3 +193,35 @@ def test_densify(spark):
     dim = spark.createDataFrame([("A",), ("B",)], "ticker string")
     span = spark.createDataFrame([(dt.date(2024, 1, 1), dt.date(2024, 1, 3))], "d0 date, d1 date")
     assert views.densify(dim, bronze.date_spine(span)).count() == 6
+
+
+def _best_by_hand(body, n):
+    import re
+
+    sents = re.findall(r"[^.!?\n]+[.!?]?", body or "")
+    words = [re.findall(r"[a-z]+", x.lower()) for x in sents]
+    tf = {}
+    for w in words:
+        for t in w:
+            tf[t] = tf.get(t, 0) + 1
+    scored = [(-round(sum(tf[t] for t in w) / len(w), 6), i) for i, w in enumerate(words) if w]
+    keep = sorted(i for _, i in sorted(scored)[:n])
+    return " ".join(sents[i].strip(" ") for i in keep) if keep else None
+
+
+def test_summary_equals_brute_force_in_any_batching(spark):
+    import random
+
+    rng = random.Random(3)
+    bodies = [None, "", "...", "One."] + [
+        " ".join(rng.choice("ab cd ef gh. ij! kl? mn\n op".split(" ")) for _ in range(rng.randint(1, 60))) for _ in range(60)
+    ]
+    df = spark.createDataFrame([(str(i), b) for i, b in enumerate(bodies)], "news_id string, body string").coalesce(1)
+    for size in ("10000", "3"):
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+        for n in (1, 2, 5):
+            got = {r["news_id"]: r["summary"] for r in text.summarize(df, n).collect()}
+            assert got == {str(i): _best_by_hand(b, n) for i, b in enumerate(bodies)}
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")
+    nothing = df.where("body is null or body = ''")
+    assert {r["summary"] for r in text.summarize(nothing).collect()} == {None}
