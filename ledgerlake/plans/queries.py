@@ -721,8 +721,19 @@ def stream_medallion(spark, d):
         if name:
             _txn_lines(spark, d)[name].write.text(f"{root}/in/{name}")
         _done(marts.run_medallion(spark, f"{root}/in", f"{root}/lake", f"{root}/cp"))
-    m = marts.Medallion(f"{root}/lake")
-    return rounded(marts.read_spend_by_category(spark, m), total_spend=2)
+    return rounded(marts.read_spend_by_category(spark, f"{root}/lake"), total_spend=2)
+
+
+@query
+def stream_market(spark, d):
+    """Two polls of market payloads as files through the chained refresh; daily bars after both."""
+    root = scratch_dir(spark, "stream-market")
+    polls = _market_polls(spark, d)
+    for day in ("2024-02-01", "2024-02-02"):
+        one = polls.where(F.to_date("ingested_at") == day).select(F.col("payload_text").alias("value"))
+        one.write.text(f"{root}/in/{day}")
+        _done(marts.run_medallion(spark, f"{root}/in", f"{root}/lake", f"{root}/cp", marts.MARKET))
+    return rounded(marts.read_market_daily(spark, f"{root}/lake"), daily_return=8)
 
 
 @query

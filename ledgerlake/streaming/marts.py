@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -66,88 +67,118 @@ def write_table(
 
 
 @dataclass(frozen=True)
-class Medallion:
-    """Folders of one transaction lane, every table partitioned by day."""
+class Lane:
+    """How raw records of one kind become a typed table and which daily marts follow from it."""
 
-    root: str
+    keys: list[str]
+    ts: str
+    schema: str
+    parse: Callable[[DataFrame], DataFrame]
+    marts: Callable[[DataFrame], dict[str, tuple[DataFrame, str]]]
 
     @property
-    def silver(self) -> str:
-        return f"{self.root}/silver"
+    def typed_schema(self) -> str:
+        return f"{self.schema}, ingested_at timestamp_ntz"
 
     @property
-    def spend_daily(self) -> str:
-        return f"{self.root}/spend_daily"
+    def silver_schema(self) -> str:
+        return f"{self.typed_schema}, live boolean, dt date"
 
     @property
-    def spend_by_category(self) -> str:
-        return f"{self.root}/spend_by_category"
+    def order(self) -> list[str]:
+        return ["ingested_at"] if self.ts in self.keys else ["ingested_at", self.ts]
 
 
-_SILVER_FIELDS = ", ".join(f"{out} {t}" for out, _, t in silver.TRANSACTION_FIELDS)
-TYPED_SCHEMA = f"{_SILVER_FIELDS}, ingested_at timestamp_ntz"
-SILVER_SCHEMA = f"{TYPED_SCHEMA}, live boolean, dt date"
+def _ddl(fields: list[tuple[str, str, str]]) -> str:
+    return ", ".join(f"{out} {t}" for out, _, t in fields)
 
 
-def read_silver(spark: SparkSession, m: Medallion) -> DataFrame:
-    return spark.read.schema(SILVER_SCHEMA).parquet(m.silver).where("live").drop("live")
+def _spend_marts(now: DataFrame) -> dict[str, tuple[DataFrame, str]]:
+    # Dead rows keep an emptied day present with zero counts; readers drop such rows.
+    amount = F.when(F.col("live"), F.col("amount"))
+    totals = [F.count_if("live").alias("txn_count"), F.sum(amount).alias("total_spend")]
+    day = F.col("dt").alias("spend_date")
+    return {
+        "spend_by_category": (now.groupBy(day, "category").agg(*totals), "spend_date"),
+        "spend_daily": (now.groupBy(day).agg(*totals, F.avg(amount).alias("avg_ticket")), "spend_date"),
+    }
+
+
+def _market_marts(now: DataFrame) -> dict[str, tuple[DataFrame, str]]:
+    return {"ohlc_daily": (gold.ohlc_daily(now), "trade_date")}
+
+
+TRANSACTIONS = Lane(
+    ["txn_id"], "txn_ts", _ddl(silver.TRANSACTION_FIELDS),
+    lambda raw: silver.typed(raw, silver.TRANSACTION_FIELDS), _spend_marts,
+)
+MARKET = Lane(
+    ["ticker", "ts"], "ts",
+    "ticker string, ts timestamp_ntz, open double, high double, low double, close double, volume long",
+    lambda raw: silver.flatten_candles(raw.withColumnRenamed("record", "payload")), _market_marts,
+)
+NEWS = Lane(
+    ["news_id"], "published_at", _ddl(silver.NEWS_FIELDS),
+    lambda raw: silver.typed(raw, silver.NEWS_FIELDS), lambda now: {},
+)
+
+
+def read_silver(spark: SparkSession, root: str, lane: Lane = TRANSACTIONS) -> DataFrame:
+    return spark.read.schema(lane.silver_schema).parquet(f"{root}/silver").where("live").drop("live")
 
 
-def read_spend_daily(spark: SparkSession, m: Medallion) -> DataFrame:
+def read_spend_daily(spark: SparkSession, root: str) -> DataFrame:
     schema = "txn_count long, total_spend double, avg_ticket double, spend_date date"
-    return spark.read.schema(schema).parquet(m.spend_daily).where("txn_count > 0")
+    return spark.read.schema(schema).parquet(f"{root}/spend_daily").where("txn_count > 0")
 
 
-def read_spend_by_category(spark: SparkSession, m: Medallion) -> DataFrame:
+def read_spend_by_category(spark: SparkSession, root: str) -> DataFrame:
     schema = "category string, txn_count long, total_spend double, spend_date date"
-    return spark.read.schema(schema).parquet(m.spend_by_category).where("txn_count > 0")
+    return spark.read.schema(schema).parquet(f"{root}/spend_by_category").where("txn_count > 0")
 
 
-def refresh(batch: DataFrame, m: Medallion) -> None:
+def read_market_daily(spark: SparkSession, root: str) -> DataFrame:
+    """Daily bars with returns; the return spans days, so it is taken over the whole mart."""
+    schema = "ticker string, open double, high double, low double, close double, volume long, trade_date date"
+    return gold.daily_return(spark.read.schema(schema).parquet(f"{root}/ohlc_daily"))
+
+
+def refresh(batch: DataFrame, root: str, lane: Lane = TRANSACTIONS) -> None:
     """Fold new typed records into silver and rebuild the marts of the touched days only.
 
-    A record whose newer version has another day leaves a dead row behind in the old day, so
-    that day's partition is rewritten too. Rerunning a batch gives the same tables.
+    Silver and marts are partitioned by day. A record whose newer version has another day leaves
+    a dead row behind in the old day, so that day's partition is rewritten too. Rerunning a batch
+    gives the same tables.
     """
-    spark = batch.sparkSession
-    fresh = silver.latest_version(batch, ["txn_id"], ["ingested_at", "txn_ts"]).withColumn(
-        "dt", F.to_date("txn_ts")
-    )
+    spark, path = batch.sparkSession, f"{root}/silver"
+    fresh = silver.latest_version(batch, lane.keys, lane.order).withColumn("dt", F.to_date(lane.ts))
     touched = fresh.select("dt")
-    if is_folder(spark, m.silver):
-        known = spark.read.schema(SILVER_SCHEMA).parquet(m.silver)
-        moved_from = known.where("live").select("txn_id", "dt").join(fresh.select("txn_id"), "txn_id", "left_semi")
-        touched = touched.union(moved_from.select("dt"))
+    if is_folder(spark, path):
+        known = spark.read.schema(lane.silver_schema).parquet(path)
+        if lane.ts not in lane.keys:
+            before = known.where("live").select(*lane.keys, "dt")
+            touched = touched.union(before.join(fresh.select(*lane.keys), lane.keys, "left_semi").select("dt"))
     else:
-        known = spark.createDataFrame([], SILVER_SCHEMA)
+        known = spark.createDataFrame([], lane.silver_schema)
     # Calendar days, so the list is short; as literals they prune the partitions that are read.
     days = [r["dt"] for r in touched.distinct().collect()]
-    current = known.where(F.col("dt").isin(days))
-    both = current.where("live").drop("live").unionByName(fresh)
-    rest = [c for c in both.columns if c not in ("txn_id", "ingested_at", "txn_ts", "dt")]
-    version = F.struct("ingested_at", "txn_ts", *rest, "dt")
-    per_key = both.groupBy("txn_id").agg(F.max(version).alias("v"), F.collect_set("dt").alias("days"))
-    # `days` holds at most the old and the new day of one transaction.
-    merged = per_key.select("txn_id", "v", F.explode("days").alias("dt")).select(
-        "txn_id",
-        *[F.col(f"v.{out}").alias(out) for out, _, _ in silver.TRANSACTION_FIELDS if out != "txn_id"],
-        F.col("v.ingested_at").alias("ingested_at"),
-        (F.col("dt") == F.col("v.dt")).alias("live"),
-        "dt",
-    )
-    overwrite_partitions(merged, m.silver, "dt")
-
-    # Dead rows keep a day present with zero counts; readers drop such rows.
-    now = spark.read.schema(SILVER_SCHEMA).parquet(m.silver).where(F.col("dt").isin(days))
-    amount = F.when(F.col("live"), F.col("amount"))
-    per_cat = now.groupBy(F.col("dt").alias("spend_date"), "category").agg(
-        F.count_if("live").alias("txn_count"), F.sum(amount).alias("total_spend")
+    in_days = F.col("dt").isin(days) | (F.col("dt").isNull() if None in days else F.lit(False))
+    both = known.where(in_days).where("live").drop("live").unionByName(fresh)
+    rest = [c for c in both.columns if c not in lane.keys and c not in lane.order and c != "dt"]
+    version = F.struct(*lane.order, *rest, "dt")
+    # `days` holds at most the old and the new day of one record.
+    per_key = both.groupBy(*lane.keys).agg(
+        F.max(version).alias("v"), F.collect_set(F.struct("dt")).alias("days")
     )
-    overwrite_partitions(per_cat, m.spend_by_category, "spend_date")
-    daily = now.groupBy(F.col("dt").alias("spend_date")).agg(
-        F.count_if("live").alias("txn_count"), F.sum(amount).alias("total_spend"), F.avg(amount).alias("avg_ticket")
+    merged = per_key.select(*lane.keys, "v", F.explode("days").alias("day")).select(
+        *[F.col(c) if c in lane.keys else F.col(f"v.{c}").alias(c) for c in both.columns if c != "dt"],
+        F.col("day.dt").eqNullSafe(F.col("v.dt")).alias("live"),
+        F.col("day.dt").alias("dt"),
     )
-    overwrite_partitions(daily, m.spend_daily, "spend_date")
+    overwrite_partitions(merged, path, "dt")
+    now = spark.read.schema(lane.silver_schema).parquet(path).where(in_days)
+    for name, (mart, day) in lane.marts(now).items():
+        overwrite_partitions(mart, f"{root}/{name}", day)
 
 
 def run_medallion(
@@ -155,18 +186,18 @@ def run_medallion(
     path: str,
     root: str,
     checkpoint: str,
+    lane: Lane = TRANSACTIONS,
     trigger: str | None = None,
     files_per_trigger: int | None = None,
 ) -> StreamingQuery:
     """Files to silver to marts after every arrival."""
-    m = Medallion(root)
 
     def on_batch(text: DataFrame, batch_id: int) -> None:
         raw = bronze.records(bronze.split_bad(text)[0])
         # Parsed once and written; the refresh reads columns and has no lineage to the text.
         arrived = f"{root}/arrived/batch_id={batch_id}"
-        silver.typed(raw, silver.TRANSACTION_FIELDS).write.mode("overwrite").parquet(arrived)
-        refresh(spark.read.schema(TYPED_SCHEMA).parquet(arrived), m)
+        lane.parse(raw).write.mode("overwrite").parquet(arrived)
+        refresh(spark.read.schema(lane.typed_schema).parquet(arrived), root, lane)
 
     return (
         read_stream(spark, path, files_per_trigger)

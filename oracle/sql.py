@@ -435,6 +435,12 @@ _STATEMENTS: dict[str, tuple[list[str], str]] = {
       FROM (SELECT event_type AS ticker, ts, value AS open, round(value * (1 + ((event_id % 7) - 3) / 100::DOUBLE), 4) AS close, user_id + 1 AS volume FROM events)
       GROUP BY 1, 2"""),
     "stream_medallion": (["txn"], "SELECT txn_ts::DATE AS spend_date, category, count(*) AS txn_count, round(sum(amount), 2) AS total_spend FROM txn WHERE merchant <> 'Merchant 99' GROUP BY 1, 2"),
+    "stream_market": (["bars"], """
+      SELECT *, round(close / nullif(lag(close) OVER (PARTITION BY ticker ORDER BY trade_date), 0) - 1, 8) AS daily_return
+      FROM (SELECT ticker, ts::DATE AS trade_date, arg_min(open, ts) AS open, max(high) AS high, min(low) AS low,
+                   arg_max(CASE WHEN day(ts) % 2 = 0 AND event_id % 11 <> 0 THEN round(close + 0.5, 4) ELSE close END, ts) AS close,
+                   sum(volume)::BIGINT AS volume
+            FROM bars GROUP BY 1, 2)"""),
     "audit_counts": (["ohlc", "spend", "bycat"], """
       SELECT 'market_daily' AS t, count(*) AS n_rows FROM ohlc UNION ALL SELECT 'spend_daily', count(*) FROM spend
       UNION ALL SELECT 'spend_by_category', count(*) FROM bycat UNION ALL SELECT 'txn_features', count(*) FROM events

@@ -37,7 +37,7 @@ def test_trigger_arguments():
 
 def medallion(spark, tmp_path):
     marts.run_medallion(spark, str(tmp_path / "in"), str(tmp_path / "lake"), str(tmp_path / "cp")).awaitTermination()
-    return marts.Medallion(str(tmp_path / "lake"))
+    return str(tmp_path / "lake")
 
 
 def test_refresh_takes_corrections_and_moves_between_days(spark, tmp_path):
@@ -56,8 +56,8 @@ def test_refresh_takes_corrections_and_moves_between_days(spark, tmp_path):
 
 def test_refresh_twice_changes_nothing(spark, tmp_path):
     rows = [("1", "A", dt.datetime(2024, 1, 1), 1.0, "c", "m", "x", "US", "online", False, dt.datetime(2024, 2, 1))]
-    batch = spark.createDataFrame(rows, marts.TYPED_SCHEMA)
-    m = marts.Medallion(str(tmp_path / "lake"))
+    batch = spark.createDataFrame(rows, marts.TRANSACTIONS.typed_schema)
+    m = str(tmp_path / "lake")
     marts.refresh(batch, m)
     before = sorted(map(str, marts.read_silver(spark, m).collect()))
     marts.refresh(batch, m)
@@ -101,3 +101,22 @@ def test_index_refresh_finds_new_articles(spark, tmp_path):
     hits = search.search(search.read_index(spark, str(tmp_path / "i")), q, 5, ["ticker"]).orderBy("rank").collect()
     assert [h["news_id"] for h in hits] == ["2", "1"]
     assert spark.read.parquet(str(tmp_path / "i" / "docs")).agg(F.count("*")).first()[0] == 2
+
+
+def test_news_lane_keeps_the_newest_version(spark, tmp_path):
+    article = lambda i, day, body: {"news_id": i, "ts": f"2024-01-0{day}T00:00:00", "ticker": "A", "headline": "h", "body": body, "source": "s"}
+    run = lambda: marts.run_medallion(spark, str(tmp_path / "in"), str(tmp_path / "lake"), str(tmp_path / "cp"), marts.NEWS).awaitTermination()
+    put(tmp_path / "in", "a.json", [article("1", 1, "old"), article("2", 1, "same")])
+    run()
+    put(tmp_path / "in", "b.json", [article("1", 2, "new")])
+    run()
+    got = {(r["news_id"], r["body"], str(r["dt"])) for r in marts.read_silver(spark, str(tmp_path / "lake"), marts.NEWS).collect()}
+    assert got == {("1", "new", "2024-01-02"), ("2", "same", "2024-01-01")}
+
+
+def test_a_record_without_a_time_is_kept(spark, tmp_path):
+    put(tmp_path / "in", "a.json", [{**rec(1), "ts": "never"}, rec(2)])
+    m = medallion(spark, tmp_path)
+    put(tmp_path / "in", "b.json", [rec(3)])
+    medallion(spark, tmp_path)
+    assert {r["txn_id"] for r in marts.read_silver(spark, m).collect()} == {"1", "2", "3"}
