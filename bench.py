@@ -27,7 +27,7 @@ HEADLINE = [
     "news_sentiment", "news_summary", "news_enriched", "price_vs_sentiment", "news_themes",
     "news_search", "movers_with_news", "embed_text", "similar_vectors", "similar_transactions",
     "spend_insight", "daily_brief", "metric_txn", "metric_news",
-    "stream_dedup", "stream_spend_daily", "stream_ohlc_daily", "stream_medallion",
+    "stream_dedup", "stream_spend_daily", "stream_ohlc_daily", "stream_medallion", "stream_market",
 ]
 
 

@@ -9,10 +9,8 @@ from ledgerlake.functions.scalars import joined_text, ratio, sunday0
 from ledgerlake.operators.skew import attach_group_stats
 
 
-def ohlc_daily(prices: DataFrame, source: str | None = None) -> DataFrame:
+def ohlc_daily(prices: DataFrame) -> DataFrame:
     """Open, high, low, close and volume per ticker and day; one hash aggregate."""
-    if source is not None:
-        prices = prices.where(F.col("source") == source)
     return prices.groupBy("ticker", F.to_date("ts").alias("trade_date")).agg(
         F.min_by("open", "ts").alias("open"),
         F.max("high").alias("high"),
@@ -30,8 +28,8 @@ def daily_return(daily: DataFrame) -> DataFrame:
     )
 
 
-def market_daily(prices: DataFrame, source: str | None = None) -> DataFrame:
-    return daily_return(ohlc_daily(prices, source))
+def market_daily(prices: DataFrame) -> DataFrame:
+    return daily_return(ohlc_daily(prices))
 
 
 def spend_daily(txn: DataFrame) -> DataFrame:

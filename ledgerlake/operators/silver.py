@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ledgerlake.functions.scalars import epoch_to_ntz
 
@@ -110,10 +109,12 @@ def flatten_candles(raw: DataFrame) -> DataFrame:
     )
 
 
-def silver_market(raw: DataFrame) -> DataFrame:
-    """Candles of all polls, the newest version of each (ticker, ts)."""
-    return latest_version(flatten_candles(raw), ["ticker", "ts"], ["ingested_at"])
-
+def silver_market(raw: DataFrame, source: str | None = None) -> DataFrame:
+    """Candles of all polls (or of one source), the newest version of each (ticker, ts).
 
-def schema_of(fields: list[tuple[str, str, str]]) -> T.StructType:
-    return T.StructType.fromDDL(", ".join(f"{out} {t}" for out, _, t in fields))
+    A daily backfill and the live feed may cover the same day, which then counts volume twice;
+    `source` restricts the table to one of them.
+    """
+    if source is not None:
+        raw = raw.where(F.col("source") == source)
+    return latest_version(flatten_candles(raw), ["ticker", "ts"], ["ingested_at"])

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # A key is hot when it holds more than 1 / HOT_SHARE of all rows; so fewer than
@@ -13,10 +13,6 @@ HOT_SHARE = 1000
 _SPREAD = 1 << 20
 
 
-def _same(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
-    return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[k]) for k in keys])
-
-
 def attach_group_stats(
     rows: DataFrame, stats: DataFrame, keys: list[str], count_col: str, spread_by: str
 ) -> DataFrame:

@@ -35,6 +35,13 @@ def test_newest_candle_wins_but_not_with_a_null(spark):
     assert [r["close"] for r in out.collect()] == [5.0, 2.0]
 
 
+def test_source_filter(spark):
+    rows = [("A", payload("A", [1.0]), "2024-01-02")]
+    both = landed(spark, rows).unionByName(landed(spark, [("A", payload("A", [2.0], (9,)), "2024-01-02")]).withColumn("source", F.lit("backfill")))
+    assert silver.silver_market(both).count() == 2
+    assert [r["close"] for r in silver.silver_market(both, "backfill").collect()] == [2.0]
+
+
 def test_empty_and_broken_payloads_are_skipped(spark):
     rows = [("A", "", "2024-01-02"), ("A", None, "2024-01-02"), ("A", "{oops", "2024-01-02"), ("A", "{}", "2024-01-02")]
     raw = landed(spark, rows)
