@@ -6,9 +6,11 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from ledgerlake.plans.queries import REGISTRY
+from oracle import sql as oracle
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+QUERIES, SQL = REGISTRY, oracle.statements()
 
 
 @pytest.fixture(scope="module")
@@ -26,6 +28,7 @@ def _plain(rows):
 
 def test_every_query_has_a_twin():
     assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(entry.queries()) and set(SQL) <= set(entry.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
