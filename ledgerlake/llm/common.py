@@ -90,10 +90,12 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return whole[at[0] : at[-1]], at - at[0]
 
 
-def _piece(raw: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _piece(
+    raw: np.ndarray, cuts: np.ndarray, fold: np.ndarray, gaps: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Hashes, starts and ends of the words of one piece; cuts: starts of texts, which part words."""
-    text = LOWER[raw]
-    space = IS_SPACE[text]
+    text = fold[raw]
+    space = gaps[raw]
     opens = ~space
     before = np.empty_like(space)
     before[:1] = True
@@ -111,11 +113,13 @@ def _piece(raw: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
     return mix((total[ends] - total[starts]) * down[starts]), starts, ends
 
 
-def words(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit hashes of all lower-cased words, and the n + 1 offsets of the texts into them.
+def words(
+    column: pa.Array, fold: np.ndarray = LOWER, gaps: np.ndarray = IS_SPACE
+) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of all folded words, and the n + 1 offsets of the texts into them.
 
-    Words are runs of bytes other than space, tab, LF, VT, FF and CR; only A-Z are lower-cased.
-    Texts are hashed whole, in pieces of a few MB that are cut at white space.
+    Words are runs of bytes outside gaps; by default gaps are space, tab, LF, VT, FF and CR, and
+    folding lower-cases A-Z only. Texts are hashed whole, in pieces of a few MB cut at gaps.
     """
     raw, at = utf8(column)
     hashes, firsts = [], []
@@ -125,16 +129,16 @@ def words(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         if end < len(raw):
             cut = at[np.searchsorted(at, end, "right") - 1]  # a text's start, if there is one in reach
             if cut <= done:
-                gaps = np.flatnonzero(IS_SPACE[raw[done:end]])
+                gaps = np.flatnonzero(gaps[raw[done:end]])
                 if len(gaps):
                     cut = done + gaps[-1] + 1
                 else:  # one word longer than a piece
-                    rest = np.flatnonzero(IS_SPACE[raw[end:]])
+                    rest = np.flatnonzero(gaps[raw[end:]])
                     stop = int(at[np.searchsorted(at, done, "right")])
                     cut = min(stop, end + rest[0] + 1) if len(rest) else stop
             end = int(cut)
         inside = at[(at >= done) & (at < end)] - done
-        found, starts, _ = _piece(raw[done:end], inside)
+        found, starts, _ = _piece(raw[done:end], inside, fold, gaps)
         hashes.append(found)
         firsts.append(starts + done)
         done = end
@@ -143,6 +147,30 @@ def words(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(hashes), np.searchsorted(np.concatenate(firsts), at)
 
 
+def hashes_of(listed: list[str], **how) -> np.ndarray:
+    """Sorted hashes of single words, as words() gives them."""
+    return np.unique(words(pa.array(listed), **how)[0])
+
+
+def within(values: np.ndarray, listed: np.ndarray) -> np.ndarray:
+    """Which values are in a sorted list."""
+    if not len(listed):
+        return np.zeros(len(values), bool)
+    return listed[np.minimum(np.searchsorted(listed, values), len(listed) - 1)] == values
+
+
+def pieces(column: pa.Array, size: int = PIECE_BYTES) -> Iterator[pa.Array]:
+    """Runs of whole texts of about size bytes."""
+    if isinstance(column, pa.ChunkedArray):
+        column = column.combine_chunks()
+    _, at = utf8(column)
+    a = 0
+    while a < len(column):
+        b = max(a + 1, int(np.searchsorted(at, at[a] + size, "right")) - 1)
+        yield column.slice(a, b - a)
+        a = b
+
+
 def ngrams(word_hashes: np.ndarray, n: int) -> np.ndarray:
     """Hashes of the n-word windows of one text's words."""
     if len(word_hashes) < n:

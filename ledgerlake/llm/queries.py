@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from ledgerlake.llm import jaccard
+from ledgerlake.llm import jaccard, toxicity
 
 QUERIES = {
+    "op1_toxicity": toxicity.op1_toxicity,
     "op8_ngram_jaccard_join": jaccard.op8_ngram_jaccard_join,
 }
 
