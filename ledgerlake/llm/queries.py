@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from ledgerlake.llm import jaccard, toxicity
+from ledgerlake.llm import decontaminate, jaccard, toxicity
 
 QUERIES = {
     "op1_toxicity": toxicity.op1_toxicity,
+    "op7_decontamination": decontaminate.op7_decontamination,
     "op8_ngram_jaccard_join": jaccard.op8_ngram_jaccard_join,
 }
 
