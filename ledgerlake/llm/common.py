@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ledgerlake.session import scratch_dir
 
 SPACES = b"\x20\x09\x0a\x0b\x0c\x0d"
-PIECE_BYTES = 4 << 20  # text hashed at once by one task; bounds the numpy temporaries
+PIECE_BYTES = 1 << 20  # text hashed at once by one task; bounds the numpy temporaries
 MASK = 0xFFFFFFFFFFFFFFFF
 
 
@@ -190,9 +190,34 @@ def shingle_set(word_hashes: np.ndarray, n: int) -> np.ndarray:
 
 
 def per_text(column: pa.Array) -> Iterator[np.ndarray]:
-    found, at = words(column)
-    for a, b in zip(at[:-1], at[1:]):
-        yield found[a:b]
+    """The word hashes of each text, hashed piece by piece."""
+    for piece in pieces(column):
+        found, at = words(piece)
+        for a, b in zip(at[:-1], at[1:]):
+            yield found[a:b]
+
+
+def runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
+    """Groups of a partition that is sorted by keys, whole even where batches part them."""
+    held: list[pa.RecordBatch] = []
+    last = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        columns = [batch.column(k).to_numpy(zero_copy_only=False) for k in keys]
+        change = np.zeros(batch.num_rows, bool)
+        for c in columns:
+            change[1:] |= c[1:] != c[:-1]
+        cuts = [0, *np.flatnonzero(change), batch.num_rows]
+        for a, b in zip(cuts[:-1], cuts[1:]):
+            own = tuple(c[a] for c in columns)
+            if held and own != last:
+                yield pa.Table.from_batches(held)
+                held = []
+            held.append(batch.slice(a, b - a))
+            last = own
+    if held:
+        yield pa.Table.from_batches(held)
 
 
 def components(nodes: DataFrame, edges: DataFrame, rounds: int = 60) -> DataFrame:

@@ -32,12 +32,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import components, per_text, shingle_set, small, stored
+from ledgerlake.llm.common import components, per_text, pieces, runs, shingle_set, small, stored, within
 
 GROUPS = 64
 LEAF = 16
 BLOCK = 1024
-HEAVY_SHARE = 256  # a shingle in more than 1/256 of a batch's texts goes last in the order
+HEAVY_SHARE = 1024  # a shingle in more than 1/1024 of a batch's texts goes last in the order
 
 
 def read_sets(docs: DataFrame, n: int) -> DataFrame:
@@ -47,7 +47,7 @@ def read_sets(docs: DataFrame, n: int) -> DataFrame:
         for batch in batches:
             sets = [shingle_set(w, n) for w in per_text(batch.column(1))]
             rows = len(sets)
-            least = max(8, rows // HEAVY_SHARE)
+            least = max(4, rows // HEAVY_SHARE)
             found, times = np.unique(np.concatenate(sets), return_counts=True) if rows else (np.zeros(0, np.uint64),) * 2
             heavy = times >= least
             out = pa.RecordBatch.from_arrays(
@@ -73,103 +73,111 @@ def read_sets(docs: DataFrame, n: int) -> DataFrame:
 
 
 def read_prefixes(docs: DataFrame, n: int, percent: int, heavy: np.ndarray) -> DataFrame:
-    """(node, size, point, keys): once for each distinct set of a batch, under its smallest id."""
+    """(node, size, point, keys): once for each distinct set of a piece, under its smallest id."""
     known = docs.sparkSession.sparkContext.broadcast(np.sort(heavy))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last = known.value
         for batch in batches:
-            ids = batch.column(0).cast(pa.int64()).to_pylist()
-            seen: dict[bytes, int] = {}
-            sets: dict[bytes, np.ndarray] = {}
-            for i, s in zip(ids, per_text(batch.column(1))):
-                if i is None or not len(s):
-                    continue
-                s = shingle_set(s, n)
-                digest = hashlib.blake2b(s.tobytes(), digest_size=16).digest()
-                if digest not in seen:
-                    sets[digest] = s
-                seen[digest] = min(i, seen.get(digest, i))
-            keys, points, sizes = [], [], []
-            for digest, s in sets.items():
-                late = np.zeros(len(s), bool)
-                if len(last):
-                    at = np.minimum(np.searchsorted(last, s), len(last) - 1)
-                    late = last[at] == s
-                order = np.concatenate([s[~late], s[late]])  # s is sorted, so both parts are
-                keep = len(s) - -(-percent * len(s) // 100) + 1
-                keys.append(order[:keep].view(np.int64))
-                points.append(pack(np.bincount((s >> np.uint64(20)).astype(np.int64) % GROUPS, minlength=GROUPS)))
-                sizes.append(len(s))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([seen[d] for d in sets], pa.int64()), pa.array(sizes, pa.int64()),
-                    pa.array(points, pa.binary()), pa.array(keys, pa.list_(pa.int64())),
-                ],
-                names=["node", "size", "point", "keys"],
-            )
+            at = 0
+            for piece in pieces(batch.column(1)):
+                ids = batch.column(0).slice(at, len(piece)).cast(pa.int64()).to_pylist()
+                at += len(piece)
+                yield _prefixes(ids, [shingle_set(w, n) for w in per_text(piece)], percent, known.value)
 
     return docs.mapInArrow(scan, "node long, size long, point binary, keys array<long>")
 
 
+def _prefixes(ids: list, sets: list[np.ndarray], percent: int, heavy: np.ndarray) -> pa.RecordBatch:
+    seen: dict[bytes, int] = {}
+    distinct: dict[bytes, np.ndarray] = {}
+    for i, s in zip(ids, sets):
+        if i is not None and len(s):
+            digest = s.tobytes()
+            distinct.setdefault(digest, s)
+            seen[digest] = min(i, seen.get(digest, i))
+    keys, points = [], []
+    for s in distinct.values():
+        late = within(s, heavy)
+        order = np.concatenate([s[~late], s[late]])  # s is sorted, so both parts are
+        keys.append(order[: len(s) - -(-percent * len(s) // 100) + 1].view(np.int64))
+        points.append(pack(np.bincount((s >> np.uint64(20)).astype(np.int64) % GROUPS, minlength=GROUPS)))
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array(seen.values(), pa.int64()), pa.array([len(s) for s in distinct.values()], pa.int64()),
+            pa.array(points, pa.binary()), pa.array(keys, pa.list_(pa.int64())),
+        ],
+        names=["node", "size", "point", "keys"],
+    )
+
+
 def pack(counts: np.ndarray) -> bytes:
     return counts.astype(np.uint8 if counts.max(initial=0) < 256 else np.uint32).tobytes()
 
 
 def unpack(points: list[bytes]) -> np.ndarray:
-    return np.array([np.frombuffer(p, np.uint8 if len(p) == GROUPS else np.uint32) for p in points], np.int64).reshape(
-        len(points), GROUPS
-    )
+    out = np.zeros((len(points), GROUPS), np.int32)
+    for row, p in zip(out, points):
+        row[:] = np.frombuffer(p, np.uint8 if len(p) == GROUPS else np.uint32)
+    return out
 
 
 class Tree:
-    """A packed R-tree: points sorted by size and first coordinates, leaves of LEAF points."""
+    """A packed R-tree: points sorted by size and first coordinates, LEAF of them below a node."""
 
     def __init__(self, sizes: np.ndarray, points: np.ndarray):
-        self.order = np.lexsort((points[:, 2], points[:, 1], points[:, 0], sizes))
-        self.sizes, self.points = sizes[self.order], points[self.order]
-        self.levels = []
-        corner, least, most = self.points, self.sizes, self.sizes
-        while len(corner) > 1:
+        self.order = np.lexsort((points[:, 1], points[:, 0], sizes))
+        corner, least, most = points[self.order], sizes[self.order], sizes[self.order]
+        self.levels = [(corner, least, most)]
+        while len(corner) > LEAF:
             cuts = np.arange(0, len(corner), LEAF)
             corner = np.maximum.reduceat(corner, cuts)
             least, most = np.minimum.reduceat(least, cuts), np.maximum.reduceat(most, cuts)
             self.levels.append((corner, least, most))
 
-    def search(self, size: int, point: np.ndarray, percent: int) -> np.ndarray:
-        """Positions of the points whose sets may reach the Jaccard with this one."""
-        at = np.zeros(1, np.int64) if self.levels else np.arange(len(self.sizes))
-        for depth in range(len(self.levels) - 1, -1, -1):
-            corner, least, most = (x[at] for x in self.levels[depth])
-            fits = (100 * most >= percent * size) & (percent * least <= 100 * size)
-            bound = np.minimum(corner, point).sum(axis=1)
-            at = at[fits & ((100 + percent) * bound >= percent * (size + np.maximum(least, -(-percent * size // 100))))]
-            below = len(self.levels[depth - 1][0]) if depth else len(self.sizes)
-            at = (at[:, None] * LEAF + np.arange(LEAF)).ravel()
-            at = at[at < below]
-        bound = np.minimum(self.points[at], point).sum(axis=1)
-        return self.order[at[(100 + percent) * bound >= percent * (size + self.sizes[at])]]
+    def search(self, sizes: np.ndarray, points: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+        """(query, point) positions of all pairs whose bound allows the Jaccard, level by level."""
+        found = []
+        for first in range(0, len(sizes), 512):
+            q = np.arange(first, min(first + 512, len(sizes)))
+            at = np.arange(len(self.levels[-1][1]))
+            q, at = np.repeat(q, len(at)), np.tile(at, len(q))
+            for depth in range(len(self.levels) - 1, -1, -1):
+                corner, least, most = self.levels[depth]
+                low = np.maximum(least[at], -(-percent * sizes[q] // 100))
+                fits = (low <= most[at]) & (percent * low <= 100 * sizes[q])
+                q, at, low = q[fits], at[fits], low[fits]
+                fits = np.zeros(len(q), bool)
+                for a in range(0, len(q), 1 << 15):
+                    part = slice(a, a + (1 << 15))
+                    bound = np.minimum(corner[at[part]], points[q[part]]).sum(axis=1)
+                    fits[part] = (100 + percent) * bound >= percent * (sizes[q[part]] + low[part])
+                q, at = q[fits], at[fits]
+                if depth:
+                    q, at = np.repeat(q, LEAF), (at[:, None] * LEAF + np.arange(LEAF)).ravel()
+                    inside = at < len(self.levels[depth - 1][1])
+                    q, at = q[inside], at[inside]
+            found.append((q, self.order[at]))
+        return tuple(np.concatenate(x) for x in zip(*found)) if found else (np.zeros(0, np.int64),) * 2
 
 
 def block_pairs(percent: int):
     """Pairs of different components within a pair of blocks that pass the bound."""
 
-    def join(group: pd.DataFrame) -> pd.DataFrame:
-        left, right = group[group.side == 0], group[group.side == 1]
-        if right.empty:
-            right = left
-        tree = Tree(right["size"].to_numpy(), unpack(right.point.tolist()))
-        ids, roots = right.node.to_numpy(), right.root.to_numpy()
-        a, b = [], []
-        points = unpack(left.point.tolist())
-        for i, r, s, p in zip(left.node, left.root, left["size"], points):
-            hit = tree.search(s, p, percent)
-            hit = hit[roots[hit] != r]
-            a.append(np.full(len(hit), i))
-            b.append(ids[hit])
-        a = np.concatenate(a) if a else np.zeros(0, np.int64)
-        b = np.concatenate(b) if b else np.zeros(0, np.int64)
-        return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)}).drop_duplicates()
+    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in runs(batches, ["key", "i", "j"]):
+            left = group["side"].to_numpy() == 0
+            node, root, size = (group[c].to_numpy() for c in ("node", "root", "size"))
+            if len(node) < 2 or (root == root[0]).all():
+                continue
+            points = unpack(group["point"].to_pylist())
+            right = ~left if (~left).any() else left
+            tree = Tree(size[right], points[right])
+            q, p = tree.search(size[left], points[left], percent)
+            other = root[left][q] != root[right][p]
+            a, b = node[left][q[other]], node[right][p[other]]
+            pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1)
+            if pairs.size:
+                yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], names=["a", "b"])
 
     return join
 
@@ -177,14 +185,14 @@ def block_pairs(percent: int):
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose exact sets reach the Jaccard."""
 
-    @F.pandas_udf("boolean")
-    def reaches(x: pd.Series, y: pd.Series) -> pd.Series:
+    @F.arrow_udf("boolean")
+    def reaches(x: pa.Array, y: pa.Array) -> pa.Array:
         out = []
         for p, q in zip(x, y):
-            p, q = np.frombuffer(p, np.uint64), np.frombuffer(q, np.uint64)
-            both = len(np.intersect1d(p, q, assume_unique=True))
+            p, q = np.frombuffer(p.as_buffer(), np.uint64), np.frombuffer(q.as_buffer(), np.uint64)
+            both = int(within(p, q).sum())
             out.append((100 + percent) * both >= percent * (len(p) + len(q)))
-        return pd.Series(out, dtype=bool)
+        return pa.array(out, pa.bool_())
 
     left = sets.select(F.col("id").alias("a"), F.col("set").alias("set_a"))
     right = sets.select(F.col("id").alias("b"), F.col("set").alias("set_b"))
@@ -196,13 +204,12 @@ def sets_of(docs: DataFrame, ids: DataFrame, n: int) -> DataFrame:
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0).cast(pa.int64()),
-                    pa.array([shingle_set(w, n).tobytes() for w in per_text(batch.column(1))], pa.binary()),
-                ],
-                names=["id", "set"],
-            )
+            at = 0
+            for piece in pieces(batch.column(1)):
+                own = batch.column(0).slice(at, len(piece)).cast(pa.int64())
+                at += len(piece)
+                sets = [shingle_set(w, n).tobytes() for w in per_text(piece)]
+                yield pa.RecordBatch.from_arrays([own, pa.array(sets, pa.binary())], names=["id", "set"])
 
     ids = stored(ids.select(F.col("id").alias("id")).distinct(), "ids")
     return docs.join(small(ids, ids.count(), 16), "id", "left_semi").mapInArrow(scan, "id long, set binary")
@@ -268,7 +275,8 @@ def jaccard_components(
         "key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
         (F.col("own") > F.col("other")).cast("int").alias("side"), "node", "root", "size", "point",
     )
-    pairs = dealt.groupBy("key", "i", "j").applyInPandas(block_pairs(percent), "a long, b long").distinct()
+    dealt = dealt.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+    pairs = dealt.mapInArrow(block_pairs(percent), "a long, b long").distinct()
     pairs = stored(pairs, "pairs")
     ends = pairs.select(F.explode(F.array("a", "b")).alias("id"))
     more = stored(verified(pairs, sets_of(docs, ends, n), percent), "links")
