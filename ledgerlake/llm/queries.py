@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from ledgerlake.llm import decontaminate, jaccard, toxicity
+from ledgerlake.llm import bpe, decontaminate, jaccard, toxicity
 
 QUERIES = {
     "op1_toxicity": toxicity.op1_toxicity,
     "op7_decontamination": decontaminate.op7_decontamination,
     "op8_ngram_jaccard_join": jaccard.op8_ngram_jaccard_join,
+    "op9_bpe": bpe.op9_bpe,
 }
 
 ORACLE_SQL = {
