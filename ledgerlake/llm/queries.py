@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from ledgerlake.llm import bpe, decontaminate, jaccard, toxicity
+from ledgerlake.llm import bpe, decontaminate, jaccard, pii, toxicity
 
 QUERIES = {
     "op1_toxicity": toxicity.op1_toxicity,
+    "op2_pii": pii.op2_pii,
     "op7_decontamination": decontaminate.op7_decontamination,
     "op8_ngram_jaccard_join": jaccard.op8_ngram_jaccard_join,
     "op9_bpe": bpe.op9_bpe,
