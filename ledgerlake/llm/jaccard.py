@@ -5,7 +5,7 @@ the sum of coordinate minima bounds the overlap of the sets from above, and so d
 minima against a node's upper corner for all points below the node. Survivors are verified on the
 exact sets.
 
-In 64 dimensions the boxes of unrelated texts all overlap, so one tree over the corpus would
+In so many dimensions the boxes of unrelated texts all overlap, so one tree over the corpus would
 compare every point with every leaf. The points are therefore dealt out first: under one order of
 all shingles (frequent ones last), two sets with a Jaccard of t share a shingle among the first
 n - ceil(t n) + 1 of each. Texts that share such a shingle form a bucket, and a packed R-tree is
@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from ledgerlake.llm.common import components, per_text, pieces, runs, shingle_set, small, stored, within
 
-GROUPS = 64
+GROUPS = 256
 LEAF = 16
 BLOCK = 1024
 HEAVY_SHARE = 1024  # a shingle in more than 1/1024 of a batch's texts goes last in the order
@@ -115,10 +115,9 @@ def pack(counts: np.ndarray) -> bytes:
 
 
 def unpack(points: list[bytes]) -> np.ndarray:
-    out = np.zeros((len(points), GROUPS), np.int32)
-    for row, p in zip(out, points):
-        row[:] = np.frombuffer(p, np.uint8 if len(p) == GROUPS else np.uint32)
-    return out
+    if all(len(p) == GROUPS for p in points):
+        return np.frombuffer(b"".join(points), np.uint8).reshape(len(points), GROUPS)
+    return np.array([np.frombuffer(p, np.uint8 if len(p) == GROUPS else np.uint32) for p in points], np.uint32)
 
 
 class Tree:
@@ -147,9 +146,9 @@ class Tree:
                 fits = (low <= most[at]) & (percent * low <= 100 * sizes[q])
                 q, at, low = q[fits], at[fits], low[fits]
                 fits = np.zeros(len(q), bool)
-                for a in range(0, len(q), 1 << 15):
-                    part = slice(a, a + (1 << 15))
-                    bound = np.minimum(corner[at[part]], points[q[part]]).sum(axis=1)
+                for a in range(0, len(q), 1 << 13):
+                    part = slice(a, a + (1 << 13))
+                    bound = np.minimum(corner[at[part]], points[q[part]]).sum(axis=1, dtype=np.int64)
                     fits[part] = (100 + percent) * bound >= percent * (sizes[q[part]] + low[part])
                 q, at = q[fits], at[fits]
                 if depth:
@@ -293,7 +292,7 @@ def within_bound(pairs: DataFrame, points: DataFrame, percent: int) -> DataFrame
 
     @F.pandas_udf("boolean")
     def allows(sa: pd.Series, pa_: pd.Series, sb: pd.Series, pb: pd.Series) -> pd.Series:
-        bound = np.minimum(unpack(pa_.tolist()), unpack(pb.tolist())).sum(axis=1)
+        bound = np.minimum(unpack(pa_.tolist()), unpack(pb.tolist())).sum(axis=1, dtype=np.int64)
         return pd.Series((100 + percent) * bound >= percent * (sa.to_numpy() + sb.to_numpy()))
 
     points = points.dropDuplicates(["node", "point"])
