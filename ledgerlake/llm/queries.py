@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ledgerlake.llm import bpe, decontaminate, jaccard, pii, toxicity
+from ledgerlake.llm import ann, bpe, decontaminate, jaccard, pii, toxicity
 
 QUERIES = {
     "op1_toxicity": toxicity.op1_toxicity,
@@ -10,6 +10,7 @@ QUERIES = {
     "op7_decontamination": decontaminate.op7_decontamination,
     "op8_ngram_jaccard_join": jaccard.op8_ngram_jaccard_join,
     "op9_bpe": bpe.op9_bpe,
+    "op10_ann": ann.op10_ann,
 }
 
 ORACLE_SQL = {
