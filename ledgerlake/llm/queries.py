@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from ledgerlake.llm import ann, bpe, decontaminate, jaccard, pii, toxicity, warc
+from ledgerlake.llm import ann, bpe, decontaminate, jaccard, lm, pii, toxicity, warc
 
 QUERIES = {
     "op1_toxicity": toxicity.op1_toxicity,
     "op2_pii": pii.op2_pii,
     "op5_warc": warc.op5_warc,
+    "op6_lm_scores": lm.op6_lm_scores,
     "op7_decontamination": decontaminate.op7_decontamination,
     "op8_ngram_jaccard_join": jaccard.op8_ngram_jaccard_join,
     "op9_bpe": bpe.op9_bpe,
