@@ -8,13 +8,15 @@ exact sets.
 In so many dimensions the boxes of unrelated texts all overlap, so one tree over the corpus would
 compare every point with every leaf. The points are therefore dealt out first: under one order of
 all shingles (frequent ones last), two sets with a Jaccard of t share a shingle among the first
-n - ceil(t n) + 1 of each. Texts that share such a shingle form a bucket, and a packed R-tree is
-searched in each bucket. No link is lost by it.
+n - ceil(t n) + 1 of each. Texts that share such a shingle form a bucket; the buckets with one
+smallest id form a family, and a packed R-tree is searched in each family. No link is lost by it.
 
-Copies: equal sets collapse to one representative before anything is paired. Near copies: first
-each text of a bucket is verified against the bucket's smallest id only; pairs that already are in
-one component are never formed afterwards. What is left of a large bucket is cut into blocks of at
-most BLOCK texts, and each pair of blocks is one small group.
+Copies: equal sets collapse to one representative before anything is paired. Near copies are
+linked in three rounds, each followed by components: every text with its family's smallest id, then
+with the neighbour outside its component that has the best bound, at last all pairs of different
+components that pass the bound. Nodes of the tree whose points are all in the query's component are
+cut, so pairs within a component are never formed. A large family is cut into blocks of about BLOCK
+texts, and each pair of blocks is one small group.
 
 Defined cases: null and empty texts have no shingles and link with nothing; a text under five
 words is one shingle; rows without an id link with nothing and have a null component; rows that
@@ -121,62 +123,71 @@ def unpack(points: list[bytes]) -> np.ndarray:
 
 
 class Tree:
-    """A packed R-tree: points sorted by size and first coordinates, LEAF of them below a node."""
-
-    def __init__(self, sizes: np.ndarray, points: np.ndarray):
-        self.order = np.lexsort((points[:, 1], points[:, 0], sizes))
-        corner, least, most = points[self.order], sizes[self.order], sizes[self.order]
-        self.levels = [(corner, least, most)]
-        while len(corner) > LEAF:
-            cuts = np.arange(0, len(corner), LEAF)
-            corner = np.maximum.reduceat(corner, cuts)
-            least, most = np.minimum.reduceat(least, cuts), np.maximum.reduceat(most, cuts)
-            self.levels.append((corner, least, most))
-
-    def search(self, sizes: np.ndarray, points: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
-        """(query, point) positions of all pairs whose bound allows the Jaccard, level by level."""
-        found = []
+    """A packed R-tree: points sorted by component and size, LEAF of them below a node."""
+
+    def __init__(self, roots: np.ndarray, sizes: np.ndarray, points: np.ndarray):
+        self.order = np.lexsort((points[:, 0], sizes, roots))
+        level = [x[self.order] for x in (points, sizes, sizes, roots, roots)]
+        self.levels = [level]
+        while len(level[0]) > LEAF:
+            cuts = np.arange(0, len(level[0]), LEAF)
+            most, least = np.maximum.reduceat, np.minimum.reduceat
+            level = [f(x, cuts) for f, x in zip((most, least, most, least, most), level)]
+            self.levels.append(level)
+
+    def search(self, roots: np.ndarray, sizes: np.ndarray, points: np.ndarray, percent: int):
+        """(query, point, bound) of all pairs of two components whose bound allows the Jaccard, level by level."""
         for first in range(0, len(sizes), 512):
             q = np.arange(first, min(first + 512, len(sizes)))
-            at = np.arange(len(self.levels[-1][1]))
+            at = np.arange(len(self.levels[-1][0]))
             q, at = np.repeat(q, len(at)), np.tile(at, len(q))
             for depth in range(len(self.levels) - 1, -1, -1):
-                corner, least, most = self.levels[depth]
+                corner, least, most, root_low, root_high = self.levels[depth]
                 low = np.maximum(least[at], -(-percent * sizes[q] // 100))
                 fits = (low <= most[at]) & (percent * low <= 100 * sizes[q])
+                fits &= (root_low[at] != roots[q]) | (root_high[at] != roots[q])
                 q, at, low = q[fits], at[fits], low[fits]
-                fits = np.zeros(len(q), bool)
+                bound = np.zeros(len(q), np.int64)
                 for a in range(0, len(q), 1 << 13):
                     part = slice(a, a + (1 << 13))
-                    bound = np.minimum(corner[at[part]], points[q[part]]).sum(axis=1, dtype=np.int64)
-                    fits[part] = (100 + percent) * bound >= percent * (sizes[q[part]] + low[part])
-                q, at = q[fits], at[fits]
+                    bound[part] = np.minimum(corner[at[part]], points[q[part]]).sum(axis=1, dtype=np.int64)
+                fits = (100 + percent) * bound >= percent * (sizes[q] + low)
+                q, at, bound = q[fits], at[fits], bound[fits]
                 if depth:
                     q, at = np.repeat(q, LEAF), (at[:, None] * LEAF + np.arange(LEAF)).ravel()
-                    inside = at < len(self.levels[depth - 1][1])
+                    inside = at < len(self.levels[depth - 1][0])
                     q, at = q[inside], at[inside]
-            found.append((q, self.order[at]))
-        return tuple(np.concatenate(x) for x in zip(*found)) if found else (np.zeros(0, np.int64),) * 2
+            yield q, self.order[at], bound
 
 
-def block_pairs(percent: int):
-    """Pairs of different components within a pair of blocks that pass the bound."""
+def block_pairs(percent: int, best: bool):
+    """Pairs (a, b, bound) of different components in a pair of blocks that pass the bound.
+
+    With best, only the one with the highest share for each text (a).
+    """
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for group in runs(batches, ["key", "i", "j"]):
+        for group in runs(batches, ["low", "i", "j"]):
             left = group["side"].to_numpy() == 0
             node, root, size = (group[c].to_numpy() for c in ("node", "root", "size"))
             if len(node) < 2 or (root == root[0]).all():
                 continue
             points = unpack(group["point"].to_pylist())
             right = ~left if (~left).any() else left
-            tree = Tree(size[right], points[right])
-            q, p = tree.search(size[left], points[left], percent)
-            other = root[left][q] != root[right][p]
-            a, b = node[left][q[other]], node[right][p[other]]
-            pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1)
-            if pairs.size:
-                yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], names=["a", "b"])
+            tree = Tree(root[right], size[right], points[right])
+            for q, p, bound in tree.search(root[left], size[left], points[left], percent):
+                a, b = node[left][q], node[right][p]
+                share = bound / (size[left][q] + size[right][p])
+                if best:
+                    if right is not left:
+                        a, b, share = np.concatenate([a, b]), np.concatenate([b, a]), np.concatenate([share, share])
+                    order = np.lexsort((b, -share, a))
+                    top = order[np.unique(a[order], return_index=True)[1]]
+                    a, b, share = a[top], b[top], share[top]
+                elif right is left:
+                    a, b, share = a[a < b], b[a < b], share[a < b]
+                if len(a):
+                    yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(share)], names=["a", "b", "share"])
 
     return join
 
@@ -244,47 +255,54 @@ def jaccard_components(
         .where("low != high")
         .groupBy("low", "high", "times", "members").agg(F.min("key").alias("key"))
     )
-    buckets = stored(buckets.select("key"), "buckets")
-    shared = entries.join(small(buckets, buckets.count(), 24), "key")
-    shared = shared.join(reps.select(F.col("id").alias("node"), F.col("rep")), "node")
-    shared = stored(shared.select("key", F.col("rep").alias("node")).distinct(), "shared")
-    centers = shared.groupBy("key").agg(F.min("node").alias("center"))
-    stars = shared.join(centers, "key").where("node != center").groupBy("node").agg(F.min("center").alias("center"))
-    stars = stored(stars.select(F.col("center").alias("a"), F.col("node").alias("b")), "stars")
-
-    points = prefixes.select("node", "size", "point")
-    bounded = within_bound(stars, points, percent)
-    bounded = stored(bounded, "bounded")
-    ends = bounded.select(F.explode(F.array("a", "b")).alias("id"))
-    links = stored(verified(bounded, sets_of(docs, ends, n), percent), "links")
+    buckets = stored(buckets.select("key", "low"), "buckets")
+    family = entries.join(small(buckets, buckets.count(), 32), "key").select("low", "node").distinct()
+    at_node = reps.select(F.col("id").alias("node"), F.col("rep"))
+    at_low = reps.select(F.col("id").alias("low"), F.col("rep").alias("center"))
+    family = family.join(at_node, "node").join(at_low, "low").select(F.col("center").alias("low"), F.col("rep").alias("node"))
+    points = prefixes.select("node", "size", "point").dropDuplicates(["node", "point"])
+    family = stored(family.distinct().join(points, "node"), "family")
+
+    stars = family.where("low != node").select(F.col("low").alias("a"), F.col("node").alias("b"))
+    links = checked(docs, stored(within_bound(stars, points, percent), "bounded"), n, percent)
+    for best in (True, False):
+        found = stored(pairs_between(family, links, percent, best), "pairs")
+        links = links.unionByName(checked(docs, found, n, percent))
+
     copies = reps.where("id != rep").select(F.col("rep").alias("a"), F.col("id").alias("b"))
+    roots = components(named.select("id").distinct(), copies.unionByName(links))
+    return rows.join(roots, "id", "left").select(
+        "id", "n_shingles", F.coalesce("root", "id").alias("component_id")
+    )
+
+
+def checked(docs: DataFrame, pairs: DataFrame, n: int, percent: int) -> DataFrame:
+    """The pairs that are links, by their exact sets."""
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("id"))
+    return stored(verified(pairs, stored(sets_of(docs, ends, n), "ends"), percent), "links")
+
 
-    # Only texts whose components still differ within a bucket are paired.
-    nodes = shared.select(F.col("node").alias("id")).distinct()
+def pairs_between(family: DataFrame, links: DataFrame, percent: int, best: bool) -> DataFrame:
+    """Pairs (a, b) of one family but two components that pass the bound; with best, one for each text."""
+    nodes = family.select(F.col("node").alias("id")).distinct()
     roots = stored(components(nodes, links), "roots")
-    open_ = shared.join(roots.withColumnRenamed("id", "node"), "node")
+    open_ = family.join(roots.withColumnRenamed("id", "node"), "node")
     mixed = (
-        open_.groupBy("key").agg(F.min("root").alias("r0"), F.max("root").alias("r1"), F.count("*").alias("n"))
-        .where("r0 != r1").select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
+        open_.groupBy("low").agg(F.min("root").alias("r0"), F.max("root").alias("r1"), F.count("*").alias("n"))
+        .where("r0 != r1").select("low", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
     )
-    open_ = open_.join(mixed, "key").join(points.dropDuplicates(["node", "point"]), "node")
+    open_ = open_.join(mixed, "low")
     own = F.pmod(F.xxhash64("node", F.lit(7)), F.col("blocks").cast("long")).cast("int")
     open_ = open_.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     dealt = open_.select(
-        "key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
+        "low", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
         (F.col("own") > F.col("other")).cast("int").alias("side"), "node", "root", "size", "point",
     )
-    dealt = dealt.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-    pairs = dealt.mapInArrow(block_pairs(percent), "a long, b long").distinct()
-    pairs = stored(pairs, "pairs")
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("id"))
-    more = stored(verified(pairs, sets_of(docs, ends, n), percent), "links")
-
-    everyone = named.select("id").distinct()
-    roots = components(everyone, copies.unionByName(links).unionByName(more))
-    return rows.join(roots, "id", "left").select(
-        "id", "n_shingles", F.coalesce("root", "id").alias("component_id")
-    )
+    dealt = dealt.repartition("low", "i", "j").sortWithinPartitions("low", "i", "j")
+    pairs = dealt.mapInArrow(block_pairs(percent, best), "a long, b long, share double")
+    if best:
+        pairs = pairs.groupBy("a").agg(F.max_by("b", F.struct("share", -F.col("b"))).alias("b"))
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def within_bound(pairs: DataFrame, points: DataFrame, percent: int) -> DataFrame:
@@ -295,7 +313,6 @@ def within_bound(pairs: DataFrame, points: DataFrame, percent: int) -> DataFrame
         bound = np.minimum(unpack(pa_.tolist()), unpack(pb.tolist())).sum(axis=1, dtype=np.int64)
         return pd.Series((100 + percent) * bound >= percent * (sa.to_numpy() + sb.to_numpy()))
 
-    points = points.dropDuplicates(["node", "point"])
     left = points.select(F.col("node").alias("a"), F.col("size").alias("sa"), F.col("point").alias("pa"))
     right = points.select(F.col("node").alias("b"), F.col("size").alias("sb"), F.col("point").alias("pb"))
     return pairs.join(left, "a").join(right, "b").where(allows("sa", "pa", "sb", "pb")).select("a", "b").distinct()
