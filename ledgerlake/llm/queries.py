@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from ledgerlake.llm import ann, bpe, decontaminate, jaccard, lm, pii, toxicity, warc
+from ledgerlake.llm import ann, bpe, decontaminate, jaccard, licenses, lm, pii, tokens, toxicity, warc
 
 QUERIES = {
     "op1_toxicity": toxicity.op1_toxicity,
     "op2_pii": pii.op2_pii,
+    "op3_license_scan": licenses.op3_license_scan,
+    "op4_token_counts": tokens.op4_token_counts,
     "op5_warc": warc.op5_warc,
     "op6_lm_scores": lm.op6_lm_scores,
     "op7_decontamination": decontaminate.op7_decontamination,
