@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import itertools
 import json
+import re
 import struct
 from collections.abc import Callable
 
@@ -33,10 +34,17 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-CACHE = 400_000  # entries of a worker's caches
+CACHE = 600_000  # entries of a worker's caches
 AT_ONCE = 1 << 20  # characters whose pre-tokens are listed at once
 # Fixed value: the pre-tokenizer's pattern (white space as Unicode defines it).
-PRE_TOKENS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"
+PRE_TOKENS = (
+    r" ?\p{L}+|'(?:[stmd]|re|ve|ll)| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+"
+    r"|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"
+)
+# The same over U+0000 to U+024F, where the classes are short; most texts stay within.
+LATIN_END = "\u024f"
+_L, _N, _S = "A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\u024f", "0-9\xb2\xb3\xb9\xbc-\xbe", "\t-\r \x85\xa0"
+LATIN_PRE_TOKENS = f" ?[{_L}]+|'(?:[stmd]|re|ve|ll)| ?[{_N}]+| ?[^{_S}{_L}{_N}]+|[{_S}]+(?![^{_S}])|[{_S}]+"
 NEVER = 1 << 60
 
 
@@ -85,6 +93,8 @@ class Codec:
             self.bytes[i] = text.encode()
         self.split = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
         self.pre_tokens = regex.compile(PRE_TOKENS)
+        self.latin = re.compile(LATIN_PRE_TOKENS)
+        self.beyond = re.compile(f"[^\x00-{LATIN_END}]")
         self.cache: dict[str, bytes] = _Cache(self._encode_one)
         self.table = [self.bytes.get(i, b"") for i in range(max(self.bytes) + 1)]
 
@@ -133,9 +143,10 @@ class Codec:
             start = end - size
             if start >= 0:
                 pair = last[start] << 20 | token
-                ok = known.get(pair)
-                if ok is None:
-                    if len(known) > CACHE:
+                try:
+                    ok = known[pair]
+                except KeyError:
+                    if len(known) >= CACHE:
                         known.clear()
                     ok = known[pair] = self._borders(last[start], token)
                 if not ok:
@@ -148,10 +159,11 @@ class Codec:
         return struct.pack(f"<{len(ids)}I", *reversed(ids))
 
     def _pre(self, text: str):
+        pattern = self.pre_tokens if self.beyond.search(text) else self.latin
         if len(text) <= AT_ONCE:
-            yield self.pre_tokens.findall(text)
+            yield pattern.findall(text)
         else:
-            found = (m[0] for m in self.pre_tokens.finditer(text))
+            found = (m[0] for m in pattern.finditer(text))
             while part := list(itertools.islice(found, 100_000)):
                 yield part
 
