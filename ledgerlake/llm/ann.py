@@ -139,7 +139,7 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
         return spark.createDataFrame([], schema)
     share = min(1.0, FIT_ROWS / total)
     sample = entries.where(F.pmod(F.col("h"), F.lit(1 << 20)) < int(share * (1 << 20)) + 1).select("v").limit(2 * FIT_ROWS)
-    code = spark.sparkContext.broadcast(learn(np.array([r.v for r in sample.collect()]), k))
+    fitted = spark.sparkContext.broadcast(vars(learn(np.array([r.v for r in sample.collect()]), k)))
 
     shards = -(-total // SHARD_ROWS)
     asked = queries.withColumn("v", F.transform("v", lambda x: x + F.lit(0.0))).distinct()
@@ -153,11 +153,12 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
     def rank(ask_rows: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
         out = []
         if len(ask_rows) and len(rows):
+            code = Code(**fitted.value)
             x, ids = np.stack(rows.v.to_numpy()), rows.ids.to_list()
-            shard, balls = Shard(code.value.bits(x)), {}
+            shard, balls = Shard(code.bits(x)), {}
             vectors = np.stack(ask_rows.v.to_numpy())
-            for q, v, bits in zip(ask_rows.id, vectors, code.value.bits(vectors)):
-                radius = min(code.value.radius, len(bits))
+            for q, v, bits in zip(ask_rows.id, vectors, code.bits(vectors)):
+                radius = min(code.radius, len(bits))
                 while True:
                     near = shard.within(bits, radius, balls)
                     if len(near) > k or radius >= len(bits) or len(near) == len(x):

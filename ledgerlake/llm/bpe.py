@@ -34,6 +34,8 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerlake.llm.common import kept
+
 CACHE = 600_000  # entries of a worker's caches
 AT_ONCE = 1 << 20  # characters whose pre-tokens are listed at once
 # Fixed value: the pre-tokenizer's pattern (white space as Unicode defines it).
@@ -195,15 +197,9 @@ class _Cache(dict):
         return out
 
 
-_CODECS: dict[int, Codec] = {}
-
-
 def _codec(file: Broadcast) -> Codec:
     """One codec per worker and vocabulary."""
-    if hash(file.value) not in _CODECS:
-        _CODECS.clear()
-        _CODECS[hash(file.value)] = Codec(file.value)
-    return _CODECS[hash(file.value)]
+    return kept(f"codec-{hash(file.value)}", lambda: Codec(file.value))
 
 
 def vocabulary(spark, path: str | None = None) -> Broadcast:

@@ -6,6 +6,8 @@ of the input never clash; a null text counts as an empty one; a text is always r
 
 from __future__ import annotations
 
+import sys
+import types
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,6 +30,14 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def kept(name: str, make):
+    """One object for each name and Python worker; it outlives the task that made it."""
+    held = sys.modules.setdefault("ledgerlake_llm_kept", types.ModuleType("ledgerlake_llm_kept")).__dict__
+    if name not in held:
+        held[name] = make()
+    return held[name]
+
+
 def small(df: DataFrame, rows: int, row_bytes: int, limit: int = 32 << 20) -> DataFrame:
     """Hint a broadcast only where the counted rows times their width stay under limit bytes.
 

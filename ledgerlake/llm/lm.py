@@ -25,6 +25,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -203,7 +204,7 @@ class Model:
         return np.where(before > 0, np.minimum(np.log2(np.maximum(before, 1)).astype(np.int64) + 1, BUCKETS - 1), 0)
 
 
-def deleted_counts(joined: DataFrame, model: Model) -> DataFrame:
+def deleted_counts(joined: DataFrame, fitted: Broadcast) -> DataFrame:
     """(cell, n): histogram of the training tokens' probabilities without themselves.
 
     A cell holds the bucket and the steps of both ratios to the uniform probability, so there is a
@@ -211,6 +212,7 @@ def deleted_counts(joined: DataFrame, model: Model) -> DataFrame:
     """
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = Model(**fitted.value)
         for batch in batches:
             for row in rows_of(batch):
                 chunk = Chunk(row)
@@ -250,8 +252,9 @@ def mixture(cells: np.ndarray, n: np.ndarray) -> np.ndarray:
     return weights
 
 
-def scored(joined: DataFrame, model: Model) -> DataFrame:
+def scored(joined: DataFrame, fitted: Broadcast) -> DataFrame:
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = Model(**fitted.value)
         for batch in batches:
             for row in rows_of(batch):
                 chunk = Chunk(row)
@@ -300,13 +303,13 @@ def score_texts(documents: DataFrame, held: Column, id_col: str = "doc_id", text
     texts = docs.where("not held").count()
     pair_parts = max(1, int(seen.n * 8 / 7 / 4) // PART_ENTRIES)
     model = Model(int(seen.n), int(distinct), texts, common, (parts, pair_parts))
-    shared = documents.sparkSession.sparkContext.broadcast(model)
+    shared = documents.sparkSession.sparkContext.broadcast(vars(model))
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in rows_of(batch):
                 chunk = Chunk(row)
-                where, found = chunk.pairs(shared.value.common)
+                where, found = chunk.pairs(shared.value["common"])
                 entries, at = np.unique(found, return_inverse=True)
                 counts = np.bincount(at, weights=chunk.trains[where], minlength=len(entries)).astype(np.uint64)
                 yield from dealt(row["chunk"], entries, counts, pair_parts)
@@ -314,21 +317,9 @@ def score_texts(documents: DataFrame, held: Column, id_col: str = "doc_id", text
     needed = chunks.select("chunk", "at", "held", "tokens", "vocabulary")
     double = stored(sums(needed.mapInArrow(pairs, SLICES), 1 << 62, pair_parts), "pairs")
     joined = chunks.drop("train", "n_train").join(by_chunk(single, "singles"), "chunk").join(by_chunk(double, "pairs"), "chunk", "left")
-    cells = deleted_counts(joined, model_holder(shared)).collect()
+    cells = deleted_counts(joined, shared).collect()
     model.weights = mixture(np.array([r.cell for r in cells], np.int64), np.array([r.n for r in cells], np.float64))
-    return scored(joined, model_holder(documents.sparkSession.sparkContext.broadcast(model)))
-
-
-class model_holder:
-    """A broadcast model that reads like the model."""
-
-    def __init__(self, shared):
-        self.shared = shared
-
-    def __getattr__(self, name):
-        if name == "shared":
-            raise AttributeError(name)
-        return getattr(self.shared.value, name)
+    return scored(joined, documents.sparkSession.sparkContext.broadcast(vars(model)))
 
 
 def op6_lm_scores(spark, sf_dir: str) -> DataFrame:

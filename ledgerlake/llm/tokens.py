@@ -31,15 +31,12 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import stored
+from ledgerlake.llm.common import kept, stored
 from ledgerlake.session import scratch_dir
 
 BLOCK_IDS = 1 << 20
 FILE_IDS = 1 << 25
 SEPARATOR = 50_256  # free in the ranks below
-LONG_TEXT = 1 << 20
-
-_ENCODERS: dict[int, tiktoken.Encoding] = {}
 
 
 def ranks(spark, path: str | None = None) -> Broadcast:
@@ -49,10 +46,11 @@ def ranks(spark, path: str | None = None) -> Broadcast:
 
 
 def _encoder(file: Broadcast) -> tiktoken.Encoding:
-    if hash(file.value) not in _ENCODERS:
+    def make() -> tiktoken.Encoding:
         table = {base64.b64decode(a): int(b) for a, b in (line.split() for line in file.value.splitlines() if line)}
-        _ENCODERS[hash(file.value)] = tiktoken.Encoding("flat", pat_str=public_tokenizers.PATTERN, mergeable_ranks=table, special_tokens={})
-    return _ENCODERS[hash(file.value)]
+        return tiktoken.Encoding("flat", pat_str=public_tokenizers.PATTERN, mergeable_ranks=table, special_tokens={})
+
+    return kept(f"ranks-{hash(file.value)}", make)
 
 
 def write(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", folder: str | None = None, path: str | None = None) -> DataFrame:
