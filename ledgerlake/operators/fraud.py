@@ -8,15 +8,15 @@ from pyspark.sql import functions as F
 from ledgerlake.functions.scalars import flag, money
 
 
-def _rules(ratio_gt: float, amount_gt: float, hour_lt: int, include_label: bool) -> list[Column]:
-    rules = [
-        F.col("amt_vs_cat_avg") > ratio_gt,
-        F.col("amount") > amount_gt,
-        (F.col("channel") == "online") & (F.col("country") != "US"),
-        F.col("txn_hour") < hour_lt,
-    ]
+def _rules(ratio_gt: float, amount_gt: float, hour_lt: int, include_label: bool) -> dict[str, Column]:
+    rules = {
+        "odd": F.col("amt_vs_cat_avg") > ratio_gt,
+        "big": F.col("amount") > amount_gt,
+        "abroad": (F.col("channel") == "online") & (F.col("country") != "US"),
+        "night": F.col("txn_hour") < hour_lt,
+    }
     # The label is the answer itself; it stays in by default because the scores include it.
-    return rules + [F.col("is_fraud_label")] if include_label else rules
+    return rules | {"label": F.col("is_fraud_label")} if include_label else rules
 
 
 def rule_score(
@@ -27,7 +27,7 @@ def rule_score(
     include_label: bool = True,
 ) -> DataFrame:
     """Adds the number of rules that fire; an unknown condition does not fire."""
-    score = sum((flag(r) for r in _rules(ratio_gt, amount_gt, hour_lt, include_label)), F.lit(0))
+    score = sum((flag(r) for r in _rules(ratio_gt, amount_gt, hour_lt, include_label).values()), F.lit(0))
     return features.withColumn("rule_score", score)
 
 
@@ -48,19 +48,27 @@ def score_fraud(candidates: DataFrame, n: int = 200, min_score: int = 3) -> Data
     )
 
 
-def explain_fraud(scored: DataFrame) -> DataFrame:
-    """Suspicious rows with the rules that fired, their values and one action."""
-    big, odd = F.col("amount") > 1000, F.col("amt_vs_cat_avg") > 4
-    abroad = (F.col("channel") == "online") & (F.col("country") != "US")
-    night = F.col("txn_hour") < 5
-    why = F.concat_ws(
-        "; ",
-        F.when(odd, F.concat(money(F.round("amt_vs_cat_avg", 1), 1), F.lit("x the usual "), F.col("category"), F.lit(" spend"))),
-        F.when(big, F.concat(F.lit("amount $"), money(F.col("amount")))),
-        F.when(abroad, F.concat(F.lit("online from "), F.col("country"))),
-        F.when(night, F.concat(F.lit("at hour "), F.col("txn_hour").cast("string"))),
-        F.when(F.col("is_fraud_label"), F.lit("labelled as fraud")),
-    )
+def explain_fraud(
+    scored: DataFrame,
+    ratio_gt: float = 4,
+    amount_gt: float = 1000,
+    hour_lt: int = 5,
+    include_label: bool = True,
+) -> DataFrame:
+    """Suspicious rows with the rules that fired, their values and one action.
+
+    The parameters are those of rule_score, so a reason never names a rule that did not count.
+    """
+    fired = _rules(ratio_gt, amount_gt, hour_lt, include_label)
+    odd, big, abroad, night = (fired[k] for k in ("odd", "big", "abroad", "night"))
+    reasons = {
+        "odd": F.concat(money(F.round("amt_vs_cat_avg", 1), 1), F.lit("x the usual "), F.col("category"), F.lit(" spend")),
+        "big": F.concat(F.lit("amount $"), money(F.col("amount"))),
+        "abroad": F.concat(F.lit("online from "), F.col("country")),
+        "night": F.concat(F.lit("at hour "), F.col("txn_hour").cast("string")),
+        "label": F.lit("labelled as fraud"),
+    }
+    why = F.concat_ws("; ", *[F.when(rule, reasons[name]) for name, rule in fired.items()])
     action = (
         F.when(odd & big, "Block the card and call the cardholder.")
         .when(abroad, "Decline and ask for step-up verification.")

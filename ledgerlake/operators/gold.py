@@ -10,12 +10,15 @@ from ledgerlake.operators.skew import attach_group_stats
 
 
 def ohlc_daily(prices: DataFrame) -> DataFrame:
-    """Open, high, low, close and volume per ticker and day; one hash aggregate."""
+    """Open, high, low, close and volume per ticker and day; one hash aggregate.
+
+    At equal stamps the smallest open and the largest close count, so the result is repeatable.
+    """
     return prices.groupBy("ticker", F.to_date("ts").alias("trade_date")).agg(
-        F.min_by("open", "ts").alias("open"),
+        F.min_by("open", F.struct("ts", "open")).alias("open"),
         F.max("high").alias("high"),
         F.min("low").alias("low"),
-        F.max_by("close", "ts").alias("close"),
+        F.max_by("close", F.struct("ts", "close")).alias("close"),
         F.sum("volume").alias("volume"),
     )
 
@@ -47,12 +50,17 @@ def spend_by_category(txn: DataFrame) -> DataFrame:
     )
 
 
-def account_means(txn: DataFrame) -> DataFrame:
-    """Per (account, category): row count, account mean and account-category mean."""
+def account_means(txn: DataFrame, places: int = 2) -> DataFrame:
+    """Per (account, category): row count, account mean and account-category mean.
+
+    Amounts are summed as decimals of `places` places, so the sums are exact and do not depend on
+    how rows are spread over tasks; each mean is one division.
+    """
+    amount = F.col("amount").try_cast(f"decimal(28,{places})")
     per_cat = txn.groupBy("account_id", "category").agg(
         F.count("*").alias("rows"),
-        F.count("amount").alias("n"),
-        F.sum("amount").alias("s"),
+        F.count(amount).alias("n"),
+        F.sum(amount).alias("s"),
     )
     # One row per category of the account, so the window stays as small as the category list.
     account = Window.partitionBy("account_id")
@@ -60,8 +68,8 @@ def account_means(txn: DataFrame) -> DataFrame:
         "account_id",
         "category",
         "rows",
-        ratio(F.sum("s").over(account), F.sum("n").over(account).cast("double")).alias("acct_avg_amount"),
-        ratio(F.col("s"), F.col("n").cast("double")).alias("cat_avg"),
+        ratio(F.sum("s").over(account).cast("double"), F.sum("n").over(account).cast("double")).alias("acct_avg_amount"),
+        ratio(F.col("s").cast("double"), F.col("n").cast("double")).alias("cat_avg"),
     )
 
 

@@ -29,6 +29,7 @@ def hash_sample(df: DataFrame, n: int, key: str = "txn_id") -> DataFrame:
     return df.orderBy(F.md5(F.col(key)), key).limit(n)
 
 
+# The columns of the stored pool.
 POOL_COLUMNS = [
     "txn_id", "txn_text", "amount", "category", "merchant", "city", "country", "channel", "is_fraud_label",
 ]
@@ -178,22 +179,32 @@ def similar(
     )
 
 
+def unit_vectors(vectors: DataFrame, vec_col: str = "embedding") -> DataFrame:
+    """Adds `unit`: the vector with length 1 in double precision; null for a zero vector."""
+    length = F.sqrt(F.aggregate(vec_col, F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double")))
+    return vectors.withColumn(
+        "unit", F.when(length > 0, F.transform(vec_col, lambda x: x.cast("double") / length))
+    )
+
+
 def register_similar_function(spark: SparkSession, vectors: DataFrame, k: int = 5) -> None:
-    """SQL table function similar_txns(target_id) over the given vectors."""
-    vectors.createOrReplaceTempView("txn_vectors")
-    dot = "aggregate(zip_with({0}, {1}, (p, q) -> double(p) * double(q)), 0D, (s, v) -> s + v)"
-    aa, bb, ab = (dot.format(x, y) for x, y in (("a.embedding", "a.embedding"), ("b.embedding", "b.embedding"), ("a.embedding", "b.embedding")))
-    # `a` is the one row of the target, so the inequality join has a single row on one side.
+    """SQL table function similar_txns(target_id) over stored vectors.
+
+    The vectors are scanned once: the target's unit vector comes in by an equi-join on the id that
+    every row is compared with, so no plan has a product of the table with itself.
+    """
+    unit_vectors(vectors).createOrReplaceTempView("txn_vectors")
     spark.sql(
         f"""
         CREATE OR REPLACE TEMPORARY FUNCTION similar_txns(target_id STRING)
         RETURNS TABLE (txn_id STRING, similarity DOUBLE, txn_text STRING, amount DOUBLE,
                        category STRING, is_fraud_label BOOLEAN)
         RETURN
-          SELECT b.txn_id, round({ab} / nullif(sqrt({aa}) * sqrt({bb}), 0D), 6) AS similarity,
-                 b.txn_text, b.amount, b.category, b.is_fraud_label
-          FROM txn_vectors a JOIN txn_vectors b ON a.txn_id = target_id AND b.txn_id <> a.txn_id
-          ORDER BY similarity DESC NULLS LAST, b.txn_id
-          LIMIT {k}
+          WITH wanted AS (SELECT txn_id AS wanted_id, unit AS wanted_unit FROM txn_vectors WHERE txn_id = target_id),
+          compared AS (
+            SELECT *, round(reduce(zip_with(unit, wanted_unit, (p, q) -> p * q), 0D, (sum, pq) -> sum + pq), 6) AS similarity
+            FROM (SELECT *, target_id AS wanted_id FROM txn_vectors WHERE txn_id != target_id) JOIN wanted USING (wanted_id))
+          SELECT txn_id, similarity, txn_text, amount, category, is_fraud_label
+          FROM compared ORDER BY similarity DESC NULLS LAST, txn_id LIMIT {k}
         """
     )

@@ -8,6 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# Names, synonyms and expressions decide which questions resolve.
 # name -> {"expr": column or SQL aggregate, "synonyms": [...]}
 MODEL = {
     "transactions": {
@@ -103,20 +104,20 @@ def metric_query(
 
 
 def spend_by_category_total(features: DataFrame) -> DataFrame:
-    """What did customers spend the most on?"""
+    """Categories by total amount, largest first."""
     return metric_query(features, "transactions", ["total_spend"], ["category"],
                         order_by=[("total_spend", "desc"), ("category", "asc")])
 
 
 def worst_return(market_daily: DataFrame) -> DataFrame:
-    """Which stock had the worst average daily return?"""
+    """Tickers by mean daily return, lowest first."""
     return metric_query(market_daily, "market", ["avg_daily_return"], ["ticker"]).withColumnRenamed(
         "avg_daily_return", "avg_return"
     ).orderBy(F.asc_nulls_last("avg_return"), "ticker")
 
 
 def most_negative_news(enriched: DataFrame) -> DataFrame:
-    """Which stock had the most negative news?"""
+    """Tickers by mean sentiment of their articles, lowest first."""
     q = metric_query(enriched, "news", ["avg_sentiment", "article_count"], ["news_ticker"])
     return q.select(
         F.col("news_ticker").alias("ticker"), "avg_sentiment", F.col("article_count").alias("articles")

@@ -7,14 +7,22 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, SparkSession
 
 
+def _aligned(df: DataFrame, table: str) -> DataFrame:
+    """The frame in the table's column order; columns that the table lacks are an error, not dropped."""
+    known = df.sparkSession.table(table).columns
+    extra = [c for c in df.columns if c.lower() not in {k.lower() for k in known}]
+    if extra:
+        raise ValueError(f"{table} has no columns {extra}")
+    return df.select(*known)
+
+
 def append_by_name(df: DataFrame, table: str, defaults: Mapping[str, Column] | None = None) -> None:
     """Append to a table matching columns by name; absent columns take their default."""
     for name, value in (defaults or {}).items():
         if name not in df.columns:
             df = df.withColumn(name, value)
-    spark = df.sparkSession
-    if spark.catalog.tableExists(table):
-        df = df.select(*spark.table(table).columns)
+    if df.sparkSession.catalog.tableExists(table):
+        df = _aligned(df, table)
     df.write.mode("append").saveAsTable(table)
 
 
@@ -34,7 +42,7 @@ def ctas(spark: SparkSession, table: str, sql: str) -> DataFrame:
 def reload(df: DataFrame, table: str) -> DataFrame:
     """Truncate and refill with the table's own column order."""
     if df.sparkSession.catalog.tableExists(table):
-        df = df.select(*df.sparkSession.table(table).columns)
+        df = _aligned(df, table)
     return overwrite(df, table)
 
 

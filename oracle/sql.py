@@ -110,8 +110,10 @@ RELATIONS: dict[str, tuple[list[str], str]] = {
            (SELECT sum(total_spend) AS s FROM spend WHERE spend_date >= {LONG} - 60 AND spend_date < {LONG} - 30) p"""),
     "feat": (["txn"], """
       SELECT *, hour(txn_ts)::INTEGER AS txn_hour, dayofweek(txn_ts)::INTEGER AS txn_dow,
-             avg(amount) OVER (PARTITION BY account_id) AS acct_avg_amount,
-             amount / nullif(avg(amount) OVER (PARTITION BY account_id, category), 0) AS amt_vs_cat_avg,
+             sum(amount::DECIMAL(28, 2)) OVER (PARTITION BY account_id)::DOUBLE
+               / count(amount) OVER (PARTITION BY account_id) AS acct_avg_amount,
+             amount / nullif(sum(amount::DECIMAL(28, 2)) OVER (PARTITION BY account_id, category)::DOUBLE
+               / count(amount) OVER (PARTITION BY account_id, category), 0) AS amt_vs_cat_avg,
              merchant || ' | ' || category || ' | ' || city || ', ' || country || ' | ' || channel AS txn_text
       FROM txn"""),
     "cand": (["feat"], """
