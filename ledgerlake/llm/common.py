@@ -124,12 +124,13 @@ def _piece(
 
 
 def words(
-    column: pa.Array, fold: np.ndarray = LOWER, gaps: np.ndarray = IS_SPACE
+    column: pa.Array, fold: np.ndarray = LOWER, gaps: np.ndarray = IS_SPACE, sized: bool = False
 ) -> tuple[np.ndarray, np.ndarray]:
     """64-bit hashes of all folded words, and the n + 1 offsets of the texts into them.
 
     Words are runs of bytes outside gaps; by default gaps are space, tab, LF, VT, FF and CR, and
-    folding lower-cases A-Z only. Texts are hashed whole, in pieces of a few MB cut at gaps.
+    folding lower-cases A-Z only. Texts are hashed whole, in pieces of a few MB cut at gaps. With
+    sized, the lowest six bits of a hash are the word's length in bytes (63 at most).
     """
     raw, at = utf8(column)
     hashes, firsts = [], []
@@ -148,7 +149,9 @@ def words(
                     cut = min(stop, end + rest[0] + 1) if len(rest) else stop
             end = int(cut)
         inside = at[(at >= done) & (at < end)] - done
-        found, starts, _ = _piece(raw[done:end], inside, fold, gaps)
+        found, starts, ends = _piece(raw[done:end], inside, fold, gaps)
+        if sized:
+            found = found & np.uint64(MASK - 63) | np.minimum(ends - starts, 63).astype(np.uint64)
         hashes.append(found)
         firsts.append(starts + done)
         done = end
@@ -192,17 +195,24 @@ def ngrams(word_hashes: np.ndarray, n: int) -> np.ndarray:
 
 
 def shingle_set(word_hashes: np.ndarray, n: int) -> np.ndarray:
-    """Sorted distinct shingles; a shorter text is one shingle, an empty one has none."""
+    """Sorted distinct shingles of sized words, longest first; a shorter text is one shingle.
+
+    The upper six bits fall with the shingle's length. Long shingles are rare ones, so the first
+    elements of the sets of unrelated texts hardly ever meet.
+    """
     k = min(n, len(word_hashes))
     if k == 0:
         return np.zeros(0, np.uint64)
-    return np.unique(ngrams(word_hashes, k) + np.uint64(k))
+    total = np.concatenate([[0], np.cumsum((word_hashes & np.uint64(63)).astype(np.int64))])
+    size = np.minimum((total[k:] - total[:-k]) >> 2, 63).astype(np.uint64)
+    made = ngrams(word_hashes, k) + np.uint64(k)
+    return np.unique((np.uint64(63) - size) << np.uint64(58) | made >> np.uint64(6))
 
 
-def per_text(column: pa.Array) -> Iterator[np.ndarray]:
+def per_text(column: pa.Array, sized: bool = False) -> Iterator[np.ndarray]:
     """The word hashes of each text, hashed piece by piece."""
     for piece in pieces(column):
-        found, at = words(piece)
+        found, at = words(piece, sized=sized)
         for a, b in zip(at[:-1], at[1:]):
             yield found[a:b]
 

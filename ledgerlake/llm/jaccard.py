@@ -7,7 +7,7 @@ exact sets.
 
 In so many dimensions the boxes of unrelated texts all overlap, so one tree over the corpus would
 compare every point with every leaf. The points are therefore dealt out first: under one order of
-all shingles (frequent ones last), two sets with a Jaccard of t share a shingle among the first
+all shingles (long ones first, frequent ones last), two sets with a Jaccard of t share a shingle among the first
 n - ceil(t n) + 1 of each. Texts that share such a shingle form a bucket; the buckets with one
 smallest id form a family, and a packed R-tree is searched in each family. No link is lost by it.
 
@@ -47,7 +47,7 @@ def read_sets(docs: DataFrame, n: int) -> DataFrame:
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [shingle_set(w, n) for w in per_text(batch.column(1))]
+            sets = [shingle_set(w, n) for w in per_text(batch.column(1), sized=True)]
             rows = len(sets)
             least = max(4, rows // HEAVY_SHARE)
             found, times = np.unique(np.concatenate(sets), return_counts=True) if rows else (np.zeros(0, np.uint64),) * 2
@@ -84,7 +84,7 @@ def read_prefixes(docs: DataFrame, n: int, percent: int, heavy: np.ndarray) -> D
             for piece in pieces(batch.column(1)):
                 ids = batch.column(0).slice(at, len(piece)).cast(pa.int64()).to_pylist()
                 at += len(piece)
-                yield _prefixes(ids, [shingle_set(w, n) for w in per_text(piece)], percent, known.value)
+                yield _prefixes(ids, [shingle_set(w, n) for w in per_text(piece, sized=True)], percent, known.value)
 
     return docs.mapInArrow(scan, "node long, size long, point binary, keys array<long>")
 
@@ -218,7 +218,7 @@ def sets_of(docs: DataFrame, ids: DataFrame, n: int) -> DataFrame:
             for piece in pieces(batch.column(1)):
                 own = batch.column(0).slice(at, len(piece)).cast(pa.int64())
                 at += len(piece)
-                sets = [shingle_set(w, n).tobytes() for w in per_text(piece)]
+                sets = [shingle_set(w, n).tobytes() for w in per_text(piece, sized=True)]
                 yield pa.RecordBatch.from_arrays([own, pa.array(sets, pa.binary())], names=["id", "set"])
 
     ids = stored(ids.select(F.col("id").alias("id")).distinct(), "ids")
