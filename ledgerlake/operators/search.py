@@ -41,9 +41,18 @@ def write_index(index: Index, path: str, part: str = "batch_id=0") -> None:
 
 
 def read_index(spark: SparkSession, path: str) -> Index:
+    """The index with the newest version of every article.
+
+    An article that was sent again has rows in several batches; those of older batches are left
+    out by an anti-join with the list of replaced versions, which is as short as the re-sends.
+    """
+    docs, postings = spark.read.parquet(f"{path}/docs"), spark.read.parquet(f"{path}/postings")
+    newest = docs.groupBy("news_id").agg(F.max("batch_id").alias("newest"), F.count("*").alias("versions"))
+    resent = newest.where("versions > 1").drop("versions")
+    old = docs.select("news_id", "batch_id").join(resent, "news_id").where("batch_id < newest").drop("newest")
+    key = ["news_id", "batch_id"]
     return Index(
-        spark.read.parquet(f"{path}/postings").drop("batch_id"),
-        spark.read.parquet(f"{path}/docs").drop("batch_id"),
+        postings.join(old, key, "left_anti").drop("batch_id"), docs.join(old, key, "left_anti").drop("batch_id")
     )
 
 

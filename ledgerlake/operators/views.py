@@ -11,10 +11,11 @@ from ledgerlake.functions.scalars import AsOf, as_date, days_before, div0
 
 
 def latest_per_key(prices: DataFrame) -> DataFrame:
-    """Newest candle per ticker without a sort: fixed-width values under one hash aggregate."""
+    """Newest candle per ticker without a sort; of equal stamps the one with the largest close, then volume."""
+    newest = F.struct("ts", "close", "volume")
     return prices.groupBy("ticker").agg(
-        F.max_by("close", "ts").alias("close"),
-        F.max_by("volume", "ts").alias("volume"),
+        F.max_by("close", newest).alias("close"),
+        F.max_by("volume", newest).alias("volume"),
         F.max("ts").alias("ts"),
     )
 

@@ -108,7 +108,7 @@ def _volume_found(spark, d):
 
 def _market_polls(spark, d):
     """Two polls: all candles, then the even days again with a changed or missing close."""
-    first = A.bars(spark, d)
+    first = A.polled_bars(spark, d)
     again = first.where(F.dayofmonth("ts") % 2 == 0).withColumn(
         "close", F.when(F.col("event_id") % 11 != 0, F.round(F.col("close") + 0.5, 4))
     )
@@ -269,7 +269,7 @@ def tickers(spark, d):
 
 @query
 def newest_rows(spark, d):
-    p = A.bars(spark, d).select("ticker", "ingested_at", "event_id")
+    p = A.candles(spark, d).select("ticker", "ingested_at", "event_id")
     return views.newest(p, "ingested_at", 10, "event_id")
 
 
@@ -692,9 +692,8 @@ def stream_dedup(spark, d):
     t = _stream_txn(spark, d)
     again = t.where(F.pmod(F.col("txn_id").cast("long"), F.lit(2)) == 0)
     root = scratch_dir(spark, "stream-dedup")
-    once = marts.stream_dedup(t.unionByName(again), ["txn_id"], "txn_ts")
-    _done(marts.write_table(once, f"{root}/out", f"{root}/cp"))
-    return spark.read.parquet(f"{root}/out")
+    _done(marts.dedup_to_table(t.unionByName(again), ["txn_id"], "txn_ts", f"{root}/out", f"{root}/cp"))
+    return marts.read_deduped(spark, f"{root}/out", t.schema).drop("batch_id", "dt")
 
 
 @query
@@ -736,12 +735,49 @@ def stream_market(spark, d):
     return rounded(marts.read_market_daily(spark, f"{root}/lake"), daily_return=8)
 
 
+@query
+def stream_quarantine(spark, d):
+    """Malformed lines that the chained refresh kept."""
+    root = _land_files(spark, d, "stream-quarantine", ("arrays", "broken"))
+    _done(marts.run_medallion(spark, f"{root}/in", f"{root}/lake", f"{root}/cp"))
+    return ingest.read_bad(spark, f"{root}/lake/raw").select("text")
+
+
+@query
+def stream_features(spark, d):
+    """Features of the transactions that went through the chained refresh."""
+    root = _land_files(spark, d, "stream-features", ("arrays",))
+    for name in (None, "objects"):
+        if name:
+            _txn_lines(spark, d)[name].write.text(f"{root}/in/{name}")
+        _done(marts.run_medallion(spark, f"{root}/in", f"{root}/lake", f"{root}/cp"))
+    out = marts.read_txn_features(spark, f"{root}/lake")
+    return rounded(out, acct_avg_amount=8, amt_vs_cat_avg=6)
+
+
+@query
+def stream_news(spark, d):
+    """The news mart after articles and corrections went through the chained refresh."""
+    root = scratch_dir(spark, "stream-news")
+    n = A.news(spark, d)
+    stale = n.withColumn("source", F.when(F.col("ticker") == "view", F.lit("draft")).otherwise(F.col("source")))
+    for name, part in (("first", stale), ("again", n.where("ticker = 'view'"))):
+        part.select(bronze.news_json(part).alias("value")).write.text(f"{root}/in/{name}")
+        _done(marts.run_medallion(spark, f"{root}/in", f"{root}/lake", f"{root}/cp", marts.NEWS))
+    return marts.read_news(spark, f"{root}/lake").drop("ingested_at")
+
+
 @query
 def stream_index(spark, d):
-    """The search index refreshed by a stream of documents, then queried."""
-    docs = A.read_stream(spark, d, "documents")
+    """The search index refreshed by articles, a seventh of them drafts that are corrected afterwards."""
     root = scratch_dir(spark, "stream-index")
-    _done(marts.refresh_index(spark, A.news_from_documents(docs), f"{root}/index", f"{root}/cp"))
+    n = A.news(spark, d)
+    draft = F.pmod(F.col("news_id").cast("long"), F.lit(7)) == 0
+    stale = n.withColumn("body", F.when(draft, F.lit("the draft of and to")).otherwise(F.col("body")))
+    for part in (stale, n.where(draft)):
+        part.write.mode("append").parquet(f"{root}/in")
+        stream = spark.readStream.schema(n.schema).parquet(f"{root}/in")
+        _done(marts.refresh_index(spark, stream, f"{root}/index", f"{root}/cp"))
     index = search.read_index(spark, f"{root}/index")
     return search.search(index, _questions(spark, d), 3, ["ticker"])
 
@@ -803,8 +839,8 @@ def audit_counts(spark, d):
             "market_daily": gold.ohlc_daily(A.prices(spark, d)),
             "spend_daily": _spend(spark, d),
             "spend_by_category": gold.spend_by_category(A.txn_long(spark, d)),
-            "txn_features": A.txn(spark, d),
-            "news": A.news(spark, d),
+            "txn_features": _features(spark, d),
+            "news": gold.gold_news(A.news(spark, d)),
         }
     )
 

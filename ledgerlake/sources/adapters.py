@@ -85,8 +85,11 @@ def txn_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def bars(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Market candles from `events`, one per ticker and second (largest event_id wins)."""
+def polled_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Candles as a poll payload holds them: stamps in whole seconds, so one per ticker and second.
+
+    The largest event_id wins. Only payloads are made from these; everything else reads candles().
+    """
     e = read(spark, sf_dir, "events")
     # Only fixed-width values are aggregated, so this is a hash aggregate with map-side combine.
     last = e.groupBy(
@@ -101,10 +104,19 @@ def bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _candle(last)
 
 
-def raw_bars(events: DataFrame) -> DataFrame:
+def candles_from_events(events: DataFrame) -> DataFrame:
     """One candle per event with its full time stamp, batch or stream."""
     named = events.withColumnsRenamed({"event_type": "ticker", "value": "open"})
-    return _candle(named.withColumn("ingested_at", F.col("ts"))).drop("ingested_at", "event_id")
+    return _candle(named.withColumn("ingested_at", F.col("ts")))
+
+
+def raw_bars(events: DataFrame) -> DataFrame:
+    return candles_from_events(events).drop("ingested_at", "event_id")
+
+
+def candles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Market candles from `events`, every event one."""
+    return candles_from_events(read(spark, sf_dir, "events"))
 
 
 def _candle(df: DataFrame) -> DataFrame:
@@ -124,7 +136,7 @@ def _candle(df: DataFrame) -> DataFrame:
 
 def prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Candles in the silver price shape."""
-    return bars(spark, sf_dir).drop("event_id")
+    return candles(spark, sf_dir).drop("event_id")
 
 
 def news(spark: SparkSession, sf_dir: str) -> DataFrame:

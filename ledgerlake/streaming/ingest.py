@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ledgerlake.sources import bronze
@@ -23,6 +24,15 @@ def trigger_args(trigger: str | None) -> dict:
     return {"availableNow": True} if trigger is None else {"processingTime": trigger}
 
 
+def land(batch: DataFrame, table: str, batch_id: int) -> None:
+    """Write a batch's records to `table` and its malformed lines to `<table>_bad`; a rerun replaces both."""
+    good, bad = bronze.split_bad(batch)
+    # The text of a VARIANT stays readable by any engine; silver parses it again.
+    records = bronze.records(good).selectExpr("to_json(record) AS record", "src_file", "ingested_at")
+    records.write.mode("overwrite").parquet(f"{table}/batch_id={batch_id}")
+    bad.write.mode("overwrite").parquet(f"{table}_bad/batch_id={batch_id}")
+
+
 def stream_bronze(
     spark: SparkSession,
     path: str,
@@ -38,11 +48,7 @@ def stream_bronze(
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        good, bad = bronze.split_bad(batch)
-        # The text of a VARIANT stays readable by any engine; silver parses it again.
-        records = bronze.records(good).selectExpr("to_json(record) AS record", "src_file", "ingested_at")
-        records.write.mode("overwrite").parquet(f"{table}/batch_id={batch_id}")
-        bad.write.mode("overwrite").parquet(f"{table}_bad/batch_id={batch_id}")
+        land(batch, table, batch_id)
 
     return (
         read_stream(spark, path, files_per_trigger)
@@ -53,6 +59,12 @@ def stream_bronze(
     )
 
 
-def read_bronze(spark: SparkSession, table: str) -> DataFrame:
+def read_bad(spark: SparkSession, table: str) -> DataFrame:
+    return spark.read.schema("text string, src_file string, batch_id long").parquet(f"{table}_bad")
+
+
+def read_bronze(spark: SparkSession, table: str, batch_id: int | None = None) -> DataFrame:
+    """Landed records, of one batch if it is given (only its folder is read)."""
     raw = spark.read.schema("record string, src_file string, ingested_at timestamp_ntz, batch_id long").parquet(table)
+    raw = raw if batch_id is None else raw.where(F.col("batch_id") == batch_id)
     return raw.selectExpr("parse_json(record) AS record", "src_file", "ingested_at", "batch_id")

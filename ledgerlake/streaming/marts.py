@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ledgerlake.operators import gold, search, silver
-from ledgerlake.sources import bronze
 from ledgerlake.sources.adapters import is_folder
 from ledgerlake.sources.tables import overwrite_partitions
+from ledgerlake.streaming import ingest
 from ledgerlake.streaming.ingest import read_stream, trigger_args
 
 
@@ -22,12 +22,52 @@ def with_event_time(df: DataFrame, col: str, delay: str) -> DataFrame:
 
 
 def stream_dedup(df: DataFrame, keys: list[str], ts: str, watermark: str = "1 day") -> DataFrame:
-    """First version of each key; a re-send within the watermark is dropped."""
+    """First version of each key within the stream's state; a re-send within the watermark is dropped.
+
+    Records older than the watermark do not pass; dedup_to_table() keeps those too.
+    """
     return with_event_time(df, ts, watermark).dropDuplicatesWithinWatermark(keys).drop("event_time")
 
 
+def dedup_to_table(
+    df: DataFrame, keys: list[str], ts: str, path: str, checkpoint: str, trigger: str | None = None, days: int = 1
+) -> StreamingQuery:
+    """First version of each key as a table by batch and day, whenever it arrives.
+
+    A record is compared with what is stored up to `days` days around its own day, so a re-send is
+    dropped and a late record that was never seen is kept, however far behind the stream it is.
+    Only those days are read. Each batch writes its own folder, so a rerun replaces its rows.
+    """
+    schema = df.schema
+
+    def on_batch(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        day = F.to_date(ts)
+        first = batch.groupBy(*keys).agg(F.min_by(F.struct(*[c for c in batch.columns if c not in keys]), ts).alias("v"))
+        first = first.select(*keys, "v.*").select(*batch.columns).withColumn("dt", day)
+        if batch_id and is_folder(spark, path):
+            span = first.agg(F.date_sub(F.min("dt"), days).alias("a"), F.date_add(F.max("dt"), days).alias("b")).first()
+            stored = read_deduped(spark, path, schema).where(F.col("batch_id") != batch_id)
+            near = stored.where(F.col("dt").between(span.a, span.b) | F.col("dt").isNull()) if span.a else stored.where("dt is null")
+            first = first.join(near.select(*keys).distinct(), keys, "left_anti")
+        first.write.mode("overwrite").partitionBy("dt").parquet(f"{path}/batch_id={batch_id}")
+
+    return (
+        df.writeStream.foreachBatch(on_batch)
+        .option("checkpointLocation", checkpoint)
+        .trigger(**trigger_args(trigger))
+        .start()
+    )
+
+
+def read_deduped(spark: SparkSession, path: str, schema) -> DataFrame:
+    """Rows of dedup_to_table with batch_id and dt; schema: that of the stream."""
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    return spark.read.schema(f"{fields}, batch_id long, dt date").parquet(path)
+
+
 def stream_spend_daily(txn: DataFrame, watermark: str = "1 day") -> DataFrame:
-    """Daily spend over one-day windows; state holds one row per open day."""
+    """Daily spend over one-day windows; in update or append mode days before the watermark leave the state."""
     day = F.window("event_time", "1 day")
     return (
         with_event_time(txn, "txn_ts", watermark)
@@ -46,10 +86,10 @@ def stream_ohlc_daily(prices: DataFrame, watermark: str = "1 day") -> DataFrame:
         with_event_time(prices, "ts", watermark)
         .groupBy("ticker", F.window("event_time", "1 day"))
         .agg(
-            F.min_by("open", "ts").alias("open"),
+            F.min_by("open", F.struct("ts", "open")).alias("open"),
             F.max("high").alias("high"),
             F.min("low").alias("low"),
-            F.max_by("close", "ts").alias("close"),
+            F.max_by("close", F.struct("ts", "close")).alias("close"),
             F.sum("volume").alias("volume"),
         )
         .select("ticker", F.to_date("window.start").alias("trade_date"), "open", "high", "low", "close", "volume")
@@ -119,7 +159,8 @@ MARKET = Lane(
 )
 NEWS = Lane(
     ["news_id"], "published_at", _ddl(silver.NEWS_FIELDS),
-    lambda raw: silver.typed(raw, silver.NEWS_FIELDS), lambda now: {},
+    lambda raw: silver.typed(raw, silver.NEWS_FIELDS),
+    lambda now: {"news": (gold.gold_news(now), "dt")},
 )
 
 
@@ -143,6 +184,15 @@ def read_market_daily(spark: SparkSession, root: str) -> DataFrame:
     return gold.daily_return(spark.read.schema(schema).parquet(f"{root}/ohlc_daily"))
 
 
+def read_news(spark: SparkSession, root: str) -> DataFrame:
+    return spark.read.schema(NEWS.silver_schema).parquet(f"{root}/news").where("live").drop("live", "dt")
+
+
+def read_txn_features(spark: SparkSession, root: str) -> DataFrame:
+    """Features of all live transactions; means span an account's days, so they are taken over the whole table."""
+    return gold.txn_features(read_silver(spark, root).drop("ingested_at", "dt"))
+
+
 def refresh(batch: DataFrame, root: str, lane: Lane = TRANSACTIONS) -> None:
     """Fold new typed records into silver and rebuild the marts of the touched days only.
 
@@ -193,7 +243,9 @@ def run_medallion(
     """Files to silver to marts after every arrival."""
 
     def on_batch(text: DataFrame, batch_id: int) -> None:
-        raw = bronze.records(bronze.split_bad(text)[0])
+        # Raw records and malformed lines are kept, so a batch can be looked at and replayed.
+        ingest.land(text, f"{root}/raw", batch_id)
+        raw = ingest.read_bronze(spark, f"{root}/raw", batch_id).drop("batch_id")
         # Parsed once and written; the refresh reads columns and has no lineage to the text.
         arrived = f"{root}/arrived/batch_id={batch_id}"
         lane.parse(raw).write.mode("overwrite").parquet(arrived)
@@ -213,11 +265,14 @@ def refresh_index(
 ) -> StreamingQuery:
     """Append the postings and attributes of new articles; `trigger="1 hour"` bounds the lag.
 
+    A re-sent or corrected article is indexed anew in its batch; readers leave out its older postings.
+
     Corpus statistics are not stored: scoring derives them from the tables it reads.
     """
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
-        search.write_index(search.build_index(batch), root, f"batch_id={batch_id}")
+        latest = silver.latest_version(batch, ["news_id"], ["published_at"])
+        search.write_index(search.build_index(latest), root, f"batch_id={batch_id}")
 
     return (
         news.writeStream.foreachBatch(on_batch)

@@ -74,13 +74,17 @@ RELATIONS: dict[str, tuple[list[str], str]] = {
     "longtxn": ([], """
       SELECT o_orderdate::DATE AS spend_date, c_mktsegment AS category, o_totalprice AS amount
       FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey"""),
-    "bars": ([], """
+    "polled": ([], """
       SELECT *, greatest(open, close) AS high, least(open, close) AS low
       FROM (SELECT event_type AS ticker, date_trunc('second', ts) AS ts, value AS open,
                    round(value * (1 + ((event_id % 7) - 3) / 100::DOUBLE), 4) AS close,
                    user_id + 1 AS volume, event_id, ts AS ingested_at
             FROM events
             QUALIFY row_number() OVER (PARTITION BY event_type, date_trunc('second', ts) ORDER BY event_id DESC) = 1)"""),
+    "bars": ([], """
+      SELECT *, greatest(open, close) AS high, least(open, close) AS low
+      FROM (SELECT event_type AS ticker, ts, value AS open, round(value * (1 + ((event_id % 7) - 3) / 100::DOUBLE), 4) AS close,
+                   user_id + 1 AS volume, event_id, ts AS ingested_at FROM events)"""),
     "ohlc": (["bars"], """
       SELECT ticker, ts::DATE AS trade_date, arg_min(open, ts) AS open, max(high) AS high, min(low) AS low,
              arg_max(close, ts) AS close, sum(volume)::BIGINT AS volume
@@ -256,19 +260,22 @@ def _with(names: list[str], select: str) -> str:
     return ("WITH " + ",\n".join(f"{k} AS MATERIALIZED ({v})" for k, v in done.items()) + "\n" if done else "") + select
 
 
+# The features of what the chained refresh keeps: whole seconds, without the malformed lines.
+RELATIONS["feat_s"] = (["txn_s"], RELATIONS["feat"][1].replace("FROM txn", "FROM (SELECT * FROM txn_s WHERE merchant <> 'Merchant 99')"))
+
 _FEAT = "* REPLACE (round(acct_avg_amount, 8) AS acct_avg_amount, round(amt_vs_cat_avg, 6) AS amt_vs_cat_avg)"
 _BAND = "round(forecast, 3) AS forecast, round(lower_bound, 3) AS lower_bound, round(upper_bound, 3) AS upper_bound"
 _BAND5 = _BAND.replace(", 3)", ", 5)")
 
 _STATEMENTS: dict[str, tuple[list[str], str]] = {
-    "market_bars_flatten": (["bars"], """
+    "market_bars_flatten": (["polled"], """
       SELECT ticker, ts, open, high, low,
              CASE WHEN day(ts) % 2 = 0 AND event_id % 11 <> 0 THEN round(close + 0.5, 4) ELSE close END AS close, volume
-      FROM bars"""),
-    "land_market_by_ticker": (["bars"], """
+      FROM polled"""),
+    "land_market_by_ticker": (["polled"], """
       SELECT upper(ticker) AS ticker, 'backfill' AS source, count(*) AS payloads, sum(c)::BIGINT AS candles
-      FROM (SELECT ticker, ts::DATE AS d, count(*) AS c FROM bars GROUP BY ALL
-            UNION ALL SELECT ticker, ts::DATE, count(*) FROM bars WHERE day(ts) % 2 = 0 GROUP BY ALL)
+      FROM (SELECT ticker, ts::DATE AS d, count(*) AS c FROM polled GROUP BY ALL
+            UNION ALL SELECT ticker, ts::DATE, count(*) FROM polled WHERE day(ts) % 2 = 0 GROUP BY ALL)
       WHERE ticker IN ('click', 'view', 'purchase') GROUP BY ticker"""),
     "read_json_records": (["txn_s"], "SELECT * FROM txn_s WHERE merchant <> 'Merchant 99' UNION ALL SELECT * FROM txn_s WHERE merchant = 'Merchant 0'"),
     "quarantine_bad": (["txn"], """SELECT '{"txn_id": "' || txn_id || '", "amount": ' AS text FROM txn WHERE merchant = 'Merchant 99'"""),
@@ -384,8 +391,8 @@ _STATEMENTS: dict[str, tuple[list[str], str]] = {
       SELECT 'appended' AS name, count(*) AS n, round(sum(amount), 2) AS amount FROM (SELECT amount FROM txn UNION ALL SELECT amount FROM txn WHERE amount > 1000)
       UNION ALL SELECT 'reloaded', count(*), round(sum(amount), 2) FROM txn WHERE amount <= 1000
       UNION ALL SELECT 'made', count(*), round(sum(amount), 2) FROM (SELECT * FROM txn UNION ALL SELECT * FROM txn WHERE amount > 1000) WHERE category = 'view'"""),
-    "serving_views": (["ohlc", "explained", "wa_out", "d"], f"""
-      SELECT 'v_market_latest' AS t, count(DISTINCT ticker) AS n_rows FROM bars UNION ALL SELECT 'v_market_intraday', count(*) FROM bars
+    "serving_views": (["ohlc", "polled", "explained", "wa_out", "d"], f"""
+      SELECT 'v_market_latest' AS t, count(DISTINCT ticker) AS n_rows FROM polled UNION ALL SELECT 'v_market_intraday', count(*) FROM polled
       UNION ALL SELECT 'v_spend_kpis', 1 UNION ALL SELECT 'v_spend_trend', count(*) FROM d
       UNION ALL SELECT 'v_category_share', count(DISTINCT category) FROM txn WHERE txn_ts::DATE >= {JOBS} - 30
       UNION ALL SELECT 'v_spend_series', count(*) FROM d UNION ALL SELECT 'v_volume_series', count(*) FROM ohlc
@@ -395,7 +402,7 @@ _STATEMENTS: dict[str, tuple[list[str], str]] = {
       UNION ALL SELECT 'v_spend_anomalies', count(*) FROM d WHERE day >= {JOBS} - 30
       UNION ALL SELECT 'v_volume_anomalies', count(*) FROM wa_out WHERE is_anomaly
       UNION ALL SELECT 'v_fraud_flagged', count(*) FROM explained UNION ALL SELECT 'v_spend_forecast', 14
-      UNION ALL SELECT 'v_price_forecast', 7 * count(DISTINCT ticker) FROM bars UNION ALL SELECT 'v_news_feed', count(*) FROM documents
+      UNION ALL SELECT 'v_price_forecast', 7 * count(DISTINCT ticker) FROM polled UNION ALL SELECT 'v_news_feed', count(*) FROM documents
       UNION ALL SELECT 'v_price_vs_sentiment', count(*) FROM ohlc UNION ALL SELECT 'v_spend_insight', 1
       UNION ALL SELECT 'v_news_themes', count(DISTINCT doc_id % 5) FROM documents"""),
     "spend_insight": (["cand"], f"""
@@ -437,16 +444,19 @@ _STATEMENTS: dict[str, tuple[list[str], str]] = {
       FROM (SELECT event_type AS ticker, ts, value AS open, round(value * (1 + ((event_id % 7) - 3) / 100::DOUBLE), 4) AS close, user_id + 1 AS volume FROM events)
       GROUP BY 1, 2"""),
     "stream_medallion": (["txn"], "SELECT txn_ts::DATE AS spend_date, category, count(*) AS txn_count, round(sum(amount), 2) AS total_spend FROM txn WHERE merchant <> 'Merchant 99' GROUP BY 1, 2"),
-    "stream_market": (["bars"], """
+    "stream_quarantine": (["txn"], """SELECT '{"txn_id": "' || txn_id || '", "amount": ' AS text FROM txn WHERE merchant = 'Merchant 99'"""),
+    "stream_features": (["feat_s"], f"SELECT {_FEAT} FROM feat_s"),
+    "stream_news": (["news"], "SELECT * FROM news"),
+    "stream_market": (["polled"], """
       SELECT *, round(close / nullif(lag(close) OVER (PARTITION BY ticker ORDER BY trade_date), 0) - 1, 8) AS daily_return
       FROM (SELECT ticker, ts::DATE AS trade_date, arg_min(open, ts) AS open, max(high) AS high, min(low) AS low,
                    arg_max(CASE WHEN day(ts) % 2 = 0 AND event_id % 11 <> 0 THEN round(close + 0.5, 4) ELSE close END, ts) AS close,
                    sum(volume)::BIGINT AS volume
-            FROM bars GROUP BY 1, 2)"""),
-    "audit_counts": (["ohlc", "spend", "bycat"], """
+            FROM polled GROUP BY 1, 2)"""),
+    "audit_counts": (["ohlc", "spend", "bycat", "feat", "news"], """
       SELECT 'market_daily' AS t, count(*) AS n_rows FROM ohlc UNION ALL SELECT 'spend_daily', count(*) FROM spend
-      UNION ALL SELECT 'spend_by_category', count(*) FROM bycat UNION ALL SELECT 'txn_features', count(*) FROM events
-      UNION ALL SELECT 'news', count(*) FROM documents"""),
+      UNION ALL SELECT 'spend_by_category', count(*) FROM bycat UNION ALL SELECT 'txn_features', count(*) FROM feat
+      UNION ALL SELECT 'news', count(*) FROM news"""),
     "scalar_suite": (["ev"], """
       SELECT event_id, hour(ts)::INTEGER AS hour, dayofweek(ts)::INTEGER AS dow, ts::DATE AS day, floor(epoch(ts))::BIGINT AS epoch,
              make_timestamp((floor(epoch(ts))::BIGINT * 1000000)::BIGINT) AS from_epoch, strftime(ts, '%Y-%m-%dT%H:%M:%S') AS iso,

@@ -2,6 +2,8 @@
 
 import datetime as dt
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from ledgerlake.functions import scalars as S
@@ -232,3 +234,32 @@ def test_summary_equals_brute_force_in_any_batching(spark):
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")
     nothing = df.where("body is null or body = ''")
     assert {r["summary"] for r in text.summarize(nothing).collect()} == {None}
+
+
+def test_means_do_not_depend_on_the_partitioning(spark):
+    from ledgerlake.operators import gold
+
+    rows = [(str(i), "A", f"c{i % 3}", round(i * 7.77 % 1000, 2)) for i in range(3000)]
+    df = spark.createDataFrame(rows, "txn_id string, account_id string, category string, amount double")
+    got = [sorted(map(tuple, gold.account_means(df.repartition(n)).collect())) for n in (1, 3, 7)]
+    assert got[0] == got[1] == got[2]
+
+
+def test_reasons_follow_the_rules_that_fired(spark):
+    from ledgerlake.operators import fraud
+
+    row = [("1", 2000.0, "travel", "online", "NG", 9.0, 12, True)]
+    df = spark.createDataFrame(row, "txn_id string, amount double, category string, channel string, country string, amt_vs_cat_avg double, txn_hour int, is_fraud_label boolean")
+    how = {"ratio_gt": 10, "amount_gt": 5000, "include_label": False}
+    scored = fraud.rule_score(df, **how).withColumn("ai_fraud_class", F.lit("Suspicious"))
+    got = fraud.explain_fraud(scored, **how).first()
+    assert got.rule_score == 1 and "usual" not in got.ai_reason and "labelled" not in got.ai_reason and "online from NG" in got.ai_reason
+
+
+def test_sinks_refuse_unknown_columns(spark):
+    from ledgerlake.sources import tables
+
+    spark.sql("DROP TABLE IF EXISTS narrow_sink")
+    spark.range(2).write.saveAsTable("narrow_sink")
+    with pytest.raises(ValueError, match="extra"):
+        tables.append_by_name(spark.range(2).withColumn("extra", F.lit(1)), "narrow_sink")

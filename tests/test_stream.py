@@ -120,3 +120,40 @@ def test_a_record_without_a_time_is_kept(spark, tmp_path):
     put(tmp_path / "in", "b.json", [rec(3)])
     medallion(spark, tmp_path)
     assert {r["txn_id"] for r in marts.read_silver(spark, m).collect()} == {"1", "2", "3"}
+
+
+def test_the_refresh_keeps_raw_and_malformed_records(spark, tmp_path):
+    put(tmp_path / "in", "a.json", [rec(1)])
+    (tmp_path / "in" / "bad.json").write_text('{"txn_id": "9", "amo')
+    m = medallion(spark, tmp_path)
+    assert [r["text"] for r in ingest.read_bad(spark, f"{m}/raw").collect()] == ['{"txn_id": "9", "amo']
+    assert ingest.read_bronze(spark, f"{m}/raw").count() == 1
+
+
+def test_late_first_records_stay(spark, tmp_path):
+    schema = "id string, ts timestamp_ntz, v long"
+
+    def batch(*rows):
+        spark.createDataFrame([(i, dt.datetime(2024, 1, day), v) for i, day, v in rows], schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        stream = spark.readStream.schema(schema).parquet(str(tmp_path / "in"))
+        marts.dedup_to_table(stream, ["id"], "ts", str(tmp_path / "o"), str(tmp_path / "c")).awaitTermination()
+        return {(r.id, r.v) for r in marts.read_deduped(spark, str(tmp_path / "o"), stream.schema).collect()}
+
+    assert batch(("a", 20, 1), ("a", 20, 1)) == {("a", 1)}
+    assert batch(("b", 3, 2), ("a", 20, 1)) == {("a", 1), ("b", 2)}  # b is 17 days late, a is a re-send
+    assert batch(("b", 3, 2), ("c", 1, 3)) == {("a", 1), ("b", 2), ("c", 3)}
+
+
+def test_resent_articles_count_once(spark, tmp_path):
+    schema = "news_id string, published_at timestamp_ntz, ticker string, headline string, body string, source string"
+
+    def run(*rows):
+        spark.createDataFrame([(i, dt.datetime(2024, 1, 1), "A", "h", body, "s") for i, body in rows], schema).write.mode("append").parquet(str(tmp_path / "n"))
+        marts.refresh_index(spark, spark.readStream.schema(schema).parquet(str(tmp_path / "n")), str(tmp_path / "i"), str(tmp_path / "c")).awaitTermination()
+        q = spark.createDataFrame([("q", "zebra markets")], "query_id string, query string")
+        found = search.search(search.read_index(spark, str(tmp_path / "i")), q, 5, ["ticker"])
+        return [(r["rank"], r["news_id"], r["score"]) for r in found.orderBy("rank").collect()]
+
+    first = run(("1", "plain words about markets"), ("2", "a zebra appears in markets"))
+    assert run(("1", "plain words about markets")) == first
+    assert [h[1] for h in run(("2", "nothing of the kind here"))] == ["1"]
