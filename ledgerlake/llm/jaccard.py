@@ -37,6 +37,8 @@ from pyspark.sql import functions as F
 from ledgerlake.llm.common import components, per_text, pieces, runs, shingle_set, small, stored, within
 
 GROUPS = 256
+FINE_GROUPS = 4096  # of sets above FINE_FROM, whose pairs are bounded once more before they are verified
+FINE_FROM = 1024
 LEAF = 16
 BLOCK = 1024
 HEAVY_SHARE = 1024  # a shingle in more than 1/1024 of a batch's texts goes last in the order
@@ -75,7 +77,7 @@ def read_sets(docs: DataFrame, n: int) -> DataFrame:
 
 
 def read_prefixes(docs: DataFrame, n: int, percent: int, heavy: np.ndarray) -> DataFrame:
-    """(node, size, point, keys): once for each distinct set of a piece, under its smallest id."""
+    """(node, size, point, fine, keys): once for each distinct set of a piece, under its smallest id."""
     known = docs.sparkSession.sparkContext.broadcast(np.sort(heavy))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -86,7 +88,7 @@ def read_prefixes(docs: DataFrame, n: int, percent: int, heavy: np.ndarray) -> D
                 at += len(piece)
                 yield _prefixes(ids, [shingle_set(w, n) for w in per_text(piece, sized=True)], percent, known.value)
 
-    return docs.mapInArrow(scan, "node long, size long, point binary, keys array<long>")
+    return docs.mapInArrow(scan, "node long, size long, point binary, fine binary, keys array<long>")
 
 
 def _prefixes(ids: list, sets: list[np.ndarray], percent: int, heavy: np.ndarray) -> pa.RecordBatch:
@@ -97,29 +99,34 @@ def _prefixes(ids: list, sets: list[np.ndarray], percent: int, heavy: np.ndarray
             digest = s.tobytes()
             distinct.setdefault(digest, s)
             seen[digest] = min(i, seen.get(digest, i))
-    keys, points = [], []
+    keys, points, fine = [], [], []
     for s in distinct.values():
         late = within(s, heavy)
         order = np.concatenate([s[~late], s[late]])  # s is sorted, so both parts are
         keys.append(order[: len(s) - -(-percent * len(s) // 100) + 1].view(np.int64))
-        points.append(pack(np.bincount((s >> np.uint64(20)).astype(np.int64) % GROUPS, minlength=GROUPS)))
+        points.append(pack(grouped(s, GROUPS)))
+        fine.append(pack(grouped(s, FINE_GROUPS)) if len(s) > FINE_FROM else None)
     return pa.RecordBatch.from_arrays(
         [
             pa.array(seen.values(), pa.int64()), pa.array([len(s) for s in distinct.values()], pa.int64()),
-            pa.array(points, pa.binary()), pa.array(keys, pa.list_(pa.int64())),
+            pa.array(points, pa.binary()), pa.array(fine, pa.binary()), pa.array(keys, pa.list_(pa.int64())),
         ],
-        names=["node", "size", "point", "keys"],
+        names=["node", "size", "point", "fine", "keys"],
     )
 
 
+def grouped(s: np.ndarray, groups: int) -> np.ndarray:
+    return np.bincount((s >> np.uint64(20)).astype(np.int64) % groups, minlength=groups)
+
+
 def pack(counts: np.ndarray) -> bytes:
     return counts.astype(np.uint8 if counts.max(initial=0) < 256 else np.uint32).tobytes()
 
 
-def unpack(points: list[bytes]) -> np.ndarray:
-    if all(len(p) == GROUPS for p in points):
-        return np.frombuffer(b"".join(points), np.uint8).reshape(len(points), GROUPS)
-    return np.array([np.frombuffer(p, np.uint8 if len(p) == GROUPS else np.uint32) for p in points], np.uint32)
+def unpack(points: list[bytes], groups: int = GROUPS) -> np.ndarray:
+    if all(len(p) == groups for p in points):
+        return np.frombuffer(b"".join(points), np.uint8).reshape(len(points), groups)
+    return np.array([np.frombuffer(p, np.uint8 if len(p) == groups else np.uint32) for p in points], np.uint32)
 
 
 class Tree:
@@ -264,10 +271,11 @@ def jaccard_components(
     family = stored(family.distinct().join(points, "node"), "family")
 
     stars = family.where("low != node").select(F.col("low").alias("a"), F.col("node").alias("b"))
-    links = checked(docs, stored(within_bound(stars, points, percent), "bounded"), n, percent)
+    fine = prefixes.where("fine is not null").select(F.col("node").alias("id"), "size", "fine")
+    links = checked(docs, fine, stored(within_bound(stars, points, percent), "bounded"), n, percent)
     for best in (True, False):
         found = stored(pairs_between(family, links, percent, best), "pairs")
-        links = links.unionByName(checked(docs, found, n, percent))
+        links = links.unionByName(checked(docs, fine, found, n, percent))
 
     copies = reps.where("id != rep").select(F.col("rep").alias("a"), F.col("id").alias("b"))
     roots = components(named.select("id").distinct(), copies.unionByName(links))
@@ -276,12 +284,35 @@ def jaccard_components(
     )
 
 
-def checked(docs: DataFrame, pairs: DataFrame, n: int, percent: int) -> DataFrame:
-    """The pairs that are links, by their exact sets."""
+def checked(docs: DataFrame, fine: DataFrame, pairs: DataFrame, n: int, percent: int) -> DataFrame:
+    """The pairs that are links: those that pass the fine bound, by their exact sets."""
+    pairs = stored(refined(pairs, fine, percent), "refined")
     ends = pairs.select(F.explode(F.array("a", "b")).alias("id"))
     return stored(verified(pairs, stored(sets_of(docs, ends, n), "ends"), percent), "links")
 
 
+def refined(pairs: DataFrame, fine: DataFrame, percent: int) -> DataFrame:
+    """Leaves out pairs of two large sets whose counts in FINE_GROUPS groups rule the Jaccard out."""
+
+    @F.arrow_udf("boolean")
+    def allows(sa: pa.Array, fa: pa.Array, sb: pa.Array, fb: pa.Array) -> pa.Array:
+        out = []
+        for size_a, a, size_b, b in zip(sa, fa, sb, fb):
+            a, b = (unpack([x.as_py()], FINE_GROUPS)[0] for x in (a, b))
+            bound = int(np.minimum(a, b).sum(dtype=np.int64))
+            out.append((100 + percent) * bound >= percent * (size_a.as_py() + size_b.as_py()))
+        return pa.array(out, pa.bool_())
+
+    ends = stored(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "ids")
+    own = stored(fine.join(small(ends, ends.count(), 16), "id", "left_semi"), "fine")
+    left = own.select(F.col("id").alias("a"), F.col("size").alias("sa"), F.col("fine").alias("fa"))
+    right = own.select(F.col("id").alias("b"), F.col("size").alias("sb"), F.col("fine").alias("fb"))
+    large = own.select("id").distinct()
+    both = pairs.join(large.withColumnRenamed("id", "a"), "a", "left_semi").join(large.withColumnRenamed("id", "b"), "b", "left_semi")
+    kept = both.join(left, "a").join(right, "b").where(allows("sa", "fa", "sb", "fb")).select("a", "b").distinct()
+    return pairs.join(both, ["a", "b"], "left_anti").unionByName(kept)
+
+
 def pairs_between(family: DataFrame, links: DataFrame, percent: int, best: bool) -> DataFrame:
     """Pairs (a, b) of one family but two components that pass the bound; with best, one for each text."""
     nodes = family.select(F.col("node").alias("id")).distinct()

@@ -53,6 +53,7 @@ def test_hard_rows(hard):
 
 def test_families_around_the_threshold(frame, monkeypatch):
     monkeypatch.setattr(jaccard, "BLOCK", 16)  # several blocks a family
+    monkeypatch.setattr(jaccard, "FINE_FROM", 100)
     rows, n = [], 0
     for family in range(4):
         base = prose(100 + family, 60 + 60 * family)
@@ -76,7 +77,7 @@ def test_the_bound_never_cuts_a_link():
         s[: k % 50] = rng.integers(0, 1 << 62, k % 50, dtype=np.uint64)
         members.append(np.unique(s))
     sizes = np.array([len(m) for m in members])
-    points = jaccard.unpack([jaccard.pack(np.bincount((m >> np.uint64(20)).astype(int) % jaccard.GROUPS, minlength=jaccard.GROUPS)) for m in members])
+    points = jaccard.unpack([jaccard.pack(jaccard.grouped(m, jaccard.GROUPS)) for m in members])
     roots = np.arange(60)
     found = set()
     for q, p, _ in jaccard.Tree(roots, sizes, points).search(roots, sizes, points, 80):
