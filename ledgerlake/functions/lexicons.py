@@ -5,7 +5,7 @@ from __future__ import annotations
 # The six news topics, in tie-break order.
 TOPICS = ["Earnings", "M&A", "Regulation", "Macroeconomy", "Product", "Analyst Rating"]
 
-# English finance words.
+# English finance words; a default, any other lists serve as well.
 FINANCE_POSITIVE = [
     "accelerated", "beat", "beats", "bullish", "expanding", "gain", "gains", "growth", "higher",
     "profit", "raise", "raised", "raises", "record", "resilient", "strong", "surge", "upgrade",

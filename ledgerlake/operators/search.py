@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerlake.functions.tokens import tokens
@@ -12,31 +12,37 @@ from ledgerlake.operators.skew import fits, lookup_join
 
 K1 = 1.2
 B = 0.75
+BUCKETS = 64
 
 
 @dataclass(frozen=True)
 class Index:
-    """postings: (news_id, ticker, dl, term, tf); docs: attributes and length `dl` per news_id."""
+    """postings: (news_id, ticker, dl, term, tf, bucket); docs: attributes and length `dl` per news_id."""
 
     postings: DataFrame
     docs: DataFrame
 
 
+def bucket_of(term: Column) -> Column:
+    return F.pmod(F.xxhash64(term), F.lit(BUCKETS)).cast("int")
+
+
 def build_index(news: DataFrame, text_col: str = "body") -> Index:
-    """Cut every text once; the text is placed by article so that counting needs no second shuffle."""
-    placed = news.repartition("news_id").withColumn("_tokens", tokens(F.col(text_col))).withColumn(
-        "dl", F.size("_tokens")
-    )
+    """Count every article's terms; texts stay where they are read, only counted terms are shuffled."""
+    cut = news.withColumn("_tokens", tokens(F.col(text_col))).withColumn("dl", F.size("_tokens"))
     postings = (
-        placed.select("news_id", "ticker", "dl", F.explode("_tokens").alias("term"))
+        cut.select("news_id", "ticker", "dl", F.explode("_tokens").alias("term"))
         .groupBy("news_id", "ticker", "dl", "term")
         .agg(F.count("*").alias("tf"))
+        .withColumn("bucket", bucket_of(F.col("term")))
     )
-    return Index(postings, placed.drop("_tokens"))
+    return Index(postings, cut.drop("_tokens"))
 
 
 def write_index(index: Index, path: str, part: str = "batch_id=0") -> None:
-    index.postings.write.mode("overwrite").parquet(f"{path}/postings/{part}")
+    """Postings are stored by term bucket, so a question reads the buckets of its terms only."""
+    postings = index.postings.hint("rebalance", "bucket")
+    postings.write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/postings/{part}")
     index.docs.write.mode("overwrite").parquet(f"{path}/docs/{part}")
 
 
@@ -73,7 +79,9 @@ def score(index: Index, queries: DataFrame, max_query_terms: int = 200_000) -> D
     wanted = query_terms(queries)
     terms = wanted.select("term").distinct()
     small = fits(wanted, max_query_terms)
-    relevant = index.postings.join(F.broadcast(terms) if small else terms, "term", "left_semi")
+    # At most BUCKETS numbers; as literals they prune the folders that are read.
+    buckets = [r.b for r in terms.select(bucket_of(F.col("term")).alias("b")).distinct().collect()]
+    relevant = index.postings.where(F.col("bucket").isin(buckets)).drop("bucket").join(F.broadcast(terms) if small else terms, "term", "left_semi")
     placed = relevant.repartition("news_id")
     # Document frequency of the queried terms only; counts combine map-side.
     df = relevant.groupBy("term").agg(F.count("*").alias("df"))

@@ -39,7 +39,8 @@ NEWS_FIELDS = [
 def field(record: str, name: str, dtype: str) -> Column:
     """One typed field of a VARIANT record; a value that does not convert becomes NULL."""
     if dtype == "timestamp_ntz":
-        return F.try_to_timestamp(F.try_variant_get(record, f"$.{name}", "string")).cast(dtype)
+        # The clock time as written: an offset neither moves it nor makes it depend on the session zone.
+        return F.try_variant_get(record, f"$.{name}", "string").try_cast(dtype)
     return F.try_variant_get(record, f"$.{name}", dtype)
 
 
@@ -51,7 +52,8 @@ def latest_version(df: DataFrame, keys: list[str], order: list[str]) -> DataFram
     """Keep the newest row per key: by `order`, then by all remaining columns.
 
     A max over a struct combines map-side, so a key that was re-sent many times shrinks to one
-    row per task before the shuffle.
+    row per task before the shuffle. With strings among the columns it is a sort aggregate, so
+    each side of the shuffle sorts the rows by key.
     """
     rest = [c for c in df.columns if c not in keys and c not in order]
     newest = F.max(F.struct(*order, *rest)).alias("_v")

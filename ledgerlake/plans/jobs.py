@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake.functions.scalars import AsOf
-from ledgerlake.operators import fraud, gold, insight, series, silver, text, views
+from ledgerlake.operators import fraud, gold, insight, series, silver, text, vectors, views
 from ledgerlake.sources import bronze
 from ledgerlake.sources.tables import append_by_name, overwrite
 
@@ -54,6 +54,8 @@ def build_models(spark: SparkSession, as_of: AsOf, schema: str = "gold", **lexic
     overwrite(fraud.rule_score(t("txn_features")), f"{schema}.fraud_candidates")
     scored = overwrite(fraud.score_fraud(t("fraud_candidates")), f"{schema}.fraud_scored")
     overwrite(fraud.explain_fraud(scored), f"{schema}.fraud_explained")
+    pool = vectors.vector_pool(t("fraud_scored"), t("txn_features"))
+    overwrite(vectors.embed(pool, "txn_text"), f"{schema}.txn_vectors")
     spend, volume = series.spend_series(t("spend_daily")), series.volume_series(t("market_daily"))
     overwrite(series.detect_anomalies(*series.split_series(spend, as_of)), f"{schema}.spend_anomalies")
     overwrite(series.detect_anomalies(*series.split_series(volume, as_of)), f"{schema}.volume_anomalies")

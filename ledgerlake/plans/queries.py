@@ -525,13 +525,13 @@ def _questions(spark, d):
 
 def _stored_index(spark, d):
     path = scratch_dir(spark, "index")
-    search.write_index(search.build_index(A.news(spark, d)), path)
+    search.write_index(search.build_index(text.news_sentiment(A.news(spark, d), **PROSE)), path)
     return search.read_index(spark, path)
 
 
 @query
 def news_search(spark, d):
-    return search.search(_stored_index(spark, d), _questions(spark, d), 5, ["headline", "ticker", "published_at"])
+    return search.search(_stored_index(spark, d), _questions(spark, d), 5, ["headline", "ticker", "published_at", "sentiment_label"])
 
 
 @query

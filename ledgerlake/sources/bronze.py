@@ -33,11 +33,8 @@ def split_bad(text: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def records(good: DataFrame) -> DataFrame:
     """(record, src_file, ingested_at): the outer array is stripped, a lone object is one record."""
-    # variant_explode on an object yields its fields, so anything but an array is passed through.
-    is_array = F.schema_of_variant("parsed").startswith("ARRAY")
-    items = F.when(is_array, F.try_variant_get("parsed", "$", "array<variant>")).otherwise(
-        F.array("parsed")
-    )
+    # Anything but an array does not convert and is passed through as one record.
+    items = F.coalesce(F.try_variant_get("parsed", "$", "array<variant>"), F.array("parsed"))
     return good.select(F.explode(items).alias("record"), "src_file").withColumn(
         "ingested_at", now_ntz()
     )

@@ -343,10 +343,10 @@ _STATEMENTS: dict[str, tuple[list[str], str]] = {
     "price_vs_sentiment": (["ohlc", "moodday"], "SELECT o.ticker, trade_date, close, round(avg_sentiment, 6) AS avg_sentiment FROM ohlc o LEFT JOIN moodday m ON m.ticker = o.ticker AND m.d = o.trade_date"),
     "theme_stats": (["themestat"], "SELECT * FROM themestat"),
     "news_themes": (["themes"], "SELECT * FROM themes"),
-    "news_search": (["bm"], """
-      SELECT query_id, rank, b.news_id, score, headline, ticker, published_at
+    "news_search": (["bm", "mood"], """
+      SELECT query_id, rank, b.news_id, score, headline, ticker, published_at, sentiment_label
       FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, news_id)::INTEGER AS rank FROM bm QUALIFY rank <= 5) b
-      JOIN news USING (news_id)"""),
+      JOIN mood USING (news_id)"""),
     "stream_index": (["bm"], """
       SELECT query_id, rank, b.news_id, score, ticker
       FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, news_id)::INTEGER AS rank FROM bm QUALIFY rank <= 3) b

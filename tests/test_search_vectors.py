@@ -117,3 +117,20 @@ def test_metric_query_rejects_unknown_names(spark):
         metrics.metric_query(market(spark), "market", ["profit"])
     with pytest.raises(ValueError):
         metrics.metric_query(market(spark), "market", ["volume"], grain="eon")
+
+
+def test_questions_read_their_buckets_only(spark, tmp_path):
+    from ledgerlake.operators import search
+
+    word = lambda i: "zebra" + "abcdefgh"[i % 8] * (1 + i // 8)
+    rows = [(str(i), "A", f"{word(i)} markets") for i in range(50)]
+    news = spark.createDataFrame(rows, "news_id string, ticker string, body string")
+    index = search.build_index(news)
+    assert "news_id" not in "".join(x for x in index.docs._jdf.queryExecution().toString().splitlines() if "Exchange" in x)
+    search.write_index(index, str(tmp_path))
+    stored = search.read_index(spark, str(tmp_path))
+    q = spark.createDataFrame([("q", word(7))], "query_id string, query string")
+    found = search.score(stored, q)
+    assert [r.news_id for r in found.collect()] == ["7"]
+    plan = found._jdf.queryExecution().toString()
+    assert "PartitionFilters: [bucket" in plan or "bucket#" in plan.split("PartitionFilters", 1)[1][:200]
