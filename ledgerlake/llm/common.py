@@ -140,13 +140,13 @@ def words(
         if end < len(raw):
             cut = at[np.searchsorted(at, end, "right") - 1]  # a text's start, if there is one in reach
             if cut <= done:
-                gaps = np.flatnonzero(gaps[raw[done:end]])
-                if len(gaps):
-                    cut = done + gaps[-1] + 1
+                found = np.flatnonzero(gaps[raw[done:end]])
+                if len(found):
+                    cut = done + found[-1] + 1
                 else:  # one word longer than a piece
-                    rest = np.flatnonzero(gaps[raw[end:]])
                     stop = int(at[np.searchsorted(at, done, "right")])
-                    cut = min(stop, end + rest[0] + 1) if len(rest) else stop
+                    rest = np.flatnonzero(gaps[raw[end:stop]])
+                    cut = end + rest[0] + 1 if len(rest) else stop
             end = int(cut)
         inside = at[(at >= done) & (at < end)] - done
         found, starts, ends = _piece(raw[done:end], inside, fold, gaps)
