@@ -2,9 +2,8 @@
 
 P(w | v) = a c(v, w) / c(v) + b c(w) / N + c / (V + 1); the weights a, b, c depend on the bucket of
 log2 c(v). They are learned by expectation-maximisation on deleted counts: every training token is
-scored by the counts without itself. Pairs are counted over the words that make up at least
-2**-20 of the training tokens (so at most 2**20 words, which bounds the one broadcast here); all
-other words count as single words, however rare.
+scored by the counts without itself. All pairs are counted, however rare their words; a pair is known
+by a 64-bit hash of both words, so no vocabulary is gathered or broadcast.
 
 Texts are read once, into chunks: token numbers within a chunk and the chunk's distinct words. What
 is shuffled are the sorted distinct words (and pairs) of a chunk with their counts, cut into
@@ -29,21 +28,21 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import mix, pieces, runs, stored, within, words
+from ledgerlake.llm.common import BASE, mix, pieces, runs, stored, words
 
 CHUNK_BYTES = 8 << 20
-PART_ENTRIES = 1 << 20  # distinct entries of chunks that one part sums up, about
-SHARE_BITS = 20
+PART_ENTRIES = 1 << 20  # distinct entries of chunks that one part sums up, about; of pairs at most four times as many
 END = np.uint64(0x454E44)
+START = np.uint64(0x5354415254)  # stands before a text's first word
 BUCKETS = 48
 STEPS = 4  # histogram steps for each doubling of a probability
 NOTHING = -100_000
 ROUNDS = 60
 TOTALS = -1  # in the place of a chunk: a part's own totals
 
-CHUNKS = "chunk long, ids array<long>, at binary, held binary, tokens binary, vocabulary binary, train binary, n_train long"
+CHUNKS = "chunk long, ids array<long>, at binary, held binary, tokens binary, vocabulary binary, train binary, n_train long, n_tokens long"
 SLICES = "part int, chunk long, entries binary, counts binary"
-SUMS = "chunk long, part int, counts binary, entries binary, n_distinct long"
+SUMS = "chunk long, part int, counts binary, n_distinct long"
 
 
 def squeeze(values: np.ndarray) -> bytes:
@@ -87,7 +86,7 @@ def read_chunks(docs: DataFrame) -> DataFrame:
                 row = {
                     "chunk": [uuid.uuid4().int >> 66], "ids": [ids], "at": [squeeze(at)], "held": [held.tobytes()],
                     "tokens": [squeeze(tokens)], "vocabulary": [distinct[order].tobytes()], "train": [squeeze(train)],
-                    "n_train": [int(train.sum())],
+                    "n_train": [int(train.sum())], "n_tokens": [len(tokens)],
                 }
                 yield pa.RecordBatch.from_pydict(row, schema=CHUNK_SCHEMA)
 
@@ -96,12 +95,13 @@ def read_chunks(docs: DataFrame) -> DataFrame:
 
 CHUNK_SCHEMA = pa.schema(
     [("chunk", pa.int64()), ("ids", pa.list_(pa.int64())), ("at", pa.binary()), ("held", pa.binary()),
-     ("tokens", pa.binary()), ("vocabulary", pa.binary()), ("train", pa.binary()), ("n_train", pa.int64())]
+     ("tokens", pa.binary()), ("vocabulary", pa.binary()), ("train", pa.binary()), ("n_train", pa.int64()), ("n_tokens", pa.int64())]
 )
 
 
 def part_of(entries: np.ndarray, parts: int) -> np.ndarray:
-    return (mix(entries) % np.uint64(parts)).astype(np.int64)
+    """Ranges of the hashes, which are spread evenly; entries of a part are close to each other, so they squeeze well."""
+    return ((entries >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
 
 
 def dealt(chunk: int, entries: np.ndarray, counts: np.ndarray, parts: int) -> Iterator[pa.RecordBatch]:
@@ -114,8 +114,8 @@ def dealt(chunk: int, entries: np.ndarray, counts: np.ndarray, parts: int) -> It
         )
 
 
-def sums(slices: DataFrame, least: int, parts: int) -> DataFrame:
-    """Totals over all chunks, handed back by chunk and part, and each part's entries of at least least."""
+def sums(slices: DataFrame, parts: int) -> DataFrame:
+    """Totals over all chunks, handed back by chunk and part, and each part's number of entries."""
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in runs(batches, ["part"]):
@@ -128,15 +128,14 @@ def sums(slices: DataFrame, least: int, parts: int) -> DataFrame:
             for chunk, entries in zip(group["chunk"].to_pylist(), own):
                 back = total[where[at : at + len(entries)]]
                 at += len(entries)
-                yield pa.RecordBatch.from_pylist([{"chunk": chunk, "part": part, "counts": squeeze(back), "entries": None, "n_distinct": 0}], schema=SUM_SCHEMA)
-            often = total >= least
-            row = {"chunk": TOTALS, "part": part, "counts": squeeze(total[often]), "entries": ascending(distinct[often]), "n_distinct": int((total > 0).sum())}
+                yield pa.RecordBatch.from_pylist([{"chunk": chunk, "part": part, "counts": squeeze(back), "n_distinct": 0}], schema=SUM_SCHEMA)
+            row = {"chunk": TOTALS, "part": part, "counts": None, "n_distinct": int((total > 0).sum())}
             yield pa.RecordBatch.from_pylist([row], schema=SUM_SCHEMA)
 
     return slices.repartition(parts, "part").sortWithinPartitions("part").mapInArrow(add, SUMS)
 
 
-SUM_SCHEMA = pa.schema([("chunk", pa.int64()), ("part", pa.int32()), ("counts", pa.binary()), ("entries", pa.binary()), ("n_distinct", pa.int64())])
+SUM_SCHEMA = pa.schema([("chunk", pa.int64()), ("part", pa.int32()), ("counts", pa.binary()), ("n_distinct", pa.int64())])
 
 
 def by_chunk(totals: DataFrame, name: str) -> DataFrame:
@@ -162,17 +161,13 @@ class Chunk:
         self.first = np.zeros(len(self.tokens), bool)
         self.first[self.at[:-1]] = True
 
-    def pairs(self, common: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Where both words are common, and the numbers of those pairs; a text's start is a common word."""
-        known = within(self.vocabulary, common)
-        number = (np.searchsorted(common, self.vocabulary) + 1).astype(np.uint64)
-        number[~known] = 0
-        word = number[self.tokens]
+    def pairs(self) -> np.ndarray:
+        """Hashes of every token with the one before it."""
+        word = self.vocabulary[self.tokens]
         before = np.empty_like(word)
         before[1:] = word[:-1]
-        before[self.first] = len(common) + 1
-        where = np.flatnonzero((word > 0) & (before > 0))
-        return where, before[where] << np.uint64(32) | word[where]
+        before[self.first] = START
+        return mix(before * BASE + word)
 
 
 @dataclass
@@ -180,7 +175,6 @@ class Model:
     n: int  # training tokens
     v: int  # distinct ones
     texts: int  # training texts
-    common: np.ndarray
     parts: tuple[int, int]
     weights: np.ndarray | None = None
 
@@ -193,11 +187,8 @@ class Model:
         before = np.empty_like(word)
         before[1:] = word[:-1]
         before[chunk.first] = self.texts
-        pair = np.zeros(len(word))
-        where, pairs = chunk.pairs(self.common)
-        distinct, at = np.unique(pairs, return_inverse=True)
-        pair[where] = handed_back(row["pairs"] or [], distinct, self.parts[1])[at]
-        return pair, before, word
+        distinct, at = np.unique(chunk.pairs(), return_inverse=True)
+        return handed_back(row["pairs"], distinct, self.parts[1])[at], before, word
 
     @staticmethod
     def bucket(before: np.ndarray) -> np.ndarray:
@@ -281,9 +272,9 @@ def score_texts(documents: DataFrame, held: Column, id_col: str = "doc_id", text
     chunks = stored(read_chunks(docs), "chunks")
     seen = chunks.agg(
         F.coalesce(F.sum("n_train"), F.lit(0)).alias("n"), F.sum(F.octet_length("vocabulary") / 8).alias("entries"),
-        F.sum(F.size("ids")).alias("texts"),
+        F.sum("n_tokens").alias("tokens"),
     ).first()
-    if seen.texts is None:
+    if seen.tokens is None:
         return documents.sparkSession.createDataFrame([], "id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
     parts = max(1, int(seen.entries) // PART_ENTRIES)
 
@@ -294,29 +285,24 @@ def score_texts(documents: DataFrame, held: Column, id_col: str = "doc_id", text
                 order = np.argsort(vocabulary)
                 yield from dealt(row["chunk"], vocabulary[order], expand(row["train"])[order], parts)
 
-    least = max(1, -(-seen.n // (1 << SHARE_BITS)))
-    single = stored(sums(chunks.select("chunk", "vocabulary", "train").mapInArrow(singles, SLICES), least, parts), "singles")
-    totals = single.where(F.col("chunk") == TOTALS)
-    distinct = totals.agg(F.sum("n_distinct")).first()[0]
-    common = [climb(r.entries) for r in totals.select("entries").collect()]  # at most 2**SHARE_BITS words
-    common = np.sort(np.concatenate(common)) if common else np.zeros(0, np.uint64)
+    single = stored(sums(chunks.select("chunk", "vocabulary", "train").mapInArrow(singles, SLICES), parts), "singles")
+    distinct = single.agg(F.sum("n_distinct")).first()[0]
     texts = docs.where("not held").count()
-    pair_parts = max(1, int(seen.n * 8 / 7 / 4) // PART_ENTRIES)
-    model = Model(int(seen.n), int(distinct), texts, common, (parts, pair_parts))
+    pair_parts = max(1, int(seen.tokens) // (4 * PART_ENTRIES))
+    model = Model(int(seen.n), int(distinct), texts, (parts, pair_parts))
     shared = documents.sparkSession.sparkContext.broadcast(vars(model))
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in rows_of(batch):
                 chunk = Chunk(row)
-                where, found = chunk.pairs(shared.value["common"])
-                entries, at = np.unique(found, return_inverse=True)
-                counts = np.bincount(at, weights=chunk.trains[where], minlength=len(entries)).astype(np.uint64)
+                entries, at = np.unique(chunk.pairs(), return_inverse=True)
+                counts = np.bincount(at, weights=chunk.trains, minlength=len(entries)).astype(np.uint64)
                 yield from dealt(row["chunk"], entries, counts, pair_parts)
 
     needed = chunks.select("chunk", "at", "held", "tokens", "vocabulary")
-    double = stored(sums(needed.mapInArrow(pairs, SLICES), 1 << 62, pair_parts), "pairs")
-    joined = chunks.drop("train", "n_train").join(by_chunk(single, "singles"), "chunk").join(by_chunk(double, "pairs"), "chunk", "left")
+    double = stored(sums(needed.mapInArrow(pairs, SLICES), pair_parts), "pairs")
+    joined = chunks.drop("train", "n_train", "n_tokens").join(by_chunk(single, "singles"), "chunk").join(by_chunk(double, "pairs"), "chunk")
     cells = deleted_counts(joined, shared).collect()
     model.weights = mixture(np.array([r.cell for r in cells], np.int64), np.array([r.n for r in cells], np.float64))
     return scored(joined, documents.sparkSession.sparkContext.broadcast(vars(model)))

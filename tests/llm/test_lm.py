@@ -84,3 +84,23 @@ def test_mixture_finds_the_better_part():
     cells = np.array([(3 << 40) + ((200_000 + 40) << 20) + 200_000 - 40, (3 << 40) + ((200_000 + lm.NOTHING) << 20) + 200_000 + lm.NOTHING])
     w = lm.mixture(cells, np.array([900.0, 100.0]))
     assert w[3, 0] > 0.85 and w[3, 1] < 0.01 and abs(w[3].sum() - 1) < 1e-9
+
+
+def test_pairs_of_rare_words_count(frame, monkeypatch):
+    monkeypatch.setattr(lm, "SHARE_BITS", 4, raising=False)  # a share of words, were there one, would bite
+    monkeypatch.setattr(lm, "CHUNK_BYTES", 1_000)
+    monkeypatch.setattr(lm, "PART_ENTRIES", 100)
+    rows = [(i, f"{prose(i, 40)} rare{i % 9} pair{i % 9} {prose(i + 50, 5)}") for i in range(60)]
+    seen, counts = {}, lm.mixture
+    monkeypatch.setattr(lm, "mixture", lambda cells, n: seen.setdefault("weights", counts(cells, n)))
+    got = {r.id: r.score for r in lm.score_texts(frame(rows), F.crc32(F.col("doc_id").cast("string")) % 7 == 2).collect()}
+    train = [tokens(t) for i, t in rows if not is_held(i)]
+    single = Counter(x for t in train for x in t)
+    pair = Counter(p for t in train for p in zip(["", *t[:-1]], t))
+    single[""], n, v, w = len(train), sum(single.values()), len(single), seen["weights"]
+    for i, t in rows:
+        want = 0.0
+        for a, b in zip(["", *tokens(t)[:-1]], tokens(t)):
+            k = w[lm.Model.bucket(np.array([single[a]]))[0]]
+            want += math.log10(k[0] * pair[a, b] / max(single[a], 1) + k[1] * single[b] / n + k[2] / (v + 1))
+        assert math.isclose(got[i], want, rel_tol=1e-9)
