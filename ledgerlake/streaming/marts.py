@@ -37,19 +37,29 @@ def dedup_to_table(
     A record is compared with what is stored up to `days` days around its own day, so a re-send is
     dropped and a late record that was never seen is kept, however far behind the stream it is.
     Only those days are read. Each batch writes its own folder, so a rerun replaces its rows.
+    A record without a time comes after those with one and is compared with all stored days, which
+    are read only if a batch has such records. Records with a null in their key all stay.
     """
     schema = df.schema
+    sortable = [f.name for f in schema.fields if f.name not in (*keys, ts) and not any(t in f.dataType.simpleString() for t in ("map<", "variant"))]
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         day = F.to_date(ts)
-        first = batch.groupBy(*keys).agg(F.min_by(F.struct(*[c for c in batch.columns if c not in keys]), ts).alias("v"))
-        first = first.select(*keys, "v.*").select(*batch.columns).withColumn("dt", day)
+        keyed = F.lit(True)
+        for k in keys:
+            keyed = keyed & F.col(k).isNotNull()
+        order = F.struct(F.col(ts).isNull().alias("no_time"), F.col(ts), *sortable)  # never null itself
+        first = batch.where(keyed).groupBy(*keys).agg(F.min_by(F.struct(*[c for c in batch.columns if c not in keys]), order).alias("v"))
+        first = first.select(*keys, "v.*").select(*batch.columns).unionByName(batch.where(~keyed)).withColumn("dt", day)
         if batch_id and is_folder(spark, path):
-            span = first.agg(F.date_sub(F.min("dt"), days).alias("a"), F.date_add(F.max("dt"), days).alias("b")).first()
+            span = first.agg(F.date_sub(F.min("dt"), days).alias("a"), F.date_add(F.max("dt"), days).alias("b"), F.max(F.col("dt").isNull() & keyed).alias("undated")).first()
             stored = read_deduped(spark, path, schema).where(F.col("batch_id") != batch_id)
             near = stored.where(F.col("dt").between(span.a, span.b) | F.col("dt").isNull()) if span.a else stored.where("dt is null")
             first = first.join(near.select(*keys).distinct(), keys, "left_anti")
+            if span.undated:
+                rest = first.where("dt is null").join(stored.select(*keys).distinct(), keys, "left_anti")
+                first = first.where("dt is not null").unionByName(rest)
         first.write.mode("overwrite").partitionBy("dt").parquet(f"{path}/batch_id={batch_id}")
 
     return (

@@ -144,6 +144,24 @@ def test_late_first_records_stay(spark, tmp_path):
     assert batch(("b", 3, 2), ("c", 1, 3)) == {("a", 1), ("b", 2), ("c", 3)}
 
 
+def test_dedup_keeps_records_without_time_or_key(spark, tmp_path):
+    schema = "id string, part string, ts timestamp_ntz, v long"
+
+    def batch(*rows):
+        rows = [(i, p, day and dt.datetime(2024, 1, day), v) for i, p, day, v in rows]
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        stream = spark.readStream.schema(schema).parquet(str(tmp_path / "in"))
+        marts.dedup_to_table(stream, ["id", "part"], "ts", str(tmp_path / "o"), str(tmp_path / "c")).awaitTermination()
+        return sorted(((r.id, r.part, r.v) for r in marts.read_deduped(spark, str(tmp_path / "o"), stream.schema).collect()), key=str)
+
+    got = batch(("a", "p", None, 2), ("a", "p", None, 1), ("b", "p", None, 4), ("b", "p", 3, 5), (None, "p", 1, 6), (None, "p", 1, 6), ("c", None, None, 7), ("f", "p", 1, 0))
+    want = [("a", "p", 1), ("b", "p", 5), ("c", None, 7), (None, "p", 6), (None, "p", 6), ("f", "p", 0)]
+    assert got == sorted(want, key=str)
+    got = batch(("a", "p", None, 9), ("b", "p", None, 9), ("f", "p", None, 9), ("d", "p", None, 8), (None, "p", 20, 6), ("c", None, None, 7), ("e", "p", 25, 3))
+    want += [("d", "p", 8), (None, "p", 6), ("c", None, 7), ("e", "p", 3)]  # a, b and f are known, whatever their day
+    assert got == sorted(want, key=str)
+
+
 def test_resent_articles_count_once(spark, tmp_path):
     schema = "news_id string, published_at timestamp_ntz, ticker string, headline string, body string, source string"
 
