@@ -1,14 +1,22 @@
 """License scan: MinHash bands over overlapping windows retrieve templates, exact containment verifies.
 
-Templates are parted into classes of similar length. A text is cut into overlapping windows for each
-class, long enough that every occurrence lies whole in one. Window and template collide when one of
-b MinHash values is equal; b follows from the least Jaccard that a window with a counting occurrence
-can have, so that such a window is missed with a probability of at most MISS. Colliding pairs are
-kept if the window holds at least CONTAINMENT of the template's five-word shingles.
+A text matches a template if it holds at least CONTAINMENT of the template's five-word shingles,
+wherever they are: words may be inserted at any place and in any number.
 
-Before any hashing, texts and windows without an anchor word are put aside. A template's anchors are
-words that together occur in more than 1 - CONTAINMENT of its shingles, so a text without one of
-them cannot reach the containment: the filter loses nothing.
+Templates are parted into classes of similar length. A text is cut into overlapping windows for each
+class, so that every shingle lies whole in one. Window and template collide when one of b MinHash
+values is equal. The template's least shingle under a hash function is any of its shingles with
+equal probability; if the text has it, the windows around it collide unless a further shingle of the
+window is less. So a matching text collides at one function with a probability of at least
+least / (template + window), in shingles, however its shingles are spread; b follows from it, so that
+a matching text is missed with a probability of at most MISS. Colliding pairs are kept if the whole
+text holds CONTAINMENT. n_windows counts the colliding windows that hold as much by themselves, none
+if a notice is spread out; first_word is where the first of these starts, else the fullest window.
+
+Before any hashing, texts without an anchor word are put aside. A template's anchors are words that
+together occur in more than 1 - CONTAINMENT of its shingles, so a text without one of them cannot
+reach the containment. Windows are put aside if they have no cover word; a template's covers occur
+in all of its shingles, together. Both filters lose nothing.
 
 DataFrame functions only; the template table is a parameter and its join is broadcast while it is
 small. Defined cases: null and empty texts match nothing; texts and templates under five words are
@@ -69,13 +77,15 @@ def shingles(words: list[str]) -> list[str]:
     return list(dict.fromkeys(" ".join(words[i : i + k]) for i in range(len(words) - k + 1))) if k else []
 
 
-def anchors(words: list[str]) -> list[str]:
-    """Longest words of a template until they touch more than 1 - CONTAINMENT of its shingles."""
+def anchors(words: list[str], share: float = 1 - CONTAINMENT) -> list[str]:
+    """Longest words of a template until they touch more than a share of its shingles, or all of them."""
     made, chosen = [set(s.split()) for s in shingles(words)], []
     for word in sorted(set(words), key=lambda w: (-len(w), w)):
-        if sum(bool(s & set(chosen)) for s in made) > (1 - CONTAINMENT) * len(made) + 1e-9:
+        left = [s for s in made if not s & set(chosen)]
+        if not left or len(made) - len(left) > share * len(made) + 1e-9:
             break
-        chosen.append(word)
+        if any(word in s for s in left):
+            chosen.append(word)
     return chosen
 
 
@@ -91,11 +101,12 @@ class Plan:
         self.stride = max(1, min(sizes) // 2)
         self.window = max(sizes) + self.stride
         inside = max(1, self.window - SHINGLE + 1)
-        least = max(1, math.ceil(CONTAINMENT * min(len(shingles(w)) for w in templates.values())))
-        jaccard = min(0.999, least / (inside + max(len(shingles(w)) for w in templates.values()) - least))
-        self.bands = min(MAX_BANDS, max(8, math.ceil(math.log(MISS) / math.log(1 - jaccard))))
+        made = [len(shingles(w)) for w in templates.values()]
+        chance = min(0.999, *(max(1, math.ceil(CONTAINMENT * n)) / (inside + n) for n in made))
+        self.bands = min(MAX_BANDS, max(8, math.ceil(math.log(MISS) / math.log(1 - chance))))
         self.templates = templates
         self.anchors = sorted({a for w in templates.values() for a in anchors(w)})
+        self.covers = sorted({a for w in templates.values() for a in anchors(w, 1)})
 
 
 def shingle_hashes(words: Column) -> Column:
@@ -145,18 +156,33 @@ def license_matches(
         starts = F.sequence(F.lit(0), F.greatest(F.size("words") - 1, F.lit(0)), F.lit(p.stride))
         windows = docs.select("k_id", "k_text", F.explode(F.filter(
             F.transform(starts, lambda s: F.struct(s.alias("first"), F.slice("words", s + 1, p.window).alias("w"))),
-            lambda x: F.arrays_overlap(x["w"], F.array(*[F.lit(a) for a in p.anchors])),
+            lambda x: F.arrays_overlap(x["w"], F.array(*[F.lit(a) for a in p.covers])),
         )).alias("x"))
         windows = windows.select("k_id", "k_text", F.col("x.first").alias("first"), shingle_hashes(F.col("x.w")).alias("held"))
         signed = windows.select("k_id", "k_text", "first", "held", F.explode(bands(F.col("held"), p.bands)).alias("m"))
         signed = signed.select("k_id", "k_text", "first", "held", "m.*")
         rows = signed.join(small(wanted, len(p.templates) * p.bands, 64 + 8 * p.window), ["band", "value"])
         share = F.size(F.array_intersect("held", "wanted")) / F.size("wanted")
-        rows = rows.select("k_id", "k_text", "license", "first", share.alias("containment")).where(F.col("containment") >= CONTAINMENT)
+        rows = rows.select("k_id", "k_text", "license", "first", share.alias("share"))
         hits = rows if hits is None else hits.unionByName(rows)
-    return hits.distinct().groupBy("k_id", "k_text", "license").agg(
-        F.max("containment").alias("containment"), F.min("first").alias("first_word"), F.count("*").alias("n_windows")
-    )
+    by_itself = F.col("share") >= CONTAINMENT
+    found = stored(hits.distinct().groupBy("k_id", "k_text", "license").agg(
+        F.coalesce(F.min(F.when(by_itself, F.col("first"))), F.min_by("first", F.struct(-F.col("share"), "first"))).alias("first_word"),
+        F.count_if(by_itself).alias("n_windows"),
+    ), "candidates")
+    listed = spark.createDataFrame(list(known.items()), "license string, words array<string>")
+    listed = listed.select("license", shingle_hashes(F.col("words")).alias("wanted"))
+    row_bytes = 64 + 8 * max(map(len, known.values()))
+    found = found.join(small(listed, len(known), row_bytes), "license")
+    texts = found.groupBy("k_id", "k_text").agg(F.collect_list(F.struct("license", "wanted", "first_word", "n_windows")).alias("x"))
+    texts = texts.select(F.col("k_id").alias("t_id"), F.col("k_text").alias("t_text"), "x")
+    texts = small(texts, found.count(), row_bytes)
+    same = F.col("k_id").eqNullSafe(F.col("t_id")) & (F.col("k_text") == F.col("t_text"))
+    whole = docs.join(texts, same).select("k_id", "k_text", shingle_hashes(F.col("words")).alias("held"), "x")
+    rows = whole.select("k_id", "k_text", "held", F.explode("x").alias("x")).select("k_id", "k_text", "held", "x.*")
+    share = F.size(F.array_intersect("held", "wanted")) / F.size("wanted")
+    rows = rows.select("k_id", "k_text", "license", share.alias("containment"), "first_word", "n_windows")
+    return rows.where(F.col("containment") >= CONTAINMENT).dropDuplicates(["k_id", "k_text", "license"])
 
 
 def op3_license_scan(spark, sf_dir: str) -> DataFrame:

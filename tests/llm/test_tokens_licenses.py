@@ -50,6 +50,23 @@ def test_licenses_by_brute_force(frame, hard):
     assert licenses.license_matches(docs, {}).count() == 0 and licenses.license_matches(docs.where("false")).count() == 0
 
 
+def test_inserted_words_at_every_offset(frame):
+    t = licenses.TEMPLATES
+    rows = []
+    for name in ("Apache-2.0-header", "GPL-header", "MIT-grant"):
+        words = t[name].split()
+        for i in range(32):
+            for at, more in ((10 + i % 9, 10), (15, 400), (15, 0)):
+                inside = [*words[:at], *prose(i, more).split(), *words[at:]]
+                rows.append((len(rows), f"{prose(i + 100, i)} {' '.join(inside)} {prose(i + 200, 60)}"))
+    got = {(r.k_id, r.license): r for r in licenses.license_matches(frame(rows)).collect()}
+    assert set(got) == {(i, name) for i, text in rows for name, template in t.items() if contained(text, template)}
+    assert len({i for i, _ in got}) == len(rows)
+    for (i, name), r in got.items():
+        a, b = (set(licenses.shingles(licenses.plain_words(x))) for x in (rows[i][1], t[name]))
+        assert abs(r.containment - len(a & b) / len(b)) < 1e-9
+
+
 def test_native_plan(frame):
     import re
 
