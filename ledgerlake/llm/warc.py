@@ -8,7 +8,8 @@ the files of the attempts that counted, so lost and repeated tasks leave nothing
 Reader: every file is read as a stream in one task (files are bounded, see above). Each member
 is inflated and checked (gzip checksum, header, Content-Length, payload digest). After a failed check
 the reader looks from the next byte on for a gzip member that starts with a version line, or for a
-plain version line; the skipped bytes are logged as one gap row with offset, length and reason.
+plain version line; the skipped bytes are logged as one gap row with offset, length and reason. A
+header may have any length.
 
 Defined cases: a null html is an empty payload; empty payloads equal each other; rows that repeat an
 id and payload are written each; a null id never wins over another id; an empty table gives an
@@ -35,7 +36,7 @@ ROLL_BYTES = 32 << 20
 READ_BYTES = 1 << 20
 VERSIONS = (b"WARC/1.0\r\n", b"WARC/1.1\r\n")
 GZIP = b"\x1f\x8b\x08"
-MAX_HEADER = 64 << 10
+HEADER_BYTES = 64 << 10  # first step of reading a plain header, which may be longer
 HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
 MANIFEST = "path string, bytes long, records long"
 RECORDS = (
@@ -165,7 +166,7 @@ def parse(data: bytes) -> tuple[dict, int] | str:
     """The fields of the record that data starts with and its length, or why it fails."""
     if not data.startswith(VERSIONS):
         return "no version line"
-    end = data.find(b"\r\n\r\n", 0, MAX_HEADER)
+    end = data.find(b"\r\n\r\n")
     if end < 0:
         return "header has no end"
     head = dict(line.split(": ", 1) for line in data[:end].decode("utf-8", "replace").split("\r\n")[1:] if ": " in line)
@@ -196,9 +197,15 @@ def parse(data: bytes) -> tuple[dict, int] | str:
 
 
 def plain(source: Bytes, offset: int) -> tuple[dict, int] | str:
-    """A record that is not compressed."""
-    head = source.at(offset, MAX_HEADER)
-    end = head.find(b"\r\n\r\n")
+    """A record that is not compressed; its header ends before the next version line or gzip member."""
+    size = HEADER_BYTES
+    while True:
+        head = source.at(offset, size)
+        other = [h for h in (head.find(m) for m in (GZIP, *(b"\n" + v for v in VERSIONS))) if h >= 0]
+        end = head.find(b"\r\n\r\n", 0, min(other, default=len(head)))
+        if end >= 0 or other or len(head) < size:
+            break
+        size *= 2
     if end < 0:
         return "header has no end"
     found = head[:end].lower().partition(b"content-length:")[2].split(b"\r\n")[0].strip()

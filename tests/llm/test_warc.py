@@ -61,3 +61,26 @@ def test_a_wrong_digest_is_a_gap():
     bad = warc.record(1, "u", b"hello", None, False).replace(b"hello", b"hellp")
     rows = list(warc.records("p", io.BytesIO(warc.member(bad) + records(1)[0])))
     assert [(r["kind"], r.get("reason")) for r in rows] == [("gap", "digest differs"), ("record", None)]
+
+
+def test_a_header_of_any_length(spark, tmp_path):
+    urls = ["u", "data:text/html," + "a" * 100_000, "http://h/" + "b" * 3_000_000, "v" * 65_536]
+    rows = [(i, u, h) for i, u in enumerate(urls) for h in (f"page {i}",)] + [(9, urls[1], "page 0")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    pages.write.parquet(f"{tmp_path}/pages.parquet")
+    assert sorted(r.page_id for r in warc.op5_warc(spark, str(tmp_path)).collect()) == [0, 1, 2, 3, 9]
+    got = warc.read(warc.write(pages)).collect()
+    assert {(r.page_id, r.url) for r in got} == {(i, u) for i, u, _ in rows} and all(r.kind == "record" for r in got)
+
+
+def test_a_plain_header_of_any_length(monkeypatch):
+    long = [warc.record(i, "data:" + "a" * n, b"plain", None, False) for i, n in enumerate((10, 100_000, 65_400, 3_000_000))]
+    cut = warc.record(7, "b" * 200_000, b"lost", None, False)[:150_000]
+    for step in (64, 64 << 10):
+        monkeypatch.setattr(warc, "HEADER_BYTES", step, raising=False)
+        for tail in (records(1)[0], b"\r\n" + long[0], b""):
+            data = b"".join(long) + cut + tail
+            rows = list(warc.records("p", io.BytesIO(data)))
+            assert [r.get("page_id") for r in rows] == [0, 1, 2, 3, None, *([0] if tail else [])]
+            assert [r["kind"] for r in rows[:5]] == ["record"] * 4 + ["gap"] and rows[4]["reason"] == "header has no end"
+            assert sum(r["length"] for r in rows) == len(data)
