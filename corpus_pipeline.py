@@ -9,7 +9,8 @@ were given. Rows travel as one struct, so further columns may have any name.
 * personal_data: spans are replaced by their kind; n_chars follows.
 * bpe: token counts and digests of the ids and the decoded text.
 
-Rows without an id, and those with a null or empty text, pass every filter.
+Rows without an id pass near_duplicates, which links ids; the stages that look at texts treat them
+as all others. Benchmark items without an id count like those with one.
 """
 
 from __future__ import annotations
@@ -48,10 +49,13 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    pairs = decontaminate.contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    goes = stored(pairs.where("k_id is not null").select("k_id", "k_text").distinct(), "contaminated")
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    own = F.xxhash64(F.coalesce(F.col("text"), F.lit("")))  # stands in for a missing id
+    items = items.select(F.coalesce(F.col("item_id").cast("long"), own).alias("item_id"), "text")
+    pairs = decontaminate.contaminated(docs, items)
+    goes = stored(pairs.select("k_id", "k_text").distinct(), "contaminated")
     rows = docs.select(_row(docs), *[c.alias(f"{n}_") for c, n in zip(doc_key("doc_id", "text"), ("id", "hash"))])
-    same = (F.col("id_") == F.col("k_id")) & (F.col("hash_") == F.col("k_text"))
+    same = F.col("id_").eqNullSafe(F.col("k_id")) & (F.col("hash_") == F.col("k_text"))
     return rows.join(small(goes, goes.count(), 24), same, "left_anti").select("row_.*")
 
 

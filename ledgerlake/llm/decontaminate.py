@@ -13,7 +13,8 @@ more than SEED_LIMIT seeds is taken in blocks, one pass each, so the broadcast k
 
 Defined cases: null and empty texts match nothing; an empty item is never contained; an item of
 fewer than MIN_MATCH words must occur as a whole; rows that repeat an id and its text give their
-pair once; rows without an id are reported under a null id.
+pair once; rows without an id are reported under a null id; items without an id are left out, as no
+pair could name them (the pipeline gives them a key first).
 """
 
 from __future__ import annotations

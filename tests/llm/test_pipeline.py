@@ -37,3 +37,11 @@ def test_registered():
 
     assert entry.queries()["pipeline"] is cp.run
     assert {n.split("_")[0] for n in entry.queries() if n.startswith("op")} == {f"op{i}" for i in range(1, 11)}
+
+
+def test_contaminated_rows_and_items_without_an_id(spark, frame, tmp_path):
+    items = [(1, prose(61, 30)), (None, prose(62, 30)), (None, prose(63, 30)), (None, None)]
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    rows = [(None, items[0][1]), (None, items[1][1]), (2, f"{prose(64, 20)} {items[2][1]}"), (3, items[0][1]), (4, prose(65, 60)), (None, prose(66, 60)), (None, None), (None, "")]
+    got = cp.drop_contaminated(spark, frame(rows), str(tmp_path)).collect()
+    assert sorted(((r.doc_id, r.text) for r in got), key=str) == sorted(rows[4:], key=str)
