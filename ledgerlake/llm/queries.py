@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ledgerlake.llm import ann, bpe, decontaminate, jaccard, licenses, lm, pii, tokens, toxicity, warc
+from ledgerlake.llm import ann, bpe, decontaminate, jaccard, licenses, line_dedup, lm, pii, tokens, toxicity, warc
 
 QUERIES = {
     "op1_toxicity": toxicity.op1_toxicity,
@@ -15,8 +15,10 @@ QUERIES = {
     "op8_ngram_jaccard_join": jaccard.op8_ngram_jaccard_join,
     "op9_bpe": bpe.op9_bpe,
     "op10_ann": ann.op10_ann,
+    "op13_line_dedup": line_dedup.op13_line_dedup,
 }
 
 ORACLE_SQL = {
     "op8_ngram_jaccard_join": jaccard.ORACLE,
+    "op13_line_dedup": line_dedup.ORACLE,
 }
