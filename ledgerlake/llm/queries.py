@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ledgerlake.llm import ann, bpe, decontaminate, jaccard, licenses, line_dedup, lm, pii, tokens, toxicity, warc
+from ledgerlake.llm import ann, bpe, decontaminate, hard_negatives, jaccard, licenses, line_dedup, lm, pii, spelling, tokens, toxicity, warc
 
 QUERIES = {
     "op1_toxicity": toxicity.op1_toxicity,
@@ -15,10 +15,14 @@ QUERIES = {
     "op8_ngram_jaccard_join": jaccard.op8_ngram_jaccard_join,
     "op9_bpe": bpe.op9_bpe,
     "op10_ann": ann.op10_ann,
+    "op11_hard_negatives": hard_negatives.op11_hard_negatives,
+    "op12_spelling_variants": spelling.op12_spelling_variants,
     "op13_line_dedup": line_dedup.op13_line_dedup,
 }
 
 ORACLE_SQL = {
     "op8_ngram_jaccard_join": jaccard.ORACLE,
+    "op11_hard_negatives": hard_negatives.ORACLE,
+    "op12_spelling_variants": spelling.ORACLE,
     "op13_line_dedup": line_dedup.ORACLE,
 }

@@ -36,7 +36,7 @@ def test_registered():
     import __spark_entry__ as entry
 
     assert entry.queries()["pipeline"] is cp.run
-    assert {n.split("_")[0] for n in entry.queries() if n.startswith("op")} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in entry.queries() if n.startswith("op")} == {f"op{i}" for i in range(1, 14)}
 
 
 def test_contaminated_rows_and_items_without_an_id(spark, frame, tmp_path):
