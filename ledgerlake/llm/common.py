@@ -6,6 +6,7 @@ of the input never clash; a null text counts as an empty one; a text is always r
 
 from __future__ import annotations
 
+import ctypes
 import sys
 import types
 from collections.abc import Iterator
@@ -30,6 +31,28 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with its file system, as the session's settings name it: the same folder for every task."""
+    made = spark._jvm.org.apache.hadoop.fs.Path(path)
+    whole = made.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(made).toString()
+    return whole.replace("file:/", "file:///", 1) if whole.startswith("file:/") and not whole.startswith("file://") else whole
+
+
+def _trim():
+    """The C library's call that gives freed memory back to the system; nothing where there is none."""
+    try:
+        return ctypes.CDLL(None).malloc_trim
+    except (AttributeError, OSError):
+        return lambda _: 0
+
+
+def released(value):
+    """The value, after memory that is no longer used went back; called between pieces of a batch."""
+    pa.default_memory_pool().release_unused()
+    _trim()(0)
+    return value
+
+
 def kept(name: str, make):
     """One object for each name and Python worker; it outlives the task that made it."""
     held = sys.modules.setdefault("ledgerlake_llm_kept", types.ModuleType("ledgerlake_llm_kept")).__dict__
