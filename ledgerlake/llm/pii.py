@@ -20,9 +20,11 @@ from ledgerlake.llm.common import doc_key, small, stored
 
 KINDS = ["email", "ip", "card", "phone"]
 # The base patterns. Repetitions that cannot give characters back to a match are
-# possessive, so that long runs take linear time and no deep stack; the matches are the same.
+# possessive, so that long runs take linear time and no deep stack; an address starts where the last
+# match ended or a run of its letters begins, as no later place of a run can match where the first
+# does not. The matches are the same.
 PATTERNS = {
-    "email": r"[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
+    "email": r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
     "ip": r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++",
     "card": r"[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
@@ -140,7 +142,7 @@ def candidates(text: Column, spans: Column) -> Column:
         lead = F.length(F.regexp_extract(m["value"], r"^[^\p{L}0-9+]*+", 0))
         core = F.regexp_extract(m["value"], r"[\p{L}0-9+].*[\p{L}0-9]|[0-9]", 0)
         start = m["start"] + lead
-        left = F.regexp_extract(F.lower(m["before"]), r"([^ \t\n\x0B\f\r]+)[ \t\n\x0B\f\r]*$", 1)
+        left = F.regexp_extract(F.lower(m["before"]), r"(?<![^ \t\n\x0B\f\r])([^ \t\n\x0B\f\r]++)[ \t\n\x0B\f\r]*+$", 1)
         right = F.regexp_extract(F.lower(after), r"^[ \t\n\x0B\f\r]*([^ \t\n\x0B\f\r]+)", 1)
         end = start + F.length(core)
         kind = F.filter(spans, lambda s: (s["start"] < end) & (s["end"] > start))

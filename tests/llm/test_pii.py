@@ -1,3 +1,4 @@
+import time
 import hashlib
 import random
 import re
@@ -84,3 +85,13 @@ def test_no_rows(hard):
 def test_native_plan(frame):
     plan = pii.personal_data(frame([(1, "a@b.co")]))._jdf.queryExecution().toString()
     assert not re.search("Python|Arrow|Pandas", plan)
+
+
+def test_long_runs_take_linear_time(frame):
+    run = "x" * 1_000_000
+    rows = [(1, f"{run} jane@mail.example.com {run}"), (2, f"{run}@{run}.com"), (3, f"5a {run} 6b {'y ' * 300_000} 7c"), (4, f"a@b.cc_d@e.ff%g@h.ii.{run}")]
+    start = time.monotonic()
+    got = {r.k_id: [(s.start, s.end) for s in r.spans if s.no == 0] for r in pii.personal_data(frame(rows)).collect()}
+    assert time.monotonic() - start < 90
+    whole = {i: [m.span() for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", t)] for i, t in rows if i in (2, 4)}
+    assert got[1] == [(1_000_001, 1_000_022)] and got[2] == whole[2] and got[4] == whole[4] and got[3] == []
