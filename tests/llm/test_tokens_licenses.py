@@ -33,6 +33,23 @@ def test_counts_of_texts(spark, hard, tmp_path, monkeypatch):
     assert sorted((r.doc_id is None, r.doc_id or 0, r.n_tokens) for r in got) == want and all(r.closed for r in got)
 
 
+def test_long_runs(spark, frame, monkeypatch):
+    monkeypatch.setattr(tokens, "PLACES", 2)
+    encoder = tokens._encoder(tokens.ranks(spark))
+    texts = [f"a{b * 5000}{c}" for b in (" ", "\n", "\t ", "\u3000", "\xa0 ") for c in ("", "b", "\x1c", " 9", "\n!")] + [" " * 4096, "\n" * 9000 + "x" + " " * 4095 + "y"]
+    for t in texts:
+        assert tokens.encoded(encoder, t) == encoder.encode_ordinary(t)
+    rows = [(i, t) for i, t in enumerate(["a" + " " * 5_000_000 + "b", "\n" * 5_000_000, "x" * 1_000_000, *texts])]
+    got = {}
+    files = tokens.write(frame(rows))
+    counts = tokens.scan(files.where("n_ids is not null").select("path", "n_ids"), block_ids=1 << 16)
+    for r in files.collect():
+        got |= {(r.path, r.first + i): d for i, d in enumerate(r.ids)}
+    counts = {got[r.path, r.document]: r.n_tokens for r in counts.collect()}
+    assert counts[0] == 1 + 4_999_999 + 1 and counts[1] == 2_500_000
+    assert {i: counts[i + 3] for i in range(len(texts))} == {i: len(encoder.encode_ordinary(t)) for i, t in enumerate(texts)}
+
+
 def contained(text, template):
     a, b = (set(licenses.shingles(licenses.plain_words(t))) for t in (text or "", template))
     return bool(b) and len(a & b) >= licenses.CONTAINMENT * len(b)
