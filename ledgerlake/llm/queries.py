@@ -21,6 +21,7 @@ QUERIES = {
 }
 
 ORACLE_SQL = {
+    "op5_warc": warc.ORACLE,
     "op8_ngram_jaccard_join": jaccard.ORACLE,
     "op11_hard_negatives": hard_negatives.ORACLE,
     "op12_spelling_variants": spelling.ORACLE,

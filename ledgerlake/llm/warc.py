@@ -29,7 +29,7 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import small, stored
+from ledgerlake.llm.common import qualified, small, stored
 from ledgerlake.session import scratch_dir
 
 ROLL_BYTES = 32 << 20
@@ -96,7 +96,7 @@ def with_types(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
 
 def write(pages: DataFrame, folder: str | None = None) -> DataFrame:
     """Write the archives; returns the manifest (path, bytes, records)."""
-    target = folder or scratch_dir(pages.sparkSession, "warc")
+    target = qualified(pages.sparkSession, folder or scratch_dir(pages.sparkSession, "warc"))
 
     def save(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, root = pafs.FileSystem.from_uri(target)
@@ -110,8 +110,8 @@ def write(pages: DataFrame, folder: str | None = None) -> DataFrame:
         for batch in batches:
             for page_id, url, payload, refers_to, revisit in zip(*batch.columns):
                 if out is None:
-                    path, size, count = f"{root}/{uuid.uuid4().hex}.warc.gz", 0, 0
-                    out = fs.open_output_stream(path, compression=None)
+                    name, size, count = f"{uuid.uuid4().hex}.warc.gz", 0, 0
+                    path, out = f"{target}/{name}", fs.open_output_stream(f"{root}/{name}", compression=None)
                 data = member(record(page_id.as_py(), url.as_py(), payload.as_py(), refers_to.as_py(), revisit.as_py()))
                 out.write(data)
                 size, count = size + len(data), count + 1
@@ -121,8 +121,6 @@ def write(pages: DataFrame, folder: str | None = None) -> DataFrame:
         if out is not None:
             yield done()
 
-    if "://" not in target:
-        target = f"file://{target}"
     return stored(with_types(pages).mapInArrow(save, MANIFEST), "manifest")
 
 
@@ -130,17 +128,18 @@ class Bytes:
     """A file read forward in steps, with the part from a position on at hand."""
 
     def __init__(self, stream):
-        self.stream, self.start, self.data, self.ended = stream, 0, b"", False
+        self.stream, self.start, self.data, self.ended = stream, 0, bytearray(), False
 
-    def at(self, offset: int, size: int) -> bytes:
-        """Up to size bytes from offset on; what lies before offset is forgotten."""
+    def at(self, offset: int, size: int, skip: int = 0) -> bytes:
+        """Up to size bytes from offset on, without the first skip; what lies before offset is forgotten."""
         if offset > self.start:
-            self.data, self.start = self.data[offset - self.start :], offset
+            del self.data[: offset - self.start]
+            self.start = offset
         while len(self.data) < size and not self.ended:
             more = self.stream.read(max(READ_BYTES, size - len(self.data)))
             self.ended = not more
-            self.data += more
-        return self.data[:size]
+            self.data += more  # a bytearray grows in place
+        return bytes(memoryview(self.data)[skip:size])
 
 
 def inflate(source: Bytes, offset: int, limit: int | None = None) -> tuple[bytes, int] | None:
@@ -149,7 +148,7 @@ def inflate(source: Bytes, offset: int, limit: int | None = None) -> tuple[bytes
     got = 0
     try:
         while not unpack.eof:
-            part = source.at(offset, size + step)[size:]
+            part = source.at(offset, size + step, size)
             if not part:
                 return None
             out.append(unpack.decompress(part, limit or 0))
@@ -263,10 +262,12 @@ def read(manifest: DataFrame, keep_payload: bool = True) -> DataFrame:
     """Records and gaps (column kind) of the files in the column path."""
     schema = pa.schema([(f.name, {"string": pa.string(), "bigint": pa.int64(), "binary": pa.binary()}[f.dataType.simpleString()]) for f in _fields(manifest)])
 
+    home = qualified(manifest.sparkSession, "/").rstrip("/")  # for paths without a file system
+
     def load(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for path in batch.column(0).to_pylist():
-                fs, name = pafs.FileSystem.from_uri(path if "://" in path else f"file://{path}")
+                fs, name = pafs.FileSystem.from_uri(path if "://" in path else home + path)
                 held, size = [], 0
                 with fs.open_input_stream(name, compression=None) as stream:
                     for row in records(path, stream):
@@ -293,3 +294,18 @@ def op5_warc(spark, sf_dir: str) -> DataFrame:
     manifest = write(spark.read.parquet(f"{sf_dir}/pages.parquet"))
     rows = read(manifest, keep_payload=False).where("kind = 'record'")
     return rows.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+ORACLE = r"""
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS payload, octet_length(encode(coalesce(html, ''))) AS payload_bytes,
+    sha1(coalesce(html, '')) AS h, max(page_id) OVER (PARTITION BY coalesce(html, '')) AS top
+  FROM pages),
+g AS (SELECT *, list_transform(range(8), lambda i: ('0x' || h[5 * i + 1 : 5 * i + 5])::BIGINT) AS parts FROM p)
+SELECT page_id, payload_bytes,
+  list_aggregate(list_transform(range(32), lambda j: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    ((parts[j // 4 + 1] >> (15 - 5 * (j % 4))) & 31)::BIGINT + 1, 1)), 'string_agg', '') AS payload_digest,
+  CASE WHEN page_id = top THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> top THEN top END AS refers_to
+FROM g
+"""

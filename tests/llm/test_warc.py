@@ -84,3 +84,13 @@ def test_a_plain_header_of_any_length(monkeypatch):
             assert [r.get("page_id") for r in rows] == [0, 1, 2, 3, None, *([0] if tail else [])]
             assert [r["kind"] for r in rows[:5]] == ["record"] * 4 + ["gap"] and rows[4]["reason"] == "header has no end"
             assert sum(r["length"] for r in rows) == len(data)
+
+
+def test_query_matches_sql(spark):
+    import duckdb
+
+    sf = "/root/testdata/sf0.001"
+    duck = duckdb.connect()
+    duck.execute(f"CREATE VIEW pages AS SELECT * FROM '{sf}/pages.parquet'")
+    got = sorted(tuple(r) for r in warc.op5_warc(spark, sf).collect())
+    assert got == sorted(duck.execute(warc.ORACLE).fetchall())
