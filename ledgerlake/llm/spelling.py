@@ -39,6 +39,7 @@ BUCKET_CELLS = 1 << 14
 BLOCK_CELLS = 1 << 12  # code points of a block; a tile compares two
 STRIP_CELLS = 1 << 16
 CHUNK_ROWS = 4_096
+TASK_ROWS = 50_000
 
 KEY = ["m", "a", "b", "limit", "h"]
 
@@ -205,7 +206,9 @@ def near_words(words: DataFrame, cells: int = BUCKET_CELLS) -> DataFrame:
             yield compared(pa.Table.from_batches(held))
 
     dealt = buckets(words, cells).select("word", "n", *KEY)
-    dealt = dealt.repartition(*KEY).sortWithinPartitions(*KEY)
+    # A row costs far more here than its bytes tell, so the number of tasks follows the rows: about four a word.
+    tasks = max(2 * words.sparkSession.sparkContext.defaultParallelism, -(-4 * words.count() // TASK_ROWS))
+    dealt = dealt.repartition(tasks, *KEY).sortWithinPartitions(*KEY)
     return dealt.mapInArrow(scan, "word string, n long, other string, other_n long")
 
 
