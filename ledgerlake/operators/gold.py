@@ -9,16 +9,30 @@ from ledgerlake.functions.scalars import joined_text, ratio, sunday0
 from ledgerlake.operators.skew import attach_group_stats
 
 
-def ohlc_daily(prices: DataFrame) -> DataFrame:
-    """Open, high, low, close and volume per ticker and day; one hash aggregate.
+def per_stamp(prices: DataFrame) -> DataFrame:
+    """One candle per ticker and stamp: of repeated stamps the smallest open and the largest close."""
+    return prices.groupBy("ticker", "ts").agg(
+        F.min("open").alias("open"),
+        F.max("high").alias("high"),
+        F.min("low").alias("low"),
+        F.max("close").alias("close"),
+        F.sum("volume").alias("volume"),
+    )
+
+
+def ohlc_daily(prices: DataFrame, keyed: bool = False) -> DataFrame:
+    """Open, high, low, close and volume per ticker and day.
 
-    At equal stamps the smallest open and the largest close count, so the result is repeatable.
+    Open and close are taken by the stamp alone, which is fixed-width, so this is a hash aggregate.
+    That needs one candle per stamp: `keyed` says that the rows are so already, as the typed table's
+    are, which combines them before the shuffle; else a first hash aggregate makes them so.
     """
-    return prices.groupBy("ticker", F.to_date("ts").alias("trade_date")).agg(
-        F.min_by("open", F.struct("ts", "open")).alias("open"),
+    rows = prices if keyed else per_stamp(prices)
+    return rows.groupBy("ticker", F.to_date("ts").alias("trade_date")).agg(
+        F.min_by("open", "ts").alias("open"),
         F.max("high").alias("high"),
         F.min("low").alias("low"),
-        F.max_by("close", F.struct("ts", "close")).alias("close"),
+        F.max_by("close", "ts").alias("close"),
         F.sum("volume").alias("volume"),
     )
 
@@ -31,8 +45,8 @@ def daily_return(daily: DataFrame) -> DataFrame:
     )
 
 
-def market_daily(prices: DataFrame) -> DataFrame:
-    return daily_return(ohlc_daily(prices))
+def market_daily(prices: DataFrame, keyed: bool = False) -> DataFrame:
+    return daily_return(ohlc_daily(prices, keyed))
 
 
 def spend_daily(txn: DataFrame) -> DataFrame:

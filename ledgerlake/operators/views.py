@@ -10,12 +10,19 @@ from ledgerlake.functions.scalars import AsOf, as_date, days_before, div0
 # ---- market -----------------------------------------------------------------
 
 
-def latest_per_key(prices: DataFrame) -> DataFrame:
-    """Newest candle per ticker without a sort; of equal stamps the one with the largest close, then volume."""
-    newest = F.struct("ts", "close", "volume")
-    return prices.groupBy("ticker").agg(
-        F.max_by("close", newest).alias("close"),
-        F.max_by("volume", newest).alias("volume"),
+def latest_per_key(prices: DataFrame, keyed: bool = False) -> DataFrame:
+    """Newest candle per ticker; of equal stamps the one with the largest close, then volume.
+
+    Each step orders by one fixed-width column, so all are hash aggregates. With `keyed` rows (one
+    per ticker and stamp) the last step is enough.
+    """
+    rows = prices.select("ticker", "ts", "close", "volume")
+    if not keyed:
+        rows = rows.groupBy("ticker", "ts", "close").agg(F.max("volume").alias("volume"))
+        rows = rows.groupBy("ticker", "ts").agg(F.max_by("volume", "close").alias("volume"), F.max("close").alias("close"))
+    return rows.groupBy("ticker").agg(
+        F.max_by("close", "ts").alias("close"),
+        F.max_by("volume", "ts").alias("volume"),
         F.max("ts").alias("ts"),
     )
 
@@ -29,12 +36,12 @@ def prev_close(daily: DataFrame, as_of: AsOf) -> DataFrame:
     )
 
 
-def market_latest(prices: DataFrame, daily: DataFrame, as_of: AsOf) -> DataFrame:
+def market_latest(prices: DataFrame, daily: DataFrame, as_of: AsOf, keyed: bool = False) -> DataFrame:
     """Last price with the change against the previous close.
 
     When the newest candle is older than `as_of`, both prices are from the same day.
     """
-    j = latest_per_key(prices).join(prev_close(daily, as_of), "ticker", "left")
+    j = latest_per_key(prices, keyed).join(prev_close(daily, as_of), "ticker", "left")
     change = F.col("close") - F.col("prev_close")
     return j.select(
         "ticker",

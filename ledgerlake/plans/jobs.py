@@ -39,7 +39,7 @@ def build_silver(
 def build_gold(spark: SparkSession, silver_schema: str = "silver", schema: str = "gold") -> str:
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {schema}")
     txn = spark.table(f"{silver_schema}.transactions")
-    daily = overwrite(gold.market_daily(spark.table(f"{silver_schema}.market_prices")), f"{schema}.market_daily")
+    daily = overwrite(gold.market_daily(spark.table(f"{silver_schema}.market_prices"), keyed=True), f"{schema}.market_daily")
     spend = overwrite(gold.spend_daily(txn), f"{schema}.spend_daily")
     overwrite(gold.spend_by_category(txn), f"{schema}.spend_by_category")
     overwrite(gold.txn_features(txn), f"{schema}.txn_features")
@@ -70,7 +70,7 @@ def view_plans(spark: SparkSession, as_of: AsOf, silver_schema: str = "silver",
     spend = lambda: series.spend_series(t("spend_daily"))
     volume = lambda: series.volume_series(t("market_daily"))
     return {
-        "v_market_latest": lambda: views.market_latest(prices(), t("market_daily"), as_of),
+        "v_market_latest": lambda: views.market_latest(prices(), t("market_daily"), as_of, keyed=True),
         "v_market_intraday": lambda: views.market_intraday(prices()),
         "v_spend_kpis": lambda: views.spend_kpis(t("spend_daily"), as_of),
         "v_spend_trend": lambda: views.spend_trend(t("spend_daily")),

@@ -155,7 +155,7 @@ def _spend_marts(now: DataFrame) -> dict[str, tuple[DataFrame, str]]:
 
 
 def _market_marts(now: DataFrame) -> dict[str, tuple[DataFrame, str]]:
-    return {"ohlc_daily": (gold.ohlc_daily(now), "trade_date")}
+    return {"ohlc_daily": (gold.ohlc_daily(now, keyed=True), "trade_date")}
 
 
 TRANSACTIONS = Lane(

@@ -263,3 +263,16 @@ def test_sinks_refuse_unknown_columns(spark):
     spark.range(2).write.saveAsTable("narrow_sink")
     with pytest.raises(ValueError, match="extra"):
         tables.append_by_name(spark.range(2).withColumn("extra", F.lit(1)), "narrow_sink")
+
+
+def test_repeated_stamps(spark):
+    """Of equal stamps: smallest open and largest close of a bar; for the latest price the largest close, then volume."""
+    rows = [("a", "2024-01-01 10:00:00", 5.0, 6.0, 4.0, 5.5, 10), ("a", "2024-01-01 10:00:00", 4.5, 7.0, 4.0, 5.0, 20), ("a", "2024-01-01 11:00:00", 9.0, 9.0, 8.0, 8.5, 1),
+            ("a", "2024-01-01 11:00:00", 8.0, 9.0, 8.0, 8.5, 3), ("a", "2024-01-01 11:00:00", 8.0, 9.5, 7.0, 8.0, 9), ("b", None, 1.0, 1.0, 1.0, 1.0, 1)]
+    df = spark.createDataFrame(rows, "ticker string, ts string, open double, high double, low double, close double, volume long").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    got = {r.ticker: tuple(r)[2:] for r in gold.ohlc_daily(df).collect()}
+    assert got["a"] == (4.5, 9.5, 4.0, 8.5, 43)
+    last = {r.ticker: r for r in views.latest_per_key(df).collect()}
+    assert (last["a"].close, last["a"].volume) == (8.5, 3) and last["b"].close is None
+    once = gold.per_stamp(df)
+    assert sorted(gold.ohlc_daily(once, keyed=True).collect(), key=str) == sorted(gold.ohlc_daily(df).collect(), key=str)

@@ -70,6 +70,10 @@ def test_lookup_join_on_both_paths(spark, limit):
 def test_marts_use_hash_aggregates_and_prune_columns(spark):
     p = plan(gold.ohlc_daily(adapters.prices(spark, SF)))
     assert "SortAggregate" not in p
+    prices = adapters.prices(spark, SF)
+    for keyed in (True, False):
+        for df in (gold.ohlc_daily(prices, keyed), views.latest_per_key(prices, keyed), views.market_latest(prices, gold.ohlc_daily(prices, keyed), dt.date(2024, 1, 30), keyed)):
+            assert "SortAggregate" not in plan(df)
     p = plan(gold.spend_daily(adapters.txn(spark, SF)))
     assert "props" not in p.split("ReadSchema")[1]
 
