@@ -64,21 +64,25 @@ def spend_by_category(txn: DataFrame) -> DataFrame:
     )
 
 
-def account_means(txn: DataFrame, places: int = 2) -> DataFrame:
-    """Per (account, category): row count, account mean and account-category mean.
+def account_sums(txn: DataFrame, places: int = 2) -> DataFrame:
+    """Per (account, category): rows, amounts and their exact sum.
 
-    Amounts are summed as decimals of `places` places, so the sums are exact and do not depend on
-    how rows are spread over tasks; each mean is one division.
+    Amounts are summed as decimals of `places` places, so the sums do not depend on how rows are
+    spread over tasks, and sums of parts can be added and taken off again.
     """
     amount = F.col("amount").try_cast(f"decimal(28,{places})")
-    per_cat = txn.groupBy("account_id", "category").agg(
+    return txn.groupBy("account_id", "category").agg(
         F.count("*").alias("rows"),
         F.count(amount).alias("n"),
         F.sum(amount).alias("s"),
     )
+
+
+def means_of(sums: DataFrame) -> DataFrame:
+    """Account mean and account-category mean of account_sums(); each is one division."""
     # One row per category of the account, so the window stays as small as the category list.
     account = Window.partitionBy("account_id")
-    return per_cat.select(
+    return sums.select(
         "account_id",
         "category",
         "rows",
@@ -87,15 +91,19 @@ def account_means(txn: DataFrame, places: int = 2) -> DataFrame:
     )
 
 
-def txn_features(txn: DataFrame) -> DataFrame:
+def account_means(txn: DataFrame, places: int = 2) -> DataFrame:
+    """Per (account, category): row count, account mean and account-category mean."""
+    return means_of(account_sums(txn, places))
+
+
+def txn_features(txn: DataFrame, means: DataFrame | None = None) -> DataFrame:
     """Transactions with hour, weekday, account mean, ratio to the usual amount, and a text.
 
-    The means are aggregated first and joined back, because a window over the account would
-    bring every row of a busy account into one task.
+    The means are aggregated first (or given, where they are kept) and joined back, because a window
+    over the account would bring every row of a busy account into one task.
     """
-    f = attach_group_stats(
-        txn, account_means(txn), ["account_id", "category"], count_col="rows", spread_by="txn_id"
-    )
+    means = account_means(txn) if means is None else means
+    f = attach_group_stats(txn, means, ["account_id", "category"], count_col="rows", spread_by="txn_id")
     return f.select(
         *txn.columns,
         F.hour("txn_ts").alias("txn_hour"),

@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ledgerlake.operators import gold, search, silver
 from ledgerlake.sources.adapters import is_folder
-from ledgerlake.sources.tables import overwrite_partitions
+from ledgerlake.sources.versioned import Lake, folder
 from ledgerlake.streaming import ingest
 from ledgerlake.streaming.ingest import read_stream, trigger_args
 
@@ -125,6 +126,7 @@ class Lane:
     schema: str
     parse: Callable[[DataFrame], DataFrame]
     marts: Callable[[DataFrame], dict[str, tuple[DataFrame, str]]]
+    sums: Callable[[DataFrame], DataFrame] | None = None
 
     @property
     def typed_schema(self) -> str:
@@ -132,25 +134,33 @@ class Lane:
 
     @property
     def silver_schema(self) -> str:
-        return f"{self.typed_schema}, live boolean, dt date"
+        return f"{self.typed_schema}, dt date"
 
     @property
     def order(self) -> list[str]:
         return ["ingested_at"] if self.ts in self.keys else ["ingested_at", self.ts]
 
+    @property
+    def moves(self) -> bool:
+        """Whether a newer version of a record may have another day."""
+        return self.ts not in self.keys
+
+    @property
+    def index_schema(self) -> str:
+        types = dict(column.split(" ", 1) for column in self.schema.split(", "))
+        return ", ".join(f"{k} {types[k]}" for k in self.keys) + ", dt date, bucket int"
+
 
 def _ddl(fields: list[tuple[str, str, str]]) -> str:
     return ", ".join(f"{out} {t}" for out, _, t in fields)
 
 
 def _spend_marts(now: DataFrame) -> dict[str, tuple[DataFrame, str]]:
-    # Dead rows keep an emptied day present with zero counts; readers drop such rows.
-    amount = F.when(F.col("live"), F.col("amount"))
-    totals = [F.count_if("live").alias("txn_count"), F.sum(amount).alias("total_spend")]
+    totals = [F.count("*").alias("txn_count"), F.sum("amount").alias("total_spend")]
     day = F.col("dt").alias("spend_date")
     return {
         "spend_by_category": (now.groupBy(day, "category").agg(*totals), "spend_date"),
-        "spend_daily": (now.groupBy(day).agg(*totals, F.avg(amount).alias("avg_ticket")), "spend_date"),
+        "spend_daily": (now.groupBy(day).agg(*totals, F.avg("amount").alias("avg_ticket")), "spend_date"),
     }
 
 
@@ -160,7 +170,7 @@ def _market_marts(now: DataFrame) -> dict[str, tuple[DataFrame, str]]:
 
 TRANSACTIONS = Lane(
     ["txn_id"], "txn_ts", _ddl(silver.TRANSACTION_FIELDS),
-    lambda raw: silver.typed(raw, silver.TRANSACTION_FIELDS), _spend_marts,
+    lambda raw: silver.typed(raw, silver.TRANSACTION_FIELDS), _spend_marts, gold.account_sums,
 )
 MARKET = Lane(
     ["ticker", "ts"], "ts",
@@ -175,70 +185,166 @@ NEWS = Lane(
 
 
 def read_silver(spark: SparkSession, root: str, lane: Lane = TRANSACTIONS) -> DataFrame:
-    return spark.read.schema(lane.silver_schema).parquet(f"{root}/silver").where("live").drop("live")
+    return Lake(spark, root).read("silver", lane.silver_schema)
 
 
 def read_spend_daily(spark: SparkSession, root: str) -> DataFrame:
-    schema = "txn_count long, total_spend double, avg_ticket double, spend_date date"
-    return spark.read.schema(schema).parquet(f"{root}/spend_daily").where("txn_count > 0")
+    return Lake(spark, root).read("spend_daily", "txn_count long, total_spend double, avg_ticket double, spend_date date")
 
 
 def read_spend_by_category(spark: SparkSession, root: str) -> DataFrame:
-    schema = "category string, txn_count long, total_spend double, spend_date date"
-    return spark.read.schema(schema).parquet(f"{root}/spend_by_category").where("txn_count > 0")
+    return Lake(spark, root).read("spend_by_category", "category string, txn_count long, total_spend double, spend_date date")
 
 
 def read_market_daily(spark: SparkSession, root: str) -> DataFrame:
     """Daily bars with returns; the return spans days, so it is taken over the whole mart."""
     schema = "ticker string, open double, high double, low double, close double, volume long, trade_date date"
-    return gold.daily_return(spark.read.schema(schema).parquet(f"{root}/ohlc_daily"))
+    return gold.daily_return(Lake(spark, root).read("ohlc_daily", schema))
 
 
 def read_news(spark: SparkSession, root: str) -> DataFrame:
-    return spark.read.schema(NEWS.silver_schema).parquet(f"{root}/news").where("live").drop("live", "dt")
+    return Lake(spark, root).read("news", NEWS.silver_schema).drop("dt")
+
+
+def read_account_means(spark: SparkSession, root: str) -> DataFrame:
+    """The account means as the kept sums give them; no transaction is read."""
+    return gold.means_of(Lake(spark, root).read("account_sums", SUMS_SCHEMA).drop("bucket"))
 
 
 def read_txn_features(spark: SparkSession, root: str) -> DataFrame:
-    """Features of all live transactions; means span an account's days, so they are taken over the whole table."""
-    return gold.txn_features(read_silver(spark, root).drop("ingested_at", "dt"))
+    """Features of all live transactions, with the means that the refresh keeps."""
+    return gold.txn_features(read_silver(spark, root).drop("ingested_at", "dt"), read_account_means(spark, root))
+
+
+SUMS_SCHEMA = "account_id string, category string, rows long, n long, s decimal(38,2), bucket int"
+ACCOUNT_BUCKETS = 64
+FIRST_BUCKETS = 16
+KEYS_PER_BUCKET = 1 << 19
 
 
-def refresh(batch: DataFrame, root: str, lane: Lane = TRANSACTIONS) -> None:
+def refresh(batch: DataFrame, root: str, lane: Lane = TRANSACTIONS, source: str = "", batch_id: int | None = None) -> None:
     """Fold new typed records into silver and rebuild the marts of the touched days only.
 
-    Silver and marts are partitioned by day. A record whose newer version has another day leaves
-    a dead row behind in the old day, so that day's partition is rewritten too. Rerunning a batch
-    gives the same tables.
+    Silver and marts are stored by day. Which day holds the older version of a record is looked up
+    in an index of (key, day), stored by key hash: only the buckets of the batch's keys are read,
+    and buckets are split as they fill, so the cost of a batch does not grow with the history.
+    Account sums take the old images of changed rows off and add the new ones.
+
+    Everything is written beside the live tables and published in one step; a batch that fails
+    before changes nothing, one that is replayed after it is skipped.
     """
-    spark, path = batch.sparkSession, f"{root}/silver"
-    fresh = silver.latest_version(batch, lane.keys, lane.order).withColumn("dt", F.to_date(lane.ts))
-    touched = fresh.select("dt")
-    if is_folder(spark, path):
-        known = spark.read.schema(lane.silver_schema).parquet(path)
-        if lane.ts not in lane.keys:
-            before = known.where("live").select(*lane.keys, "dt")
-            touched = touched.union(before.join(fresh.select(*lane.keys), lane.keys, "left_semi").select("dt"))
-    else:
-        known = spark.createDataFrame([], lane.silver_schema)
-    # Calendar days, so the list is short; as literals they prune the partitions that are read.
-    days = [r["dt"] for r in touched.distinct().collect()]
-    in_days = F.col("dt").isin(days) | (F.col("dt").isNull() if None in days else F.lit(False))
-    both = known.where(in_days).where("live").drop("live").unionByName(fresh)
-    rest = [c for c in both.columns if c not in lane.keys and c not in lane.order and c != "dt"]
-    version = F.struct(*lane.order, *rest, "dt")
-    # `days` holds at most the old and the new day of one record.
-    per_key = both.groupBy(*lane.keys).agg(
-        F.max(version).alias("v"), F.collect_set(F.struct("dt")).alias("days")
-    )
-    merged = per_key.select(*lane.keys, "v", F.explode("days").alias("day")).select(
-        *[F.col(c) if c in lane.keys else F.col(f"v.{c}").alias(c) for c in both.columns if c != "dt"],
-        F.col("day.dt").eqNullSafe(F.col("v.dt")).alias("live"),
-        F.col("day.dt").alias("dt"),
-    )
-    overwrite_partitions(merged, path, "dt")
-    now = spark.read.schema(lane.silver_schema).parquet(path).where(in_days)
+    spark, lake = batch.sparkSession, Lake(batch.sparkSession, root)
+    if lake.done(source, batch_id):
+        return
+    version = uuid.uuid4().hex
+    fresh = silver.latest_version(batch, lane.keys, lane.order).withColumn("dt", F.to_date(lane.ts)).persist()
+    try:
+        _fold(lake, lane, fresh, version, source, batch_id)
+    finally:
+        fresh.unpersist()
+
+
+def _bucket(columns: list[str], n: int) -> Column:
+    return F.pmod(F.xxhash64(*columns), F.lit(n)).cast("int").alias("bucket")
+
+
+def _values(df: DataFrame, column: str) -> list:
+    """The distinct values of a column that has few: calendar days or bucket numbers."""
+    return [r[0] for r in df.select(column).distinct().collect()]
+
+
+def _of(rows: DataFrame, keyed: DataFrame, keys: list[str], how: str = "left_semi") -> DataFrame:
+    """The rows whose keys occur in another frame (or do not); a null equals a null."""
+    other = keyed.select(*[F.col(k).alias(f"_k_{k}") for k in keys])
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
+    return rows.join(other, same, how)
+
+
+def _replaced(staged: dict[str, str], asked: list[str]) -> dict[str, str | None]:
+    """The staged partitions, and None for those that were asked for and are empty now."""
+    return {**dict.fromkeys(asked), **staged}
+
+
+def _fold(lake: Lake, lane: Lane, fresh: DataFrame, version: str, source: str, batch_id: int | None) -> None:
+    changes: dict[str, dict[str, str | None]] = {}
+    days = _values(fresh, "dt")
+    if lane.moves:
+        n = lake.state().numbers.get("buckets", FIRST_BUCKETS)
+        buckets = [folder("bucket", b) for b in _values(fresh.select(_bucket(lane.keys, n)), "bucket")]
+        known = lake.read("keys", lane.index_schema, buckets)
+        days = list({*days, *_values(_of(known, fresh, lane.keys), "dt")})
+    in_days = [folder("dt", d) for d in days]
+    held = lake.read("silver", lane.silver_schema, in_days)
+    merged = silver.latest_version(held.unionByName(fresh), lane.keys, lane.order)
+    changes["silver"] = _replaced(lake.stage(merged, "silver", "dt", version), in_days)
+    now = lake.staged("silver", lane.silver_schema, version)
+    _stage_marts(lake, lane, now, days, version, changes)
+
+    if lane.moves:
+        after = _of(now, fresh, lane.keys)
+        index = _of(known.drop("bucket"), fresh, lane.keys, "left_anti").unionByName(after.select(*lane.keys, "dt"))
+        changes["keys"] = _replaced(lake.stage(index.withColumn("bucket", _bucket(lane.keys, n)), "keys", "bucket", version), buckets)
+    if lane.sums:
+        before = _of(held, fresh, lane.keys)
+        _stage_sums(lake, lane, before, after, version, changes)
+    lake.publish(changes, source, batch_id)
+    if lane.moves:
+        _grow_index(lake, lane, version, len(buckets), n)
+
+
+def _stage_marts(lake: Lake, lane: Lane, now: DataFrame, days: list, version: str, changes: dict) -> None:
     for name, (mart, day) in lane.marts(now).items():
-        overwrite_partitions(mart, f"{root}/{name}", day)
+        changes[name] = _replaced(lake.stage(mart, name, day, version), [folder(day, d) for d in days])
+
+
+def _stage_sums(lake: Lake, lane: Lane, before: DataFrame, after: DataFrame, version: str, changes: dict) -> None:
+    """Account sums with the old images taken off and the new ones added; the touched buckets only."""
+    less = lane.sums(before).select("account_id", "category", *[(-F.col(c)).alias(c) for c in ("rows", "n", "s")])
+    key = ["account_id"]
+    delta = less.unionByName(lane.sums(after)).withColumn("bucket", _bucket(key, ACCOUNT_BUCKETS)).persist()
+    try:
+        buckets = [folder("bucket", b) for b in _values(delta, "bucket")]
+        kept = lake.read("account_sums", SUMS_SCHEMA, buckets)
+        total = kept.unionByName(delta).groupBy("account_id", "category", "bucket").agg(
+            F.sum("rows").alias("rows"), F.sum("n").alias("n"), F.coalesce(F.sum("s"), F.lit(0)).cast("decimal(38,2)").alias("s")
+        )
+        changes["account_sums"] = _replaced(lake.stage(total.where("rows > 0"), "account_sums", "bucket", version), buckets)
+    finally:
+        delta.unpersist()
+
+
+def _grow_index(lake: Lake, lane: Lane, version: str, written: int, n: int) -> None:
+    """Four times the buckets once those just written hold more than KEYS_PER_BUCKET keys on average.
+
+    The index is rewritten then; as it has grown four-fold since the last time, that is a bounded
+    share of the work per record.
+    """
+    if lake.staged("keys", lane.index_schema, version).count() <= KEYS_PER_BUCKET * max(written, 1):
+        return
+    index = lake.read("keys", lane.index_schema).drop("bucket").withColumn("bucket", _bucket(lane.keys, 4 * n))
+    staged = lake.stage(index, "keys", "bucket", f"{version}-{4 * n}")
+    lake.publish({"keys": _replaced(staged, list(lake.state().tables["keys"]))}, buckets=4 * n)
+
+
+def forget_days(spark: SparkSession, root: str, days: list, lane: Lane = TRANSACTIONS) -> None:
+    """Delete whole days from silver, marts, index and account sums, in one step."""
+    lake, version = Lake(spark, root), uuid.uuid4().hex
+    in_days = [folder("dt", d) for d in days]
+    gone = lake.read("silver", lane.silver_schema, in_days)
+    changes: dict[str, dict[str, str | None]] = {"silver": dict.fromkeys(in_days)}
+    none = gone.where("false")
+    for name, (_, day) in lane.marts(none).items():
+        changes[name] = dict.fromkeys(folder(day, d) for d in days)
+    if lane.moves:
+        n = lake.state().numbers.get("buckets", FIRST_BUCKETS)
+        buckets = [folder("bucket", b) for b in _values(gone.select(_bucket(lane.keys, n)), "bucket")]
+        index = _of(lake.read("keys", lane.index_schema, buckets), gone, lane.keys, "left_anti")
+        changes["keys"] = _replaced(lake.stage(index, "keys", "bucket", version), buckets)
+    if lane.sums:
+        _stage_sums(lake, lane, gone, none, version, changes)
+    lake.publish(changes)
 
 
 def run_medallion(
@@ -250,7 +356,7 @@ def run_medallion(
     trigger: str | None = None,
     files_per_trigger: int | None = None,
 ) -> StreamingQuery:
-    """Files to silver to marts after every arrival."""
+    """Files to silver to marts after every arrival; the checkpoint's path names the source in the manifest."""
 
     def on_batch(text: DataFrame, batch_id: int) -> None:
         # Raw records and malformed lines are kept, so a batch can be looked at and replayed.
@@ -259,7 +365,7 @@ def run_medallion(
         # Parsed once and written; the refresh reads columns and has no lineage to the text.
         arrived = f"{root}/arrived/batch_id={batch_id}"
         lane.parse(raw).write.mode("overwrite").parquet(arrived)
-        refresh(spark.read.schema(lane.typed_schema).parquet(arrived), root, lane)
+        refresh(spark.read.schema(lane.typed_schema).parquet(arrived), root, lane, checkpoint, batch_id)
 
     return (
         read_stream(spark, path, files_per_trigger)
