@@ -7,7 +7,6 @@ import sys
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import cloudpickle
@@ -20,8 +19,8 @@ from ledgerlake.functions.tokens import tokens
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 DIMS = 768
-# Targets compared in one scan; more are taken in further scans of at most this many.
-TARGETS_PER_SCAN = 1024
+SHARD_ROWS = 8_192  # vectors of a shard, which a task holds as a matrix
+TARGETS_AT_ONCE = 256
 
 
 def hash_sample(df: DataFrame, n: int, key: str = "txn_id") -> DataFrame:
@@ -100,35 +99,71 @@ def _top_of_part(ids: np.ndarray, sims: np.ndarray, targets: list[str], k: int)
     return found
 
 
-def _nearest_in_parts(vectors: DataFrame, targets: list, k: int, id_type: str) -> DataFrame:
-    names = [t[0] for t in targets]
-    m = np.array([t[1] for t in targets], dtype=np.float64)
-    length = np.linalg.norm(m, axis=1)
-    m = np.divide(m, length[:, None], out=np.full_like(m, np.nan), where=length[:, None] > 0)
+def _nearest_in_shards(vectors: DataFrame, targets: DataFrame, k: int, shards: int, id_type: str) -> DataFrame:
+    """The k best of every shard for every target: a task holds one shard and one batch of targets.
+
+    Each vector is moved once, targets are copied to the shards. Rows of a shard come first in its
+    partition, so its matrix is complete when the targets stream past.
+    """
+    rows = vectors.select(F.pmod(F.xxhash64("id"), F.lit(shards)).cast("int").alias("shard"), F.lit(False).alias("asks"), "id", "vec")
+    copies = targets.select(F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"), F.lit(True).alias("asks"), "id", "vec")
+    dealt = rows.unionByName(copies).repartition(shards, "shard").sortWithinPartitions("shard", "asks")
+
+    def unit(column: pa.Array) -> np.ndarray:
+        v = _as_matrix(column).astype(np.float64)
+        size = np.linalg.norm(v, axis=1, keepdims=True)
+        return np.divide(v, size, out=np.full_like(v, np.nan), where=size > 0)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        best: pd.DataFrame | None = None
+        held: list[pa.RecordBatch] = []
+        matrix, ids, number = None, None, None
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            v = _as_matrix(batch.column("vec")).astype(np.float64)
-            size = np.linalg.norm(v, axis=1)
-            with np.errstate(invalid="ignore", divide="ignore"):
-                sims = np.round((v @ m.T) / size[:, None], 6)
-            ids = batch.column("id").to_numpy(zero_copy_only=False)
-            part = pd.DataFrame(_top_of_part(ids, sims, names, k), columns=["target_id", "id", "similarity"])
-            best = part if best is None else pd.concat([best, part])
-            best = (
-                best.sort_values(["target_id", "similarity", "id"], ascending=[True, False, True])
-                .groupby("target_id", sort=False)
-                .head(k)
-            )
-        if best is not None and len(best):
-            yield pa.RecordBatch.from_pandas(best, preserve_index=False)
-
-    return vectors.select("id", "vec").mapInArrow(
-        scan, f"target_id {id_type}, id {id_type}, similarity double"
-    )
+            shard = np.asarray(batch.column(0))
+            asks = np.asarray(batch.column(1).cast(pa.int8()))
+            cuts = np.flatnonzero((shard[1:] != shard[:-1]) | (asks[1:] != asks[:-1])) + 1
+            for a, b in zip([0, *cuts], [*cuts, batch.num_rows]):
+                if a == b:
+                    continue
+                part = batch.slice(a, b - a)
+                if shard[a] != number:
+                    held, matrix, number = [], None, shard[a]
+                if not asks[a]:
+                    held.append(part)
+                    continue
+                if matrix is None and held:
+                    whole = pa.Table.from_batches(held)
+                    matrix = unit(whole["vec"].combine_chunks())
+                    ids = whole["id"].to_numpy()
+                    held = []
+                if matrix is None:
+                    continue
+                for at in range(0, part.num_rows, TARGETS_AT_ONCE):
+                    few = part.slice(at, TARGETS_AT_ONCE)
+                    sims = np.round(matrix @ unit(few.column(3)).T, 6)
+                    found = _top_of_part(ids, sims, few.column(2).to_pylist(), k)
+                    if found:
+                        yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*found)], names=["target_id", "id", "similarity"])
+
+    return dealt.select("shard", "asks", "id", "vec").mapInArrow(scan, f"target_id {id_type}, id {id_type}, similarity double")
+
+
+def _sides(vectors: DataFrame, targets: DataFrame, id_col: str, vec_col: str) -> tuple[DataFrame, DataFrame]:
+    """(id, vec) of the vectors and of the targets, which are ids of `vectors` or bring their own."""
+    src = vectors.select(F.col(id_col).alias("id"), F.col(vec_col).alias("vec")).where("vec is not null")
+    if vec_col in targets.columns:
+        return src, targets.select(F.col(id_col).alias("id"), F.col(vec_col).alias("vec")).where("vec is not null")
+    return src, src.join(targets.select(F.col(id_col).alias("id")).distinct(), "id", "left_semi")
+
+
+def _ranked(found: DataFrame, vectors: DataFrame, k: int, id_col: str, columns: list[str] | None) -> DataFrame:
+    """The first k of each target by similarity and id, with attributes of the vectors."""
+    order = Window.partitionBy("target_id").orderBy(F.desc("similarity"), F.asc("id"))
+    top = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    extra = columns or []
+    if not extra:
+        return top.select("target_id", F.col("id").alias(id_col), "similarity", "rank")
+    attributes = vectors.select(F.col(id_col).alias("id"), *extra)
+    return top.join(attributes, "id").select("target_id", F.col("id").alias(id_col), "similarity", "rank", *extra)
 
 
 def similar(
@@ -141,50 +176,89 @@ def similar(
 ) -> DataFrame:
     """Exact top k neighbours of each target by cosine over all vectors, the target excluded.
 
-    Targets are ids of `vectors`, or bring their own `vec_col`. One block of targets (at most
-    TARGETS_PER_SCAN) meets every partition of the vectors as a matrix product; a task keeps k
-    rows per target, so only those are shuffled. Further targets are handled by further scans,
-    none is left out.
+    Targets are ids of `vectors`, or bring their own `vec_col`. Vectors are dealt into shards of about
+    SHARD_ROWS and targets stream past each shard as matrix products; a shard keeps k rows per
+    target, so only those move on. Neither side passes through the driver, and any number of
+    targets takes one scan of the vectors.
     """
     id_type = vectors.schema[id_col].dataType.simpleString()
-    src = vectors.select(F.col(id_col).alias("id"), F.col(vec_col).alias("vec")).where("vec is not null")
-    if vec_col in targets.columns:
-        chosen = targets.select(F.col(id_col).alias("id"), F.col(vec_col).alias("vec")).where("vec is not null")
-    else:
-        chosen = src.join(targets.select(F.col(id_col).alias("id")).distinct(), "id", "left_semi")
-    head = chosen.limit(TARGETS_PER_SCAN + 1).collect()
-    if len(head) <= TARGETS_PER_SCAN:
-        blocks = iter([head])
-    else:
-        # A hash bucket is half a block on average; one that still overflows is cut into blocks.
-        scans = -(-chosen.count() // (TARGETS_PER_SCAN // 2))
-        bucket = F.pmod(F.xxhash64("id"), F.lit(scans))
-        blocks = (list(chosen.where(bucket == i).toLocalIterator()) for i in range(scans))
-    found: DataFrame | None = None
-    for rows in blocks:
-        for at in range(0, len(rows), TARGETS_PER_SCAN):
-            block = [(r["id"], r["vec"]) for r in rows[at : at + TARGETS_PER_SCAN]]
-            part = _nearest_in_parts(src, block, k, id_type)
-            found = part if found is None else found.unionByName(part)
-    if found is None:
-        found = src.sparkSession.createDataFrame([], f"target_id {id_type}, id {id_type}, similarity double")
-    order = Window.partitionBy("target_id").orderBy(F.desc("similarity"), F.asc("id"))
-    top = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-    extra = columns or []
-    if not extra:
-        return top.select("target_id", F.col("id").alias(id_col), "similarity", "rank")
-    attributes = vectors.select(F.col(id_col).alias("id"), *extra)
-    return top.join(attributes, "id").select(
-        "target_id", F.col("id").alias(id_col), "similarity", "rank", *extra
-    )
+    src, chosen = _sides(vectors, targets, id_col, vec_col)
+    spark = vectors.sparkSession
+    shards = max(spark.sparkContext.defaultParallelism, -(-vectors.count() // SHARD_ROWS))
+    return _ranked(_nearest_in_shards(src, chosen, k, shards, id_type), vectors, k, id_col, columns)
+
+
+def hash_tables(rows: DataFrame, tables: int, bits: int, dims: int, seed: int = 11) -> DataFrame:
+    """(id, vec, codes): for each of `tables` sets of random hyperplanes the sides a vector lies on, as a number."""
+
+    @F.arrow_udf("array<long>")
+    def codes(batch: pa.Array) -> pa.Array:
+        planes = np.random.default_rng(seed).normal(size=(dims, tables * bits)).astype(np.float32)
+        sides = (_as_matrix(batch).astype(np.float32) @ planes > 0).reshape(len(batch), tables, bits)
+        values = (sides * (1 << np.arange(bits))).sum(axis=2)
+        return pa.ListArray.from_arrays(np.arange(0, values.size + 1, tables, dtype=np.int32), values.ravel().astype(np.int64))
+
+    return rows.withColumn("codes", codes("vec"))
+
+
+def candidate_pairs(entries: DataFrame, asked: DataFrame, hot: int) -> DataFrame:
+    """(target_id, id) that share a bucket; entries: table, bucket, id; asked: table, bucket, target_id.
+
+    A bucket of more than `hot` entries is dealt into parts, and its targets are copied to each, so no
+    task receives a crowded bucket whole.
+    """
+    key = ["table", "bucket"]
+    reached = entries.join(asked.select(*key).distinct(), key, "left_semi")
+    parts = reached.groupBy(*key).agg(F.ceil(F.count("*") / hot).cast("int").alias("parts"))
+    crowded = parts.where("parts > 1")
+    one = F.coalesce("parts", F.lit(1))
+    rows = reached.join(crowded, key, "left").withColumn("part", F.pmod(F.xxhash64("id"), one.cast("long")).cast("int")).drop("parts")
+    copies = asked.join(crowded, key, "left").withColumn("part", F.explode(F.sequence(F.lit(0), one - 1))).drop("parts")
+    return rows.join(copies, [*key, "part"]).where("id != target_id").select("target_id", "id").distinct()
+
+
+def similar_candidates(
+    vectors: DataFrame,
+    targets: DataFrame,
+    k: int = 5,
+    id_col: str = "txn_id",
+    vec_col: str = "embedding",
+    columns: list[str] | None = None,
+    dims: int = DIMS,
+    tables: int = 24,
+    bits: int = 8,
+    hot: int = 4_096,
+) -> DataFrame:
+    """Top k neighbours of each target among the vectors that share a bucket with it, ranked exactly.
+
+    Random hyperplanes put a vector into one bucket of each table; two of an angle a share the bucket
+    of a table with probability (1 - a / pi) ** bits. Only ids meet by bucket; the vectors are then
+    fetched for the pairs that met, and their cosine decides. More tables find more, more bits
+    compare less. The result is that of similar() for the neighbours that were met.
+    """
+    src, chosen = _sides(vectors, targets, id_col, vec_col)
+    entries = hash_tables(src, tables, bits, dims).select("id", F.posexplode("codes").alias("table", "bucket"))
+    asked = hash_tables(chosen, tables, bits, dims).select(F.col("id").alias("target_id"), F.posexplode("codes").alias("table", "bucket"))
+    pairs = candidate_pairs(entries, asked, hot)
+
+    @F.arrow_udf("double")
+    def similarity(a: pa.Array, b: pa.Array) -> pa.Array:
+        x, y = (_as_matrix(v).astype(np.float64) for v in (a, b))
+        sizes = np.linalg.norm(x, axis=1) * np.linalg.norm(y, axis=1)
+        dots = np.einsum("ij,ij->i", x, y)
+        return pa.array(np.round(np.divide(dots, sizes, out=np.full(len(sizes), np.nan), where=sizes > 0), 6))
+
+    met = pairs.join(src.select("id", "vec"), "id").join(chosen.select(F.col("id").alias("target_id"), F.col("vec").alias("target_vec")), "target_id")
+    scored = met.select("target_id", "id", similarity("vec", "target_vec").alias("similarity")).where(~F.isnan("similarity"))
+    return _ranked(scored, vectors, k, id_col, columns)
 
 
 def unit_vectors(vectors: DataFrame, vec_col: str = "embedding") -> DataFrame:
     """Adds `unit`: the vector with length 1 in double precision; null for a zero vector."""
     length = F.sqrt(F.aggregate(vec_col, F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double")))
-    return vectors.withColumn(
-        "unit", F.when(length > 0, F.transform(vec_col, lambda x: x.cast("double") / length))
-    )
+    # Through an array of one, the length is computed once a vector and not once a component.
+    unit = F.transform(F.array(length), lambda n: F.when(n > 0, F.transform(vec_col, lambda x: x.cast("double") / n)))
+    return vectors.withColumn("unit", unit[0])
 
 
 def register_similar_function(spark: SparkSession, vectors: DataFrame, k: int = 5) -> None:
@@ -208,3 +282,28 @@ def register_similar_function(spark: SparkSession, vectors: DataFrame, k: int =
           FROM compared ORDER BY similarity DESC NULLS LAST, txn_id LIMIT {k}
         """
     )
+    # The same with the target's unit vector as an argument, to be called laterally for many targets:
+    # the call is turned into one scan of the vectors that meets all targets.
+    spark.sql(
+        f"""
+        CREATE OR REPLACE TEMPORARY FUNCTION similar_to(target_id STRING, target_unit ARRAY<DOUBLE>)
+        RETURNS TABLE (txn_id STRING, similarity DOUBLE, txn_text STRING, amount DOUBLE,
+                       category STRING, is_fraud_label BOOLEAN)
+        RETURN
+          SELECT txn_id, round(reduce(zip_with(unit, target_unit, (p, q) -> p * q), 0D, (sum, pq) -> sum + pq), 6) AS similarity,
+                 txn_text, amount, category, is_fraud_label
+          FROM txn_vectors WHERE txn_id != target_id
+          ORDER BY similarity DESC NULLS LAST, txn_id LIMIT {k}
+        """
+    )
+
+
+def similar_lateral(spark: SparkSession, targets: DataFrame) -> DataFrame:
+    """similar_to() called laterally for every row of a table of targets (txn_id, unit)."""
+    targets.select("txn_id", "unit").createOrReplaceTempView("similar_targets")
+    return spark.sql(
+        """
+        SELECT t.txn_id AS target_id, s.txn_id, s.similarity, s.txn_text, s.amount, s.category, s.is_fraud_label
+        FROM similar_targets t, LATERAL similar_to(t.txn_id, t.unit) s
+        """
+    )

@@ -5,6 +5,7 @@ Doubles are rounded where two engines could differ in the last bits of a sum.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,7 +19,7 @@ from ledgerlake.plans import jobs, metrics
 from ledgerlake.session import prepare, scratch_dir
 from ledgerlake.sources import adapters as A
 from ledgerlake.sources import bronze, tables
-from ledgerlake.streaming import ingest, marts
+from ledgerlake.streaming import daily, ingest, marts, newest
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -581,6 +582,31 @@ def similar_transactions(spark, d):
                            columns=["txn_text", "amount", "category", "is_fraud_label"])
 
 
+@query
+def similar_candidates(spark, d):
+    """Look-alikes of every suspicious transaction among those that share a bucket of a hash table with it."""
+    f = _dealt_features(spark, d).select("txn_id", "txn_text")
+    path = scratch_dir(spark, "candidates")
+    vectors.embed(f, "txn_text").drop("txn_text").write.parquet(path)
+    flagged = _scored(spark, d).where("ai_fraud_class = 'Suspicious'").select("txn_id")
+    return vectors.similar_candidates(spark.read.parquet(path), flagged, 5)
+
+
+@query
+def similar_lateral(spark, d):
+    """The SQL table function called laterally for every suspicious transaction, over the stored pool."""
+    f = _features(spark, d)
+    scored = fraud.score_fraud(fraud.rule_score(f))
+    path = f"{scratch_dir(spark, 'pool')}/vectors"
+    vectors.embed(vectors.vector_pool(scored, f), "txn_text").write.parquet(path)
+    pool = spark.read.parquet(path)
+    vectors.register_similar_function(spark, pool)
+    flagged = scored.where("ai_fraud_class = 'Suspicious'").select("txn_id")
+    targets = f"{scratch_dir(spark, 'targets')}/targets"
+    vectors.unit_vectors(pool.join(flagged, "txn_id", "left_semi")).select("txn_id", "unit").write.parquet(targets)
+    return vectors.similar_lateral(spark, spark.read.parquet(targets))
+
+
 @query
 def similar_tvf(spark, d):
     """The SQL table function for the newest suspicious transaction, over the stored pool."""
@@ -698,18 +724,71 @@ def stream_dedup(spark, d):
 
 @query
 def stream_spend_daily(spark, d):
+    """Daily spend kept by updates: each batch replaces the days it changed."""
     root = scratch_dir(spark, "stream-spend")
-    _done(marts.write_table(marts.stream_spend_daily(_stream_txn(spark, d)), f"{root}/out", f"{root}/cp", "complete"))
-    return rounded(spark.read.parquet(f"{root}/out"), total_spend=2, avg_ticket=8)
+    _done(daily.run_updates(_stream_txn(spark, d), daily.SPEND, f"{root}/out", f"{root}/cp"))
+    return rounded(daily.read_daily(spark, f"{root}/out", daily.SPEND), total_spend=2, avg_ticket=8)
 
 
 @query
 def stream_ohlc_daily(spark, d):
-    """Daily bars straight from the event stream, before second-level collapsing."""
+    """Daily bars straight from the event stream, kept by updates, before second-level collapsing."""
     root = scratch_dir(spark, "stream-ohlc")
     bars = A.raw_bars(_event_stream(spark, d))
-    _done(marts.write_table(marts.stream_ohlc_daily(bars), f"{root}/out", f"{root}/cp", "complete"))
-    return spark.read.parquet(f"{root}/out")
+    _done(daily.run_updates(bars, daily.BARS, f"{root}/out", f"{root}/cp"))
+    return daily.read_daily(spark, f"{root}/out", daily.BARS)
+
+
+@query
+def stream_late_days(spark, d):
+    """Daily spend of a stream that comes day by day, with a seventh of the rows after their day was closed."""
+    root = scratch_dir(spark, "stream-late")
+    t = A.txn(spark, d).select("txn_id", "txn_ts", "amount")
+    late = F.pmod(F.col("txn_id").cast("long"), F.lit(7)) == 0
+    half = F.col("txn_ts") < F.lit("2024-01-16").cast("timestamp_ntz")
+    for part in (t.where(half & ~late), t.where(~half), t.where(half & late)):
+        part.write.mode("append").parquet(f"{root}/in")
+        stream = spark.readStream.schema(t.schema).parquet(f"{root}/in")
+        _done(daily.run_updates(stream, daily.SPEND, f"{root}/out", f"{root}/cp-open"))
+        _done(daily.run_rows(stream, daily.SPEND, f"{root}/out", f"{root}/cp-rows"))
+    return rounded(daily.read_daily(spark, f"{root}/out", daily.SPEND), total_spend=2, avg_ticket=8)
+
+
+@query
+def stream_newest(spark, d):
+    """Candles re-sent with corrections, a quarter of them before the version they correct; the newest wins."""
+    root = scratch_dir(spark, "stream-newest")
+    c = A.candles(spark, d).select("ticker", "ts", "close", "event_id")
+    first = c.withColumn("ingested_at", F.lit("2024-02-01").cast("timestamp_ntz"))
+    again = c.where(F.dayofmonth("ts") % 2 == 0).withColumns(
+        {"close": F.round(F.col("close") + 0.5, 4), "ingested_at": F.lit("2024-02-02").cast("timestamp_ntz")}
+    )
+    early = F.col("event_id") % 4 == 0
+    for one, two in ((first.where(~early), again.where(early)), (first.where(early), again.where(~early))):
+        one.unionByName(two).drop("event_id").write.mode("append").parquet(f"{root}/in")
+        stream = spark.readStream.schema(first.drop("event_id").schema).parquet(f"{root}/in")
+        _done(newest.newest_to_table(
+            stream, ["ticker", "ts"], "ts", ["ingested_at"], f"{root}/out", f"{root}/cp", watermark="60 days", slot_seconds=6 * 3600
+        ))
+    return newest.read_newest(spark, f"{root}/out", first.drop("event_id").schema, ["ticker", "ts"]).drop("ingested_at")
+
+
+@query
+def stream_account_means(spark, d):
+    """Account means as the refresh keeps them, after corrections and after old days were deleted."""
+    root = scratch_dir(spark, "stream-means")
+    t = A.txn(spark, d)
+    corrected = F.pmod(F.col("txn_id").cast("long"), F.lit(5)) == 0
+    stale = t.withColumns({
+        "amount": F.when(corrected, F.col("amount") + 100).otherwise(F.col("amount")),
+        "category": F.when(corrected, F.lit("draft")).otherwise(F.col("category")),
+        "txn_ts": F.when(corrected, F.timestamp_add("DAY", F.lit(1), "txn_ts").cast("timestamp_ntz")).otherwise(F.col("txn_ts")),
+    })
+    for name, part in (("first", stale), ("again", t.where(corrected))):
+        part.select(bronze.transaction_json(part).alias("value")).write.text(f"{root}/in/{name}")
+        _done(marts.run_medallion(spark, f"{root}/in", f"{root}/lake", f"{root}/cp"))
+    marts.forget_days(spark, f"{root}/lake", [dt.date(2024, 1, n) for n in (1, 2, 3)])
+    return rounded(marts.read_account_means(spark, f"{root}/lake"), acct_avg_amount=8, cat_avg=8)
 
 
 @query

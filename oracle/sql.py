@@ -375,6 +375,16 @@ _STATEMENTS: dict[str, tuple[list[str], str]] = {
     "similar_transactions": (["vlen", "scored"], f"""
       SELECT n.*, f.txn_text, f.amount, f.category, f.is_fraud_label
       FROM ({_near("(SELECT txn_id AS target_id FROM scored WHERE ai_fraud_class = 'Suspicious')", "feat")}) n JOIN feat f USING (txn_id)"""),
+    "similar_candidates": (["vlen", "scored"], _near("(SELECT txn_id AS target_id FROM scored WHERE ai_fraud_class = 'Suspicious')", "feat")),
+    "similar_lateral": (["vlen", "pool"], f"""
+      SELECT n.target_id, n.txn_id, n.similarity, f.txn_text, f.amount, f.category, f.is_fraud_label
+      FROM ({_near("(SELECT txn_id AS target_id FROM scored WHERE ai_fraud_class = 'Suspicious')", "pool")}) n JOIN feat f USING (txn_id)"""),
+    "stream_late_days": (["txn"], "SELECT txn_ts::DATE AS spend_date, count(*) AS txn_count, round(sum(amount), 2) AS total_spend, round(avg(amount), 8) AS avg_ticket FROM txn GROUP BY 1"),
+    "stream_newest": (["bars"], "SELECT ticker, ts, CASE WHEN day(ts) % 2 = 0 THEN round(close + 0.5, 4) ELSE close END AS close FROM bars"),
+    "stream_account_means": (["txn"], """
+      SELECT account_id, category, count(*) AS rows, round(sum(sum(a)) OVER (PARTITION BY account_id)::DOUBLE / sum(count(a)) OVER (PARTITION BY account_id), 8) AS acct_avg_amount,
+             round(sum(a)::DOUBLE / count(a), 8) AS cat_avg
+      FROM (SELECT account_id, category, amount::DECIMAL(28, 2) AS a FROM txn WHERE txn_ts >= TIMESTAMP '2024-01-04') GROUP BY account_id, category"""),
     "similar_tvf": (["vlen", "pool"], f"""
       SELECT n.txn_id, n.similarity, f.txn_text, f.amount, f.category, f.is_fraud_label
       FROM ({_near("(SELECT txn_id AS target_id FROM scored WHERE ai_fraud_class = 'Suspicious' ORDER BY txn_ts DESC, txn_id LIMIT 1)", "pool")}) n JOIN feat f USING (txn_id)"""),

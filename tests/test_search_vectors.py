@@ -77,14 +77,59 @@ def test_neighbours_equal_brute_force_with_copies_and_zero_vectors(spark, monkey
                 out.append((-round(float(a @ b / np.linalg.norm(a) / np.linalg.norm(b)), 6), i))
         return [i for _, i in sorted(out)[:4]]
 
-    for per_scan in (1024, 2):
-        monkeypatch.setattr(vectors, "TARGETS_PER_SCAN", per_scan)
+    for rows_a_shard, at_once in ((8192, 256), (2, 2)):
+        monkeypatch.setattr(vectors, "SHARD_ROWS", rows_a_shard)
+        monkeypatch.setattr(vectors, "TARGETS_AT_ONCE", at_once)
         got = vectors.similar(df, targets, 4, "id", "vec").collect()
         for t in (0, 7, 5, 103, 39):
             mine = [r["id"] for r in sorted((r for r in got if r["target_id"] == t), key=lambda r: r["rank"])]
             assert mine == want(t)
 
 
+def test_candidates_reach_the_exact_neighbours(spark):
+    """Recall of the hash tables against exact mode, with crowded buckets dealt into parts."""
+    rng = np.random.default_rng(2)
+    centres = rng.normal(size=(30, 16))
+    rows = [(i, (centres[i % 30] + 0.3 * rng.normal(size=16)).tolist()) for i in range(900)] + [(2000 + i, centres[0].tolist()) for i in range(450)]
+    rows += [(3000, [0.0] * 16), (3001, None)]
+    df = spark.createDataFrame(rows, "id long, vec array<float>")
+    targets = spark.createDataFrame([(i,) for i in [*range(0, 900, 15), 2001, 3000]], "id long")
+    exact = {}
+    for r in vectors.similar(df, targets, 5, "id", "vec").collect():
+        exact.setdefault(r.target_id, []).append((r["rank"], r.id, r.similarity))
+    found = []
+    for hot in (10_000, 40):
+        got = {}
+        for r in vectors.similar_candidates(df, targets, 5, "id", "vec", dims=16, tables=16, bits=6, hot=hot).collect():
+            got.setdefault(r.target_id, []).append((r["rank"], r.id, r.similarity))
+        found.append({t: sorted(v) for t, v in got.items()})
+    assert found[0] == found[1] and 3000 not in exact
+    hits = sum(len({i for _, i, _ in exact[t]} & {i for _, i, _ in found[0].get(t, [])}) for t in exact)
+    assert hits >= 0.9 * sum(len(v) for v in exact.values())
+    assert all(s == dict((i, x) for _, i, x in exact[t]).get(i, s) for t, v in found[0].items() for _, i, s in v)
+    entries = vectors.hash_tables(df.where("vec is not null"), 16, 6, 16).select("id", F.posexplode("codes").alias("table", "bucket"))
+    asked = entries.where("id = 2001").withColumnRenamed("id", "target_id")
+    pairs = [tuple(r) for r in vectors.candidate_pairs(entries, asked, 40).collect()]
+    assert len(pairs) == len(set(pairs)) and {(2001, 2000 + i) for i in range(450) if i != 1} <= set(pairs)
+
+
+def test_lateral_calls_take_one_scan(spark, tmp_path):
+    rng = np.random.default_rng(3)
+    rows = [(f"t{i}", "x", float(i), "c", False, rng.normal(size=8).tolist()) for i in range(80)] + [("zero", "x", 1.0, "c", False, [0.0] * 8)]
+    rows += [("copy", "x", 2.0, "c", True, rows[3][5])]
+    schema = "txn_id string, txn_text string, amount double, category string, is_fraud_label boolean, embedding array<float>"
+    spark.createDataFrame(rows, schema).write.parquet(str(tmp_path / "pool"))
+    pool = spark.read.parquet(str(tmp_path / "pool"))
+    vectors.register_similar_function(spark, pool)
+    ids = spark.createDataFrame([("t1",), ("t3",), ("t9",), ("copy",)], "txn_id string")
+    vectors.unit_vectors(pool.join(ids, "txn_id", "left_semi")).select("txn_id", "unit").write.parquet(str(tmp_path / "asked"))
+    got = vectors.similar_lateral(spark, spark.read.parquet(str(tmp_path / "asked")))
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert sum("FileScan" in line and "/pool" in line for line in plan.splitlines()) == 1
+    want = {(r.target_id, r.txn_id, r.similarity) for r in vectors.similar(pool, ids, 5).collect()}
+    assert {(r.target_id, r.txn_id, r.similarity) for r in got.collect()} == want and len(want) == 20
+
+
 def test_cosine_column(spark):
     df = spark.createDataFrame([([1.0, 2.0], [2.0, 4.0]), ([1.0, 0.0], [0.0, 3.0]), ([0.0, 0.0], [1.0, 1.0])], "a array<float>, b array<float>")
     got = [r[0] for r in df.select(vectors.cosine(F.col("a"), F.col("b"))).collect()]
