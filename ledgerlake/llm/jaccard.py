@@ -34,13 +34,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import components, per_text, pieces, runs, shingle_set, small, stored, within
+from ledgerlake.llm.common import components, per_text, pieces, released, runs, shingle_set, small, stored, within
 
 GROUPS = 256
 FINE_GROUPS = 4096  # of sets above FINE_FROM, whose pairs are bounded once more before they are verified
 FINE_FROM = 1024
 LEAF = 16
 BLOCK = 1024
+HEAVY_BINS = 1 << 20
+LAST_BIN = np.uint64(HEAVY_BINS - 1)
 HEAVY_SHARE = 1024  # a shingle in more than 1/1024 of a batch's texts goes last in the order
 
 
@@ -49,10 +51,16 @@ def read_sets(docs: DataFrame, n: int) -> DataFrame:
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [shingle_set(w, n) for w in per_text(batch.column(1), sized=True)]
+            sets, bins = [], np.zeros(HEAVY_BINS, np.int64)
+            for piece in pieces(batch.column(1)):
+                own = [shingle_set(w, n) for w in per_text(piece, sized=True)]
+                bins += np.bincount((np.concatenate(own) & LAST_BIN).astype(np.int64), minlength=HEAVY_BINS)
+                sets += released(own)
             rows = len(sets)
             least = max(4, rows // HEAVY_SHARE)
-            found, times = np.unique(np.concatenate(sets), return_counts=True) if rows else (np.zeros(0, np.uint64),) * 2
+            # Only shingles of a bin that reached the share can be heavy; the others need no sorting.
+            full = [s[bins[(s & LAST_BIN).astype(np.int64)] >= least] for s in sets]
+            found, times = np.unique(np.concatenate(full), return_counts=True) if rows else (np.zeros(0, np.uint64),) * 2
             heavy = times >= least
             out = pa.RecordBatch.from_arrays(
                 [
@@ -86,7 +94,7 @@ def read_prefixes(docs: DataFrame, n: int, percent: int, heavy: np.ndarray) -> D
             for piece in pieces(batch.column(1)):
                 ids = batch.column(0).slice(at, len(piece)).cast(pa.int64()).to_pylist()
                 at += len(piece)
-                yield _prefixes(ids, [shingle_set(w, n) for w in per_text(piece, sized=True)], percent, known.value)
+                yield released(_prefixes(ids, [shingle_set(w, n) for w in per_text(piece, sized=True)], percent, known.value))
 
     return docs.mapInArrow(scan, "node long, size long, point binary, fine binary, keys array<long>")
 
@@ -226,7 +234,7 @@ def sets_of(docs: DataFrame, ids: DataFrame, n: int) -> DataFrame:
                 own = batch.column(0).slice(at, len(piece)).cast(pa.int64())
                 at += len(piece)
                 sets = [shingle_set(w, n).tobytes() for w in per_text(piece, sized=True)]
-                yield pa.RecordBatch.from_arrays([own, pa.array(sets, pa.binary())], names=["id", "set"])
+                yield released(pa.RecordBatch.from_arrays([own, pa.array(sets, pa.binary())], names=["id", "set"]))
 
     ids = stored(ids.select(F.col("id").alias("id")).distinct(), "ids")
     return docs.join(small(ids, ids.count(), 16), "id", "left_semi").mapInArrow(scan, "id long, set binary")
