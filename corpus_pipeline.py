@@ -10,7 +10,9 @@ were given. Rows travel as one struct, so further columns may have any name.
 * bpe: token counts and digests of the ids and the decoded text.
 
 Rows without an id pass near_duplicates, which links ids; the stages that look at texts treat them
-as all others. Benchmark items without an id count like those with one.
+as all others. Rows that share id and text are one document, unlike texts under one id are documents
+of their own. Benchmark items without an id count like those with one. Further columns may have any
+type that Parquet stores.
 """
 
 from __future__ import annotations
@@ -30,21 +32,32 @@ def _row(docs: DataFrame):
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    scored = model.score(docs.select(_row(docs), F.col("text").alias("text_")), "text_")
+    scored = model.score(docs.select(_row(docs)), "row_.text")  # the text travels once
     return scored.where("predicted = 0").select("row_.*")
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = stored(jaccard.jaccard_components(docs).where("id is not null"), "components")
+    key_id, key_text = doc_key("doc_id", "text")
+    rows = docs.select(_row(docs), key_id.cast("long").alias("k_id"), key_text)
+    texts = rows.where("k_id is not null").select("k_id", "k_text").distinct()
+    clashing = stored(texts.groupBy("k_id").count().where("count > 1").select(F.col("k_id").alias("c_id")), "clashing")
+    n = clashing.count()
+    node = F.col("k_id")
+    if n:  # unlike texts under one id are documents of their own; real ids come before theirs
+        rows = rows.join(small(clashing, n, 16), F.col("k_id") == F.col("c_id"), "left")
+        own = F.shiftrightunsigned(F.xxhash64("k_id", "k_text"), 2).bitwiseOR(F.lit(1 << 62))
+        node = F.when(F.col("c_id").isNotNull(), own).otherwise(node)
+    rows = rows.select("row_", node.alias("node"))
+    found = jaccard.jaccard_components(rows.select("node", F.col("row_.text").alias("text")), "node")
+    found = stored(found.where("id is not null"), "components")
     goes = found.where("id != component_id").select(F.col("id").alias("id_")).distinct()
-    rows = docs.select(_row(docs))
-    rows = rows.join(small(goes, goes.count(), 16), F.col("row_.doc_id") == F.col("id_"), "left_anti")
+    rows = rows.join(small(goes, goes.count(), 16), F.col("node") == F.col("id_"), "left_anti")
     repeated = stored(found.groupBy("id").count().where("count > 1").select(F.col("id").alias("id_")), "repeated")
     n = repeated.count()
-    if n:  # rows that share an id are one document
-        same = F.col("row_.doc_id") == F.col("id_")
-        again = rows.join(small(repeated, n, 16), same, "left_semi").groupBy("row_.doc_id").agg(F.min("row_").alias("row_"))
-        rows = rows.join(small(repeated, n, 16), same, "left_anti").unionByName(again.select("row_"))
+    if n:  # rows of one id and text are one document; the first as JSON stays, as not every type has an order
+        same = F.col("node") == F.col("id_")
+        again = rows.join(small(repeated, n, 16), same, "left_semi").groupBy("node").agg(F.min_by("row_", F.to_json("row_")).alias("row_"))
+        rows = rows.join(small(repeated, n, 16), same, "left_anti").unionByName(again.select("row_", "node"))
     return rows.select("row_.*")
 
 
