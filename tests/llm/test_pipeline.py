@@ -1,3 +1,5 @@
+from pyspark.sql import functions as F
+
 import corpus_pipeline as cp
 from ledgerlake.llm.common import stored
 from tests.llm.conftest import prose
@@ -45,3 +47,24 @@ def test_contaminated_rows_and_items_without_an_id(spark, frame, tmp_path):
     rows = [(None, items[0][1]), (None, items[1][1]), (2, f"{prose(64, 20)} {items[2][1]}"), (3, items[0][1]), (4, prose(65, 60)), (None, prose(66, 60)), (None, None), (None, "")]
     got = cp.drop_contaminated(spark, frame(rows), str(tmp_path)).collect()
     assert sorted(((r.doc_id, r.text) for r in got), key=str) == sorted(rows[4:], key=str)
+
+
+def test_unlike_texts_under_one_id_stay(spark):
+    a, b, c = prose(71, 60), prose(72, 60), prose(73, 60)
+    rows = [(5, a, 1), (5, b, 2), (5, b, 1), (6, a, 3), (7, c, 4), (8, c + " more", 5), (5, c, 6), (None, a, 7), (9, None, 8), (9, None, 9), (9, "", 10), (-3, prose(74, 50), 11)]
+    made = [(i, t, {"k": v}, v) for i, t, v in rows]
+    docs = spark.createDataFrame(made, "doc_id long, text string, extra map<string,int>, node int")
+    docs = docs.withColumn("raw", F.parse_json(F.lit('{"x": 1}')))
+    kept = cp.drop_near_duplicates(spark, docs, "")
+    assert kept.columns == docs.columns
+    got = sorted(((r.doc_id, r.text, r.extra["k"]) for r in kept.collect()), key=str)
+    # a: 6 stays for 5, as a real id comes before that of a clashing text; b once, c under 7.
+    want = {(6, a, 3), (5, b, 1), (7, c, 4), (None, a, 7), (-3, rows[-1][1], 11)}
+    assert want <= set(got)
+    assert [x for x in got if x[0] == 5] == [(5, b, 1)] and len([x for x in got if x[0] == 9]) == 1
+    assert len(got) == 6
+
+
+def test_no_clash_takes_the_plain_way(spark, frame):
+    docs = frame([(1, prose(1, 30)), (2, prose(1, 30)), (3, prose(3, 30))])
+    assert sorted(r.doc_id for r in cp.drop_near_duplicates(spark, docs, "").collect()) == [1, 3]
