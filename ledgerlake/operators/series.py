@@ -104,30 +104,84 @@ def predict(points: DataFrame, model: DataFrame, effects: DataFrame, interval: f
     )
 
 
-def detect_anomalies(train: DataFrame, evaluate: DataFrame, interval: float = 0.95) -> DataFrame:
-    model, effects = fit(train)
-    p = predict(evaluate.select("series", "ts", "y"), model, effects, interval)
-    return p.withColumn(
-        "is_anomaly", (F.col("y") < F.col("lower_bound")) | (F.col("y") > F.col("upper_bound"))
+# ---- the same model from sums that are kept by day ---------------------------
+
+SUMS = ["n", "st", "stt", "sy", "syy", "sty"]
+
+
+def origins(points: DataFrame) -> DataFrame:
+    """(series, t0, y0): the first point of each series. Sums are taken relative to it, which keeps them small."""
+    known = points.where(F.col("y").isNotNull()).select("series", "y", _t(F.col("ts")).alias("t"))
+    return known.groupBy("series").agg(F.min("t").alias("t0"), F.min_by("y", "t").alias("y0"))
+
+
+def day_sums(points: DataFrame, start: DataFrame) -> DataFrame:
+    """(series, dow, dt) with the sums of 1, t, t*t, y, y*y and t*y over a day's points.
+
+    Sums of days can be added in any grouping, and a day that is corrected is replaced by itself.
+    """
+    at = points.where(F.col("y").isNotNull()).join(start, "series")
+    at = at.select(
+        "series", F.dayofweek("ts").alias("dow"), F.to_date("ts").alias("dt"),
+        (_t(F.col("ts")) - F.col("t0")).alias("t"), (F.col("y") - F.col("y0")).alias("y"),
+    )
+    t, y = F.col("t"), F.col("y")
+    sums = zip(SUMS, (F.lit(1.0), t, t * t, y, y * y, t * y))
+    return at.groupBy("series", "dow", "dt").agg(*[F.sum(x).alias(name) for name, x in sums])
+
+
+def fit_sums(sums: DataFrame, start: DataFrame, last: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """The model and effects of fit() in closed form from day_sums(); no point is read.
+
+    Residuals are taken about the line: with x = t - mean t, a weekday's sum of squared residuals
+    follows from its own six sums.
+    """
+    by_day = sums.groupBy("series", "dow").agg(*[F.sum(c).alias(c) for c in SUMS])
+    ends = sums.groupBy("series").agg(F.max("dt").alias("t_end")) if last is None else last
+    whole = by_day.groupBy("series").agg(*[F.sum(c).alias(f"a_{c}") for c in SUMS])
+    mean_t, mean_y = F.col("a_st") / F.col("a_n"), F.col("a_sy") / F.col("a_n")
+    sxx = F.col("a_stt") - F.col("a_st") * mean_t
+    sxy = F.col("a_sty") - F.col("a_st") * mean_y
+    line = whole.select("series", "a_n", mean_t.alias("mt"), mean_y.alias("my"), sxx.alias("sxx"), F.when(sxx > 0, sxy / sxx).otherwise(0.0).alias("slope"))
+    d = by_day.join(line, "series")
+    n, st, stt, sy, syy, sty, mt, my, b = (F.col(c) for c in (*SUMS, "mt", "my", "slope"))
+    x, xx = st - n * mt, stt - 2 * mt * st + n * mt * mt  # sums of t - mean, and of its square
+    v, vv, xv = sy - n * my, syy - 2 * my * sy + n * my * my, sty - mt * sy - my * (st - n * mt)
+    r, rr = v - b * x, vv - 2 * b * xv + b * b * xx
+    d = d.select("series", "dow", "n", (r / n).alias("effect"), F.greatest(rr - r * r / n, F.lit(0.0)).alias("sse"))
+    noise = d.groupBy("series").agg(F.sum("sse").alias("sse"))
+    model = line.join(noise, "series").join(start, "series").join(ends, "series").select(
+        "series", F.col("a_n").cast("long").alias("n"), (F.col("mt") + F.col("t0")).alias("t_mean"), (F.col("my") + F.col("y0")).alias("y_mean"),
+        _t(F.col("t_end")).alias("t_last"), "sxx", "slope",
+        F.when(F.col("a_n") > 2, F.sqrt(F.col("sse") / (F.col("a_n") - 2))).otherwise(F.lit(0.0)).alias("sigma"),
     )
+    return model, d.select("series", "dow", "effect")
 
 
-def forecast(series: DataFrame, horizon: int, interval: float = 0.90) -> DataFrame:
-    """The `horizon` days after each series' last point."""
-    model, effects = fit(series)
-    future = model.select(
+def ahead(model: DataFrame, effects: DataFrame, horizon: int, interval: float = 0.90) -> DataFrame:
+    """The `horizon` days after each series' last point, by a fitted model."""
+    future = model.select("series", F.explode(F.sequence(F.lit(1), F.lit(horizon))).alias("h"), "t_last").select(
         "series",
-        F.explode(F.sequence(F.lit(1), F.lit(horizon))).alias("h"),
-        "t_last",
-    ).select(
-        "series",
-        F.date_add(F.lit(_DAY0).cast("date"), (F.col("t_last").cast("int") + F.col("h")))
-        .cast("timestamp_ntz")
-        .alias("ts"),
+        F.date_add(F.lit(_DAY0).cast("date"), (F.col("t_last").cast("int") + F.col("h"))).cast("timestamp_ntz").alias("ts"),
     )
     return predict(future, model, effects, interval).withColumnRenamed("ts", "forecast_date")
 
 
+def flagged(evaluate: DataFrame, model: DataFrame, effects: DataFrame, interval: float = 0.95) -> DataFrame:
+    """Points outside the band of a fitted model are anomalies."""
+    p = predict(evaluate.select("series", "ts", "y"), model, effects, interval)
+    return p.withColumn("is_anomaly", (F.col("y") < F.col("lower_bound")) | (F.col("y") > F.col("upper_bound")))
+
+
+def detect_anomalies(train: DataFrame, evaluate: DataFrame, interval: float = 0.95) -> DataFrame:
+    return flagged(evaluate, *fit(train), interval)
+
+
+def forecast(series: DataFrame, horizon: int, interval: float = 0.90) -> DataFrame:
+    """The `horizon` days after each series' last point."""
+    return ahead(*fit(series), horizon, interval)
+
+
 def anomaly_counts(**tables: DataFrame) -> DataFrame:
     """Flagged rows against all rows for each named anomaly table."""
     parts = [

@@ -19,7 +19,7 @@ from ledgerlake.plans import jobs, metrics
 from ledgerlake.session import prepare, scratch_dir
 from ledgerlake.sources import adapters as A
 from ledgerlake.sources import bronze, tables
-from ledgerlake.streaming import daily, ingest, marts, newest
+from ledgerlake.streaming import daily, ingest, marts, models, newest
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -179,6 +179,24 @@ def quarantine_bad(spark, d):
     return bronze.split_bad(bronze.read_json_text(spark, f"{root}/in"))[1].select("text")
 
 
+@query
+def quarantine_typed(spark, d):
+    """Fields that do not convert, with their names, and lines that are no record."""
+    root = scratch_dir(spark, "quarantine-typed")
+    t = A.txn(spark, d)
+    k = F.substring_index("merchant", " ", -1).cast("int")
+    text = bronze.transaction_json(t)
+    bad_amount = F.replace(text, F.expr("substring(to_json(struct(amount)), 2, length(to_json(struct(amount))) - 2)"), F.lit('"amount":"many"'))
+    bad_time = F.regexp_replace(text, '"ts":"[^"]*"', '"ts":"soon"')
+    both = F.regexp_replace(bad_amount, '"is_fraud":(true|false)', '"is_fraud":"perhaps"')
+    line = F.when(k < 10, bad_amount).when(k < 20, bad_time).when(k < 30, both).when(k == 99, F.substring(text, 1, 30)).otherwise(text)
+    t.select(line.alias("value")).write.text(f"{root}/in")
+    raw = bronze.read_with_schema(spark, f"{root}/in", silver.TRANSACTION_FIELDS)
+    good, rejects = bronze.split_typed(raw, silver.TRANSACTION_FIELDS)
+    kept = good.select(F.col("txn_id").alias("record_key"), F.lit("(typed)").alias("field"), F.round("amount", 2).cast("string").alias("value"))
+    return rejects.drop("src_file").unionByName(kept.withColumn("value", F.when(F.col("value").isNull(), "null").otherwise("number")))
+
+
 @query
 def silver_transactions(spark, d):
     """Each record twice for k < 50, the later version with a higher amount."""
@@ -423,6 +441,31 @@ def price_forecast(spark, d):
     return rounded(series.price_forecast_view(series.forecast(points, 7)), forecast=5, lower_bound=5, upper_bound=5)
 
 
+@query
+def incremental_forecast(spark, d):
+    """Price forecast from sums kept by day: three appends, the last one corrects days of the first."""
+    root = scratch_dir(spark, "models")
+    points = series.price_series(gold.ohlc_daily(A.prices(spark, d)))
+    day = F.dayofmonth("ts")
+    stale = points.withColumn("y", F.when(day.between(6, 9), F.col("y") * 2 + 1).otherwise(F.col("y")))
+    for part in (stale.where(day <= 10), points.where(day.between(11, 20)), points.where((day > 20) | day.between(6, 9))):
+        models.append_days(part, root)
+    out = models.forecast(spark, root, 7)
+    return rounded(series.price_forecast_view(out), forecast=5, lower_bound=5, upper_bound=5)
+
+
+@query
+def incremental_anomalies(spark, d):
+    """Spend anomalies against the model of the days before the cutoff, from sums kept by day."""
+    root = scratch_dir(spark, "models-spend")
+    points = _spend_points(spark, d)
+    train, evaluate = series.split_series(points, A.LONG_AS_OF)
+    early = F.col("ts") < F.lit("1998-01-01").cast("timestamp_ntz")
+    for part in (points.where(early), points.where(~early)):
+        models.append_days(part, root)
+    return rounded(models.anomalies(evaluate, root, S.as_date(A.LONG_AS_OF) - dt.timedelta(30)), y=2, **BAND)
+
+
 @query
 def history_and_forecast(spark, d):
     points = series.price_series(gold.ohlc_daily(A.prices(spark, d))).where(F.col("series") == "view")
@@ -924,6 +967,21 @@ def audit_counts(spark, d):
     )
 
 
+@query
+def audit_metadata(spark, d):
+    """Rows and date ranges of the written marts, from the files' footers alone."""
+    root = scratch_dir(spark, "audit")
+    marts_ = {
+        "market_daily": (gold.ohlc_daily(A.prices(spark, d)), "trade_date"),
+        "spend_daily": (_spend(spark, d), "spend_date"),
+        "spend_by_category": (gold.spend_by_category(A.txn_long(spark, d)), "spend_date"),
+        "txn_features": (_features(spark, d).withColumn("txn_day", F.to_date("txn_ts")), "txn_day"),
+    }
+    for name, (mart, _) in marts_.items():
+        mart.write.parquet(f"{root}/{name}")
+    return tables.footer_counts(spark, {n: f"{root}/{n}" for n in marts_}, {n: c for n, (_, c) in marts_.items()})
+
+
 @query
 def scalar_suite(spark, d):
     """Every scalar rule on every event."""

@@ -31,6 +31,40 @@ def split_bad(text: DataFrame) -> tuple[DataFrame, DataFrame]:
     return good, parsed.where(F.col("parsed").isNull()).drop("parsed")
 
 
+def read_with_schema(spark: SparkSession, path: str, fields: list[tuple[str, str, str]]) -> DataFrame:
+    """JSON values read by a given schema: the fields as text, `_corrupt_record` for what is no JSON record.
+
+    Every field is read as text, so a value of another type is kept for the typed cast to judge.
+    """
+    schema = ", ".join([*(f"`{src}` string" for _, src, _ in fields), "_corrupt_record string"])
+    reader = spark.read.schema(schema).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt_record")
+    raw = reader.option("recursiveFileLookup", "true").json(path)
+    return raw.select("*", F.col("_metadata.file_path").alias("src_file"))
+
+
+def split_typed(raw: DataFrame, fields: list[tuple[str, str, str]]) -> tuple[DataFrame, DataFrame]:
+    """(typed rows, rejects) of read_with_schema().
+
+    A reject is one field whose value does not convert: its record's first field, the field's name,
+    the value and the file; the typed row keeps null there. A value that is no record at all is
+    rejected as `_corrupt_record` and gives no row.
+    """
+    no_record = F.coalesce(*[F.col(src) for _, src, _ in fields]).isNull() & F.col("_corrupt_record").isNotNull()
+    typed = [F.col(src).try_cast(t) for _, src, t in fields]
+    good = raw.where(~no_record).select(*[c.alias(out) for c, (out, _, _) in zip(typed, fields)], "src_file")
+    key = fields[0][1]
+    failed = F.array(*[
+        F.when(F.col(src).isNotNull() & c.isNull(), F.struct(F.lit(out).alias("field"), F.col(src).alias("value")))
+        for c, (out, src, _) in zip(typed, fields)
+    ])
+    whole = F.array(F.struct(F.lit("_corrupt_record").alias("field"), F.col("_corrupt_record").alias("value")))
+    rejects = raw.select(
+        F.when(~no_record, F.col(key)).alias("record_key"),
+        F.explode(F.when(no_record, whole).otherwise(F.filter(failed, lambda f: f.isNotNull()))).alias("r"), "src_file",
+    )
+    return good, rejects.select("record_key", "r.field", "r.value", "src_file")
+
+
 def records(good: DataFrame) -> DataFrame:
     """(record, src_file, ingested_at): the outer array is stripped, a lone object is one record."""
     # Anything but an array does not convert and is passed through as one record.

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def _aligned(df: DataFrame, table: str) -> DataFrame:
@@ -59,3 +60,28 @@ def overwrite_partitions(df: DataFrame, path: str, by: str) -> None:
         .partitionBy(by)
         .parquet(path)
     )
+
+
+def metadata_session(spark: SparkSession) -> SparkSession:
+    """A session whose Parquet reader answers counts, minima and maxima from the files' footers."""
+    other = spark.newSession()
+    other.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    others = [s for s in other.conf.get("spark.sql.sources.useV1SourceList").split(",") if s != "parquet"]
+    other.conf.set("spark.sql.sources.useV1SourceList", ",".join(others))
+    other.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
+    return other
+
+
+def footer_counts(spark: SparkSession, paths: Mapping[str, str], ranges: Mapping[str, str]) -> DataFrame:
+    """(t, n_rows, lo, hi) of Parquet tables: rows and the range of a column, without reading a row.
+
+    ranges: for each table a column of a whole number, date or double type.
+    """
+    other, out = metadata_session(spark), None
+    for name, path in paths.items():
+        c = F.col(ranges[name])
+        one = other.read.parquet(path).agg(F.count("*").alias("n_rows"), F.min(c).alias("lo"), F.max(c).alias("hi"))
+        # A file without rows has no count in its footer.
+        one = one.select(F.lit(name).alias("t"), F.coalesce("n_rows", F.lit(0).cast("long")).alias("n_rows"), F.col("lo").cast("string").alias("lo"), F.col("hi").cast("string").alias("hi"))
+        out = one if out is None else out.unionByName(one)
+    return out

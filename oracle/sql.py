@@ -375,6 +375,20 @@ _STATEMENTS: dict[str, tuple[list[str], str]] = {
     "similar_transactions": (["vlen", "scored"], f"""
       SELECT n.*, f.txn_text, f.amount, f.category, f.is_fraud_label
       FROM ({_near("(SELECT txn_id AS target_id FROM scored WHERE ai_fraud_class = 'Suspicious')", "feat")}) n JOIN feat f USING (txn_id)"""),
+    "quarantine_typed": (["ev", "txn"], """
+      SELECT txn_id AS record_key, 'amount' AS field, 'many' AS value FROM txn WHERE regexp_extract(merchant, '\\d+')::INTEGER < 10 OR regexp_extract(merchant, '\\d+')::INTEGER BETWEEN 20 AND 29
+      UNION ALL SELECT txn_id, 'txn_ts', 'soon' FROM txn WHERE regexp_extract(merchant, '\\d+')::INTEGER BETWEEN 10 AND 19
+      UNION ALL SELECT txn_id, 'is_fraud_label', 'perhaps' FROM txn WHERE regexp_extract(merchant, '\\d+')::INTEGER BETWEEN 20 AND 29
+      UNION ALL SELECT NULL, '_corrupt_record', left('{"txn_id":"' || txn_id || '","account_id":"' || account_id || '","ts":"', 30) FROM txn WHERE merchant = 'Merchant 99'
+      UNION ALL SELECT txn_id, '(typed)', CASE WHEN regexp_extract(merchant, '\\d+')::INTEGER < 10 OR regexp_extract(merchant, '\\d+')::INTEGER BETWEEN 20 AND 29 THEN 'null' ELSE 'number' END
+      FROM txn WHERE merchant <> 'Merchant 99'"""),
+    "incremental_forecast": (["pf_out"], f"SELECT series AS ticker, ts AS forecast_date, {_BAND5} FROM pf_out"),
+    "incremental_anomalies": (["sa_out"], f"SELECT series, ts, round(y, 2) AS y, {_BAND}, is_anomaly FROM sa_out"),
+    "audit_metadata": (["ohlc", "spend", "bycat", "feat"], """
+      SELECT 'market_daily' AS t, count(*) AS n_rows, min(trade_date)::VARCHAR AS lo, max(trade_date)::VARCHAR AS hi FROM ohlc
+      UNION ALL SELECT 'spend_daily', count(*), min(spend_date)::VARCHAR, max(spend_date)::VARCHAR FROM spend
+      UNION ALL SELECT 'spend_by_category', count(*), min(spend_date)::VARCHAR, max(spend_date)::VARCHAR FROM bycat
+      UNION ALL SELECT 'txn_features', count(*), min(txn_ts::DATE)::VARCHAR, max(txn_ts::DATE)::VARCHAR FROM feat"""),
     "similar_candidates": (["vlen", "scored"], _near("(SELECT txn_id AS target_id FROM scored WHERE ai_fraud_class = 'Suspicious')", "feat")),
     "similar_lateral": (["vlen", "pool"], f"""
       SELECT n.target_id, n.txn_id, n.similarity, f.txn_text, f.amount, f.category, f.is_fraud_label

@@ -96,3 +96,26 @@ def test_whole_lane_from_raw_tables_to_views(spark):
     assert rows["v_price_forecast"] == 14 and rows["v_news_feed"] == 20 and rows["v_spend_kpis"] == 1
     assert rows["v_news_themes"] == 2 and rows["v_spend_insight"] == 1 and rows["v_spend_anomalies"] == 31
     assert spark.table("v_spend_insight").first()["insight"].count("\n") == 2
+
+
+def test_typed_quarantine_names_the_field(spark, tmp_path):
+    lines = [json.dumps([rec(1), {**rec(2), "amount": "many", "ts": "soon"}]), json.dumps({**rec(3), "is_fraud": "perhaps", "extra": 1}), '{"txn_id": "4", "amo', "[1, 2]", "", json.dumps({"txn_id": None}), json.dumps({**rec(5), "amount": None, "ts": {"a": 1}})]
+    (tmp_path / "a.json").write_text("\n".join(lines))
+    raw = bronze.read_with_schema(spark, str(tmp_path), silver.TRANSACTION_FIELDS)
+    good, bad = bronze.split_typed(raw, silver.TRANSACTION_FIELDS)
+    got = {(r.record_key, r.field, r.value) for r in bad.where("field != '_corrupt_record'").collect()}
+    assert got == {("2", "amount", "many"), ("2", "txn_ts", "soon"), ("3", "is_fraud_label", "perhaps"), ("5", "txn_ts", '{"a": 1}')}
+    assert '{"txn_id": "4", "amo' in {r.value for r in bad.where("field = '_corrupt_record'").collect()}
+    typed = {r.txn_id: r for r in good.collect() if r.txn_id}
+    assert set(typed) == {"1", "2", "3", "5"} and typed["2"].amount is None and typed["1"].amount == 1.0
+    assert good.columns == [f for f, _, _ in silver.TRANSACTION_FIELDS] + ["src_file"]
+
+
+def test_counts_come_from_footers(spark, tmp_path):
+    df = spark.range(1000).select(F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") % 50).cast("int")).alias("d"), F.col("id").alias("n"))
+    df.write.parquet(str(tmp_path / "t"))
+    df.where("false").write.parquet(str(tmp_path / "e"))
+    out = tables.footer_counts(spark, {"t": str(tmp_path / "t"), "e": str(tmp_path / "e")}, {"t": "d", "e": "n"})
+    assert out._jdf.queryExecution().executedPlan().toString().count("PushedAggregation: [COUNT(*), MIN(") == 2
+    assert sorted(map(tuple, out.collect())) == [("e", 0, None, None), ("t", 1000, "2024-01-01", "2024-02-19")]
+    assert spark.conf.get("spark.sql.parquet.aggregatePushdown") == "false"
