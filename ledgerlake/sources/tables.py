@@ -81,7 +81,7 @@ def footer_counts(spark: SparkSession, paths: Mapping[str, str], ranges: Mapping
     for name, path in paths.items():
         c = F.col(ranges[name])
         one = other.read.parquet(path).agg(F.count("*").alias("n_rows"), F.min(c).alias("lo"), F.max(c).alias("hi"))
-        # A file without rows has no count in its footer.
-        one = one.select(F.lit(name).alias("t"), F.coalesce("n_rows", F.lit(0).cast("long")).alias("n_rows"), F.col("lo").cast("string").alias("lo"), F.col("hi").cast("string").alias("hi"))
+        # A table without row groups leaves the count empty although it is declared never null.
+        one = one.select(F.lit(name).alias("t"), F.greatest("n_rows", F.lit(0).cast("long")).alias("n_rows"), F.col("lo").cast("string").alias("lo"), F.col("hi").cast("string").alias("hi"))
         out = one if out is None else out.unionByName(one)
     return out
