@@ -61,23 +61,25 @@ class Lake:
         """Whether a batch of a source is already published, so a replay has nothing to do."""
         return batch_id is not None and self.state().batches.get(source, -1) >= batch_id
 
-    def read(self, table: str, schema: str, folders: list[str] | None = None) -> DataFrame:
-        """The live partitions of a table, or those of them that are named; others are not even listed."""
-        live = self.state().tables.get(table, {})
-        wanted = live if folders is None else {f: live[f] for f in dict.fromkeys(folders) if f in live}
-        paths = [f"{self.root}/{table}/v={version}/{f}" for f, version in wanted.items()]
-        return self._load(table, schema, paths)
-
-    def staged(self, table: str, schema: str, version: str) -> DataFrame:
+    def read(self, table: str, schema: str | None = None, folders: list[str] | None = None) -> DataFrame:
+        """The live partitions of a table, or those of them that are named; others are not even listed.
+
+        A partition may live in several versions at once, under names of the form folder@version.
+        """
+        wanted = None if folders is None else set(folders)
+        live = [(name.split("@")[0], v) for name, v in self.state().tables.get(table, {}).items()]
+        return self._load(table, schema, [f"{self.root}/{table}/v={v}/{f}" for f, v in live if wanted is None or f in wanted])
+
+    def staged(self, table: str, schema: str | None, version: str) -> DataFrame:
         """What a version holds, published or not."""
         where = f"{table}/v={version}"
         return self._load(table, schema, [f"{self.root}/{where}/{n}" for n in self._names(where) if "=" in n])
 
-    def _load(self, table: str, schema: str, paths: list[str]) -> DataFrame:
+    def _load(self, table: str, schema: str | None, paths: list[str]) -> DataFrame:
         if not paths:
-            return self.spark.createDataFrame([], schema)
-        rows = self.spark.read.schema(f"{schema}, v string").option("basePath", f"{self.root}/{table}").parquet(*paths)
-        return rows.drop("v")
+            return self.spark.createDataFrame([], schema or "")
+        reader = self.spark.read if schema is None else self.spark.read.schema(f"{schema}, v string")
+        return reader.option("basePath", f"{self.root}/{table}").parquet(*paths).drop("v")
 
     def stage(self, df: DataFrame, table: str, by: str, version: str) -> dict[str, str]:
         """Write a version beside the live ones; returns its partitions for publish().
@@ -89,7 +91,7 @@ class Lake:
         return {n: version for n in self._names(where) if "=" in n}
 
     def publish(
-        self, changes: dict[str, dict[str, str | None]], source: str = "", batch_id: int | None = None, **numbers: int
+        self, changes: dict[str, dict[str, str | None]], source: str = "", batch_id: int | None = None, **numbers: int | None
     ) -> None:
         """Make staged partitions live; a partition whose version is None is no longer there."""
         state = self.state()
@@ -98,7 +100,7 @@ class Lake:
             state.tables[table] = {f: v for f, v in sorted(live.items()) if v is not None}
         if batch_id is not None:
             state.batches[source] = batch_id
-        state.numbers |= numbers
+        state.numbers = {k: n for k, n in {**state.numbers, **numbers}.items() if n is not None}
         state.number += 1
         waiting = self._path(f"{self.root}/_manifest/.{uuid.uuid4().hex}.tmp")
         out = self._fs.create(waiting)
