@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlake.functions.scalars import AsOf, days_before, money
 from ledgerlake.functions.tokens import tokens
-from ledgerlake.operators.search import Index, search
 from ledgerlake.operators.skew import lookup_join
 from ledgerlake.operators.views import movers
 
@@ -136,12 +137,15 @@ def daily_brief(
 
 
 def movers_with_news(
-    latest: DataFrame, index: Index, question: str, n: int = 3, k: int = 5, columns: list[str] | None = None
+    latest: DataFrame, find: Callable[..., DataFrame], question: str, n: int = 3, k: int = 5, columns: list[str] | None = None
 ) -> DataFrame:
-    """The n worst movers with the k articles about each that best match a question."""
+    """The n worst movers with the k articles about each that best match a question.
+
+    find(queries, k, columns) is a search, such as segments.search over a stored index.
+    """
     worst = movers(latest, n).where("side = 'loser'")
     queries = worst.select(F.col("ticker").alias("query_id"), "ticker", F.lit(question).alias("query"))
-    found = search(index, queries, k, columns)
+    found = find(queries, k, columns)
     keep = [c for c in found.columns if c not in ("query_id", "rank", "ticker")]
     return worst.select("ticker", "pct").join(
         found.select(F.col("query_id").alias("ticker"), F.col("rank").alias("news_rank"), *keep), "ticker", "left"

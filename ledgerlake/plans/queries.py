@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ledgerlake.functions import lexicons
 from ledgerlake.functions import scalars as S
-from ledgerlake.operators import fraud, gold, insight, search, series, silver, text, vectors, views
+from ledgerlake.operators import fraud, gold, insight, search, segments, series, silver, text, vectors, views
 from ledgerlake.operators.skew import lookup_join, spread
 from ledgerlake.plans import jobs, metrics
 from ledgerlake.session import prepare, scratch_dir
@@ -567,20 +567,29 @@ def _questions(spark, d):
     )
 
 
-def _stored_index(spark, d):
+def _stored_index(spark, d) -> str:
     path = scratch_dir(spark, "index")
-    search.write_index(search.build_index(text.news_sentiment(A.news(spark, d), **PROSE)), path)
-    return search.read_index(spark, path)
+    segments.refresh(spark, text.news_sentiment(A.news(spark, d), **PROSE), path)
+    return path
 
 
 @query
 def news_search(spark, d):
-    return search.search(_stored_index(spark, d), _questions(spark, d), 5, ["headline", "ticker", "published_at", "sentiment_label"])
+    columns = ["headline", "ticker", "published_at", "sentiment_label"]
+    return segments.search(spark, _stored_index(spark, d), _questions(spark, d), 5, columns)
+
+
+@query
+def news_search_all(spark, d):
+    """The same ranking by scoring every article that shares a term, over an index that is not stored."""
+    index = search.build_index(A.news(spark, d))
+    return search.search(index, _questions(spark, d), 5, ["ticker"])
 
 
 @query
 def movers_with_news(spark, d):
-    return insight.movers_with_news(_latest(spark, d), _stored_index(spark, d), QUESTION, columns=["headline"])
+    root = _stored_index(spark, d)
+    return insight.movers_with_news(_latest(spark, d), lambda *how: segments.search(spark, root, *how), QUESTION, columns=["headline"])
 
 
 # ---- vectors ----------------------------------------------------------------
@@ -899,9 +908,8 @@ def stream_index(spark, d):
     for part in (stale, n.where(draft)):
         part.write.mode("append").parquet(f"{root}/in")
         stream = spark.readStream.schema(n.schema).parquet(f"{root}/in")
-        _done(marts.refresh_index(spark, stream, f"{root}/index", f"{root}/cp"))
-    index = search.read_index(spark, f"{root}/index")
-    return search.search(index, _questions(spark, d), 3, ["ticker"])
+        _done(marts.refresh_segments(spark, stream, f"{root}/index", f"{root}/cp"))
+    return segments.search(spark, f"{root}/index", _questions(spark, d), 3, ["ticker"])
 
 
 # ---- tables and jobs --------------------------------------------------------

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ledgerlake.operators import gold, search, silver
+from ledgerlake.operators import gold, search, segments, silver
 from ledgerlake.sources.adapters import is_folder
 from ledgerlake.sources.versioned import Lake, folder
 from ledgerlake.streaming import ingest
@@ -396,3 +396,19 @@ def refresh_index(
         .trigger(**trigger_args(trigger))
         .start()
     )
+
+
+def refresh_segments(
+    spark: SparkSession, news: DataFrame, root: str, checkpoint: str, trigger: str | None = None
+) -> StreamingQuery:
+    """Add each batch of articles to a stored segment index (operators/segments.py); a replay changes nothing."""
+
+    def on_batch(batch: DataFrame, batch_id: int) -> None:
+        segments.refresh(batch.sparkSession, batch, root, source=checkpoint, batch_id=batch_id)
+
+    return (
+        news.writeStream.foreachBatch(on_batch)
+        .option("checkpointLocation", checkpoint)
+        .trigger(**trigger_args(trigger))
+        .start()
+    )

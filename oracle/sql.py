@@ -347,6 +347,10 @@ _STATEMENTS: dict[str, tuple[list[str], str]] = {
       SELECT query_id, rank, b.news_id, score, headline, ticker, published_at, sentiment_label
       FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, news_id)::INTEGER AS rank FROM bm QUALIFY rank <= 5) b
       JOIN mood USING (news_id)"""),
+    "news_search_all": (["bm"], """
+      SELECT query_id, rank, b.news_id, score, ticker
+      FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, news_id)::INTEGER AS rank FROM bm QUALIFY rank <= 5) b
+      JOIN news USING (news_id)"""),
     "stream_index": (["bm"], """
       SELECT query_id, rank, b.news_id, score, ticker
       FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, news_id)::INTEGER AS rank FROM bm QUALIFY rank <= 3) b
