@@ -32,8 +32,13 @@ def _row(docs: DataFrame):
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    scored = model.score(docs.select(_row(docs)), "row_.text")  # the text travels once
-    return scored.where("predicted = 0").select("row_.*")
+    # Only keys and texts pass through the scoring; the rows meet the list of toxic ones where they are.
+    key = doc_key("doc_id", "text")
+    scored = model.score(docs.select(*key, "text")).where("predicted = 1")
+    goes = stored(scored.select(F.col("k_id").alias("t_id"), F.col("k_text").alias("t_text")).distinct(), "toxic")
+    same = F.col("k_id").eqNullSafe(F.col("t_id")) & (F.col("k_text") == F.col("t_text"))
+    rows = docs.select(_row(docs), *key)
+    return rows.join(small(goes, goes.count(), 24), same, "left_anti").select("row_.*")
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
