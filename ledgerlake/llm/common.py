@@ -38,6 +38,11 @@ def qualified(spark: SparkSession, path: str) -> str:
     return whole.replace("file:/", "file:///", 1) if whole.startswith("file:/") and not whole.startswith("file://") else whole
 
 
+def bounded_batches(spark: SparkSession, size: int = 8 << 20) -> None:
+    """Let a task hand texts to Python in batches of at most about size bytes; results do not depend on it."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(size))
+
+
 def _trim():
     """The C library's call that gives freed memory back to the system; nothing where there is none."""
     try:
