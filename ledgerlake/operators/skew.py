@@ -4,8 +4,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, DataType, MapType, StringType, StructType
+
+from ledgerlake.session import scratch_dir
 
 # A key is hot when it holds more than 1 / HOT_SHARE of all rows; so fewer than
 # HOT_SHARE keys can be hot, whatever the data, and that table is safe to broadcast.
@@ -64,6 +67,32 @@ def fits(df: DataFrame, max_rows: int) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
+BROADCAST_BYTES = 32 << 20
+ROW_BYTES = 32  # what a row of a broadcast takes beside its values
+
+
+def _width(column: Column, kind: DataType) -> Column:
+    """Bytes of a value: measured for texts and arrays, fixed for all else."""
+    if isinstance(kind, (StringType, BinaryType)):
+        return F.coalesce(F.octet_length(column), F.lit(0))
+    if isinstance(kind, ArrayType):
+        items = F.aggregate(F.transform(column, lambda x: _width(x, kind.elementType)), F.lit(0), lambda s, x: s + x)
+        return F.lit(8) + F.coalesce(items, F.lit(0))
+    if isinstance(kind, StructType):
+        return reduce(lambda a, b: a + b, [_width(column[f.name], f.dataType) for f in kind.fields], F.lit(8))
+    if isinstance(kind, MapType):
+        return _width(F.map_keys(column), ArrayType(kind.keyType)) + _width(F.map_values(column), ArrayType(kind.valueType))
+    return F.lit(8)
+
+
+def fits_bytes(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> bool:
+    """Whether the values of a frame take at most max_bytes, by measuring them; stops at the rows that could not fit."""
+    rows = max_bytes // (ROW_BYTES + 8 * len(df.columns)) + 1
+    width = reduce(lambda a, b: a + b, [_width(F.col(f"`{f.name}`"), f.dataType) for f in df.schema.fields], F.lit(ROW_BYTES))
+    found = df.limit(rows).agg(F.count("*").alias("n"), F.sum(width.cast("long")).alias("bytes")).first()
+    return found.n < rows and (found.bytes or 0) <= max_bytes
+
+
 def lookup_join(
     rows: DataFrame,
     lookup: DataFrame,
@@ -71,20 +100,30 @@ def lookup_join(
     spread_by: str,
     how: str = "inner",
     max_broadcast_rows: int = 200_000,
-    salts: int = 32,
-    size_of: DataFrame | None = None,
+    max_broadcast_bytes: int = BROADCAST_BYTES,
+    hot_share: int = HOT_SHARE,
 ) -> DataFrame:
     """Join a lookup table whose keys may be hot on the row side.
 
-    A lookup of checked size is broadcast. A larger one is joined by shuffle with the row side
-    split over `salts` parts and the lookup copied to each part. `size_of` is a frame with at
-    least as many rows as the lookup that is cheaper to count.
+    The lookup is written to scratch once, so that measuring it does not compute it again. One whose
+    rows and bytes are under the bounds is broadcast. A larger one is joined by shuffle:
+    keys with more than 1 / hot_share of the rows (so fewer than that many keys) are counted, and
+    their rows are split into as many parts as their share asks for, with the lookup's row copied
+    to each. All other keys keep one part.
     """
-    if fits(lookup if size_of is None else size_of, max_broadcast_rows):
+    path = scratch_dir(rows.sparkSession, "lookup")
+    lookup.write.parquet(path)
+    lookup = rows.sparkSession.read.schema(lookup.schema).parquet(path)
+    if fits(lookup, max_broadcast_rows) and fits_bytes(lookup, max_broadcast_bytes):
         return rows.join(F.broadcast(lookup), keys, how)
-    salted_rows = rows.withColumn("_salt", F.pmod(F.xxhash64(spread_by), F.lit(salts)).cast("int"))
-    copies = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return salted_rows.join(copies, [*keys, "_salt"], how).drop("_salt")
+    counts = rows.groupBy(*keys).agg(F.count("*").alias("_n"))
+    total = counts.agg(F.sum("_n")).scalar()
+    hot = counts.where(F.col("_n") * hot_share > total).select(*keys, F.ceil(F.col("_n") * hot_share / total).cast("int").alias("_parts"))
+    hot = F.broadcast(hot)  # fewer than hot_share rows
+    parts = F.coalesce("_parts", F.lit(1))
+    salted = rows.join(hot, keys, "left").withColumn("_salt", F.pmod(F.xxhash64(spread_by), parts.cast("long")).cast("int")).drop("_parts")
+    copies = lookup.join(hot, keys, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), parts - 1))).drop("_parts")
+    return salted.join(copies, [*keys, "_salt"], how).drop("_salt")
 
 
 def spread(scan: DataFrame) -> DataFrame:

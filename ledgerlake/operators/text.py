@@ -13,11 +13,12 @@ from pyspark.sql import functions as F
 
 from ledgerlake.functions import lexicons
 from ledgerlake.functions.tokens import hits, sentences, tokens
+from ledgerlake.operators.skew import lookup_join
 
 # The batch function travels with its code, so executors need no copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-# Word lists travel as literals inside the plan, so their size is bounded here.
+# Word lists of up to this length travel as literals inside the plan; longer ones are joined.
 MAX_WORDS = 20_000
 
 
@@ -118,8 +119,14 @@ def news_sentiment(
     labels: list[str] = lexicons.TOPICS,
     fallback: str = "Macroeconomy",
 ) -> DataFrame:
-    """News with sentiment_score, topic and sentiment_label: a map-only projection."""
+    """News with sentiment_score, topic and sentiment_label.
+
+    With lists of up to MAX_WORDS words this is a map-only projection; longer lists are a table that
+    the articles' words are joined with.
+    """
     vocabulary = sorted({*positive, *negative, *(w for ws in keywords.values() for w in ws)})
+    if len(vocabulary) > MAX_WORDS:
+        return _sentiment_by_lookup(news, vocabulary, positive, negative, keywords, labels, fallback)
     # One pass over the text keeps only listed words; the scores then count in that short array.
     text = F.concat("headline", F.lit(". "), "body")
     known = news.withColumn("_known", hits(tokens(text), _checked(vocabulary)))
@@ -129,6 +136,40 @@ def news_sentiment(
     ).drop("_known")
 
 
+def _sentiment_by_lookup(
+    news: DataFrame, vocabulary: list[str], positive: list[str], negative: list[str],
+    keywords: dict[str, dict[str, int]], labels: list[str], fallback: str,
+) -> DataFrame:
+    """The columns of news_sentiment() with the word lists as a table.
+
+    Words are counted per article before they meet the table, which is broadcast if its measured size
+    allows it and else joined with hot words split. Only counts move; the articles' texts are joined
+    back by a key of their content, so rows that are alike get the same result.
+    """
+    ups, downs = set(positive), set(negative)
+    rows = [(w, int(w in ups), int(w in downs), [int(keywords.get(label, {}).get(w, 0)) for label in labels]) for w in vocabulary]
+    table = news.sparkSession.createDataFrame(rows, "term string, up int, down int, weights array<int>")
+    text = F.concat("headline", F.lit(". "), "body")
+    content = [F.coalesce(c, F.lit("")) for c in ("headline", "body")]
+    keyed = news.withColumns({"_k1": F.xxhash64(*content), "_k2": F.xxhash64(F.lit(1), *content)})
+    words = keyed.select("_k1", "_k2", text.alias("text")).dropDuplicates(["_k1", "_k2"]).select("_k1", "_k2", F.explode(tokens(F.col("text"))).alias("term"))
+    counts = words.groupBy("_k1", "_k2", "term").agg(F.count("*").alias("n"))
+    met = lookup_join(counts, table, ["term"], spread_by="_k1", max_broadcast_rows=len(vocabulary))
+    sums = met.groupBy("_k1", "_k2").agg(
+        F.sum(F.col("n") * F.col("up")).cast("double").alias("_up"), F.sum(F.col("n") * F.col("down")).cast("double").alias("_down"),
+        *[F.sum(F.col("n") * F.col("weights")[i]).alias(f"_w{i}") for i in range(len(labels))],
+    )
+    up, down = F.coalesce("_up", F.lit(0.0)), F.coalesce("_down", F.lit(0.0))
+    scored = [F.struct(F.coalesce(f"_w{i}", F.lit(0)).alias("s"), F.lit(-i).alias("i"), F.lit(label).alias("label")) for i, label in enumerate(labels)]
+    best = F.array_max(F.array(*scored))
+    score = F.when(text.isNull(), F.lit(None).cast("double")).when(up + down == 0, F.lit(0.0)).otherwise((up - down) / (up + down))
+    topic = F.when(text.isNull(), F.lit(None)).when(best["s"] > 0, best["label"]).otherwise(fallback)
+    out = keyed.join(sums, ["_k1", "_k2"], "left").withColumn("sentiment_score", score).withColumn("topic", topic)
+    return out.withColumn("sentiment_label", sentiment_label(F.col("sentiment_score"))).select(
+        *news.columns, "sentiment_score", "topic", "sentiment_label"
+    )
+
+
 def enrich_news(news: DataFrame, **lexicon) -> DataFrame:
     """All enrichment columns without moving a text between tasks."""
     return news_sentiment(news, **lexicon).withColumn("summary", summary_of(F.col("body"))).select(

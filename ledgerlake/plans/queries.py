@@ -676,7 +676,7 @@ def cosine_to_exemplar(spark, d):
     """Cosine of every vector with the first vector of its label."""
     e = A.read(spark, d, "embeddings")
     first = e.groupBy("label").agg(F.min_by("embedding", "vec_id").alias("exemplar"))
-    j = lookup_join(e, first, ["label"], spread_by="vec_id", size_of=e.select("label").distinct())
+    j = lookup_join(e, first, ["label"], spread_by="vec_id")
     return j.select("vec_id", "label", F.round(vectors.cosine(F.col("embedding"), F.col("exemplar")), 6).alias("similarity"))
 
 

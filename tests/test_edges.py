@@ -276,3 +276,22 @@ def test_repeated_stamps(spark):
     assert (last["a"].close, last["a"].volume) == (8.5, 3) and last["b"].close is None
     once = gold.per_stamp(df)
     assert sorted(gold.ohlc_daily(once, keyed=True).collect(), key=str) == sorted(gold.ohlc_daily(df).collect(), key=str)
+
+
+def test_word_lists_of_any_length(spark, monkeypatch):
+    """Fifty thousand words by a join; the same rows as the literal lists give, on both join paths."""
+    words = [f"w{a}{b}{c}{d}" for a in "abcdefghijklmno" for b in "abcdefghijklmno" for c in "abcdefghijklmno" for d in "abcdefghijklmno"][:50_000]
+    lists = {"positive": words[:20_000], "negative": words[19_990:40_000], "keywords": {"Earnings": dict.fromkeys(words[39_000:45_000], 2), "Product": dict.fromkeys(words[44_000:], 3)}}
+    rows = [(str(i), dt.datetime(2024, 1, 1), "A", words[i * 97 % 50_000], " ".join(words[(i * 31 + j * 977) % 50_000] for j in range(i % 9)) + " other", "s") for i in range(60)]
+    rows += [("n", None, "A", None, words[0], "s"), ("m", None, "A", "h", None, "s"), ("e", None, "A", "", "", "s"), rows[3]]
+    news = spark.createDataFrame(rows, "news_id string, published_at timestamp_ntz, ticker string, headline string, body string, source string")
+    got = sorted(map(str, text.news_sentiment(news, **lists).collect()))
+    few = {"positive": words[:200], "negative": words[150:300], "keywords": {"Analyst Rating": {words[5]: 1, words[200]: 4}, "M&A": {words[5]: 1}}}
+    small = sorted(map(str, text.news_sentiment(news, **few).collect()))
+    monkeypatch.setattr(text, "MAX_WORDS", 60_000)
+    assert got == sorted(map(str, text.news_sentiment(news, **lists).collect()))
+    monkeypatch.setattr(text, "MAX_WORDS", 10)
+    assert small == sorted(map(str, text.news_sentiment(news, **few).collect()))
+    join = text.lookup_join
+    monkeypatch.setattr(text, "lookup_join", lambda *a, **k: join(*a, **{**k, "max_broadcast_rows": 0}))
+    assert small == sorted(map(str, text.news_sentiment(news, **few).collect()))

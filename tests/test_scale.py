@@ -94,3 +94,18 @@ def test_no_cartesian_products(spark):
     for name in ("densify_returns", "spend_kpis", "daily_brief", "news_search", "txn_features", "market_latest"):
         p = plan(REGISTRY[name](spark, SF))
         assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p, name
+
+
+def test_broadcasts_are_decided_by_bytes(spark):
+    wide = spark.range(100).select("id", F.repeat(F.lit("x"), 10_000).alias("t"), F.array_repeat(F.lit(1.0), 1000).alias("v"), F.create_map(F.lit("k"), F.lit("v")).alias("m"))
+    assert skew.fits_bytes(wide, 4 << 20) and not skew.fits_bytes(wide, 1 << 20)
+    assert skew.fits_bytes(wide.select("id"), 1 << 13) and not skew.fits_bytes(spark.range(10_000), 1 << 13)
+    assert not skew.fits_bytes(spark.range(100).select(F.struct(F.col("id"), F.repeat(F.lit("é"), 5000).alias("t")).alias("s")), 1 << 19)
+    rows = spark.range(9_000).select("id", F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 50).alias("k"))
+    lookup = spark.range(50).select(F.col("id").alias("k"), F.repeat(F.lit("x"), 100).alias("v"))
+    for bound in (1 << 20, 100):
+        got = skew.lookup_join(rows, lookup, ["k"], spread_by="id", max_broadcast_bytes=bound, hot_share=8)
+        assert got.count() == 9_000
+        assert ("SortMergeJoin" in plan(got)) == (bound == 100) or "_salt" in plan(got)
+    left = skew.lookup_join(rows, lookup.where("k > 10"), ["k"], spread_by="id", how="left", max_broadcast_bytes=100, hot_share=8)
+    assert left.count() == 9_000 and left.where("v is null and k > 10").count() == 0
