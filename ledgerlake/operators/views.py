@@ -196,3 +196,22 @@ def audit_counts(tables: dict[str, DataFrame]) -> DataFrame:
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
+
+
+def audit_values(measured: dict[str, tuple[DataFrame, str | None, str | None]]) -> DataFrame:
+    """(t, n_rows, total, letters) per table: rows, sum of a number and length of a text over all of them.
+
+    measured: for each table the SQL expressions of the number and of the text, None where it has none.
+    """
+    parts = [
+        df.agg(
+            F.count("*").alias("n_rows"),
+            F.round(F.coalesce(F.sum(F.expr(f"CAST({number or 0} AS DOUBLE)")), F.lit(0.0)), 2).alias("total"),
+            F.coalesce(F.sum(F.length(F.expr(text or "''"))), F.lit(0)).cast("long").alias("letters"),
+        ).select(F.lit(name).alias("t"), "n_rows", "total", "letters")
+        for name, (df, number, text) in measured.items()
+    ]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out

@@ -943,9 +943,30 @@ def table_sinks(spark, d):
     return state("appended").unionByName(state("reloaded")).unionByName(state("made"))
 
 
+# What is added up of each serving view: a number and a text.
+VIEW_VALUES = {
+    "v_market_latest": ("last_price + prev_close + last_volume", "ticker"),
+    "v_market_intraday": ("open + high + low + close + volume", "ticker"),
+    "v_spend_kpis": ("spend_30d + txns_30d + avg_ticket_30d + spend_mom_pct", None),
+    "v_spend_trend": ("total_spend + txn_count + avg_ticket", None),
+    "v_category_share": ("total_spend + txn_count", "category"),
+    **{f"v_{s}_series": ("y", "series") for s in ("spend", "volume", "price")},
+    **{f"v_{s}_{part}": ("y", "series") for s in ("spend", "volume") for part in ("train", "eval")},
+    "v_spend_anomalies": ("actual_spend + expected_spend + upper_bound", None),
+    "v_volume_anomalies": ("actual_volume + expected_volume", "ticker"),
+    "v_fraud_flagged": ("amount + x_usual + rule_score", "ai_reason"),
+    "v_spend_forecast": ("forecast + upper_bound", None),
+    "v_price_forecast": ("forecast + upper_bound", "ticker"),
+    "v_news_feed": ("sentiment_score", "concat(headline, summary, sentiment_label)"),
+    "v_price_vs_sentiment": ("close + coalesce(avg_sentiment, 0)", "ticker"),
+    "v_spend_insight": (None, "insight"),
+    "v_news_themes": ("articles + avg_sentiment", "narrative"),
+}
+
+
 @query
 def serving_views(spark, d):
-    """Raw tables through the silver, gold and model jobs to the rows of each serving view."""
+    """Raw tables through the silver, gold and model jobs to the values of each serving view."""
     db = _database(spark, "jobs")
     stamp = F.lit("2024-02-01").cast("timestamp_ntz").alias("ingested_at")
     t, n = A.txn(spark, d), A.news(spark, d)
@@ -956,7 +977,7 @@ def serving_views(spark, d):
     jobs.build_gold(spark, silver_schema=db, schema=db)
     jobs.build_models(spark, JOBS_AS_OF, schema=db, **PROSE)
     names = jobs.register_views(spark, JOBS_AS_OF, silver_schema=db, schema=db)
-    return views.audit_counts({name: spark.table(name) for name in names})
+    return views.audit_values({name: (spark.table(name), *VIEW_VALUES[name]) for name in names})
 
 
 # ---- audit and scalars ------------------------------------------------------

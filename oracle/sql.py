@@ -5,6 +5,8 @@ Each statement names the relations it builds on; `_with` puts their definitions
 
 from __future__ import annotations
 
+import re
+
 from ledgerlake.functions import lexicons
 from ledgerlake.plans.queries import QUESTION
 
@@ -263,6 +265,32 @@ def _with(names: list[str], select: str) -> str:
 # The features of what the chained refresh keeps: whole seconds, without the malformed lines.
 RELATIONS["feat_s"] = (["txn_s"], RELATIONS["feat"][1].replace("FROM txn", "FROM (SELECT * FROM txn_s WHERE merchant <> 'Merchant 99')"))
 
+# The job chain: transactions in whole seconds, candles of the last poll that has a close.
+for _name in ("feat", "cand", "scored", "explained"):
+    _needs, _body = RELATIONS[_name]
+    for _old in ("txn", "feat", "cand", "scored"):
+        _body = re.sub(rf"\bFROM {_old}\b", "FROM " + ("txn_s" if _old == "txn" else f"j{_old}"), _body)
+    RELATIONS[f"j{_name}"] = (["txn_s" if n == "txn" else f"j{n}" for n in _needs], _body)
+RELATIONS |= {
+    "jbars": (["polled"], "SELECT * REPLACE (CASE WHEN day(ts) % 2 = 0 AND event_id % 11 <> 0 THEN round(close + 0.5, 4) ELSE close END AS close) FROM polled"),
+    "johlc": (["jbars"], RELATIONS["ohlc"][1].replace("FROM bars", "FROM jbars")),
+    "jlatest": (["johlc"], f"""
+      SELECT * FROM (SELECT ticker, close, volume FROM jbars QUALIFY row_number() OVER (PARTITION BY ticker ORDER BY ts DESC) = 1)
+      JOIN (SELECT ticker, arg_max(close, trade_date) AS prev_close FROM johlc WHERE trade_date < {JOBS} GROUP BY ticker) USING (ticker)"""),
+    "jspend": (["txn_s"], "SELECT txn_ts::DATE AS spend_date, count(*) AS txn_count, sum(amount) AS total_spend, avg(amount) AS avg_ticket FROM txn_s GROUP BY 1"),
+    "jkpis": (["jspend"], RELATIONS["kpis"][1].replace(LONG, JOBS).replace("FROM spend", "FROM jspend")),
+    "jspend_y": (["jspend"], RELATIONS["spend_y"][1].replace("FROM spend", "FROM jspend")),
+    "jprice_y": (["johlc"], RELATIONS["price_y"][1].replace("FROM ohlc", "FROM johlc")),
+    "jvol_y": (["johlc"], RELATIONS["vol_y"][1].replace("FROM ohlc", "FROM johlc")),
+    **{f"j{s}_{part}": ([f"j{s}_y"], f"SELECT * FROM j{s}_y WHERE ts {sign} {JOBS} - 30") for s in ("spend", "vol") for part, sign in (("tr", "<"), ("ev", ">="))},
+    **_model("js", "jspend_tr"), **_model("jv", "jvol_tr"), **_model("jf", "jspend_y"), **_model("jp", "jprice_y"),
+    "js_out": (["js_m", "jspend_ev"], _predict("js", "jspend_ev", Z95)),
+    "jv_out": (["jv_m", "jvol_ev"], _predict("jv", "jvol_ev", Z95)),
+    **{f"{p}_at": ([f"{p}_m"], RELATIONS[f"{old}_at"][1].replace(f"{old}_m", f"{p}_m")) for p, old in (("jf", "sf"), ("jp", "pf"))},
+    "jf_out": (["jf_at"], _predict("jf", "jf_at", Z90)),
+    "jp_out": (["jp_at"], _predict("jp", "jp_at", Z90)),
+}
+
 _FEAT = "* REPLACE (round(acct_avg_amount, 8) AS acct_avg_amount, round(amt_vs_cat_avg, 6) AS amt_vs_cat_avg)"
 _BAND = "round(forecast, 3) AS forecast, round(lower_bound, 3) AS lower_bound, round(upper_bound, 3) AS upper_bound"
 _BAND5 = _BAND.replace(", 3)", ", 5)")
@@ -419,20 +447,26 @@ _STATEMENTS: dict[str, tuple[list[str], str]] = {
       SELECT 'appended' AS name, count(*) AS n, round(sum(amount), 2) AS amount FROM (SELECT amount FROM txn UNION ALL SELECT amount FROM txn WHERE amount > 1000)
       UNION ALL SELECT 'reloaded', count(*), round(sum(amount), 2) FROM txn WHERE amount <= 1000
       UNION ALL SELECT 'made', count(*), round(sum(amount), 2) FROM (SELECT * FROM txn UNION ALL SELECT * FROM txn WHERE amount > 1000) WHERE category = 'view'"""),
-    "serving_views": (["ohlc", "polled", "explained", "wa_out", "d"], f"""
-      SELECT 'v_market_latest' AS t, count(DISTINCT ticker) AS n_rows FROM polled UNION ALL SELECT 'v_market_intraday', count(*) FROM polled
-      UNION ALL SELECT 'v_spend_kpis', 1 UNION ALL SELECT 'v_spend_trend', count(*) FROM d
-      UNION ALL SELECT 'v_category_share', count(DISTINCT category) FROM txn WHERE txn_ts::DATE >= {JOBS} - 30
-      UNION ALL SELECT 'v_spend_series', count(*) FROM d UNION ALL SELECT 'v_volume_series', count(*) FROM ohlc
-      UNION ALL SELECT 'v_price_series', count(*) FROM ohlc
-      UNION ALL SELECT 'v_spend_train', count(*) FROM d WHERE day < {JOBS} - 30 UNION ALL SELECT 'v_spend_eval', count(*) FROM d WHERE day >= {JOBS} - 30
-      UNION ALL SELECT 'v_volume_train', count(*) FROM vol_tr UNION ALL SELECT 'v_volume_eval', count(*) FROM vol_ev
-      UNION ALL SELECT 'v_spend_anomalies', count(*) FROM d WHERE day >= {JOBS} - 30
-      UNION ALL SELECT 'v_volume_anomalies', count(*) FROM wa_out WHERE is_anomaly
-      UNION ALL SELECT 'v_fraud_flagged', count(*) FROM explained UNION ALL SELECT 'v_spend_forecast', 14
-      UNION ALL SELECT 'v_price_forecast', 7 * count(DISTINCT ticker) FROM polled UNION ALL SELECT 'v_news_feed', count(*) FROM documents
-      UNION ALL SELECT 'v_price_vs_sentiment', count(*) FROM ohlc UNION ALL SELECT 'v_spend_insight', 1
-      UNION ALL SELECT 'v_news_themes', count(DISTINCT doc_id % 5) FROM documents"""),
+    "serving_views": (["jlatest", "jkpis", "jexplained", "js_out", "jv_out", "jf_out", "jp_out", "enriched", "moodday", "themes"], " UNION ALL ".join(
+        f"SELECT '{view}' AS t, count(*) AS n_rows, round(coalesce(sum(({number})::DOUBLE), 0), 2) AS total, "
+        f"coalesce(sum(length({text})), 0)::BIGINT AS letters FROM {source}"
+        for view, number, text, source in [
+            ("v_market_latest", "close + prev_close + volume", "ticker", "jlatest"),
+            ("v_market_intraday", "open + high + low + close + volume", "ticker", "jbars"),
+            ("v_spend_kpis", "spend_30d + txns_30d + avg_ticket_30d + spend_mom_pct", "''", "jkpis"),
+            ("v_spend_trend", "total_spend + txn_count + avg_ticket", "''", "jspend"),
+            ("v_category_share", "s + n", "category", f"(SELECT category, sum(amount) AS s, count(*) AS n FROM txn_s WHERE txn_ts::DATE >= {JOBS} - 30 GROUP BY category)"),
+            ("v_spend_series", "y", "series", "jspend_y"), ("v_volume_series", "y", "series", "jvol_y"), ("v_price_series", "y", "series", "jprice_y"),
+            ("v_spend_train", "y", "series", "jspend_tr"), ("v_spend_eval", "y", "series", "jspend_ev"),
+            ("v_volume_train", "y", "series", "jvol_tr"), ("v_volume_eval", "y", "series", "jvol_ev"),
+            ("v_spend_anomalies", "y + forecast + upper_bound", "''", "js_out"),
+            ("v_volume_anomalies", "y + forecast", "series", "(SELECT * FROM jv_out WHERE y < lower_bound OR y > upper_bound)"),
+            ("v_fraud_flagged", "amount + round(amt_vs_cat_avg, 1) + rule_score", "ai_reason", "jexplained"),
+            ("v_spend_forecast", "forecast + upper_bound", "''", "jf_out"), ("v_price_forecast", "forecast + upper_bound", "series", "jp_out"),
+            ("v_news_feed", "sentiment_score", "headline || summary || sentiment_label", "enriched"),
+            ("v_price_vs_sentiment", "close + coalesce(avg_sentiment, 0)", "o.ticker", "johlc o LEFT JOIN moodday m ON m.ticker = o.ticker AND m.d = o.trade_date"),
+            ("v_spend_insight", "0", "''", "(SELECT 1)"), ("v_news_themes", "articles + avg_sentiment", "narrative", "themes"),
+        ])),
     "spend_insight": (["cand"], f"""
       SELECT *, '- ' || top_category || ' leads with ' || printf('%.1f', top_share_pct) || '% of spend.' || chr(10) || '- ' || riser_category
              || ' moved most against the week before: ' || printf('%.2f', riser_change) || '.' || chr(10) || '- ' || risky_txns
