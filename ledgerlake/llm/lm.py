@@ -105,10 +105,11 @@ def part_of(entries: np.ndarray, parts: int) -> np.ndarray:
 
 
 def dealt(chunk: int, entries: np.ndarray, counts: np.ndarray, parts: int) -> Iterator[pa.RecordBatch]:
-    """A chunk's sorted distinct entries by part."""
+    """A chunk's sorted distinct entries by part; parts are ranges, so each is one slice."""
     part = part_of(entries, parts)
-    for p in np.unique(part):
-        own = part == p
+    cuts = [0, *(np.flatnonzero(part[1:] != part[:-1]) + 1), len(part)] if len(part) else [0]
+    for a, b in zip(cuts[:-1], cuts[1:]):
+        own, p = slice(a, b), part[a]
         yield pa.RecordBatch.from_pydict(
             {"part": pa.array([p], pa.int32()), "chunk": [chunk], "entries": [ascending(entries[own])], "counts": [squeeze(counts[own])]}
         )
@@ -146,8 +147,10 @@ def by_chunk(totals: DataFrame, name: str) -> DataFrame:
 def handed_back(parts: list[dict], entries: np.ndarray, n: int) -> np.ndarray:
     """Totals in the order of the chunk's sorted entries."""
     out, part = np.zeros(len(entries), np.float64), part_of(entries, n)
-    for p in parts:
-        out[part == p["part"]] = expand(p["counts"])
+    starts = np.searchsorted(part, [p["part"] for p in parts])
+    for a, p in zip(starts, parts):
+        found = expand(p["counts"])
+        out[a : a + len(found)] = found
     return out
 
 
