@@ -33,6 +33,7 @@ from ledgerlake.llm.common import doc_key, ngrams, per_text, stored, within
 MIN_MATCH = 5
 THRESHOLD = 0.5
 SEED_LIMIT = 1 << 21
+HITS_A_TASK = 50_000
 
 
 def item_seeds(benchmark: DataFrame, item_col: str, text_col: str) -> DataFrame:
@@ -139,7 +140,10 @@ def contaminated(
     for block in blocks(seeds):
         part = seed_hits(docs, block).join(block, ["k", "seed"])
         hits = part if hits is None else hits.unionByName(part)
-    hits = hits.distinct().withColumn("diagonal", F.col("at") - F.col("pos"))
+    hits = stored(hits.distinct(), "hits")
+    # Tiling costs far more than the bytes of its rows tell, so the number of tasks follows the rows.
+    tasks = max(4 * docs.sparkSession.sparkContext.defaultParallelism, -(-hits.count() // HITS_A_TASK))
+    hits = hits.withColumn("diagonal", F.col("at") - F.col("pos")).repartition(tasks, "k_id", "k_text", "item")
     # Seeds that follow each other on a diagonal have one value of at - (rank on the diagonal).
     key = ["k_id", "k_text", "item", "n_words", "k", "diagonal"]
     rank = F.row_number().over(Window.partitionBy(*key).orderBy("at"))
