@@ -9,8 +9,8 @@ substring retrieves every code within R. Retrieved rows are ranked by the exact
 The radius is learned on the same sample: within it lie RECALL of the sample's own true neighbours.
 Where fewer than k rows lie within it for a query, its radius grows until they do.
 
-Placement: every vector is indexed, in shards of about SHARD_ROWS; queries travel to the shards in
-blocks of BLOCK_ROWS, and a shard returns k rows a query. Equal vectors are one index entry that
+Placement: every vector is indexed, in shards of about SHARD_ROWS; queries are copied to the shards and
+stream past them, and a shard returns k rows a query. Equal vectors are one index entry that
 keeps their k + 1 smallest ids (more cannot be among k neighbours), so a vector that a third of
 the rows share costs one entry.
 
@@ -26,7 +26,7 @@ from dataclasses import dataclass
 from itertools import combinations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -35,7 +35,6 @@ from ledgerlake.llm.common import stored
 FIT_ROWS = 8_000
 FIT_QUERIES = 250
 SHARD_ROWS = 16_384
-BLOCK_ROWS = 1_024
 RECALL = 0.985
 SUBSTRING = 16
 
@@ -112,6 +111,20 @@ def ball(width: int, radius: int, known: dict) -> np.ndarray:
     return known[width, radius]
 
 
+def nearest(shard: Shard, code: Code, balls: dict, x: np.ndarray, ids: list, q: int, v: np.ndarray, bits: np.ndarray, k: int) -> list[tuple]:
+    """(distance, id) of a shard's k nearest rows that probing retrieves; the radius grows until there are k."""
+    radius = min(code.radius, len(bits))
+    while True:
+        near = shard.within(bits, radius, balls)
+        if len(near) > k or radius >= len(bits) or len(near) == len(x):
+            break
+        radius = min(radius + len(shard.cuts), len(bits))
+    far = np.sqrt(((x[near] - v) ** 2).sum(axis=1))
+    best = near[far <= np.partition(far, k)[k]] if len(far) > k else near
+    dist = dict(zip(near, far))
+    return sorted((dist[r], i) for r in best for i in ids[r] if i != q)[:k]
+
+
 def usable(df: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     """(id, v): the vectors that take part, as doubles."""
     v = F.col(vector_col).cast("array<double>")
@@ -141,37 +154,49 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
     sample = entries.where(F.pmod(F.col("h"), F.lit(1 << 20)) < int(share * (1 << 20)) + 1).select("v").limit(2 * FIT_ROWS)
     fitted = spark.sparkContext.broadcast(vars(learn(np.array([r.v for r in sample.collect()]), k)))
 
-    shards = -(-total // SHARD_ROWS)
+    shards = max(spark.sparkContext.defaultParallelism, -(-total // SHARD_ROWS))
     asked = queries.withColumn("v", F.transform("v", lambda x: x + F.lit(0.0))).distinct()
     asked = stored(asked.groupBy("v").agg(F.sort_array(F.collect_set("id")).alias("owners")).select("v", F.explode("owners").alias("id")), "queries")
-    blocks = max(1, -(-asked.count() // BLOCK_ROWS))
-    base = entries.withColumn("shard", F.pmod("h", F.lit(shards)).cast("int"))
-    base = base.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    ask = asked.withColumn("block", F.pmod(F.xxhash64("id", F.lit(3)), F.lit(blocks)).cast("int"))
-    ask = ask.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))).select("shard", "block", "id", "v")
-
-    def rank(ask_rows: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        if len(ask_rows) and len(rows):
-            code = Code(**fitted.value)
-            x, ids = np.stack(rows.v.to_numpy()), rows.ids.to_list()
-            shard, balls = Shard(code.bits(x)), {}
-            vectors = np.stack(ask_rows.v.to_numpy())
-            for q, v, bits in zip(ask_rows.id, vectors, code.bits(vectors)):
-                radius = min(code.radius, len(bits))
-                while True:
-                    near = shard.within(bits, radius, balls)
-                    if len(near) > k or radius >= len(bits) or len(near) == len(x):
-                        break
-                    radius = min(radius + len(shard.cuts), len(bits))
-                far = np.sqrt(((x[near] - v) ** 2).sum(axis=1))
-                best = near[far <= np.partition(far, k)[k]] if len(far) > k else near
-                dist = dict(zip(near, far))
-                found = sorted((dist[r], i) for r in best for i in ids[r] if i != q)[:k]
-                out += [(q, i, d) for d, i in found]
-        return pd.DataFrame(out, columns=["query", "id", "score"]).astype({"query": "int64", "id": "int64", "score": "float64"})
-
-    found = ask.groupBy("shard", "block").cogroup(base.groupBy("shard", "block")).applyInPandas(rank, "query long, id long, score double")
+    # Vectors are moved once, to their shard; queries are copied to the shards and stream past them.
+    kind = "shard int, asks boolean, id long, ids array<long>, v array<double>"
+    base = entries.select(F.pmod("h", F.lit(shards)).cast("int").alias("shard"), F.lit(False).alias("asks"), F.lit(None).cast("long").alias("id"), "ids", "v")
+    ask = asked.select(
+        F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"), F.lit(True).alias("asks"), "id", F.lit(None).cast("array<long>").alias("ids"), "v"
+    )
+    dealt = base.unionByName(ask).repartition(shards, "shard").sortWithinPartitions("shard", "asks")
+
+    def matrix(column: pa.Array) -> np.ndarray:
+        return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        code, balls = Code(**fitted.value), {}
+        held: list[pa.RecordBatch] = []
+        shard, number = None, None
+        for batch in batches:
+            own, asks = np.asarray(batch.column(0)), np.asarray(batch.column(1).cast(pa.int8()))
+            cuts = np.flatnonzero((own[1:] != own[:-1]) | (asks[1:] != asks[:-1])) + 1
+            for a, b in zip([0, *cuts], [*cuts, batch.num_rows]):
+                if a == b:
+                    continue
+                part = batch.slice(a, b - a)
+                if own[a] != number:
+                    held, shard, number = [], None, own[a]
+                if not asks[a]:
+                    held.append(part)
+                    continue
+                if shard is None and held:
+                    whole = pa.Table.from_batches(held)
+                    x, ids, held = matrix(whole["v"].combine_chunks()), whole["ids"].to_pylist(), []
+                    shard = Shard(code.bits(x))
+                if shard is None:
+                    continue
+                out, vectors = [], matrix(part.column(4))
+                for q, v, bits in zip(part.column(2).to_pylist(), vectors, code.bits(vectors)):
+                    out += [(q, i, d) for d, i in nearest(shard, code, balls, x, ids, q, v, bits, k)]
+                if out:
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*out)], names=["query", "id", "score"])
+
+    found = dealt.select(*[c.split()[0] for c in kind.split(", ")]).mapInArrow(scan, "query long, id long, score double")
     order = F.row_number().over(Window.partitionBy("query").orderBy("score", "id"))
     return found.withColumn("rank", order).where(F.col("rank") <= k).select("query", F.col("rank").cast("int"), "id", "score")
 

@@ -22,7 +22,6 @@ def brute(rows, queries, k):
 
 def test_recall_scores_and_hard_rows(spark, monkeypatch):
     monkeypatch.setattr(ann, "SHARD_ROWS", 300)
-    monkeypatch.setattr(ann, "BLOCK_ROWS", 4)
     rng = np.random.default_rng(0)
     rows = [(i, v.tolist()) for i, v in enumerate(rng.normal(size=(900, 16)))]
     rows += [(1000 + i, rows[0][1]) for i in range(200)]  # one vector many times
