@@ -273,7 +273,8 @@ def components(nodes: DataFrame, edges: DataFrame, rounds: int = 60) -> DataFram
 
     Each round lowers the root of both ends' roots to the smaller one and then follows roots
     one step further; every round is a written table. Nothing passes through the driver but a
-    count of changes.
+    count of changes. Following roots doubles the way of a change with each round, so 60 rounds are
+    beyond any number of ids; if they do not settle it is an error, never a partial result.
     """
     edges = stored(
         edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a < b").distinct(), "edges"

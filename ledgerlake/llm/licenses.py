@@ -36,7 +36,6 @@ from ledgerlake.llm.common import doc_key, small, stored
 CONTAINMENT = 0.8
 MISS = 1e-4
 SHINGLE = 5
-MAX_BANDS = 256
 WORDS = r"[^\p{L}\p{N}]+"
 
 # Notices as their licenses publish them.
@@ -103,7 +102,7 @@ class Plan:
         inside = max(1, self.window - SHINGLE + 1)
         made = [len(shingles(w)) for w in templates.values()]
         chance = min(0.999, *(max(1, math.ceil(CONTAINMENT * n)) / (inside + n) for n in made))
-        self.bands = min(MAX_BANDS, max(8, math.ceil(math.log(MISS) / math.log(1 - chance))))
+        self.bands = max(8, math.ceil(math.log(MISS) / math.log(1 - chance)))
         self.templates = templates
         self.anchors = sorted({a for w in templates.values() for a in anchors(w)})
         self.covers = sorted({a for w in templates.values() for a in anchors(w, 1)})
