@@ -38,9 +38,11 @@ def qualified(spark: SparkSession, path: str) -> str:
     return whole.replace("file:/", "file:///", 1) if whole.startswith("file:/") and not whole.startswith("file://") else whole
 
 
-def bounded_batches(spark: SparkSession, size: int = 8 << 20) -> None:
-    """Let a task hand texts to Python in batches of at most about size bytes; results do not depend on it."""
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(size))
+def bounded_memory(spark: SparkSession, batch: int = 8 << 20, row_group: int = 32 << 20) -> None:
+    """Let tasks hand texts to Python in batches of at most about batch bytes, and write Parquet row groups
+    of row_group bytes, of which each writing task holds one. Results do not depend on either."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(batch))
+    spark.conf.set("parquet.block.size", str(row_group))
 
 
 def _trim():

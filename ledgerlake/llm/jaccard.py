@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import bounded_batches, components, per_text, pieces, released, runs, shingle_set, small, stored, within
+from ledgerlake.llm.common import bounded_memory, components, per_text, pieces, released, runs, shingle_set, small, stored, within
 
 GROUPS = 256
 FINE_GROUPS = 4096  # of sets above FINE_FROM, whose pairs are bounded once more before they are verified
@@ -244,7 +244,7 @@ def jaccard_components(
     documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5, percent: int = 80
 ) -> DataFrame:
     """(id, n_shingles, component_id) for each row of documents."""
-    bounded_batches(documents.sparkSession)
+    bounded_memory(documents.sparkSession)
     docs = documents.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     scanned = stored(read_sets(docs, n), "sets")
     rows = scanned.where("not extra").select("id", "n_shingles", "digest")

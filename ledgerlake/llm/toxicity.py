@@ -27,7 +27,7 @@ from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import LOWER, bounded_batches, hashes_of, pieces, released, small, stored, utf8, within, words
+from ledgerlake.llm.common import LOWER, bounded_memory, hashes_of, pieces, released, small, stored, utf8, within, words
 
 MAX_TRAIN = 30_000
 THRESHOLD = 0.3
@@ -255,7 +255,7 @@ def fit(
     docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_train: int = MAX_TRAIN
 ) -> ToxicityModel:
     """Fit on labelled rows whose side is not 2, at most about max_train of them, drawn by a hash of the id."""
-    bounded_batches(docs.sparkSession)
+    bounded_memory(docs.sparkSession)
     known = (
         labels.select(F.col("doc_id").alias("l_id"), F.col("toxic").cast("double").alias("label"))
         .where(side(F.col("l_id")) != 2).groupBy("l_id").agg(F.max("label").alias("label")).where("label is not null")
