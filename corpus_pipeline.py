@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake.llm import bpe, decontaminate, jaccard, pii, toxicity
-from ledgerlake.llm.common import doc_key, small, stored
+from ledgerlake.llm.common import bounded_memory, doc_key, small, stored
 
 ORACLE_SQL = None
 
@@ -31,6 +31,7 @@ def _row(docs: DataFrame):
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    bounded_memory(spark)
     model = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     # Only keys and texts pass through the scoring; the rows meet the list of toxic ones where they are.
     key = doc_key("doc_id", "text")
@@ -42,6 +43,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    bounded_memory(spark)
     key_id, key_text = doc_key("doc_id", "text")
     rows = docs.select(_row(docs), key_id.cast("long").alias("k_id"), key_text)
     texts = rows.where("k_id is not null").select("k_id", "k_text").distinct()
@@ -67,6 +69,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    bounded_memory(spark)
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     own = F.xxhash64(F.coalesce(F.col("text"), F.lit("")))  # stands in for a missing id
     items = items.select(F.coalesce(F.col("item_id").cast("long"), own).alias("item_id"), "text")
@@ -78,6 +81,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    bounded_memory(spark)
     spans = pii.personal_data(docs).select("k_id", "k_text", F.concat("spans", "added").alias("spans_"))
     spans = stored(spans.where(F.size("spans_") > 0).dropDuplicates(["k_id", "k_text"]), "spans")
     rows = docs.select(_row(docs), *[c.alias(f"{n}_") for c, n in zip(doc_key("doc_id", "text"), ("id", "hash"))])
@@ -91,6 +95,7 @@ def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    bounded_memory(spark)
     return bpe.digests(docs)
 
 
