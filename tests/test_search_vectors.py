@@ -179,3 +179,22 @@ def test_questions_read_their_buckets_only(spark, tmp_path):
     assert [r.news_id for r in found.collect()] == ["7"]
     plan = found._jdf.queryExecution().toString()
     assert "PartitionFilters: [bucket" in plan or "bucket#" in plan.split("PartitionFilters", 1)[1][:200]
+
+
+def _texts(spark):
+    rng = np.random.default_rng(4)
+    rows = [(f"t{i}", " ".join(f"w{j}" for j in rng.integers(0, 40, 6))) for i in range(300)]
+    return spark.createDataFrame([*rows, ("copy", rows[3][1]), ("blank", ""), ("none", None)], "txn_id string, txn_text string").repartition(3)
+
+
+def test_candidates_fetch_no_vectors_for_pairs(spark):
+    """Candidates are found and ranked inside the shards: no join, so no side can be broadcast."""
+    texts = _texts(spark)
+    stored = vectors.embed(texts, "txn_text").select("txn_id", "embedding")
+    asked = stored.where("txn_id in ('t1', 't3', 'copy', 'blank')")
+    near = vectors.similar_candidates(stored, asked, 4, tables=40, bits=6)
+    assert "Join" not in near._jdf.queryExecution().executedPlan().toString()
+    exact = sorted(map(tuple, vectors.similar(stored, asked, 4).collect()))
+    assert sorted(map(tuple, near.collect())) == exact and len(exact) == 12
+    wanted = texts.where("txn_id in ('t1', 't3', 'copy', 'blank')")
+    assert sorted(map(tuple, vectors.similar_candidates(texts, wanted, 4, tables=40, bits=6, text_col="txn_text").collect())) == exact
