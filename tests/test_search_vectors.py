@@ -187,6 +187,17 @@ def _texts(spark):
     return spark.createDataFrame([*rows, ("copy", rows[3][1]), ("blank", ""), ("none", None)], "txn_id string, txn_text string").repartition(3)
 
 
+def test_texts_become_vectors_in_their_shard(spark):
+    """Only texts are shuffled for the search, with the result of stored vectors."""
+    texts = _texts(spark)
+    asked = texts.where("txn_id in ('t1', 't3', 'copy', 'blank', 'none')")
+    want = sorted(map(tuple, vectors.similar(vectors.embed(texts, "txn_text"), vectors.embed(asked, "txn_text"), 4).collect()))
+    got = vectors.similar(texts, asked, 4, text_col="txn_text")
+    assert sorted(map(tuple, got.collect())) == want and len(want) == 12
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and "ArrowEvalPython" not in plan
+
+
 def test_candidates_fetch_no_vectors_for_pairs(spark):
     """Candidates are found and ranked inside the shards: no join, so no side can be broadcast."""
     texts = _texts(spark)
