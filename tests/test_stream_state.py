@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerlake.operators import series
+from ledgerlake.plans.queries import REGISTRY
 from ledgerlake.streaming import daily, models, newest
 
 CANDLE = "ticker string, ts timestamp_ntz, close double, ingested_at timestamp_ntz"
@@ -109,3 +110,13 @@ def test_models_from_kept_sums(spark, tmp_path):
     train, evaluate = series.split_series(points, "2024-03-10", 20)
     flags = {(r.series, r.ts): r.is_anomaly for r in models.anomalies(evaluate, root, "2024-02-19").collect()}
     assert flags == {(r.series, r.ts): r.is_anomaly for r in series.detect_anomalies(train, evaluate).collect()} and flags
+
+
+def test_candles_of_one_stamp_are_all_kept(spark, tmp_path):
+    """Events of one type and time are two candles, each corrected for itself."""
+    events = [(i, at(1 + i % 4, 9), 7, "view", float(i), '{"k": 1}') for i in range(16)]
+    schema = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
+    spark.createDataFrame(events, schema).write.parquet(str(tmp_path / "events.parquet"))
+    got = REGISTRY["stream_newest"](spark, str(tmp_path)).collect()
+    close = lambda e: round(e[4] * (1 + ((e[0] % 7) - 3) / 100.0), 4) + (0.5 if e[1].day % 2 == 0 else 0)
+    assert sorted((r.ticker, r.ts, round(r.close, 4)) for r in got) == sorted(("view", e[1], round(close(e), 4)) for e in events)
