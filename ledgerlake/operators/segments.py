@@ -19,8 +19,14 @@ it is published in one step (sources/versioned.py).
 from __future__ import annotations
 
 import math
+import sys
 import uuid
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -31,41 +37,98 @@ from ledgerlake.operators.skew import fits
 from ledgerlake.session import scratch_dir
 from ledgerlake.sources.versioned import Lake, folder
 
+# The batch function travels with its code, so executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 BLOCK_DOCS = 256
+BLOCK_WORDS = 1 << 21  # a task holds the words of one block
 ID_BUCKETS = 16
 FIRST_BLOCKS = 8
 FAN = 4
 BROADCAST_TERMS = 200_000
-POSTINGS = (
-    "seg string, block long, ticker string, term string, n long, max_tf long, min_dl int, "
-    "articles array<struct<news_id:string,tf:bigint,dl:int>>, bucket int"
+ENTRIES = (
+    "seg string, block long, ticker string, term string, n long, max_tf int, min_dl int, "
+    "ids array<string>, tfs array<int>, dls array<int>"
 )
+POSTINGS = f"{ENTRIES}, bucket int"
 DEAD = "news_id string, seg string"
 DEAD_TERMS = "term string, n long, seg string"
 
 
 def _documents(news: DataFrame, text_col: str, seg: str) -> DataFrame:
-    """The articles with their length, block and id bucket."""
+    """The articles with their length, block and id bucket.
+
+    They are written to scratch with their length first: the blocks need the sizes of all bands, and the
+    words are counted once for both.
+    """
+    spark, path = news.sparkSession, scratch_dir(news.sparkSession, "articles")
     cut = news.withColumn("dl", F.coalesce(F.size(tokens(F.col(text_col))), F.lit(0)))
-    cut = cut.withColumn("band", F.floor(F.log1p(F.col("dl").cast("double")) * 4).cast("int"))
-    sizes = cut.groupBy(F.col("ticker").alias("s_ticker"), F.col("band").alias("s_band")).agg(F.count("*").alias("held"))
+    cut.withColumn("band", F.floor(F.log1p(F.col("dl").cast("double")) * 4).cast("int")).write.parquet(path)
+    cut = spark.read.parquet(path)
+    sizes = cut.groupBy(F.col("ticker").alias("s_ticker"), F.col("band").alias("s_band")).agg(
+        F.count("*").alias("held"), F.sum("dl").alias("words")
+    )
     same = F.col("ticker").eqNullSafe(F.col("s_ticker")) & (F.col("band") == F.col("s_band"))
-    parts = F.ceil(F.col("held") / BLOCK_DOCS)
+    parts = F.greatest(F.ceil(F.col("held") / BLOCK_DOCS), F.ceil(F.col("words") / BLOCK_WORDS))
     part = F.pmod(F.xxhash64("news_id"), parts)
     block = F.xxhash64("ticker", "band", part)
     return cut.join(sizes, same).withColumns(
         {"block": block, "seg": F.lit(seg), "bucket": F.pmod(F.xxhash64("news_id", F.lit(1)), F.lit(ID_BUCKETS)).cast("int")}
-    ).drop("band", "held", "s_ticker", "s_band")
+    ).drop("band", "held", "words", "s_ticker", "s_band")
+
+
+def _postings_of(parts: list[pa.RecordBatch]) -> pa.RecordBatch | None:
+    """A row per term of one block: its articles by position, their term counts and lengths."""
+    block = pa.Table.from_batches(parts).combine_chunks()
+    words = block["words"].combine_chunks()
+    size = pc.fill_null(pc.list_value_length(words), 0).to_numpy(zero_copy_only=False)
+    coded = words.flatten().dictionary_encode()
+    if not len(coded):
+        return None
+    pair = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64) * len(size) + np.repeat(np.arange(len(size)), size)
+    pair, tf = np.unique(pair, return_counts=True)
+    term, doc = pair // len(size), pair % len(size)
+    first = np.flatnonzero(np.diff(term, prepend=-1))
+    offsets = pa.array(np.append(first, len(term)).astype(np.int32))
+    dl = block["dl"].to_numpy()[doc]
+    ids = block["news_id"].combine_chunks().take(pa.array(doc))
+    same = pa.array(np.zeros(len(first), dtype=np.int32))
+    return pa.RecordBatch.from_arrays(
+        [
+            *(block[c].combine_chunks().take(same) for c in ("seg", "block", "ticker")),
+            coded.dictionary.take(pa.array(term[first])), pa.array(np.diff(np.append(first, len(term)))),
+            pa.array(np.maximum.reduceat(tf, first).astype(np.int32)), pa.array(np.minimum.reduceat(dl, first).astype(np.int32)),
+            pa.ListArray.from_arrays(offsets, ids), pa.ListArray.from_arrays(offsets, pa.array(tf.astype(np.int32))),
+            pa.ListArray.from_arrays(offsets, pa.array(dl.astype(np.int32))),
+        ],
+        names=["seg", "block", "ticker", "term", "n", "max_tf", "min_dl", "ids", "tfs", "dls"],
+    )
 
 
 def _postings(docs: DataFrame, text_col: str) -> DataFrame:
-    words = docs.select("seg", "block", "ticker", "news_id", "dl", F.explode(tokens(F.col(text_col))).alias("term"))
-    counts = words.groupBy("seg", "block", "ticker", "news_id", "dl", "term").agg(F.count("*").alias("tf"))
-    rows = counts.groupBy("seg", "block", "ticker", "term").agg(
-        F.count("*").alias("n"), F.max("tf").alias("max_tf"), F.min("dl").alias("min_dl"),
-        F.collect_list(F.struct("news_id", "tf", "dl")).alias("articles"),
-    )
-    return rows.withColumn("bucket", bucket_of(F.col("term")))
+    """A row per (block, term). Articles are shuffled by block, not by word: a task counts a block at a time."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        at = None
+        for batch in batches:
+            block = batch.column(1).to_numpy()
+            cuts = np.flatnonzero(block[1:] != block[:-1]) + 1
+            for a, b in zip([0, *cuts], [*cuts, batch.num_rows]):
+                if a == b:
+                    continue
+                if held and block[a] != at:
+                    if found := _postings_of(held):
+                        yield found
+                    held = []
+                at = block[a]
+                held.append(batch.slice(a, b - a))
+        if held and (found := _postings_of(held)):
+            yield found
+
+    dealt = docs.select("seg", "block", "ticker", "news_id", "dl", text_col).repartition("block").sortWithinPartitions("block")
+    words = dealt.select("seg", "block", "ticker", "news_id", "dl", tokens(F.col(text_col)).alias("words"))
+    return words.mapInArrow(count, ENTRIES).withColumn("bucket", bucket_of(F.col("term")))
 
 
 def _segment(lake: Lake, news: DataFrame, seg: str, text_col: str) -> tuple[dict, int, int]:
@@ -81,7 +144,7 @@ def _segment(lake: Lake, news: DataFrame, seg: str, text_col: str) -> tuple[dict
 
 
 def _names(schema: str) -> list[str]:
-    return [c.strip().split()[0] for c in schema.replace("news_id:string,tf:bigint,dl:int", "x").split(", ")]
+    return [c.split()[0] for c in schema.split(", ")]
 
 
 def _without_dead(rows: DataFrame, dead: DataFrame) -> DataFrame:
@@ -201,8 +264,10 @@ class Search:
         """(query_id, seg, news_id, score) of all live articles in (query_id, seg, block)."""
         asked = pairs.select("query_id", "seg", "block").join(self.weighted_hint, "query_id")
         on = ["seg", "block", "term", *(["ticker"] if self.restricted else [])]
-        rows = self.postings.select(*on, "articles").join(asked, on)
-        parts = rows.select("query_id", "seg", "block", "idf", F.inline("articles"))
+        rows = self.postings.select(*on, "ids", "tfs", "dls").join(asked, on)
+        parts = rows.select("query_id", "seg", "block", "idf", F.inline(F.arrays_zip("ids", "tfs", "dls"))).withColumnsRenamed(
+            {"ids": "news_id", "tfs": "tf", "dls": "dl"}
+        )
         parts = _without_dead(parts, self.lake.read("dead", DEAD))
         total = F.round(F.sum(self._share("tf", "dl")), 6).alias("score")
         return parts.groupBy("seg", "block", "query_id", "news_id").agg(total).drop("block")

@@ -84,3 +84,23 @@ def test_without_broadcasts(spark, tmp_path, monkeypatch, limit):
     live = {a[0]: a for a in (article(i, i) for i in range(60))}
     segments.refresh(spark, spark.createDataFrame(list(live.values()), SCHEMA), str(tmp_path))
     check(spark, str(tmp_path), live)
+
+
+def test_postings_are_counted_by_block(spark, monkeypatch):
+    """One shuffle, of articles by block: words are neither exploded nor grouped by a shuffle."""
+    monkeypatch.setattr(segments, "BLOCK_DOCS", 8)
+    live = [article(i, i, long=i % 5 == 0) for i in range(90)] + [("none", dt.datetime(2024, 1, 1), "A", "h", None, "s")]
+    docs = segments._documents(spark.createDataFrame(live, SCHEMA).repartition(3), "body", "s1")
+    got = segments._postings(docs, "body")
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    dealt = plan[plan.index("MapInArrow"):].split("Join")[0]
+    assert "Generate" not in plan and "Aggregate" not in dealt and dealt.count("Exchange") == 1
+    block = {r.news_id: r.block for r in docs.collect()}
+    want = {}
+    for news_id, _, ticker, _, body, _ in live:
+        words = (body or "").split()
+        for w in set(words):
+            want.setdefault((block[news_id], ticker, w), []).append((news_id, words.count(w), len(words)))
+    rows = {(r.block, r.ticker, r.term): r for r in got.collect()}
+    assert {k: sorted(zip(r.ids, r.tfs, r.dls)) for k, r in rows.items()} == {k: sorted(v) for k, v in want.items()}
+    assert all((r.n, r.max_tf, r.min_dl) == (len(r.ids), max(r.tfs), min(r.dls)) for r in rows.values())
