@@ -209,3 +209,18 @@ def test_candidates_fetch_no_vectors_for_pairs(spark):
     assert sorted(map(tuple, near.collect())) == exact and len(exact) == 12
     wanted = texts.where("txn_id in ('t1', 't3', 'copy', 'blank')")
     assert sorted(map(tuple, vectors.similar_candidates(texts, wanted, 4, tables=40, bits=6, text_col="txn_text").collect())) == exact
+
+
+def test_lateral_query_computes_the_features_once(spark, monkeypatch):
+    """The review list, the sample and the targets all read stored features."""
+    from ledgerlake.plans import queries
+
+    plans, pool = [], vectors.vector_pool
+
+    def seen(scored, features):
+        plans.extend(df._jdf.queryExecution().executedPlan().toString() for df in (scored, features))
+        return pool(scored, features)
+
+    monkeypatch.setattr(vectors, "vector_pool", seen)
+    queries.REGISTRY["similar_lateral"](spark, "/root/testdata/sf0.001")
+    assert len(plans) == 2 and all("Join" not in p and "Window" not in p for p in plans)
