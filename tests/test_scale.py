@@ -3,6 +3,7 @@
 import datetime as dt
 
 import pytest
+import pyarrow as pa
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -109,3 +110,12 @@ def test_broadcasts_are_decided_by_bytes(spark):
         assert ("SortMergeJoin" in plan(got)) == (bound == 100) or "_salt" in plan(got)
     left = skew.lookup_join(rows, lookup.where("k > 10"), ["k"], spread_by="id", how="left", max_broadcast_bytes=100, hot_share=8)
     assert left.count() == 9_000 and left.where("v is null and k > 10").count() == 0
+
+
+def test_texts_go_to_python_in_bounded_batches(spark):
+    from ledgerlake.session import ARROW_BATCH, prepare
+
+    long = prepare(spark).range(0, 300, 1, 1).select(F.expr("repeat('words ', 30000)").alias("text"))
+    size = lambda batches: (pa.RecordBatch.from_pydict({"n": [b.nbytes]}) for b in batches)
+    sizes = [r.n for r in long.mapInArrow(size, "n long").collect()]
+    assert sum(sizes) > 6 * ARROW_BATCH and max(sizes) < 2 * ARROW_BATCH
