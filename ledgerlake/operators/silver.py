@@ -36,16 +36,17 @@ NEWS_FIELDS = [
 ]
 
 
-def field(record: str, name: str, dtype: str) -> Column:
-    """One typed field of a VARIANT record; a value that does not convert becomes NULL."""
-    if dtype == "timestamp_ntz":
-        # The clock time as written: an offset neither moves it nor makes it depend on the session zone.
-        return F.try_variant_get(record, f"$.{name}", "string").try_cast(dtype)
-    return F.try_variant_get(record, f"$.{name}", dtype)
-
-
 def typed(raw: DataFrame, fields: list[tuple[str, str, str]]) -> DataFrame:
-    return raw.select(*[field("record", src, t).alias(out) for out, src, t in fields], "ingested_at")
+    """The typed fields of VARIANT records; a value that does not convert becomes NULL.
+
+    A record is converted once, to a struct, in which each field converts for itself. Times are read as
+    the clock time as written: an offset neither moves them nor makes them depend on the session zone.
+    """
+    clock = "timestamp_ntz"
+    kinds = ", ".join(f"`{src}`: {'string' if t == clock else t}" for _, src, t in fields)
+    cut = raw.select(F.try_variant_get("record", "$", f"struct<{kinds}>").alias("_r"), "ingested_at")
+    value = lambda src, t: F.col(f"_r.`{src}`").try_cast(t) if t == clock else F.col(f"_r.`{src}`")
+    return cut.select(*[value(src, t).alias(out) for out, src, t in fields], "ingested_at")
 
 
 def latest_version(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:

@@ -24,9 +24,13 @@ def with_source_file(raw: DataFrame) -> DataFrame:
     )
 
 
+def with_parsed(text: DataFrame) -> DataFrame:
+    return text.withColumn("parsed", F.try_parse_json("text"))
+
+
 def split_bad(text: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(good with a `parsed` VARIANT, quarantine with the raw text) — bad input never stops a load."""
-    parsed = text.withColumn("parsed", F.try_parse_json("text"))
+    parsed = with_parsed(text)
     good = parsed.where(F.col("parsed").isNotNull()).drop("text")
     return good, parsed.where(F.col("parsed").isNull()).drop("parsed")
 
@@ -69,13 +73,15 @@ def records(good: DataFrame) -> DataFrame:
     """(record, src_file, ingested_at): the outer array is stripped, a lone object is one record."""
     # Anything but an array does not convert and is passed through as one record.
     items = F.coalesce(F.try_variant_get("parsed", "$", "array<variant>"), F.array("parsed"))
+    # No item comes of a line that does not parse, so `good` needs no filter, which would parse each line again.
+    items = F.when(F.col("parsed").isNotNull(), items)
     return good.select(F.explode(items).alias("record"), "src_file").withColumn(
         "ingested_at", now_ntz()
     )
 
 
 def read_json_records(spark: SparkSession, path: str, layout: str = "lines") -> DataFrame:
-    return records(split_bad(read_json_text(spark, path, layout))[0])
+    return records(with_parsed(read_json_text(spark, path, layout)))
 
 
 def now_ntz() -> Column:

@@ -13,6 +13,8 @@ import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
 
@@ -21,6 +23,12 @@ def folder(by: str, value) -> str:
     return f"{by}={NO_VALUE if value is None else value}"
 
 
+def _no_rows(spark: SparkSession, schema: str) -> DataFrame:
+    """An empty frame that the optimizer sees to be empty, so joins and unions with it cost nothing."""
+    fields = StructType.fromDDL(schema).fields if schema else []
+    return spark.range(1).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in fields]).where("false")
+
+
 @dataclass
 class State:
     """tables: {table: {partition folder: version}}; batches: last batch of each source; numbers: sizes."""
@@ -77,17 +85,18 @@ class Lake:
 
     def _load(self, table: str, schema: str | None, paths: list[str]) -> DataFrame:
         if not paths:
-            return self.spark.createDataFrame([], schema or "")
+            return _no_rows(self.spark, schema or "")
         reader = self.spark.read if schema is None else self.spark.read.schema(f"{schema}, v string")
         return reader.option("basePath", f"{self.root}/{table}").parquet(*paths).drop("v")
 
-    def stage(self, df: DataFrame, table: str, by: str, version: str) -> dict[str, str]:
+    def stage(self, df: DataFrame, table: str, by: str, version: str, dealt: bool = False) -> dict[str, str]:
         """Write a version beside the live ones; returns its partitions for publish().
 
-        Rebalancing gives a small partition one file and lets AQE cut a large one into several.
+        Rebalancing gives a small partition one file and lets AQE cut a large one into several. Rows that
+        are `dealt` lie by partition already, as those read from a table stored by it, and are not shuffled.
         """
         where = f"{table}/v={version}"
-        df.hint("rebalance", by).write.mode("overwrite").partitionBy(by).parquet(f"{self.root}/{where}")
+        (df if dealt else df.hint("rebalance", by)).write.mode("overwrite").partitionBy(by).parquet(f"{self.root}/{where}")
         return {n: version for n in self._names(where) if "=" in n}
 
     def publish(

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections import Counter
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -127,6 +129,7 @@ class Lane:
     parse: Callable[[DataFrame], DataFrame]
     marts: Callable[[DataFrame], dict[str, tuple[DataFrame, str]]]
     sums: Callable[[DataFrame], DataFrame] | None = None
+    mapped: tuple[str, ...] = ()  # marts with a row per row of silver
 
     @property
     def typed_schema(self) -> str:
@@ -180,7 +183,7 @@ MARKET = Lane(
 NEWS = Lane(
     ["news_id"], "published_at", _ddl(silver.NEWS_FIELDS),
     lambda raw: silver.typed(raw, silver.NEWS_FIELDS),
-    lambda now: {"news": (gold.gold_news(now), "dt")},
+    lambda now: {"news": (gold.gold_news(now), "dt")}, mapped=("news",),
 )
 
 
@@ -220,28 +223,59 @@ SUMS_SCHEMA = "account_id string, category string, rows long, n long, s decimal(
 ACCOUNT_BUCKETS = 64
 FIRST_BUCKETS = 16
 KEYS_PER_BUCKET = 1 << 19
+BROADCAST_KEYS = 200_000
+VERSIONS = 4  # of a day or bucket, before it is rewritten as one
 
 
-def refresh(batch: DataFrame, root: str, lane: Lane = TRANSACTIONS, source: str = "", batch_id: int | None = None) -> None:
+def refresh(
+    batch: DataFrame, root: str, lane: Lane = TRANSACTIONS, source: str = "", batch_id: int | None = None, stored: bool = False
+) -> None:
     """Fold new typed records into silver and rebuild the marts of the touched days only.
 
     Silver and marts are stored by day. Which day holds the older version of a record is looked up
     in an index of (key, day), stored by key hash: only the buckets of the batch's keys are read,
     and buckets are split as they fill, so the cost of a batch does not grow with the history.
+    Days that hold an older version are rewritten, to others the new records are added as further files.
     Account sums take the old images of changed rows off and add the new ones.
 
     Everything is written beside the live tables and published in one step; a batch that fails
-    before changes nothing, one that is replayed after it is skipped.
+    before changes nothing, one that is replayed after it is skipped. A batch that is `stored`, as
+    files that can be read again, is not kept in memory.
     """
     spark, lake = batch.sparkSession, Lake(batch.sparkSession, root)
     if lake.done(source, batch_id):
         return
     version = uuid.uuid4().hex
-    fresh = silver.latest_version(batch, lane.keys, lane.order).withColumn("dt", F.to_date(lane.ts)).persist()
+    batch = batch if stored else batch.persist()
     try:
-        _fold(lake, lane, fresh, version, source, batch_id)
+        with _newest(batch, lane) as fresh:
+            _fold(lake, lane, fresh.withColumn("dt", F.to_date(lane.ts)), version, source, batch_id)
     finally:
-        fresh.unpersist()
+        batch.unpersist()
+
+
+@contextmanager
+def _kept(df: DataFrame) -> Iterator[DataFrame]:
+    df = df.persist()
+    try:
+        yield df
+    finally:
+        df.unpersist()
+
+
+@contextmanager
+def _newest(batch: DataFrame, lane: Lane) -> Iterator[DataFrame]:
+    """The newest version of each record in a batch; only those sent more than once are shuffled while they are few."""
+    with _kept(batch.groupBy(*lane.keys).count().where("count > 1")) as resent:
+        n = resent.count()
+        if not n:
+            yield batch
+        elif n <= BROADCAST_KEYS:
+            newest = silver.latest_version(_of(batch, resent, lane.keys, few=True), lane.keys, lane.order)
+            yield _of(batch, resent, lane.keys, "left_anti", few=True).unionByName(newest)
+        else:
+            with _kept(silver.latest_version(batch, lane.keys, lane.order)) as newest:
+                yield newest
 
 
 def _bucket(columns: list[str], n: int) -> Column:
@@ -253,13 +287,25 @@ def _values(df: DataFrame, column: str) -> list:
     return [r[0] for r in df.select(column).distinct().collect()]
 
 
-def _of(rows: DataFrame, keyed: DataFrame, keys: list[str], how: str = "left_semi") -> DataFrame:
-    """The rows whose keys occur in another frame (or do not); a null equals a null."""
+def _of(rows: DataFrame, keyed: DataFrame, keys: list[str], how: str = "left_semi", few: bool = False) -> DataFrame:
+    """The rows whose keys occur in another frame (or do not); a null equals a null. `few` keys are broadcast."""
     other = keyed.select(*[F.col(k).alias(f"_k_{k}") for k in keys])
     same = F.lit(True)
     for k in keys:
         same = same & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
-    return rows.join(other, same, how)
+    return rows.join(F.broadcast(other) if few else other, same, how)
+
+
+def _changed(lake: Lake, table: str, staged: dict[str, str], rewritten: set[str]) -> dict[str, str | None]:
+    """Staged partitions take the place of the rewritten ones and stand beside the others."""
+    gone = {name: None for name in lake.state().tables.get(table, {}) if name.split("@")[0] in rewritten}
+    return {**gone, **{f"{f}@{v}": v for f, v in staged.items()}}
+
+
+def _crowded(lake: Lake, table: str, folders: list[str]) -> set[str]:
+    """The partitions that live in VERSIONS versions already and are due to become one."""
+    n = Counter(name.split("@")[0] for name in lake.state().tables.get(table, {}))
+    return {f for f in folders if n[f] >= VERSIONS}
 
 
 def _replaced(staged: dict[str, str], asked: list[str]) -> dict[str, str | None]:
@@ -268,42 +314,83 @@ def _replaced(staged: dict[str, str], asked: list[str]) -> dict[str, str | None]
 
 
 def _fold(lake: Lake, lane: Lane, fresh: DataFrame, version: str, source: str, batch_id: int | None) -> None:
+    if not lane.moves:
+        _fold_days(lake, lane, fresh, version, source, batch_id)
+        return
+    n = lake.state().numbers.get("buckets", FIRST_BUCKETS)
+    # Calendar days and bucket numbers, so both are short lists.
+    touched = fresh.agg(F.collect_set(F.struct("dt")).alias("days"), F.collect_set(_bucket(lane.keys, n)).alias("buckets")).first()
+    days, buckets = [r.dt for r in touched.days], [folder("bucket", b) for b in touched.buckets]
+    known = lake.read("keys", lane.index_schema, buckets).drop("bucket")
+    with _kept(_of(known, fresh, lane.keys)) as hits:
+        _fold_known(lake, lane, fresh, known, hits, days, buckets, n, version, source, batch_id)
+    _grow_index(lake, lane, buckets, version, n)
+
+
+def _fold_known(
+    lake: Lake, lane: Lane, fresh: DataFrame, known: DataFrame, hits: DataFrame, days: list, buckets: list[str], n: int,
+    version: str, source: str, batch_id: int | None,
+) -> None:
+    """known: the index entries in the batch's buckets; hits: those of them whose records come again."""
     changes: dict[str, dict[str, str | None]] = {}
-    days = _values(fresh, "dt")
-    if lane.moves:
-        n = lake.state().numbers.get("buckets", FIRST_BUCKETS)
-        buckets = [folder("bucket", b) for b in _values(fresh.select(_bucket(lane.keys, n)), "bucket")]
-        known = lake.read("keys", lane.index_schema, buckets)
-        days = list({*days, *_values(_of(known, fresh, lane.keys), "dt")})
-    in_days = [folder("dt", d) for d in days]
-    held = lake.read("silver", lane.silver_schema, in_days)
-    merged = silver.latest_version(held.unionByName(fresh), lane.keys, lane.order)
-    changes["silver"] = _replaced(lake.stage(merged, "silver", "dt", version), in_days)
-    now = lake.staged("silver", lane.silver_schema, version)
+    keys, again = lane.keys, hits.count()
+    few = again <= BROADCAST_KEYS
+    moved = _values(hits, "dt") if again else []
+    days = list({*days, *moved})
+    rewritten = {folder("dt", d) for d in moved} | _crowded(lake, "silver", [folder("dt", d) for d in days])
+    held = lake.read("silver", lane.silver_schema, list(rewritten))
+    if not again:
+        merged = held.unionByName(fresh)
+    elif few:
+        won = silver.latest_version(_of(held, hits, keys, few=True).unionByName(_of(fresh, hits, keys, few=True)), keys, lane.order)
+        apart = [_of(rows, hits, keys, "left_anti", few=True) for rows in (held, fresh)]
+        merged = apart[0].unionByName(apart[1]).unionByName(won)
+    else:  # a key has two rows at most, so nothing is gained by combining them before the shuffle
+        merged = silver.latest_version(held.unionByName(fresh).repartition(*keys), keys, lane.order)
+    staged = lake.stage(merged, "silver", "dt", version)
+    changes["silver"] = _changed(lake, "silver", staged, rewritten)
+    written = lake.staged("silver", lane.silver_schema, version)
+    now = written.unionByName(lake.read("silver", lane.silver_schema, [f for d in days if (f := folder("dt", d)) not in rewritten]))
     _stage_marts(lake, lane, now, days, version, changes)
 
-    if lane.moves:
-        after = _of(now, fresh, lane.keys)
-        index = _of(known.drop("bucket"), fresh, lane.keys, "left_anti").unionByName(after.select(*lane.keys, "dt"))
-        changes["keys"] = _replaced(lake.stage(index.withColumn("bucket", _bucket(lane.keys, n)), "keys", "bucket", version), buckets)
+    after = _of(written, fresh, keys) if again else fresh
+    index, whole = after.select(*keys, "dt"), set(buckets) if again else _crowded(lake, "keys", buckets)
+    if again:
+        index = index.unionByName(_of(known, hits, keys, "left_anti", few=few))
+    elif whole:
+        index = index.unionByName(lake.read("keys", lane.index_schema, list(whole)).drop("bucket"))
+    changes["keys"] = _changed(lake, "keys", lake.stage(index.withColumn("bucket", _bucket(keys, n)), "keys", "bucket", version), whole)
     if lane.sums:
-        before = _of(held, fresh, lane.keys)
+        before = _of(held, hits, keys, few=few) if again else None
         _stage_sums(lake, lane, before, after, version, changes)
     lake.publish(changes, source, batch_id)
-    if lane.moves:
-        _grow_index(lake, lane, version, len(buckets), n)
+
+
+def _fold_days(lake: Lake, lane: Lane, fresh: DataFrame, version: str, source: str, batch_id: int | None) -> None:
+    """Records whose versions all have one day: that day holds the older ones."""
+    days = _values(fresh, "dt")
+    in_days = [folder("dt", d) for d in days]
+    held = lake.read("silver", lane.silver_schema, in_days)
+    merged = silver.latest_version(held.unionByName(fresh), lane.keys, lane.order)
+    changes = {"silver": _replaced(lake.stage(merged, "silver", "dt", version), in_days)}
+    _stage_marts(lake, lane, lake.staged("silver", lane.silver_schema, version), days, version, changes)
+    lake.publish(changes, source, batch_id)
 
 
 def _stage_marts(lake: Lake, lane: Lane, now: DataFrame, days: list, version: str, changes: dict) -> None:
     for name, (mart, day) in lane.marts(now).items():
-        changes[name] = _replaced(lake.stage(mart, name, day, version), [folder(day, d) for d in days])
+        # A mart that only maps silver's rows is written as they lie, by day.
+        staged = lake.stage(mart, name, day, version, dealt=name in lane.mapped)
+        changes[name] = _replaced(staged, [folder(day, d) for d in days])
 
 
-def _stage_sums(lake: Lake, lane: Lane, before: DataFrame, after: DataFrame, version: str, changes: dict) -> None:
+def _stage_sums(lake: Lake, lane: Lane, before: DataFrame | None, after: DataFrame, version: str, changes: dict) -> None:
     """Account sums with the old images taken off and the new ones added; the touched buckets only."""
-    less = lane.sums(before).select("account_id", "category", *[(-F.col(c)).alias(c) for c in ("rows", "n", "s")])
-    key = ["account_id"]
-    delta = less.unionByName(lane.sums(after)).withColumn("bucket", _bucket(key, ACCOUNT_BUCKETS)).persist()
+    delta = lane.sums(after)
+    if before is not None:
+        less = lane.sums(before).select("account_id", "category", *[(-F.col(c)).alias(c) for c in ("rows", "n", "s")])
+        delta = less.unionByName(delta)
+    delta = delta.withColumn("bucket", _bucket(["account_id"], ACCOUNT_BUCKETS)).persist()
     try:
         buckets = [folder("bucket", b) for b in _values(delta, "bucket")]
         kept = lake.read("account_sums", SUMS_SCHEMA, buckets)
@@ -315,13 +402,13 @@ def _stage_sums(lake: Lake, lane: Lane, before: DataFrame, after: DataFrame, ver
         delta.unpersist()
 
 
-def _grow_index(lake: Lake, lane: Lane, version: str, written: int, n: int) -> None:
-    """Four times the buckets once those just written hold more than KEYS_PER_BUCKET keys on average.
+def _grow_index(lake: Lake, lane: Lane, buckets: list[str], version: str, n: int) -> None:
+    """Four times the buckets once those just written to hold more than KEYS_PER_BUCKET keys on average.
 
     The index is rewritten then; as it has grown four-fold since the last time, that is a bounded
     share of the work per record.
     """
-    if lake.staged("keys", lane.index_schema, version).count() <= KEYS_PER_BUCKET * max(written, 1):
+    if lake.read("keys", lane.index_schema, buckets).count() <= KEYS_PER_BUCKET * max(len(buckets), 1):
         return
     index = lake.read("keys", lane.index_schema).drop("bucket").withColumn("bucket", _bucket(lane.keys, 4 * n))
     staged = lake.stage(index, "keys", "bucket", f"{version}-{4 * n}")
@@ -333,7 +420,7 @@ def forget_days(spark: SparkSession, root: str, days: list, lane: Lane = TRANSAC
     lake, version = Lake(spark, root), uuid.uuid4().hex
     in_days = [folder("dt", d) for d in days]
     gone = lake.read("silver", lane.silver_schema, in_days)
-    changes: dict[str, dict[str, str | None]] = {"silver": dict.fromkeys(in_days)}
+    changes: dict[str, dict[str, str | None]] = {"silver": _changed(lake, "silver", {}, set(in_days))}
     none = gone.where("false")
     for name, (_, day) in lane.marts(none).items():
         changes[name] = dict.fromkeys(folder(day, d) for d in days)
@@ -341,7 +428,7 @@ def forget_days(spark: SparkSession, root: str, days: list, lane: Lane = TRANSAC
         n = lake.state().numbers.get("buckets", FIRST_BUCKETS)
         buckets = [folder("bucket", b) for b in _values(gone.select(_bucket(lane.keys, n)), "bucket")]
         index = _of(lake.read("keys", lane.index_schema, buckets), gone, lane.keys, "left_anti")
-        changes["keys"] = _replaced(lake.stage(index, "keys", "bucket", version), buckets)
+        changes["keys"] = _changed(lake, "keys", lake.stage(index, "keys", "bucket", version), set(buckets))
     if lane.sums:
         _stage_sums(lake, lane, gone, none, version, changes)
     lake.publish(changes)
@@ -365,7 +452,7 @@ def run_medallion(
         # Parsed once and written; the refresh reads columns and has no lineage to the text.
         arrived = f"{root}/arrived/batch_id={batch_id}"
         lane.parse(raw).write.mode("overwrite").parquet(arrived)
-        refresh(spark.read.schema(lane.typed_schema).parquet(arrived), root, lane, checkpoint, batch_id)
+        refresh(spark.read.schema(lane.typed_schema).parquet(arrived), root, lane, checkpoint, batch_id, stored=True)
 
     return (
         read_stream(spark, path, files_per_trigger)
