@@ -13,6 +13,7 @@ from ledgerlake.operators.skew import fits, lookup_join
 K1 = 1.2
 B = 0.75
 BUCKETS = 64
+PAIRS_PER_TASK = 1 << 19  # (article, query) pairs whose scores a task holds
 
 
 @dataclass(frozen=True)
@@ -71,7 +72,8 @@ def query_terms(queries: DataFrame) -> DataFrame:
 def score(index: Index, queries: DataFrame, max_query_terms: int = 200_000) -> DataFrame:
     """(query_id, news_id, score) for every article that shares a term with the query.
 
-    Postings of queried terms are placed by article. Query terms are broadcast while their
+    Postings of queried terms are placed by article, in as many parts as the number of articles times
+    that of queries asks for, so what a task holds does not grow with the corpus. Query terms are broadcast while their
     number stays within `max_query_terms`, so an article meets all queries in one task and its
     scores are summed without a further shuffle; a larger batch is joined by shuffle with hot
     terms spread over salts. With a `ticker` in the queries only articles of it are scored.
@@ -82,7 +84,9 @@ def score(index: Index, queries: DataFrame, max_query_terms: int = 200_000) -> D
     # At most BUCKETS numbers; as literals they prune the folders that are read.
     buckets = [r.b for r in terms.select(bucket_of(F.col("term")).alias("b")).distinct().collect()]
     relevant = index.postings.where(F.col("bucket").isin(buckets)).drop("bucket").join(F.broadcast(terms) if small else terms, "term", "left_semi")
-    placed = relevant.repartition("news_id")
+    pairs = index.docs.count() * wanted.select("query_id").distinct().count()
+    width = int(index.postings.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = relevant.repartition(max(width, -(-pairs // PAIRS_PER_TASK)), "news_id")
     # Document frequency of the queried terms only; counts combine map-side.
     df = relevant.groupBy("term").agg(F.count("*").alias("df"))
     corpus = index.docs.agg(F.count("*").alias("n"), F.avg("dl").alias("avgdl"))
