@@ -34,9 +34,9 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import kept
+from ledgerlake.llm.common import kept, released
 
-CACHE = 600_000  # entries of a worker's caches
+CACHE = 100_000  # entries of each of a worker's caches; of encoded pre-tokens twice as many
 AT_ONCE = 1 << 20  # characters whose pre-tokens are listed at once
 # Fixed value: the pre-tokenizer's pattern (white space as Unicode defines it).
 PRE_TOKENS = (
@@ -185,13 +185,19 @@ class Codec:
 
 
 class _Cache(dict):
+    """Encoded pre-tokens; once CACHE are held they become the old ones, of which those asked for again stay."""
+
     def __init__(self, make: Callable[[str], bytes]):
         self.make = make
+        self.old: dict[str, bytes] = {}
 
     def __missing__(self, word: str) -> bytes:
         if len(self) >= CACHE:
+            self.old = dict(self)
             self.clear()
-        out = self.make(word)
+        out = self.old.get(word)
+        if out is None:
+            out = self.make(word)
         if len(word) <= 64:
             self[word] = out
         return out
@@ -214,7 +220,7 @@ def encode(text: Column, file: Broadcast) -> Column:
     @F.arrow_udf("binary")
     def ids(column: pa.Array) -> pa.Array:
         codec = _codec(file)
-        return pa.array([codec.encode(t.as_py() or "") for t in column], pa.binary())
+        return released(pa.array([codec.encode(t.as_py() or "") for t in column], pa.binary()))
 
     return ids(F.coalesce(text, F.lit("")))
 
