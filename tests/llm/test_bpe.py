@@ -62,3 +62,29 @@ def test_rows(hard, library):
     for r in got:
         assert (r.n_tokens, r.ids_sha256, r.decoded_sha256) in want[r.doc_id]
     assert bpe.digests(hard.where("false")).count() == 0
+
+
+def test_texts_encoded_together_equal_the_library(codec, library):
+    r = random.Random(11)
+    texts = ["".join(r.choices(PARTS, k=r.choice([1, 3, 10, 40]))) for _ in range(3000)]
+    texts += [" ".join("".join(r.choices("etaoinshrdlé漢😀", k=r.randint(1, 30))) for _ in range(40)) for _ in range(400)]
+    texts += ["".join(r.choices(["a", "aa", "ab", "b", "=", "==", "-"], k=r.randint(1, 70))) for _ in range(3000)]
+    texts += ["a" * n for n in range(1, 140)] + ["", "<|endoftext|>" * 300, " x" * 700_000, "ab" * 40_000]
+    got = list(codec.encode_all(texts))
+    assert len(got) == len(texts)
+    for t, ids in zip(texts, got):
+        assert np.frombuffer(ids, "<u4").tolist() == library.encode(t, add_special_tokens=False).ids
+
+
+def test_new_pre_tokens_of_many_texts_are_encoded_together():
+    """One by one each costs a walk of its own; that was most of the time of op9_bpe."""
+    codec = bpe.Codec(open(PATH, encoding="utf-8").read())
+    alone = []
+    one = codec._encode_one
+    codec.cache.make = lambda word: alone.append(word) or one(word)
+    r = random.Random(7)
+    texts = [" ".join("".join(r.choices("etaoinshrdlu", k=9)) for _ in range(10)) for _ in range(2000)]
+    whole = [codec.encode(t) for t in texts[:50]]
+    alone.clear()
+    got = list(codec.encode_all(texts))
+    assert got[:50] == whole and not alone
