@@ -418,10 +418,25 @@ def decode(ids: Column, file: Broadcast) -> Column:
     return text(ids)
 
 
+def encode_decode(text: Column, file: Broadcast) -> Column:
+    """Struct column of encode and decode; as two columns, of which one needs the other, texts would be encoded twice."""
+
+    @F.arrow_udf("token_ids binary, decoded string")
+    def both(column: pa.Array) -> pa.Array:
+        codec = _codec(file)
+        ids = list(codec.encode_all(t.as_py() or "" for t in column))
+        texts = pa.array(map(codec.decode, ids), pa.string())
+        return released(pa.StructArray.from_arrays([pa.array(ids, pa.binary()), texts], ["token_ids", "decoded"]))
+
+    return both(F.coalesce(text, F.lit("")))
+
+
 def encoded(df: DataFrame, text_col: str = "text", path: str | None = None) -> DataFrame:
     """df with the columns token_ids (binary) and decoded (string)."""
     file = vocabulary(df.sparkSession, path)
-    return df.withColumn("token_ids", encode(F.col(text_col), file)).withColumn("decoded", decode(F.col("token_ids"), file))
+    made = df.withColumn("token_ids", encode_decode(F.col(text_col), file))
+    rest = [F.col(f"`{c}`") for c in df.columns if c not in ("token_ids", "decoded")]
+    return made.select(*rest, "token_ids.token_ids", "token_ids.decoded")
 
 
 def digests(df: DataFrame) -> DataFrame:

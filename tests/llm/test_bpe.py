@@ -88,3 +88,10 @@ def test_new_pre_tokens_of_many_texts_are_encoded_together():
     alone.clear()
     got = list(codec.encode_all(texts))
     assert got[:50] == whole and not alone
+
+
+def test_a_text_is_encoded_once(hard):
+    """The ids and the text decoded from them are one column of one function."""
+    plan = bpe.digests(hard)._jdf.queryExecution().optimizedPlan().toString()
+    found = [line for line in plan.splitlines() if "ArrowEvalPython" in line]
+    assert len(found) == 1 and found[0].count("coalesce(text") == 1
