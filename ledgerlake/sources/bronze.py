@@ -91,15 +91,12 @@ def now_ntz() -> Column:
 def land_market(payloads: DataFrame, source: str = "yahoo") -> DataFrame:
     """(ticker, payload_text[, ingested_at]) to raw market rows; empty or unparsable text is skipped."""
     stamp = F.col("ingested_at") if "ingested_at" in payloads.columns else now_ntz()
+    # As an element the payload is made once: a filter on it moves no further down and parses no text again.
+    payload = F.when(F.length("payload_text") > 0, F.try_parse_json("payload_text"))
     return (
-        payloads.where(F.length("payload_text") > 0)
-        .select(
-            "ticker",
-            F.try_parse_json("payload_text").alias("payload"),
-            F.lit(source).alias("source"),
-            stamp.alias("ingested_at"),
-        )
+        payloads.select("ticker", F.explode(F.array(payload)).alias("payload"), stamp.alias("ingested_at"))
         .where(F.col("payload").isNotNull())
+        .select("ticker", "payload", F.lit(source).alias("source"), "ingested_at")
     )
 
 
@@ -112,11 +109,11 @@ def pack_chart(bars: DataFrame) -> DataFrame:
     candle = F.struct(F.unix_seconds(F.col("ts").cast("timestamp")).alias("epoch"),
                       "open", "high", "low", "close", "volume")
     day = bars.groupBy("ticker", F.to_date("ts").alias("trade_date")).agg(
-        F.array_sort(F.collect_list(candle)).alias("c")
+        F.sort_array(F.collect_list(candle)).alias("c")  # array_sort calls a function for every comparison
     )
 
     def column(name: str) -> Column:
-        return F.transform("c", lambda x: x[name]).alias(name)
+        return F.col(f"c.{name}").alias(name)
 
     quote = F.struct(*[column(n) for n in ("open", "high", "low", "close", "volume")])
     payload = F.struct(
@@ -124,7 +121,7 @@ def pack_chart(bars: DataFrame) -> DataFrame:
             F.array(
                 F.struct(
                     F.struct(F.col("ticker").alias("symbol")).alias("meta"),
-                    F.transform("c", lambda x: x["epoch"]).alias("timestamp"),
+                    F.col("c.epoch").alias("timestamp"),
                     F.struct(F.array(quote).alias("quote")).alias("indicators"),
                 )
             ).alias("result")

@@ -1,12 +1,14 @@
 """What a batch of the chained refresh rewrites, and that the result is that of all versions at once."""
 
 import datetime as dt
+import re
 
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import VariantType
 
 from ledgerlake.operators import gold, silver
+from ledgerlake.sources import bronze
 from ledgerlake.streaming import ingest, marts
 
 COLUMNS = marts.TRANSACTIONS.typed_schema
@@ -72,3 +74,16 @@ def test_records_are_stored_parsed(spark, tmp_path):
     rows = silver.typed(ingest.read_bronze(spark, str(tmp_path / "b")), silver.TRANSACTION_FIELDS)
     got = sorted(map(str, rows.select("txn_id", "amount", F.col("is_fraud_label").alias("f")).collect()))
     assert got == sorted(f"Row(txn_id={i}, amount={a}, f={f})" for i, a, f in (("'1'", None, True), (None, None, None), (None, None, None), ("'2'", 1.5, None)))
+
+
+def test_a_payload_is_made_and_parsed_once(spark):
+    bars = spark.createDataFrame([("a", "2024-01-02 00:00:09", 2.0), ("a", "2024-01-02 00:00:01", 1.0), ("b", "2024-01-02 00:00:05", None)], "ticker string, ts string, close double")
+    bars = bars.select("ticker", F.col("ts").cast("timestamp_ntz"), *[F.col("close").alias(c) for c in ("open", "high", "low", "close")], F.lit(1).alias("volume"))
+    texts = bronze.pack_chart(bars)
+    odd = spark.createDataFrame([("c", ""), ("c", None), ("c", "{"), ("c", "null")], "ticker string, payload_text string")
+    landed = bronze.land_market(texts.select("ticker", "payload_text").unionByName(odd))
+    plan = bronze.land_market(texts)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("StructsToJsonEvaluator(") == 1 and "lambda" not in plan
+    assert len(re.findall(r"parse_json\(|parseJson", plan)) == 1  # a filter on the payload made and parsed the text again
+    got = landed.select("ticker", F.variant_get("payload", "$.chart.result[0].timestamp", "array<long>").alias("s"), "source").collect()
+    assert sorted((r.ticker, len(r.s or []), r.s == sorted(r.s or []), r.source) for r in got) == [("a", 2, True, "yahoo"), ("b", 1, True, "yahoo"), ("c", 0, False, "yahoo")]
