@@ -16,6 +16,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from ledgerlake.session import CODEC
+
 NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
 
 
@@ -96,7 +98,8 @@ class Lake:
         are `dealt` lie by partition already, as those read from a table stored by it, and are not shuffled.
         """
         where = f"{table}/v={version}"
-        (df if dealt else df.hint("rebalance", by)).write.mode("overwrite").partitionBy(by).parquet(f"{self.root}/{where}")
+        rows = df if dealt else df.hint("rebalance", by)
+        rows.write.mode("overwrite").option("compression", CODEC).partitionBy(by).parquet(f"{self.root}/{where}")
         return {n: version for n in self._names(where) if "=" in n}
 
     def publish(

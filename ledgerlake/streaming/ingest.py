@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ledgerlake.session import CODEC
 from ledgerlake.sources import bronze
 
 # One JSON value per line keeps files splittable; a batch may be an array or a single object.
@@ -27,9 +28,9 @@ def trigger_args(trigger: str | None) -> dict:
 def land(batch: DataFrame, table: str, batch_id: int) -> None:
     """Write a batch's records to `table` and its malformed lines to `<table>_bad`; a rerun replaces both."""
     # Records are stored as VARIANT, so that their text is neither made from it nor parsed a second time.
-    bronze.records(bronze.with_parsed(batch)).write.mode("overwrite").parquet(f"{table}/batch_id={batch_id}")
+    bronze.records(bronze.with_parsed(batch)).write.mode("overwrite").option("compression", CODEC).parquet(f"{table}/batch_id={batch_id}")
     bad = bronze.split_bad(batch)[1]
-    bad.write.mode("overwrite").parquet(f"{table}_bad/batch_id={batch_id}")
+    bad.write.mode("overwrite").option("compression", CODEC).parquet(f"{table}_bad/batch_id={batch_id}")
 
 
 def stream_bronze(

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ledgerlake.operators import gold, search, segments, silver
+from ledgerlake.session import CODEC
 from ledgerlake.sources.adapters import is_folder
 from ledgerlake.sources.versioned import Lake, folder
 from ledgerlake.streaming import ingest
@@ -451,7 +452,7 @@ def run_medallion(
         raw = ingest.read_bronze(spark, f"{root}/raw", batch_id).drop("batch_id")
         # Parsed once and written; the refresh reads columns and has no lineage to the text.
         arrived = f"{root}/arrived/batch_id={batch_id}"
-        lane.parse(raw).write.mode("overwrite").parquet(arrived)
+        lane.parse(raw).write.mode("overwrite").option("compression", CODEC).parquet(arrived)
         refresh(spark.read.schema(lane.typed_schema).parquet(arrived), root, lane, checkpoint, batch_id, stored=True)
 
     return (
