@@ -7,6 +7,7 @@ of the input never clash; a null text counts as an empty one; a text is always r
 from __future__ import annotations
 
 import ctypes
+import gc
 import sys
 import types
 from collections.abc import Iterator
@@ -61,10 +62,18 @@ def released(value):
 
 
 def kept(name: str, make):
-    """One object for each name and Python worker; it outlives the task that made it."""
+    """One object for each name and Python worker; it outlives the task that made it.
+
+    A worker serves the stages of a session one after the other: making an object gives back what earlier
+    ones left, the powers of the word hashes and freed memory.
+    """
     held = sys.modules.setdefault("ledgerlake_llm_kept", types.ModuleType("ledgerlake_llm_kept")).__dict__
     if name not in held:
-        held[name] = make()
+        for other in [k for k in held if k.split("-")[0] in ("codec", "ranks")]:
+            del held[other]
+        _POWERS.clear()
+        gc.collect()
+        held[name] = released(make())
     return held[name]
 
 

@@ -2,7 +2,7 @@
 
 import public_tokenizers
 
-from ledgerlake.llm import bpe
+from ledgerlake.llm import bpe, common
 
 
 def test_a_workers_caches_are_bounded_and_keep_frequent_words(monkeypatch):
@@ -22,3 +22,12 @@ def test_a_workers_caches_are_bounded_and_keep_frequent_words(monkeypatch):
 
 def test_the_default_stays_within_the_executors_share():
     assert bpe.CACHE <= 100_000
+
+
+def test_a_worker_gives_back_what_earlier_stages_left():
+    common._powers(10)
+    assert common.kept("codec-earlier", lambda: 1) == 1 and not common._POWERS
+    assert common.kept("codec-earlier", lambda: 2) == 1
+    assert common.kept("codec-now", lambda: 3) == 3
+    assert common.kept("codec-earlier", lambda: 4) == 4
+    assert len(common._powers(10)[0]) == 10
