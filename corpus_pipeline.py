@@ -95,7 +95,6 @@ def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    bounded_memory(spark)
     return bpe.digests(docs)
 
 

@@ -11,7 +11,7 @@ are replayed in order, the pieces at the border run up the right spine of the le
 left spine of the right one; a crossing merge happens if it ranks before the next replacement of
 either piece (at a tie the pair further left goes first).
 
-The new pre-tokens of about a million characters are encoded together, prefix by prefix: numpy takes the
+The new pre-tokens of about AT_ONCE characters are encoded together, prefix by prefix: numpy takes the
 step to the next prefix for all of them at once, with the candidates from a trie. Pre-tokens of more than
 64 bytes, and a few alone, go one by one.
 
@@ -38,10 +38,11 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import BASE, kept, released
+from ledgerlake.llm.common import BASE, bounded_memory, kept, pieces, released
 
-CACHE = 100_000  # entries of each of a worker's caches; of encoded pre-tokens twice as many
-AT_ONCE = 1 << 20  # characters whose pre-tokens are listed at once
+CACHE = 50_000  # entries of each of a worker's caches; of encoded pre-tokens twice as many
+AT_ONCE = 1 << 18  # characters whose pre-tokens are listed at once
+BATCH = 4 << 20  # bytes of texts that a worker is handed at once
 # Fixed value: the pre-tokenizer's pattern (white space as Unicode defines it).
 PRE_TOKENS = (
     r" ?\p{L}+|'(?:[stmd]|re|ve|ll)| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+"
@@ -54,7 +55,7 @@ LATIN_PRE_TOKENS = f" ?[{_L}]+|'(?:[stmd]|re|ve|ll)| ?[{_N}]+| ?[^{_S}{_L}{_N}]+
 NEVER = 1 << 60
 SHORT = 64  # bytes of the longest pre-token that is encoded together with others, and kept
 FEW = 256  # fewer new pre-tokens are encoded one by one
-TOGETHER = 1 << 14  # new pre-tokens encoded together at most; bounds the numpy temporaries
+TOGETHER = 1 << 12  # new pre-tokens encoded together at most; bounds the numpy temporaries
 FITS = 18  # log2 of the remembered answers whether two tokens are compatible
 ID_BITS, ID = 20, (1 << 20) - 1
 
@@ -424,15 +425,22 @@ def encode_decode(text: Column, file: Broadcast) -> Column:
     @F.arrow_udf("token_ids binary, decoded string")
     def both(column: pa.Array) -> pa.Array:
         codec = _codec(file)
-        ids = list(codec.encode_all(t.as_py() or "" for t in column))
-        texts = pa.array(map(codec.decode, ids), pa.string())
-        return released(pa.StructArray.from_arrays([pa.array(ids, pa.binary()), texts], ["token_ids", "decoded"]))
+        made = [_both(codec, piece) for piece in pieces(column)]
+        return pa.concat_arrays(made) if made else _both(codec, column)
 
     return both(F.coalesce(text, F.lit("")))
 
 
+def _both(codec: Codec, column: pa.Array) -> pa.StructArray:
+    """Ids and decoded texts of some texts; what encoding them took is given back."""
+    ids = list(codec.encode_all(t.as_py() or "" for t in column))
+    texts = pa.array(map(codec.decode, ids), pa.string())
+    return released(pa.StructArray.from_arrays([pa.array(ids, pa.binary()), texts], ["token_ids", "decoded"]))
+
+
 def encoded(df: DataFrame, text_col: str = "text", path: str | None = None) -> DataFrame:
     """df with the columns token_ids (binary) and decoded (string)."""
+    bounded_memory(df.sparkSession, BATCH)
     file = vocabulary(df.sparkSession, path)
     made = df.withColumn("token_ids", encode_decode(F.col(text_col), file))
     rest = [F.col(f"`{c}`") for c in df.columns if c not in ("token_ids", "decoded")]

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from ledgerlake.session import scratch_dir
 
 SPACES = b"\x20\x09\x0a\x0b\x0c\x0d"
-PIECE_BYTES = 1 << 20  # text hashed at once by one task; bounds the numpy temporaries
+PIECE_BYTES = 1 << 18  # text hashed at once by one task; bounds the numpy temporaries
 MASK = 0xFFFFFFFFFFFFFFFF
 
 
@@ -65,18 +65,28 @@ def kept(name: str, make):
     """One object for each name and Python worker; it outlives the task that made it.
 
     A worker serves the stages of a session one after the other: making an object gives back what earlier
-    ones left, the powers of the word hashes and freed memory.
+    ones left, the powers of the word hashes and freed memory; making those powers gives back the objects.
     """
-    held = sys.modules.setdefault("ledgerlake_llm_kept", types.ModuleType("ledgerlake_llm_kept")).__dict__
+    held = _held()
     if name not in held:
-        for other in [k for k in held if k.split("-")[0] in ("codec", "ranks")]:
-            del held[other]
         _POWERS.clear()
-        gc.collect()
+        _give_back()
         held[name] = released(make())
     return held[name]
 
 
+def _held() -> dict:
+    return sys.modules.setdefault("ledgerlake_llm_kept", types.ModuleType("ledgerlake_llm_kept")).__dict__
+
+
+def _give_back() -> None:
+    held = _held()
+    for name in [k for k in held if k.split("-")[0] in ("codec", "ranks")]:
+        del held[name]
+    gc.collect()
+    released(None)
+
+
 def small(df: DataFrame, rows: int, row_bytes: int, limit: int = 32 << 20) -> DataFrame:
     """Hint a broadcast only where the counted rows times their width stay under limit bytes.
 
@@ -106,6 +116,8 @@ _POWERS: list[np.ndarray] = []
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """BASE**i and its inverse modulo 2**64, for i < n."""
     if not _POWERS or len(_POWERS[0]) < n:
+        if not _POWERS:
+            _give_back()
         size = max(n, 1 << 16)
         up = np.full(size, BASE, dtype=np.uint64)
         up[0] = 1

@@ -41,6 +41,7 @@ FINE_GROUPS = 4096  # of sets above FINE_FROM, whose pairs are bounded once more
 FINE_FROM = 1024
 LEAF = 16
 BLOCK = 1024
+DISTINCT_BYTES = 1 << 20  # text of which equal sets give one row of prefixes
 HEAVY_BINS = 1 << 20
 LAST_BIN = np.uint64(HEAVY_BINS - 1)
 HEAVY_SHARE = 1024  # a shingle in more than 1/1024 of a batch's texts goes last in the order
@@ -54,7 +55,7 @@ def read_sets(docs: DataFrame, n: int) -> DataFrame:
             sets, bins = [], np.zeros(HEAVY_BINS, np.int64)
             for piece in pieces(batch.column(1)):
                 own = [shingle_set(w, n) for w in per_text(piece, sized=True)]
-                bins += np.bincount((np.concatenate(own) & LAST_BIN).astype(np.int64), minlength=HEAVY_BINS)
+                np.add.at(bins, (np.concatenate(own) & LAST_BIN).astype(np.int64), 1)
                 sets += released(own)
             rows = len(sets)
             least = max(4, rows // HEAVY_SHARE)
@@ -91,7 +92,7 @@ def read_prefixes(docs: DataFrame, n: int, percent: int, heavy: np.ndarray) -> D
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at = 0
-            for piece in pieces(batch.column(1)):
+            for piece in pieces(batch.column(1), DISTINCT_BYTES):
                 ids = batch.column(0).slice(at, len(piece)).cast(pa.int64()).to_pylist()
                 at += len(piece)
                 yield released(_prefixes(ids, [shingle_set(w, n) for w in per_text(piece, sized=True)], percent, known.value))
